@@ -165,3 +165,44 @@ def trailing_frame(df: DataFrame, keys: Sequence[str], idx: str, k: int,
     cols = build(w)
     return (x.select(F.col("*"), *[v.alias(n) for n, v in cols.items()])
             .filter(F.col("_halo") == 0).drop("_halo", "_hchunk"))
+
+
+_RUN = {"min": F.min, "max": F.max, "sum": F.sum, "count": F.count}
+_RUN_COMBINE = {"min": F.least, "max": F.greatest}
+
+
+def prefix_aggs(df: DataFrame, s: Seq, specs: Sequence[tuple[str, str, Column]],
+                inclusive: bool = True) -> DataFrame:
+    """Running aggregates along each entity (kind min/max/sum/count), over the
+    rows up to and including (``inclusive``) or strictly before the row.
+
+    Within a chunk a running window; across chunks the totals of the earlier
+    chunks (one row per chunk) are combined in chunk order and joined back."""
+    frame = _ordered(s).rowsBetween(UNB, CUR if inclusive else -1)
+    local = df.select(F.col("*"), *[_RUN[k](e).over(frame).alias(f"_rl_{n}") for n, k, e in specs])
+    summ = df.groupBy(*s.part).agg(*[_RUN[k](e).alias(f"_rt_{n}") for n, k, e in specs])
+    cw = _chunk_window(s)
+    carry = summ.select(*s.part, *[(_COMBINE[k](f"_rt_{n}")).over(cw).alias(f"_rc_{n}") for n, k, _ in specs])
+    out = local.join(carry, s.part, "inner")
+    res = []
+    for n, k, _ in specs:
+        a, b = F.col(f"_rl_{n}"), F.col(f"_rc_{n}")
+        if k in ("sum", "count"):
+            res.append((F.coalesce(a, F.lit(0)) + F.coalesce(b, F.lit(0))).alias(n) if k == "count"
+                       else F.when(a.isNull() & b.isNull(), None).otherwise(
+                           F.coalesce(a, F.lit(0)) + F.coalesce(b, F.lit(0))).alias(n))
+        else:
+            res.append(_RUN_COMBINE[k](a, b).alias(n))
+    drop = [f"_rl_{n}" for n, _, _ in specs] + [f"_rc_{n}" for n, _, _ in specs]
+    return out.select(F.col("*"), *res).drop(*drop)
+
+
+def global_index(df: DataFrame, order: str, width: int, out: str = "_gidx",
+                 position: Column | str | None = None) -> DataFrame:
+    """0-based rank of each row in the total order of ``order`` (unique),
+    without a single-partition window over the rows: rows are chunked by
+    range of the position (floor(position / width)); only the per-chunk
+    counts are ordered globally."""
+    s = Seq((), order, "_gchunk")
+    x = with_chunk(df, s, width, position)
+    return row_index(x, s, out).drop("_gchunk")
