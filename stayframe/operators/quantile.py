@@ -48,8 +48,8 @@ def exact_quantiles(df: DataFrame, cols: Sequence[str], q: float = 0.5,
         found: dict[tuple[str, int], float] = {}
         while searches:
             small = {key: st for key, st in searches.items() if st[3] <= max_exact or st[0] == st[1]}
-            for key, st in small.items():
-                found[key] = _pick_exact(dist, key[0], st)
+            found.update(_pick_exact(dist, small))
+            for key in small:
                 del searches[key]
             if not searches:
                 break
@@ -67,19 +67,32 @@ def exact_quantiles(df: DataFrame, cols: Sequence[str], q: float = 0.5,
         dist.unpersist()
 
 
-def _pick_exact(dist: DataFrame, c: str, st) -> float:
-    lo, hi, k, _ = st
-    if lo == hi:
-        return float(lo)
-    rows = (dist.filter((F.col("f") == c) & F.col("v").between(lo, hi))
-            .select("v", "n").collect())
-    rows.sort(key=lambda r: r["v"])
-    acc = 0
-    for r in rows:
-        acc += r["n"]
-        if acc > k:
-            return float(r["v"])
-    raise RuntimeError("rank outside range")
+def _pick_exact(dist: DataFrame, small: dict) -> dict:
+    """Resolve every search whose range is small, with one fetch of all their rows."""
+    out, need = {}, {}
+    for key, (lo, hi, k, _) in small.items():
+        if lo == hi:
+            out[key] = float(lo)
+        else:
+            need[key] = (lo, hi, k)
+    if not need:
+        return out
+    cond = None
+    for (c, _), (lo, hi, _) in need.items():
+        m = (F.col("f") == c) & F.col("v").between(lo, hi)
+        cond = m if cond is None else cond | m
+    rows = dist.filter(cond).select("f", "v", "n").collect()
+    for key, (lo, hi, k) in need.items():
+        vals = sorted((r["v"], r["n"]) for r in rows if r["f"] == key[0] and lo <= r["v"] <= hi)
+        acc = 0
+        for v, n in vals:
+            acc += n
+            if acc > k:
+                out[key] = float(v)
+                break
+        else:
+            raise RuntimeError("rank outside range")
+    return out
 
 
 def _refine(dist: DataFrame, searches: dict, buckets: int) -> None:

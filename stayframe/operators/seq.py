@@ -66,11 +66,14 @@ def _chunk_window(s: Seq, desc: bool = False):
     return Window.partitionBy(*s.keys).orderBy(o).rowsBetween(UNB, -1)
 
 
-def row_index(df: DataFrame, s: Seq, out: str = "_idx") -> DataFrame:
-    """0-based position of each row within its entity (global across chunks)."""
+def row_index(df: DataFrame, s: Seq, out: str = "_idx", total: str | None = None) -> DataFrame:
+    """0-based position of each row within its entity (global across chunks);
+    ``total`` optionally names a column with the entity's row count, read
+    off the same per-chunk summary (no extra pass over the rows)."""
     local = df.withColumn("_lrn", F.row_number().over(_ordered(s)) - 1)
-    summ = df.groupBy(*s.part).agg(F.count(F.lit(1)).alias("_n"))
-    carry = summ.select(*s.part, F.coalesce(F.sum("_n").over(_chunk_window(s)), F.lit(0)).alias("_off"))
+    summ = local.groupBy(*s.part).agg(F.count(F.lit(1)).alias("_n"))
+    extra = [F.sum("_n").over(Window.partitionBy(*s.keys)).alias(total)] if total else []
+    carry = summ.select(*s.part, F.coalesce(F.sum("_n").over(_chunk_window(s)), F.lit(0)).alias("_off"), *extra)
     return (local.join(carry, s.part, "inner")
             .withColumn(out, (F.col("_lrn") + F.col("_off")).cast("long"))
             .drop("_lrn", "_off"))
@@ -96,7 +99,8 @@ def prev_next(df: DataFrame, s: Seq, cols: Sequence[str], position: Column | str
             summ_aggs.append(F.min(st).alias(f"_sf_{c}"))
             carry_sel.append(F.last(f"_sf_{c}", True).over(_chunk_window(s, desc=True)).alias(f"_cn_{c}"))
     local = df.select(*sel)
-    carry = df.groupBy(*s.part).agg(*summ_aggs).select(*s.part, *carry_sel)
+    # summaries from the windowed rows: already partitioned by (keys, chunk)
+    carry = local.groupBy(*s.part).agg(*summ_aggs).select(*s.part, *carry_sel)
     out = local.join(carry, s.part, "inner")
     res, drop = [], []
     for c in cols:
@@ -121,7 +125,7 @@ def prev_row(df: DataFrame, s: Seq, cols: Sequence[str], suffix: str = "__lag")
         summ_aggs.append(F.max(st).alias(f"_sl_{c}"))
         carry_sel.append(F.last(f"_sl_{c}", True).over(_chunk_window(s)).alias(f"_cl_{c}"))
     local = df.select(*sel)
-    carry = df.groupBy(*s.part).agg(*summ_aggs).select(*s.part, *carry_sel)
+    carry = local.groupBy(*s.part).agg(*summ_aggs).select(*s.part, *carry_sel)
     out = local.join(carry, s.part, "inner")
     res = [F.when(F.col(f"_wl_{c}").isNotNull(), F.col(f"_wl_{c}")["v"])
            .otherwise(F.col(f"_cl_{c}")["v"]).alias(f"{c}{suffix}") for c in cols]
@@ -180,7 +184,7 @@ def prefix_aggs(df: DataFrame, s: Seq, specs: Sequence[tuple[str, str, Column]],
     chunks (one row per chunk) are combined in chunk order and joined back."""
     frame = _ordered(s).rowsBetween(UNB, CUR if inclusive else -1)
     local = df.select(F.col("*"), *[_RUN[k](e).over(frame).alias(f"_rl_{n}") for n, k, e in specs])
-    summ = df.groupBy(*s.part).agg(*[_RUN[k](e).alias(f"_rt_{n}") for n, k, e in specs])
+    summ = local.groupBy(*s.part).agg(*[_RUN[k](e).alias(f"_rt_{n}") for n, k, e in specs])
     cw = _chunk_window(s)
     carry = summ.select(*s.part, *[(_COMBINE[k](f"_rt_{n}")).over(cw).alias(f"_rc_{n}") for n, k, _ in specs])
     out = local.join(carry, s.part, "inner")
@@ -198,11 +202,11 @@ def prefix_aggs(df: DataFrame, s: Seq, specs: Sequence[tuple[str, str, Column]],
 
 
 def global_index(df: DataFrame, order: str, width: int, out: str = "_gidx",
-                 position: Column | str | None = None) -> DataFrame:
+                 position: Column | str | None = None, total: str | None = None) -> DataFrame:
     """0-based rank of each row in the total order of ``order`` (unique),
     without a single-partition window over the rows: rows are chunked by
     range of the position (floor(position / width)); only the per-chunk
     counts are ordered globally."""
     s = Seq((), order, "_gchunk")
     x = with_chunk(df, s, width, position)
-    return row_index(x, s, out).drop("_gchunk")
+    return row_index(x, s, out, total).drop("_gchunk")
