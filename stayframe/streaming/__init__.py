@@ -1,0 +1,8 @@
+"""Streaming.
+
+The reference pipelines are batch-only: there is no stream, watermark, late
+data or incremental state anywhere in them, so this package registers no
+streaming operator. Every operator in ``stayframe.operators`` is a pure
+DataFrame transformation and can be applied per micro-batch inside
+``writeStream.foreachBatch`` when a source does arrive as a stream.
+"""
