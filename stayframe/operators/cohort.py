@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from stayframe.functions.columns import hours_between
-from stayframe.operators.seq import Seq, entity_aggs, prev_next, prev_row, row_index
+from stayframe.operators.seq import Seq, entity_aggs, index_and_aggs, prev_next, prev_row, row_index
 
 
 def lag_sum(df: DataFrame, s: Seq, c: str, out: str, at_least: float | None = None,
@@ -70,8 +70,7 @@ def onset_windows(df: DataFrame, s: Seq, n: int, flag: str, symptomatic: Column
              ("_symp", "max", F.coalesce(symp.cast("int"), F.lit(0))), ("_maxo", "max", o)]
     if require_any is not None:
         specs.append(("_req", "max", F.coalesce(require_any.cast("int"), F.lit(0))))
-    x = entity_aggs(df, s, specs)
-    x = row_index(x, s, "_ridx")
+    x = index_and_aggs(df, s, specs, "_ridx")
     min_rows = n if min_rows is None else min_rows
     event_min_rows = n if event_min_rows is None else event_min_rows
     enough = F.col("_nrows") >= min_rows if min_rows else F.lit(True)

@@ -28,10 +28,18 @@ def _long_values(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     return df.select(pairs.alias("s")).select("s.f", "s.v").filter(F.col("v").isNotNull() & ~F.isnan("v"))
 
 
-def exact_quantiles(df: DataFrame, cols: Sequence[str], q: float = 0.5,
-                    buckets: int = 1024, max_exact: int = 20_000) -> dict[str, float | None]:
-    """Exact q-quantile of every column (nulls ignored); None for an all-null column."""
+def exact_quantiles(df: DataFrame, cols: Sequence[str], q: float = 0.5, buckets: int = 1024,
+                    max_exact: int = 20_000, max_fetch: int = 250_000) -> dict[str, float | None]:
+    """Exact q-quantile of every column (nulls ignored); None for an all-null column.
+
+    When all columns together have at most ``max_fetch`` distinct values they
+    are fetched in one bounded job; otherwise ranges are refined until each
+    holds at most ``max_exact`` distinct values."""
     dist = _long_values(df, cols).groupBy("f", "v").agg(F.count(F.lit(1)).alias("n"))
+    # fast path: few distinct values in all -> one bounded fetch, no refinement
+    few = dist.limit(max_fetch + 1).collect()
+    if len(few) <= max_fetch:
+        return _from_rows(few, cols, q)
     dist = dist.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         tot = {r["f"]: r for r in dist.groupBy("f").agg(
@@ -67,6 +75,28 @@ def exact_quantiles(df: DataFrame, cols: Sequence[str], q: float = 0.5,
         dist.unpersist()
 
 
+def _from_rows(rows, cols: Sequence[str], q: float) -> dict[str, float | None]:
+    out: dict[str, float | None] = {}
+    for c in cols:
+        vals = sorted((r["v"], r["n"]) for r in rows if r["f"] == c)
+        total = sum(n for _, n in vals)
+        if not total:
+            out[c] = None
+            continue
+        r = q * (total - 1)
+        lo_k, hi_k = math.floor(r), math.ceil(r)
+        acc, lo_v, hi_v = 0, None, None
+        for v, n in vals:
+            if lo_v is None and acc + n > lo_k:
+                lo_v = v
+            if acc + n > hi_k:
+                hi_v = v
+                break
+            acc += n
+        out[c] = lo_v + (hi_v - lo_v) * (r - lo_k)
+    return out
+
+
 def _pick_exact(dist: DataFrame, small: dict) -> dict:
     """Resolve every search whose range is small, with one fetch of all their rows."""
     out, need = {}, {}

@@ -148,6 +148,21 @@ def entity_aggs(df: DataFrame, s: Seq, specs: Sequence[tuple[str, str, Column]])
     return df.join(per_chunk, s.part, "inner")
 
 
+def index_and_aggs(df: DataFrame, s: Seq, specs: Sequence[tuple[str, str, Column]],
+                   idx: str = "_idx") -> DataFrame:
+    """``row_index`` and ``entity_aggs`` in one pass: one per-chunk summary
+    carries both the row offset of the chunk and the entity-level facts."""
+    local = df.withColumn("_lrn", F.row_number().over(_ordered(s)) - 1)
+    partial = local.groupBy(*s.part).agg(F.count(F.lit(1)).alias("_n"),
+                                         *[_PARTIAL[k](e).alias(n) for n, k, e in specs])
+    we = Window.partitionBy(*s.keys)
+    carry = partial.select(*s.part, F.coalesce(F.sum("_n").over(_chunk_window(s)), F.lit(0)).alias("_off"),
+                           *[_COMBINE[k](n).over(we).alias(n) for n, k, _ in specs])
+    return (local.join(carry, s.part, "inner")
+            .withColumn(idx, (F.col("_lrn") + F.col("_off")).cast("long"))
+            .drop("_lrn", "_off"))
+
+
 def trailing_frame(df: DataFrame, keys: Sequence[str], idx: str, k: int,
                    build: Callable[[Window], dict[str, Column]], width: int = GRID_CHUNK) -> DataFrame:
     """Evaluate expressions over the frame of the k rows ending at each row.

@@ -9,6 +9,7 @@ from stayframe.operators import impute as imp
 from stayframe.operators.clean import add_scores
 from stayframe.operators.cohort import (band_flag, event_hour, lag_sum, onset_windows,
                                         persistence)
+from stayframe.operators.joins import not_in
 from stayframe.operators.seq import TIME_CHUNK_MICROS, row_index, seq, trailing_frame, with_chunk
 from stayframe.functions.columns import time_position
 from stayframe.plans.common import (EVENT_MIN_VALUE, EVENT_TYPE, FEATURES, G8_SEQ, SCORE_PARTS,
@@ -256,14 +257,13 @@ def _sql_event_table() -> str:
 
 
 def nonevent_users(spark: SparkSession, d: str) -> DataFrame:
-    """Users with a non-onset error event (value < 100), none of whose orders is urgent
-    (NOT IN, null-aware)."""
+    """Users with a non-onset error event (value < 100), none of whose orders
+    is urgent (NOT IN semantics, null-aware, without broadcasting the list)."""
     ev = events(spark, d)
-    sus0 = ev.filter((F.col("event_type") == EVENT_TYPE) & (F.col("value") < EVENT_MIN_VALUE))
-    sus0.select("user_id").createOrReplaceTempView("_sf_sus0")
-    table(spark, d, "orders", ["o_custkey", "o_orderpriority"]).createOrReplaceTempView("_sf_orders")
-    return spark.sql(f"""SELECT DISTINCT user_id FROM _sf_sus0 WHERE user_id NOT IN
-        (SELECT o_custkey FROM _sf_orders WHERE o_orderpriority = '{URGENT}')""")
+    sus0 = (ev.filter((F.col("event_type") == EVENT_TYPE) & (F.col("value") < EVENT_MIN_VALUE))
+            .select("user_id").distinct())
+    urgent = table(spark, d, "orders", ["o_custkey", "o_orderpriority"]).filter(F.col("o_orderpriority") == URGENT)
+    return not_in(sus0, urgent, "user_id", "o_custkey")
 
 
 def w_window_short(spark: SparkSession, d: str) -> DataFrame:
