@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from stayframe.functions.columns import binarize, bin_index, year_of
 from stayframe.operators.clean import add_scores, drop_null_rows, fill_constant, mask_outliers
 from stayframe.operators.grid import hourly_mean, interval_aggregate
-from stayframe.operators.joins import membership_flag, not_in, outer_merge_pivot, time_band_join
+from stayframe.operators.joins import (membership_flag, not_in, null_safe_join, outer_merge_pivot,
+                                       time_band_join)
 from stayframe.plans.common import (EVENT_MIN_VALUE, EVENT_TYPE, FEATURES, OUTLIER_RULES,
                                     SCORE_PARTS, URGENT, events, grid8, r6, sql_g8, sql_rule)
 from stayframe.plans.q_windows import _sql_event_table, event_table, infection_events
@@ -251,11 +252,16 @@ def j_time_band(spark, d):
 # ---- J16/J17/J18: N-way outer merge as union + pivot -----------------------------------------------
 
 def j_outer_merge(spark, d):
+    """Hourly means of the event types merged on (user, hour): four types as
+    one union + pivot (no chain of full joins), the fifth (kept apart, like a
+    lab file) merged by a null-safe full outer join."""
     ev = events(spark, d)
     hm = hourly_mean(ev, ["user_id", "event_type"], "ts", ["value"])
-    wide = outer_merge_pivot(hm, ["user_id", "hour"], "event_type", "value", TYPES)
-    wide = wide.withColumn("year", year_of("hour"))
-    return wide.select("user_id", "hour", "year", *[r6(t) for t in TYPES])
+    wide = outer_merge_pivot(hm.filter(F.col("event_type") != EVENT_TYPE), ["user_id", "hour"], "event_type",
+                             "value", [t for t in TYPES if t != EVENT_TYPE])
+    lab = hm.filter(F.col("event_type") == EVENT_TYPE).select("user_id", "hour", F.col("value").alias(EVENT_TYPE))
+    merged = null_safe_join(wide, lab, ["user_id", "hour"], "full").withColumn("year", year_of("hour"))
+    return merged.select("user_id", "hour", "year", *[r6(t) for t in TYPES])
 
 
 def _sql_outer_merge():

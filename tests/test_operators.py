@@ -198,3 +198,23 @@ def test_duplicates_keep_first(spark):
     df = spark.createDataFrame([(1, 1, "b", 1), (1, 1, "a", 0), (2, 1, "z", 0)], "k1 long, k2 long, t string, y int")
     r = duplicate_groups(df, ["k1", "k2"], ["t", "y"], "y", ["t"]).collect()
     assert [(x.k1, x.n, x.label_max, x.label_min, x.first_t) for x in r] == [(1, 2, 1, 0, "a")]
+
+
+def test_null_safe_full_merge(spark):
+    from stayframe.operators.joins import null_safe_join
+    a = spark.createDataFrame([(1, None, 1.0), (2, 5, 2.0)], "s long, h long, a double")
+    b = spark.createDataFrame([(1, None, 9.0), (3, 5, 3.0)], "s long, h long, b double")
+    r = sorted((x.s, x.h, x.a, x.b) for x in null_safe_join(a, b, ["s", "h"], "full").collect())
+    assert r == [(1, None, 1.0, 9.0), (2, 5, 2.0, None), (3, 5, None, 3.0)]
+
+
+def test_right_closed_interval_join_buckets(spark):
+    from stayframe.operators.grid import interval_aggregate
+    g = spark.createDataFrame([(1, 0, dt.datetime(2024, 1, 31), dt.datetime(2024, 2, 29)),
+                               (1, 1, dt.datetime(2024, 2, 29), dt.datetime(2024, 3, 31))],
+                              "k long, b int, s timestamp_ntz, e timestamp_ntz")
+    ev = spark.createDataFrame([(1, dt.datetime(2024, 1, 31), 1.0), (1, dt.datetime(2024, 2, 29), 2.0),
+                                (1, dt.datetime(2024, 3, 1), 4.0), (2, dt.datetime(2024, 3, 1), 8.0)],
+                               "k long, t timestamp_ntz, v double")
+    r = interval_aggregate(g, ev, ["k", "b"], ["k"], "s", "e", "t", [F.sum("v").alias("sv")], bucket="month")
+    assert sorted((x.b, x.sv) for x in r.collect()) == [(0, 2.0), (1, 4.0)]
