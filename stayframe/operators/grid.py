@@ -46,24 +46,31 @@ def rollup(df: DataFrame, keys: Sequence[str], aggs: Sequence[Column]) -> DataFr
 
 def complete_grid(binned: DataFrame, keys: Sequence[str], bin_col: str, origin: str,
                   width_hours: int, first_bin: int = 0, start: str = "starttime",
-                  end: str = "endtime", chunk: str | None = "_chunk",
+                  end: str = "endtime", chunk: str = "_chunk",
                   chunk_width: int = GRID_CHUNK) -> DataFrame:
     """Expand per-(entity, bin) aggregates to every bin first_bin..last of
     each entity (empty bins included, their features null), with bin bounds.
 
     ``binned`` has one row per (keys, origin, bin). The skeleton is generated
     per entity from its bin range, so its size grows with the entity's span,
-    not with its event count."""
+    not with its event count. Skeleton and aggregates are unioned and
+    shuffled once by (keys, chunk) - the partitioning every ordered operator
+    downstream uses - and merged in place, instead of joining on
+    (keys, bin) and shuffling again for the first window."""
+    feats = [c for c in binned.columns if c not in (*keys, origin, bin_col)]
     bounds = binned.groupBy(*keys, origin).agg(F.max(bin_col).alias("_maxb"))
-    skel = bounds.select(*keys, origin,
-                         F.explode(F.sequence(F.lit(first_bin), F.col("_maxb"))).alias(bin_col))
-    feats = binned.drop(origin)
-    g = skel.join(feats, [*keys, bin_col], "left")
+    skel = bounds.select(*keys, origin, F.explode(F.sequence(F.lit(first_bin), F.col("_maxb"))).alias(bin_col))
+    u = binned.withColumn("_obs", F.lit(1)).unionByName(skel.withColumn("_obs", F.lit(0)),
+                                                         allowMissingColumns=True)
+    u = u.withColumn(chunk, F.floor(F.col(bin_col) / F.lit(chunk_width)).cast("long"))
+    u = u.repartition(*keys, chunk)
+    # at most one observed row per bin: take its values
+    g = u.groupBy(*keys, chunk, bin_col).agg(
+        F.first(origin, ignorenulls=True).alias(origin),
+        *[F.max(F.when(F.col("_obs") == 1, F.struct(F.col(c).alias("v")))).getField("v").alias(c) for c in feats])
     g = g.withColumn(start, bin_start(origin, bin_col, width_hours))
     g = g.withColumn(end, bin_start(origin, F.col(bin_col) + F.lit(1), width_hours))
-    if chunk:
-        g = g.withColumn(chunk, F.floor(F.col(bin_col) / F.lit(chunk_width)).cast("long"))
-    return g
+    return g.select(*keys, origin, bin_col, *feats, start, end, chunk)
 
 
 def event_grid(events: DataFrame, keys: Sequence[str], time: str, width_hours: int,

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from stayframe.operators.clean import Range, mask_outliers
 from stayframe.operators.grid import conditional_avgs, event_grid
 from stayframe.operators.seq import seq
+from stayframe.session import materialize
 from stayframe.sources.tables import table
 
 # ---- fixed values (fixture roles; must equal the oracle SQL) -------------
@@ -39,15 +40,21 @@ def events(spark: SparkSession, d: str, cols=("user_id", "ts", "event_type", "va
     return table(spark, d, "events", list(cols))
 
 
-def grid8(spark: SparkSession, d: str, closed: str = "left", width: int = 8) -> DataFrame:
+def grid8(spark: SparkSession, d: str, closed: str = "left", width: int = 8,
+          materialized: bool = True) -> DataFrame:
     """G8: user_id, hr, starttime, endtime, click, view, purchase, signup,
-    is_infection (0/1), plus the chunk column used by ordered operators."""
+    is_infection (0/1), plus the chunk column used by ordered operators.
+
+    Materialized (checkpointed) by default: every ordered operator reads it
+    from two branches (rows and carry summary), and the events table - the big
+    input - should be scanned and aggregated once."""
     ev = events(spark, d)
     aggs = conditional_avgs("event_type", "value", {f: [f] for f in FEATURES})
     aggs.append(F.max(((F.col("event_type") == EVENT_TYPE) & (F.col("value") >= EVENT_MIN_VALUE))
                       .cast("int")).alias("is_infection"))
     g = event_grid(ev, ["user_id"], "ts", width, aggs, closed=closed, bin_col="hr")
-    return g.withColumn("is_infection", F.coalesce("is_infection", F.lit(0))).drop("origin")
+    g = g.withColumn("is_infection", F.coalesce("is_infection", F.lit(0))).drop("origin")
+    return materialize(g) if materialized else g
 
 
 def masked_grid8(spark: SparkSession, d: str) -> DataFrame:

@@ -51,3 +51,12 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     import uuid
     base = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{base}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def materialize(df):
+    """Write ``df`` once to the shared checkpoint folder and continue from the
+    files: branches that consume it (an ordered scan and its carry summary,
+    a fit and its application) no longer recompute the upstream, and the
+    lineage is cut so a lost executor only re-reads the checkpoint."""
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
