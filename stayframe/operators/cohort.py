@@ -28,18 +28,27 @@ def lag_sum(df: DataFrame, s: Seq, c: str, out: str, at_least: float | None = No
     return x
 
 
-def persistence(df: DataFrame, s: Seq, cond: Column, d: int, out: str = "event",
-                idx: str | None = None) -> DataFrame:
+def persistence(df: DataFrame, s: Seq, cond: Column, d: int, out: str = "event") -> DataFrame:
     """``out`` = 1 on rows ending a run of at least ``d`` consecutive rows
     (row-based: a missing hour does not break a run) on which ``cond`` holds,
-    else 0. The first d-1 rows of an entity can never fire."""
-    x = df if idx else row_index(df, s, "_pidx")
-    ix = idx or "_pidx"
-    x = x.withColumn("_brk", F.when(~F.coalesce(cond, F.lit(False)), F.col(ix)))
-    x = prev_next(x, s, ["_brk"], position=F.col(ix), prev=True, nxt=False)
-    run = F.col(ix) - F.coalesce(F.col("_brk__pv"), F.lit(-1))
-    x = x.withColumn(out, (run >= d).cast("int")).drop("_brk", "_brk__pv", "_brk__pp")
-    return x if idx else x.drop("_pidx")
+    else 0. The first d-1 rows of an entity can never fire.
+
+    One chunked pass: the run length is the row index minus the index of the
+    last row where ``cond`` fails; both are carried across chunks through the
+    per-chunk summary (row count, last failing row)."""
+    brk = ~F.coalesce(cond, F.lit(False))
+    w = Window.partitionBy(*s.part).orderBy(s.order)
+    local = df.withColumn("_lrn", F.row_number().over(w) - 1)
+    local = local.withColumn("_lbrk", F.max(F.when(brk, F.col("_lrn"))).over(w.rowsBetween(Window.unboundedPreceding, 0)))
+    summ = local.groupBy(*s.part).agg(F.count(F.lit(1)).alias("_n"), F.max(F.when(brk, F.col("_lrn"))).alias("_cb"))
+    prev = Window.partitionBy(*s.keys).orderBy(s.chunk).rowsBetween(Window.unboundedPreceding, -1)
+    summ = summ.withColumn("_off", F.coalesce(F.sum("_n").over(prev), F.lit(0)))
+    summ = summ.withColumn("_gb", F.col("_off") + F.col("_cb"))
+    carry = summ.select(*s.part, "_off", F.max("_gb").over(prev).alias("_carry_brk"))
+    x = local.join(carry, s.part, "inner")
+    idx = F.col("_lrn") + F.col("_off")
+    last = F.coalesce(F.col("_lbrk") + F.col("_off"), F.col("_carry_brk"), F.lit(-1))
+    return x.withColumn(out, ((idx - last) >= d).cast("int")).drop("_lrn", "_lbrk", "_off", "_carry_brk")
 
 
 def onset_windows(df: DataFrame, s: Seq, n: int, flag: str, symptomatic: Column | None = None,

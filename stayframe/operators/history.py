@@ -4,34 +4,55 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from stayframe.operators.seq import Seq, entity_aggs, prefix_aggs
+from stayframe.operators.seq import Seq
 
 
-def early_stop(df: DataFrame, s: Seq, loss: str, patience: int = 20, tolerance: float = 0.0) -> DataFrame:
-    """Replay an early-stopping rule over each experiment's epochs (``s.order``,
-    integer epochs): the first epoch sets the reference; an epoch whose loss
-    is <= the lowest earlier loss (minus ``tolerance``) resets the counter;
-    training stops at the first epoch with epoch - last_reset >= patience.
-    The kept model is the first epoch reaching the minimum up to the stop.
+def early_stop(df: DataFrame, s: Seq, loss: str, patience: int = 20) -> DataFrame:
+    """Replay an early-stopping rule over each experiment's epochs, the rows
+    of the experiment in ``s.order`` (epoch = 0-based row position): the
+    first epoch sets the reference; an epoch whose loss is <= every earlier
+    loss resets the counter; training stops at the first epoch with
+    epoch - last_reset >= patience. The kept model is the first epoch that
+    reaches the minimum up to the stop.
 
-    Returns one row per experiment: n_epochs, stop_epoch (null: never
+    The last reset at or before epoch e is the latest epoch attaining the
+    running minimum, so one chunked prefix pass carries (minimum, latest
+    epoch) and (minimum, first epoch); a final partial aggregate per
+    experiment picks the stop. Returns n_epochs, stop_epoch (null: never
     stopped), best_epoch, best_loss."""
-    e = F.col(s.order)
-    x = prefix_aggs(df, s, [("_prevmin", "min", F.col(loss))], inclusive=False)
-    reset = F.col("_prevmin").isNull() | (F.col(loss) <= F.col("_prevmin") - F.lit(tolerance))
-    x = x.withColumn("_reset_at", F.when(reset, e))
-    x = prefix_aggs(x, s, [("_last_reset", "max", F.col("_reset_at"))], inclusive=True)
-    x = entity_aggs(x, s, [("stop_epoch", "min", F.when(e - F.col("_last_reset") >= patience, e)),
-                           ("n_epochs", "count", F.lit(1))])
-    kept = x.filter(F.col("stop_epoch").isNull() | (e <= F.col("stop_epoch")))
-    best = kept.groupBy(*s.keys).agg(F.min(F.struct(F.col(loss).alias("l"), e.alias("e"))).alias("_b"),
-                                     F.first("stop_epoch").alias("stop_epoch"),
-                                     F.first("n_epochs").alias("n_epochs"))
-    return best.select(*s.keys, "n_epochs", "stop_epoch", F.col("_b")["e"].alias("best_epoch"),
-                       F.col("_b")["l"].alias("best_loss"))
+    w = Window.partitionBy(*s.part).orderBy(s.order)
+    upto = w.rowsBetween(Window.unboundedPreceding, 0)
+    lv = F.col(loss)
+    x = df.withColumn("_lrn", F.row_number().over(w) - 1)
+    x = x.withColumn("_rl", F.min(F.struct(lv.alias("l"), (-F.col("_lrn")).alias("e"))).over(upto))
+    x = x.withColumn("_rf", F.min(F.struct(lv.alias("l"), F.col("_lrn").alias("e"))).over(upto))
+    summ = x.groupBy(*s.part).agg(F.count(F.lit(1)).alias("_n"),
+                                  F.min(F.struct(lv.alias("l"), (-F.col("_lrn")).alias("e"))).alias("_cl"),
+                                  F.min(F.struct(lv.alias("l"), F.col("_lrn").alias("e"))).alias("_cf"))
+    prev = Window.partitionBy(*s.keys).orderBy(s.chunk).rowsBetween(Window.unboundedPreceding, -1)
+    summ = summ.withColumn("_off", F.coalesce(F.sum("_n").over(prev), F.lit(0)))
+    summ = summ.select(*s.part, "_off",
+                       F.struct(F.col("_cl.l").alias("l"), (F.col("_cl.e") - F.col("_off")).alias("e")).alias("_gl"),
+                       F.struct(F.col("_cf.l").alias("l"), (F.col("_cf.e") + F.col("_off")).alias("e")).alias("_gf"))
+    carry = summ.select(*s.part, "_off", F.min("_gl").over(prev).alias("_kl"), F.min("_gf").over(prev).alias("_kf"))
+    y = x.join(carry, s.part, "inner")
+    ep = F.col("_lrn") + F.col("_off")
+    run_last = F.struct(F.col("_rl.l").alias("l"), (F.col("_rl.e") - F.col("_off")).alias("e"))
+    run_first = F.struct(F.col("_rf.l").alias("l"), (F.col("_rf.e") + F.col("_off")).alias("e"))
+    run_last = F.when(F.col("_kl").isNull(), run_last).otherwise(F.least(run_last, F.col("_kl")))
+    run_first = F.when(F.col("_kf").isNull(), run_first).otherwise(F.least(run_first, F.col("_kf")))
+    y = y.select(*s.keys, ep.alias("_ep"), lv.alias("_loss"), run_first.alias("_best"),
+                 (ep + run_last["e"]).alias("_gap"))
+    g = y.groupBy(*s.keys).agg(
+        F.count(F.lit(1)).alias("n_epochs"),
+        F.min(F.when(F.col("_gap") >= patience, F.struct(F.col("_ep").alias("e"), F.col("_best").alias("b")))).alias("_stop"),
+        F.min(F.struct(F.col("_loss").alias("l"), F.col("_ep").alias("e"))).alias("_all"))
+    best = F.coalesce(F.col("_stop.b"), F.col("_all"))
+    return g.select(*s.keys, "n_epochs", F.col("_stop.e").alias("stop_epoch"), best["e"].alias("best_epoch"),
+                    best["l"].alias("best_loss"))
 
 
 def history_long(df: DataFrame, keys: Sequence[str], array_cols: dict[str, str], offset: str | None = None,

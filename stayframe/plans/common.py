@@ -57,8 +57,8 @@ def grid8(spark: SparkSession, d: str, closed: str = "left", width: int = 8,
     return materialize(g) if materialized else g
 
 
-def masked_grid8(spark: SparkSession, d: str) -> DataFrame:
-    return mask_outliers(grid8(spark, d), OUTLIER_RULES)
+def masked_grid8(spark: SparkSession, d: str, materialized: bool = True) -> DataFrame:
+    return mask_outliers(grid8(spark, d, materialized=materialized), OUTLIER_RULES)
 
 
 def g8_cols(extra=()) -> list[str]:

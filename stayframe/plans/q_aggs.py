@@ -90,7 +90,8 @@ SQL_PIVOT = (f"WITH {sql_g8()}\nSELECT user_id, hr, "
 # ---- A9/A11/A21 ---------------------------------------------------------------------------------
 
 def _split_windows(spark, d):
-    return ordered_split(w_window_sofa(spark, d), "user_id")
+    from stayframe.plans.q_models import sofa_windows
+    return ordered_split(sofa_windows(spark, d), "user_id")
 
 
 def a_cohort_counts(spark, d):
@@ -104,7 +105,7 @@ def a_cohort_counts(spark, d):
 
 
 def a_cohort_sizes(spark, d):
-    g = grid8(spark, d)
+    g = grid8(spark, d, materialized=False)
     per = g.groupBy("user_id").agg(F.max("is_infection").alias("ev"))
     return per.agg(F.count(F.lit(1)).alias("n_all"), F.sum("ev").cast("long").alias("n_event"),
                    F.sum(1 - F.col("ev")).cast("long").alias("n_never"))
@@ -133,7 +134,7 @@ SELECT split, CAST(n_rows AS BIGINT) AS n_rows, CAST(n_users AS BIGINT) AS n_use
 # ---- A12-A15 ------------------------------------------------------------------------------------
 
 def a_null_profile(spark, d):
-    return null_profile(grid8(spark, d), F4)
+    return null_profile(grid8(spark, d, materialized=False), F4)
 
 
 def _sql_null_profile():
@@ -144,7 +145,7 @@ def _sql_null_profile():
 
 
 def a_null_by_subject(spark, d):
-    r = null_by_entity(grid8(spark, d), ["user_id"], F4, min_rows=85)
+    r = null_by_entity(grid8(spark, d, materialized=False), ["user_id"], F4, min_rows=85)
     return r.select("user_id", "n_rows", r6("mean_nulls"), r6("ratio"))
 
 
@@ -155,7 +156,7 @@ def _sql_null_by_subject():
 
 
 def a_coverage(spark, d):
-    r = never_observed(grid8(spark, d), ["user_id"], F4)
+    r = never_observed(grid8(spark, d, materialized=False), ["user_id"], F4)
     return r.select("feature", r6("share_never"))
 
 
@@ -196,7 +197,7 @@ SQL_DESCRIBE = ("SELECT event_type, CAST(count(value) AS BIGINT) AS count, round
 # ---- A18/L1 ------------------------------------------------------------------------------------------
 
 def a_group_counts(spark, d):
-    g = grid8(spark, d)
+    g = grid8(spark, d, materialized=False)
     r = g.groupBy("user_id").agg(*[F.count(f).alias(f"n_{f}") for f in F4])
     return r.orderBy(F.col("n_click").desc(), "user_id")
 
@@ -235,7 +236,8 @@ FROM g JOIN f ON g.l_orderkey = f.l_orderkey AND g.l_linenumber = f.l_linenumber
 # ---- A22 ------------------------------------------------------------------------------------------------
 
 def a_batch_positives(spark, d):
-    w = w_window_sofa(spark, d).groupBy("user_id").agg(F.max("is_event").alias("y"))
+    from stayframe.plans.q_models import sofa_windows
+    w = sofa_windows(spark, d).groupBy("user_id").agg(F.max("is_event").alias("y"))
     r = entity_ranks(w, "user_id")
     x = w.join(r, "user_id").withColumn("batch", F.floor(F.col("_rank") / BATCH).cast("long"))
     return x.groupBy("batch").agg(F.count(F.lit(1)).alias("n_windows"), F.sum("y").cast("long").alias("n_pos"))
@@ -252,7 +254,7 @@ def _sql_batch_positives():
 # ---- L2/L3 ----------------------------------------------------------------------------------------------
 
 def l_limit_offset(spark, d):
-    g = grid8(spark, d).select("user_id", "hr", r6("click"))
+    g = grid8(spark, d, materialized=False).select("user_id", "hr", r6("click"))
     return ordered_page(g, ["user_id", "hr"], 100, 50)
 
 

@@ -19,6 +19,7 @@ from stayframe.operators.split import ordered_split, sample_entities
 from stayframe.plans.common import FEATURES, G8_SEQ, events, grid8, masked_grid8, r6, sql_g8
 from stayframe.plans.q_aggs import _sql_split
 from stayframe.plans.q_windows import (_sql_event_table, _sql_window_sofa, event_table, nonevent_users)
+from stayframe.session import materialize
 from stayframe.sources.tables import table
 
 F4 = list(FEATURES)
@@ -29,9 +30,12 @@ PATIENCE = 20
 PIECE = 1024                          # history arrays are stored in pieces of this many epochs
 
 
-def sofa_windows(spark: SparkSession, d: str) -> DataFrame:
+def sofa_windows(spark: SparkSession, d: str, materialized: bool = True) -> DataFrame:
+    """The 24-bin cohort windows, materialized: splits, fits and sequence
+    builders read them from several branches."""
     g = imp.recipe(masked_grid8(spark, d), G8_SEQ, F4, "ifbm", time_col="starttime")
-    return onset_windows(g, G8_SEQ, 24, "is_infection")
+    w = onset_windows(g, G8_SEQ, 24, "is_infection")
+    return materialize(w) if materialized else w
 
 
 def _sql_windows_cte():
@@ -56,9 +60,10 @@ def l_split(spark, d):
 # ---- L7 ---------------------------------------------------------------------------------
 
 def l_union(spark, d):
-    et = event_table(spark, d)
+    g = grid8(spark, d, materialized=False)
+    et = event_table(spark, d, g)
     ev = et.filter(F.col("is_infection") == 1).select("user_id", "hr", "infection_time", "infection_hour")
-    non = grid8(spark, d).join(nonevent_users(spark, d), "user_id", "left_semi").filter(F.col("hr") == 0)
+    non = g.join(nonevent_users(spark, d), "user_id", "left_semi").filter(F.col("hr") == 0)
     non = non.select("user_id", "hr", F.col("is_infection").alias("flag"))
     return ev.unionByName(non, allowMissingColumns=True)
 
@@ -187,10 +192,11 @@ def _epochs(spark, d):
 
 
 def m_early_stop(spark, d):
-    e = _epochs(spark, d)
-    s = seq("user_id", "epoch")
-    e = with_chunk(e, s, 4096)
-    return early_stop(e, s, "value", patience=PATIENCE).withColumn("best_loss", F.round("best_loss", 6))
+    """experiment = user, epochs = the user's events in time order, loss = value."""
+    ev = events(spark, d, ("user_id", "ts", "value"))
+    s = seq("user_id", "ts")
+    x = with_chunk(ev, s, TIME_CHUNK_MICROS, time_position(ev, "ts"))
+    return early_stop(x, s, "value", patience=PATIENCE).withColumn("best_loss", F.round("best_loss", 6))
 
 
 SQL_EPOCHS = "ep AS (SELECT user_id, row_number() OVER (PARTITION BY user_id ORDER BY ts) - 1 AS epoch, value FROM events)"

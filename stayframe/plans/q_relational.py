@@ -65,7 +65,7 @@ def _sql_outlier_mask():
 # ---- P7/W15/F4/J9 ------------------------------------------------------------------
 
 def p_band_flag(spark, d):
-    return event_table(spark, d).select("user_id", "hr", "is_infection", "infection_hour")
+    return event_table(spark, d, grid8(spark, d, materialized=False)).select("user_id", "hr", "is_infection", "infection_hour")
 
 
 # ---- P8/J11/P4 -----------------------------------------------------------------------
@@ -106,7 +106,7 @@ def p_age(spark, d):
 # ---- P5/P14/P15/F10 --------------------------------------------------------------------------
 
 def p_null_handling(spark, d):
-    g = drop_null_rows(grid8(spark, d), ["click"])
+    g = drop_null_rows(grid8(spark, d, materialized=False), ["click"])
     g = g.select("*", *[F.col(f).isNull().cast("int").alias(f"{f}_isnull") for f in ("view", "purchase")])
     g = fill_constant(g, 0.0, ["view", "purchase", "signup"])
     return g.select("user_id", "hr", r6("click"), "view_isnull", "purchase_isnull",
@@ -118,7 +118,7 @@ def p_null_handling(spark, d):
 def _right_closed_aggs(spark, d, types=None):
     """Per-user 8h bins as (start, end]: bin = ceil(dt/8h) - 1, aggregated, then
     left-joined onto the G8 skeleton - an equi join, not a range join."""
-    g = grid8(spark, d).select("user_id", "hr")
+    g = grid8(spark, d, materialized=False).select("user_id", "hr")
     ev = events(spark, d)
     if types:
         ev = ev.filter(F.col("event_type").isin(list(types)))   # the ON-clause item filter
@@ -216,7 +216,7 @@ def j_first_infection(spark, d):
 # ---- J10/J12/J19 --------------------------------------------------------------------------------
 
 def j_cohort_members(spark, d):
-    g = grid8(spark, d)
+    g = grid8(spark, d, materialized=False)
     cohort = infection_events(spark, d).select("user_id")      # unique per user: semi join
     return g.join(cohort, "user_id", "left_semi").select("user_id", "hr", *[r6(f) for f in F4])
 
@@ -245,7 +245,7 @@ def j_time_band(spark, d):
     inf = (ev.groupBy("user_id").agg(F.max((F.col("value") >= EVENT_MIN_VALUE).cast("int")).alias("flag"),
                                      F.min(F.when(F.col("value") >= EVENT_MIN_VALUE, F.col("ts"))).alias("t"))
            .filter(F.col("flag") == 1))
-    g = grid8(spark, d).select("user_id", "hr", "starttime")
+    g = grid8(spark, d, materialized=False).select("user_id", "hr", "starttime")
     return time_band_join(g, inf, ["user_id"], "starttime", "t", 48, 24).select("user_id", "hr", "starttime", "t")
 
 

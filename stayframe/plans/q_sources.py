@@ -61,8 +61,8 @@ def s_experiments(spark: SparkSession, d: str) -> DataFrame:
 def s_catalog(spark: SparkSession, d: str) -> DataFrame:
     """Register derived tables as session views, list the non-system views by
     name (first three), and count the rows of each listed view."""
-    grid8(spark, d).createOrReplaceTempView("sf_grid8")
-    masked_grid8(spark, d).createOrReplaceTempView("sf_grid8_masked")
+    grid8(spark, d, materialized=False).createOrReplaceTempView("sf_grid8")
+    masked_grid8(spark, d, materialized=False).createOrReplaceTempView("sf_grid8_masked")
     events(spark, d).createOrReplaceTempView("sf_events")
     table(spark, d, "orders").createOrReplaceTempView("sf_orders")
     views = spark.sql("SHOW VIEWS LIKE 'sf_*'").filter(F.col("isTemporary")).orderBy("viewName").limit(3)

@@ -7,10 +7,10 @@ from pyspark.sql import functions as F
 
 from stayframe.operators import impute as imp
 from stayframe.operators.clean import add_scores
-from stayframe.operators.cohort import (band_flag, event_hour, lag_sum, onset_windows,
-                                        persistence)
+from stayframe.operators.cohort import band_flag, event_hour, onset_windows, persistence
 from stayframe.operators.joins import not_in
-from stayframe.operators.seq import TIME_CHUNK_MICROS, row_index, seq, trailing_frame, with_chunk
+from stayframe.operators.seq import (TIME_CHUNK_MICROS, prev_next, prev_row, row_index, seq, trailing_frame,
+                                    with_chunk)
 from stayframe.functions.columns import time_position
 from stayframe.plans.common import (EVENT_MIN_VALUE, EVENT_TYPE, FEATURES, G8_SEQ, SCORE_PARTS,
                                     URGENT, events, grid8, masked_grid8, r6, sql_g8, sql_impute,
@@ -59,10 +59,10 @@ def w_interp_time(spark: SparkSession, d: str) -> DataFrame:
 # ---- W3 / W4 ---------------------------------------------------------------
 
 def w_ffill_bfill(spark: SparkSession, d: str) -> DataFrame:
-    g = imp.impute(grid8(spark, d), G8_SEQ, F4, ffill=True)
-    g = g.select("user_id", "hr", "_chunk", *[F.col(f).alias(f"{f}_ff") for f in F4], *F4)
-    g = imp.impute(g, G8_SEQ, F4, bfill=True)
-    return g.select("user_id", "hr", *[r6(f"{f}_ff") for f in F4], *[r6(f, f"{f}_bf") for f in F4])
+    """Forward fill, and forward then backward fill, from one scan."""
+    g = prev_next(grid8(spark, d), G8_SEQ, F4)
+    return g.select("user_id", "hr", *[F.round(F.col(f"{f}__pv"), 6).alias(f"{f}_ff") for f in F4],
+                    *[F.round(F.coalesce(f"{f}__pv", f"{f}__nv"), 6).alias(f"{f}_bf") for f in F4])
 
 
 # ---- W5 / W6 recipes -----------------------------------------------------------
@@ -129,10 +129,12 @@ def _sql_scored() -> str:
 
 
 def w_two_row(spark: SparkSession, d: str) -> DataFrame:
-    g = scored_grid(spark, d)
-    g = lag_sum(g, G8_SEQ, "is_flag", "cum_flag", at_least=2, flag_out="two_row")
-    g = lag_sum(g, G8_SEQ, "score", "lag_score", at_least=4, flag_out="lag_event")
-    return g.select("user_id", "hr", "score", "cum_flag", "two_row", "lag_score", "lag_event")
+    g = prev_row(scored_grid(spark, d), G8_SEQ, ["is_flag", "score"], suffix="__lag")
+    cum = F.col("is_flag") + F.col("is_flag__lag")
+    lag = F.col("score") + F.col("score__lag")
+    return g.select("user_id", "hr", "score", cum.alias("cum_flag"),
+                    F.coalesce((cum >= 2).cast("int"), F.lit(0)).alias("two_row"), lag.alias("lag_score"),
+                    F.coalesce((lag >= 4).cast("int"), F.lit(0)).alias("lag_event"))
 
 
 def _sql_two_row() -> str:
@@ -235,10 +237,10 @@ def infection_events(spark: SparkSession, d: str) -> DataFrame:
             .groupBy("user_id").agg(F.min("ts").alias("infection_time")))
 
 
-def event_table(spark: SparkSession, d: str) -> DataFrame:
+def event_table(spark: SparkSession, d: str, grid: DataFrame | None = None) -> DataFrame:
     """G8 rows of users with an onset, with is_infection (1 when the onset
     time lies in [start, end], else null) and infection_hour."""
-    g = grid8(spark, d).drop("is_infection")
+    g = (grid if grid is not None else grid8(spark, d)).drop("is_infection")
     j = g.join(infection_events(spark, d), "user_id", "inner")
     return j.select(F.col("*"), band_flag("starttime", "endtime", "infection_time").alias("is_infection"),
                     event_hour("hr", 8, "starttime", "endtime", "infection_time").alias("infection_hour"))
@@ -270,14 +272,14 @@ def w_window_short(spark: SparkSession, d: str) -> DataFrame:
     """8h cohorts: onset users whose onset hour is >= 32 keep the 4 bins up
     to the onset bin (no length check); non-event users having bin 4 keep
     their first 4 bins."""
-    et = event_table(spark, d)
+    g = grid8(spark, d)
+    et = event_table(spark, d, g)
     s = G8_SEQ
     # users whose flagged bin has an onset hour >= 32
     ih = et.groupBy("user_id").agg(F.max("infection_hour").alias("_ih"))
     et = et.join(ih.filter(F.col("_ih") >= 32).select("user_id"), "user_id", "left_semi")
     ev = onset_windows(et, s, 4, "is_infection", symptomatic=F.lit(1), min_rows=0, event_min_rows=0)
     ev = ev.select("user_id", "hr", "step", "is_event", *F4)
-    g = grid8(spark, d)
     non = g.join(nonevent_users(spark, d), "user_id", "left_semi")
     has4 = non.filter(F.col("hr") == 4).select("user_id")
     non = non.join(has4, "user_id", "left_semi").withColumn("is_infection", F.lit(0))

@@ -218,3 +218,54 @@ def test_right_closed_interval_join_buckets(spark):
                                "k long, t timestamp_ntz, v double")
     r = interval_aggregate(g, ev, ["k", "b"], ["k"], "s", "e", "t", [F.sum("v").alias("sv")], bucket="month")
     assert sorted((x.b, x.sv) for x in r.collect()) == [(0, 2.0), (1, 4.0)]
+
+
+def _seq_early_stop(losses, patience):
+    best, best_e, last, counter = None, None, None, 0
+    for e, v in enumerate(losses):
+        if last is None:
+            best, best_e, last = v, e, v
+            continue
+        if last < v:
+            counter += 1
+            if counter >= patience:
+                return e, best_e, best
+        else:
+            last = v
+            if best > v:
+                best, best_e = v, e
+            counter = 0
+    return None, best_e, best
+
+
+@pytest.mark.parametrize("width", [1, 4, 1000])
+def test_early_stop_random_vs_sequential(spark, width):
+    rnd = random.Random(11)
+    rows, expect = [], {}
+    for e in range(12):
+        n = rnd.randint(1, 40)
+        losses = [float(rnd.randint(0, 6)) for _ in range(n)]
+        rows += [(e, i, v) for i, v in enumerate(losses)]
+        expect[e] = (n, *_seq_early_stop(losses, 3))
+    df = spark.createDataFrame(rows, "e long, ep long, loss double")
+    s = seq("e", "ep")
+    got = {r.e: (r.n_epochs, r.stop_epoch, r.best_epoch, r.best_loss)
+           for r in early_stop(with_chunk(df, s, width), s, "loss", patience=3).collect()}
+    assert got == expect
+
+
+@pytest.mark.parametrize("width", [1, 3, 1000])
+def test_persistence_random_vs_sequential(spark, width):
+    rnd = random.Random(4)
+    rows, expect = [], {}
+    for e in range(8):
+        flags = [rnd.random() < 0.7 for _ in range(rnd.randint(1, 30))]
+        run = 0
+        for i, f in enumerate(flags):
+            run = run + 1 if f else 0
+            rows.append((e, i * 2, int(f)))      # gaps in the order column: row-based runs
+            expect[(e, i * 2)] = int(run >= 3)
+    df = spark.createDataFrame(rows, "e long, o long, f int")
+    s = seq("e", "o")
+    got = {(r.e, r.o): r.event for r in persistence(with_chunk(df, s, width), s, F.col("f") == 1, 3).collect()}
+    assert got == expect
