@@ -225,3 +225,24 @@ def global_index(df: DataFrame, order: str, width: int, out: str = "_gidx",
     s = Seq((), order, "_gchunk")
     x = with_chunk(df, s, width, position)
     return row_index(x, s, out, total).drop("_gchunk")
+
+
+def balanced_chunks(df: DataFrame, s: Seq, position: Column | str, target: int = 1 << 16,
+                    fine_width: int = 60_000_000) -> DataFrame:
+    """Add ``s.chunk`` so that chunks hold about ``target`` rows each, for
+    orderings whose density is unknown (raw event times): a hot entity is cut
+    into many chunks instead of one range holding all its rows.
+
+    Rows are counted per fine bucket (position div ``fine_width``, partial
+    aggregation); a chunked prefix scan over the bucket table gives the rows
+    before each bucket; the bucket's chunk is that count div ``target``. A
+    chunk holds at most ``target`` rows plus one fine bucket's rows."""
+    pos = col(position)
+    x = df.withColumn("_fb", F.floor(pos / F.lit(fine_width)).cast("long"))
+    cnt = x.groupBy(*s.keys, "_fb").agg(F.count(F.lit(1)).alias("_c"))
+    sb = Seq(s.keys, "_fb", "_fbc")
+    cnt = with_chunk(cnt, sb, 4096)
+    cnt = prefix_aggs(cnt, sb, [("_before", "sum", F.col("_c"))], inclusive=False)
+    cnt = cnt.select(*s.keys, "_fb", F.floor(F.coalesce(F.col("_before"), F.lit(0)) / F.lit(target))
+                     .cast("long").alias(s.chunk))
+    return x.join(cnt, [*s.keys, "_fb"], "inner").drop("_fb")
