@@ -60,14 +60,11 @@ def complete_grid(binned: DataFrame, keys: Sequence[str], bin_col: str, origin:
     feats = [c for c in binned.columns if c not in (*keys, origin, bin_col)]
     bounds = binned.groupBy(*keys, origin).agg(F.max(bin_col).alias("_maxb"))
     skel = bounds.select(*keys, origin, F.explode(F.sequence(F.lit(first_bin), F.col("_maxb"))).alias(bin_col))
-    u = binned.withColumn("_obs", F.lit(1)).unionByName(skel.withColumn("_obs", F.lit(0)),
-                                                         allowMissingColumns=True)
+    u = binned.unionByName(skel, allowMissingColumns=True)
     u = u.withColumn(chunk, F.floor(F.col(bin_col) / F.lit(chunk_width)).cast("long"))
     u = u.repartition(*keys, chunk)
-    # at most one observed row per bin: take its values
-    g = u.groupBy(*keys, chunk, bin_col).agg(
-        F.first(origin, ignorenulls=True).alias(origin),
-        *[F.max(F.when(F.col("_obs") == 1, F.struct(F.col(c).alias("v")))).getField("v").alias(c) for c in feats])
+    # at most one observed row per bin and skeleton rows carry nulls: max() is that row's value
+    g = u.groupBy(*keys, chunk, bin_col).agg(F.max(origin).alias(origin), *[F.max(c).alias(c) for c in feats])
     g = g.withColumn(start, bin_start(origin, bin_col, width_hours))
     g = g.withColumn(end, bin_start(origin, F.col(bin_col) + F.lit(1), width_hours))
     return g.select(*keys, origin, bin_col, *feats, start, end, chunk)

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stayframe.operators.quantile import exact_quantiles
+from stayframe.operators.quantile import exact_quantiles_multi
 
 
 def null_profile(df: DataFrame, cols: Sequence[str], digits: int = 3) -> DataFrame:
@@ -50,7 +50,7 @@ def describe(df: DataFrame, group: str, value: str, groups: Sequence[str]) -> Da
                                  F.stddev_samp(value).alias("std"), F.min(value).alias("min"),
                                  F.max(value).alias("max"))
     wide = df.select(*[F.when(F.col(group) == g, F.col(value)).alias(f"_q_{g}") for g in groups])
-    qs = {q: exact_quantiles(wide, [f"_q_{g}" for g in groups], q) for q in (0.25, 0.5, 0.75)}
+    qs = exact_quantiles_multi(wide, [f"_q_{g}" for g in groups], (0.25, 0.5, 0.75))
     rows = [(g, qs[0.25][f"_q_{g}"], qs[0.5][f"_q_{g}"], qs[0.75][f"_q_{g}"]) for g in groups]
     qdf = spark.createDataFrame(rows, f"{group} string, q25 double, q50 double, q75 double")
     return base.join(qdf, group, "left")

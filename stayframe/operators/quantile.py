@@ -28,6 +28,17 @@ def _long_values(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     return df.select(pairs.alias("s")).select("s.f", "s.v").filter(F.col("v").isNotNull() & ~F.isnan("v"))
 
 
+def exact_quantiles_multi(df: DataFrame, cols: Sequence[str], qs: Sequence[float],
+                          max_fetch: int = 250_000, **kw) -> dict[float, dict[str, float | None]]:
+    """Several quantiles at once: one bounded fetch when the distinct values
+    are few, otherwise one refinement search per quantile."""
+    dist = _long_values(df, cols).groupBy("f", "v").agg(F.count(F.lit(1)).alias("n"))
+    few = dist.limit(max_fetch + 1).collect()
+    if len(few) <= max_fetch:
+        return {q: _from_rows(few, cols, q) for q in qs}
+    return {q: exact_quantiles(df, cols, q, max_fetch=0, **kw) for q in qs}
+
+
 def exact_quantiles(df: DataFrame, cols: Sequence[str], q: float = 0.5, buckets: int = 1024,
                     max_exact: int = 20_000, max_fetch: int = 250_000) -> dict[str, float | None]:
     """Exact q-quantile of every column (nulls ignored); None for an all-null column.
@@ -37,9 +48,10 @@ def exact_quantiles(df: DataFrame, cols: Sequence[str], q: float = 0.5, buckets:
     holds at most ``max_exact`` distinct values."""
     dist = _long_values(df, cols).groupBy("f", "v").agg(F.count(F.lit(1)).alias("n"))
     # fast path: few distinct values in all -> one bounded fetch, no refinement
-    few = dist.limit(max_fetch + 1).collect()
-    if len(few) <= max_fetch:
-        return _from_rows(few, cols, q)
+    if max_fetch > 0:
+        few = dist.limit(max_fetch + 1).collect()
+        if len(few) <= max_fetch:
+            return _from_rows(few, cols, q)
     dist = dist.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         tot = {r["f"]: r for r in dist.groupBy("f").agg(

@@ -159,19 +159,22 @@ def _order_months(spark, d):
 
 
 def j_interval_composite(spark, d):
+    """Line items (mapped to their order's customer through the distinct id
+    map) joined to per-order monthly bins (s, e]: on (customer, order) and on
+    customer alone. The customer-only matches contain the two-key ones, so one
+    bucketed range join on the customer feeds both: the two-key aggregates
+    are conditional on the line item's order being the bin's order."""
     grid = _order_months(spark, d)
     li = table(spark, d, "lineitem", ["l_orderkey", "l_shipdate", "l_quantity"])
     idmap = table(spark, d, "orders", ["o_orderkey", "o_custkey"]).distinct()
     ev = li.join(idmap, li.l_orderkey == idmap.o_orderkey, "left").select(
-        F.col("o_custkey"), F.col("l_orderkey").alias("o_orderkey"), "l_shipdate", "l_quantity")
+        "o_custkey", "l_orderkey", "l_shipdate", "l_quantity")
     keys = ["o_custkey", "o_orderkey", "k"]
-    two = interval_aggregate(grid, ev, keys, ["o_custkey", "o_orderkey"], "bin_start", "bin_end",
-                             "l_shipdate", [F.count(F.lit(1)).alias("n_two"), F.avg("l_quantity").alias("qty_two")],
-                             closed="right", bucket="month")
-    one = interval_aggregate(grid, ev.drop("o_orderkey"), keys, ["o_custkey"], "bin_start", "bin_end",
-                             "l_shipdate", [F.count(F.lit(1)).alias("n_one"), F.avg("l_quantity").alias("qty_one")],
-                             closed="right", bucket="month").select(*keys, "n_one", "qty_one")
-    r = two.join(one, keys).fillna(0, ["n_two", "n_one"])
+    same = F.col("l_orderkey") == F.col("o_orderkey")
+    aggs = [F.count(F.when(same, 1)).alias("n_two"), F.avg(F.when(same, F.col("l_quantity"))).alias("qty_two"),
+            F.count(F.lit(1)).alias("n_one"), F.avg("l_quantity").alias("qty_one")]
+    r = interval_aggregate(grid, ev, keys, ["o_custkey"], "bin_start", "bin_end", "l_shipdate", aggs,
+                           closed="right", bucket="month").fillna(0, ["n_two", "n_one"])
     return r.select(*keys, "n_two", r6("qty_two"), "n_one", r6("qty_one"))
 
 

@@ -60,3 +60,24 @@ def materialize(df):
     lineage is cut so a lost executor only re-reads the checkpoint."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def cluster_conf(input_bytes: int, executors: int, cores_per_executor: int,
+                 target_partition_bytes: int = 256 << 20) -> dict[str, str]:
+    """Settings for a large cluster run, sized from the input volume.
+
+    Shuffle partitions start at input / target (at least two waves of the
+    cluster's cores); adaptive execution coalesces small ones and splits
+    skewed ones at runtime, and converts joins to broadcast only under the
+    measured-size threshold."""
+    cores = executors * cores_per_executor
+    parts = max(2 * cores, -(-input_bytes // target_partition_bytes))
+    return {
+        **BASE_CONF,
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": str(64 << 20),
+        "spark.sql.autoBroadcastJoinThreshold": str(64 << 20),
+    }

@@ -288,3 +288,26 @@ def test_balanced_chunks_bound_hot_entity(spark):
     z = imp.interpolate(with_chunk(df.withColumn("v", F.when(F.col("v") % 7 == 0, None).otherwise(F.col("v"))),
                                    s, 1 << 62, time_position(df, "ts")), s, ["v"], method="time")
     assert _rows(y.select("u", "ts", "v"), "u", "ts") == _rows(z.select("u", "ts", "v"), "u", "ts")
+
+
+def test_lag_sum_first_rows_trailing_fill(spark):
+    from stayframe.operators.cohort import first_rows, lag_sum
+    rows = [(1, h, v) for h, v in [(0, 1.0), (1, None), (2, 3.0), (3, 5.0), (4, None)]] + [(2, 0, 2.0)]
+    df, s = _grid(spark, [(a, b, T0 + dt.timedelta(hours=b), c) for a, b, c in rows], 2)
+    ls = lag_sum(df, s, "x", "xs", at_least=6, flag_out="f")
+    assert [(r.xs, r.f) for r in ls.filter("sid = 1").orderBy("hr").collect()] == \
+        [(None, 0), (None, 0), (None, 0), (8.0, 1), (None, 0)]
+    fr = first_rows(df, s, 3)
+    assert sorted((r.sid, r.hr) for r in fr.collect()) == [(1, 0), (1, 1), (1, 2)]
+    tf = imp.trailing_fill(df, s, ["x"], k=2, how="avg")
+    assert [r.x for r in tf.filter("sid = 1").orderBy("hr").collect()] == [1.0, 1.0, 3.0, 5.0, 5.0]
+    tm = imp.trailing_fill(df, s, ["x"], k=3, how="min")
+    assert [r.x for r in tm.filter("sid = 1").orderBy("hr").collect()] == [1.0, 1.0, 3.0, 5.0, 3.0]
+
+
+def test_describe_quartiles(spark):
+    from stayframe.operators.profile import describe
+    rows = [("a", float(v)) for v in [1, 2, 3, 4, 10]] + [("b", 5.0)]
+    r = {x.g: x for x in describe(spark.createDataFrame(rows, "g string, v double"), "g", "v", ["a", "b", "c"]).collect()}
+    assert (r["a"].q25, r["a"].q50, r["a"].q75, r["a"]["count"]) == (2.0, 3.0, 4.0, 5)
+    assert r["b"].q50 == 5.0 and "c" not in r
