@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+
 from pyspark.sql import functions as F
 
 from stayframe.operators.grid import coarsen, conditional_avgs, event_grid, hourly_mean
@@ -10,11 +10,9 @@ from stayframe.operators.profile import (describe, duplicate_groups, never_obser
                                          null_profile)
 from stayframe.operators.quantile import exact_quantiles
 from stayframe.operators.split import entity_ranks, ordered_page, ordered_split
-from stayframe.plans.common import (EVENT_MIN_VALUE, EVENT_TYPE, FEATURES, events, grid8,
-                                    masked_grid8, r6, sql_g8, sql_masked)
+from stayframe.plans.common import FEATURES, events, grid8, masked_grid8, r6, sql_g8, sql_masked
 from stayframe.plans.q_relational import TYPES, _sql_scores
-from stayframe.plans.q_windows import (MED_FILL, _sql_medians, _sql_window_sofa, scored_grid,
-                                       w_window_sofa)
+from stayframe.plans.q_windows import MED_FILL, _sql_medians, _sql_window_sofa, scored_grid
 from stayframe.sources.tables import table
 
 F4 = list(FEATURES)

@@ -9,8 +9,7 @@ from stayframe.operators import impute as imp
 from stayframe.operators.clean import add_scores
 from stayframe.operators.cohort import band_flag, event_hour, onset_windows, persistence
 from stayframe.operators.joins import not_in
-from stayframe.operators.seq import (balanced_chunks, prev_next, prev_row, row_index, seq, trailing_frame,
-                                    with_chunk)
+from stayframe.operators.seq import balanced_chunks, prev_next, prev_row, row_index, seq, trailing_frame
 from stayframe.functions.columns import time_position
 from stayframe.plans.common import (EVENT_MIN_VALUE, EVENT_TYPE, FEATURES, G8_SEQ, SCORE_PARTS,
                                     URGENT, events, grid8, masked_grid8, r6, sql_g8, sql_impute,

@@ -17,7 +17,7 @@ from stayframe.operators.metrics import average_precision, roc_auc
 from stayframe.operators.profile import duplicate_groups
 from stayframe.operators.quantile import exact_quantiles
 from stayframe.operators.scale import minmax_scale
-from stayframe.operators.seq import prev_next, row_index, seq, trailing_frame, with_chunk
+from stayframe.operators.seq import row_index, seq, trailing_frame, with_chunk
 
 T0 = dt.datetime(2024, 1, 1)
 
