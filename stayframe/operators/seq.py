@@ -246,3 +246,21 @@ def balanced_chunks(df: DataFrame, s: Seq, position: Column | str, target: int =
     cnt = cnt.select(*s.keys, "_fb", F.floor(F.coalesce(F.col("_before"), F.lit(0)) / F.lit(target))
                      .cast("long").alias(s.chunk))
     return x.join(cnt, [*s.keys, "_fb"], "inner").drop("_fb")
+
+
+def density_chunks(df: DataFrame, s: Seq, position: Column | str, target: int = 1 << 16) -> DataFrame:
+    """Add ``s.chunk`` with a per-entity width sized to the entity's density:
+    width = span * target / rows, so each chunk holds about ``target`` rows
+    when the entity's rows are spread evenly, and a hot entity is cut into
+    proportionally many chunks. One per-entity aggregate (partial, a row per
+    entity) is joined back; use ``balanced_chunks`` when a strict row bound
+    per chunk is needed for very bursty orderings."""
+    pos = col(position)
+    x = df.withColumn("_dpos", pos.cast("double"))
+    st = x.groupBy(*s.keys).agg(F.min("_dpos").alias("_dlo"), F.max("_dpos").alias("_dhi"),
+                                F.count(F.lit(1)).alias("_dn"))
+    st = st.withColumn("_dw", F.greatest((F.col("_dhi") - F.col("_dlo") + 1.0) * F.lit(float(target)) / F.col("_dn"),
+                                         F.lit(1.0)))
+    x = x.join(st.select(*s.keys, "_dlo", "_dw"), list(s.keys), "inner")
+    return (x.withColumn(s.chunk, F.floor((F.col("_dpos") - F.col("_dlo")) / F.col("_dw")).cast("long"))
+            .drop("_dpos", "_dlo", "_dw"))

@@ -311,3 +311,20 @@ def test_describe_quartiles(spark):
     r = {x.g: x for x in describe(spark.createDataFrame(rows, "g string, v double"), "g", "v", ["a", "b", "c"]).collect()}
     assert (r["a"].q25, r["a"].q50, r["a"].q75, r["a"]["count"]) == (2.0, 3.0, 4.0, 5)
     assert r["b"].q50 == 5.0 and "c" not in r
+
+
+def test_density_chunks_split_hot_entity(spark):
+    from stayframe.operators.seq import density_chunks
+    from stayframe.functions.columns import time_position
+    rows = [(1, T0 + dt.timedelta(milliseconds=i), float(i)) for i in range(4000)]
+    rows += [(2, T0 + dt.timedelta(hours=i), float(i)) for i in range(10)]
+    df = spark.createDataFrame(rows, "u long, ts timestamp_ntz, v double")
+    s = seq("u", "ts")
+    x = density_chunks(df, s, time_position(df, "ts"), target=500)
+    sizes = {(r.u, r._chunk): r.n for r in x.groupBy("u", "_chunk").agg(F.count("*").alias("n")).collect()}
+    assert max(sizes.values()) <= 501 and len([k for k in sizes if k[0] == 1]) >= 8
+    y = imp.interpolate(x.withColumn("v", F.when(F.col("v") % 5 == 0, None).otherwise(F.col("v"))), s, ["v"],
+                        method="time")
+    z = imp.interpolate(with_chunk(df.withColumn("v", F.when(F.col("v") % 5 == 0, None).otherwise(F.col("v"))),
+                                   s, 1 << 62, time_position(df, "ts")), s, ["v"], method="time")
+    assert _rows(y.select("u", "ts", "v"), "u", "ts") == _rows(z.select("u", "ts", "v"), "u", "ts")
