@@ -61,7 +61,7 @@ def l_split(spark, d):
 
 def l_union(spark, d):
     g = grid8(spark, d, materialized=False)
-    et = event_table(spark, d, g)
+    et = event_table(spark, d, g, materialized=True)
     ev = et.filter(F.col("is_infection") == 1).select("user_id", "hr", "infection_time", "infection_hour")
     non = g.join(nonevent_users(spark, d), "user_id", "left_semi").filter(F.col("hr") == 0)
     non = non.select("user_id", "hr", F.col("is_infection").alias("flag"))

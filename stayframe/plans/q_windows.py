@@ -14,6 +14,7 @@ from stayframe.functions.columns import time_position
 from stayframe.plans.common import (EVENT_MIN_VALUE, EVENT_TYPE, FEATURES, G8_SEQ, SCORE_PARTS,
                                     URGENT, events, grid8, masked_grid8, r6, sql_g8, sql_impute,
                                     sql_masked)
+from stayframe.session import materialize
 from stayframe.sources.tables import table
 
 F4 = list(FEATURES)
@@ -209,6 +210,7 @@ def w_window_qsofa(spark: SparkSession, d: str) -> DataFrame:
     g = scored_grid(spark, d)
     g = persistence(g, G8_SEQ, F.col("score") >= 2, 4, out="event")
     g = g.join(_urgent_users(spark, d), "user_id", "left").fillna(0, ["icd_event"])
+    g = materialize(g)   # flagged grid: read by the window cut's rows and summary branches
     w = onset_windows(g, G8_SEQ, 24, "event", symptomatic=F.col("is_flag"),
                       require_any=F.col("icd_event") == 1)
     return _out(w, extra=("step", "is_event", "score"))
@@ -229,18 +231,20 @@ def _sql_window_qsofa() -> str:
 
 # ---- W15, W18, W19: 8h event table and 4-bin windows ----------------------------
 
-def infection_events(spark: SparkSession, d: str) -> DataFrame:
-    """First onset event per user: min ts of error events with value >= 100."""
+def infection_events(spark: SparkSession, d: str, materialized: bool = False) -> DataFrame:
+    """First onset event per user: min ts of error events with value >= 100
+    (one row per user; materialized when several branches read it)."""
     ev = events(spark, d)
-    return (ev.filter((F.col("event_type") == EVENT_TYPE) & (F.col("value") >= EVENT_MIN_VALUE))
-            .groupBy("user_id").agg(F.min("ts").alias("infection_time")))
+    r = (ev.filter((F.col("event_type") == EVENT_TYPE) & (F.col("value") >= EVENT_MIN_VALUE))
+         .groupBy("user_id").agg(F.min("ts").alias("infection_time")))
+    return materialize(r) if materialized else r
 
 
-def event_table(spark: SparkSession, d: str, grid: DataFrame | None = None) -> DataFrame:
+def event_table(spark: SparkSession, d: str, grid: DataFrame | None = None, materialized: bool = False) -> DataFrame:
     """G8 rows of users with an onset, with is_infection (1 when the onset
     time lies in [start, end], else null) and infection_hour."""
     g = (grid if grid is not None else grid8(spark, d)).drop("is_infection")
-    j = g.join(infection_events(spark, d), "user_id", "inner")
+    j = g.join(infection_events(spark, d, materialized), "user_id", "inner")
     return j.select(F.col("*"), band_flag("starttime", "endtime", "infection_time").alias("is_infection"),
                     event_hour("hr", 8, "starttime", "endtime", "infection_time").alias("infection_hour"))
 
@@ -257,14 +261,15 @@ def _sql_event_table() -> str:
             "AS INTEGER) END AS infection_hour FROM g8 JOIN inf ON g8.user_id = inf.user_id)")
 
 
-def nonevent_users(spark: SparkSession, d: str) -> DataFrame:
+def nonevent_users(spark: SparkSession, d: str, materialized: bool = False) -> DataFrame:
     """Users with a non-onset error event (value < 100), none of whose orders
     is urgent (NOT IN semantics, null-aware, without broadcasting the list)."""
     ev = events(spark, d)
     sus0 = (ev.filter((F.col("event_type") == EVENT_TYPE) & (F.col("value") < EVENT_MIN_VALUE))
             .select("user_id").distinct())
     urgent = table(spark, d, "orders", ["o_custkey", "o_orderpriority"]).filter(F.col("o_orderpriority") == URGENT)
-    return not_in(sus0, urgent, "user_id", "o_custkey")
+    r = not_in(sus0, urgent, "user_id", "o_custkey")
+    return materialize(r) if materialized else r
 
 
 def w_window_short(spark: SparkSession, d: str) -> DataFrame:
@@ -272,14 +277,14 @@ def w_window_short(spark: SparkSession, d: str) -> DataFrame:
     to the onset bin (no length check); non-event users having bin 4 keep
     their first 4 bins."""
     g = grid8(spark, d)
-    et = event_table(spark, d, g)
+    et = event_table(spark, d, g, materialized=True)
     s = G8_SEQ
     # users whose flagged bin has an onset hour >= 32
     ih = et.groupBy("user_id").agg(F.max("infection_hour").alias("_ih"))
     et = et.join(ih.filter(F.col("_ih") >= 32).select("user_id"), "user_id", "left_semi")
     ev = onset_windows(et, s, 4, "is_infection", symptomatic=F.lit(1), min_rows=0, event_min_rows=0)
     ev = ev.select("user_id", "hr", "step", "is_event", *F4)
-    non = g.join(nonevent_users(spark, d), "user_id", "left_semi")
+    non = g.join(nonevent_users(spark, d, materialized=True), "user_id", "left_semi")
     has4 = non.filter(F.col("hr") == 4).select("user_id")
     non = non.join(has4, "user_id", "left_semi").withColumn("is_infection", F.lit(0))
     nw = onset_windows(non, s, 4, "is_infection").select("user_id", "hr", "step", "is_event", *F4)
