@@ -60,7 +60,7 @@ def l_split(spark, d):
 # ---- L7 ---------------------------------------------------------------------------------
 
 def l_union(spark, d):
-    g = grid8(spark, d, materialized=False)
+    g = grid8(spark, d)   # read by the event and the non-event side
     et = event_table(spark, d, g, materialized=True)
     ev = et.filter(F.col("is_infection") == 1).select("user_id", "hr", "infection_time", "infection_hour")
     non = g.join(nonevent_users(spark, d), "user_id", "left_semi").filter(F.col("hr") == 0)
