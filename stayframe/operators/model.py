@@ -26,11 +26,16 @@ def _pipeline(features: Sequence[str], label: str, weight: str, reg: float = 0.0
 
 
 def fit_predict(train: DataFrame, test: DataFrame, features: Sequence[str], label: str,
-                pos_weight: float = 50.0, reg: float = 0.0, iters: int = 50) -> DataFrame:
-    """Weighted logistic regression; returns test rows with ``score`` (P(y=1))."""
+                pos_weight: float = 50.0, reg: float = 0.0, iters: int = 50,
+                save_to: str | None = None) -> DataFrame:
+    """Weighted logistic regression; returns test rows with ``score`` (P(y=1)).
+    ``save_to`` writes the fitted pipeline (the best-model checkpoint of the
+    reference's training loop)."""
     tr = with_class_weight(train, label, pos_weight)
     pipe, _ = _pipeline(features, label, "w", reg, iters)
     model = pipe.fit(tr)
+    if save_to:
+        model.write().overwrite().save(save_to)
     pred = model.transform(test)
     return pred.withColumn("score", vector_to_array("probability")[1]).drop("_x", "rawPrediction", "probability")
 

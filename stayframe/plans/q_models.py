@@ -19,7 +19,7 @@ from stayframe.operators.split import ordered_split, sample_entities
 from stayframe.plans.common import FEATURES, G8_SEQ, events, grid8, masked_grid8, r6, sql_g8
 from stayframe.plans.q_aggs import _sql_split
 from stayframe.plans.q_windows import (_sql_event_table, _sql_window_sofa, event_table, nonevent_users)
-from stayframe.session import materialize
+from stayframe.session import materialize, scratch_path
 from stayframe.sources.tables import table
 
 F4 = list(FEATURES)
@@ -170,7 +170,7 @@ def m_classifier(spark, d):
     fw = _flat_windows(spark, d)
     feats = [c for c in fw.columns if c.startswith("x")]
     pred = fit_predict(fw.filter(F.col("split") != "test"), fw.filter(F.col("split") == "test"), feats, "y",
-                       pos_weight=POS_WEIGHT)
+                       pos_weight=POS_WEIGHT, save_to=scratch_path(spark, "model"))
     return pred.select("user_id", "y", "score")
 
 

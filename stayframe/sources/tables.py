@@ -23,3 +23,13 @@ def read_with_names(spark: SparkSession, path: str, names: Sequence[str], fmt: s
     if len(df.columns) != len(names):
         raise ValueError(f"{path}: {len(df.columns)} columns, {len(names)} names given")
     return df.toDF(*names)
+
+
+def jdbc_table(spark: SparkSession, url: str, table_name: str, partition_column: str, lower: int, upper: int,
+               num_partitions: int, properties: dict | None = None, columns: Sequence[str] | None = None) -> DataFrame:
+    """Full-table database read split into ``num_partitions`` range queries on
+    an integer key (e.g. the stay id) instead of one connection pulling the
+    whole table; ``columns`` become the pushed-down projection."""
+    df = spark.read.jdbc(url, table_name, column=partition_column, lowerBound=lower, upperBound=upper,
+                         numPartitions=num_partitions, properties=properties or {})
+    return df.select(*columns) if columns else df
