@@ -177,7 +177,7 @@ def m_classifier(spark, d):
 def m_sweep(spark, d):
     fw = _flat_windows(spark, d).filter(F.col("split") != "test")
     feats = [c for c in fw.columns if c.startswith("x")]
-    _, res = sweep(fw, feats, "y", regs=[0.0, 0.01, 0.1], iters=[5, 10, 20], pos_weight=POS_WEIGHT)
+    _, res = sweep(fw, feats, "y", regs=[0.0, 0.01, 0.1], iters=[5, 10, 20], pos_weight=POS_WEIGHT, parallelism=3)
     return spark.createDataFrame(res, "reg_param double, max_iter int, auc double")
 
 
