@@ -3,15 +3,18 @@
 Operators over an entity's ordered rows (fills, interpolation, row numbers,
 lags, run lengths, per-entity facts) never use a window partitioned by the
 entity alone: one entity may hold a third of all rows. Rows are partitioned by
-(entity keys, chunk) instead, where the chunk is a fixed-width range of the
-ordering position, so a window partition holds at most ``width`` positions of
-one entity. State that crosses a chunk border is carried by a per-chunk summary
+(entity keys, chunk) instead, where the chunk is a range of the ordering
+position: fixed width on grids (``with_chunk``: at most ``width`` rows), sized
+from the entity's density (``density_chunks``) or its running row count
+(``balanced_chunks``) on raw event time, so a hot entity is spread over many
+window partitions. State that crosses a chunk border is carried by a per-chunk summary
 (one row per (entity, chunk)), scanned in chunk order and joined back on
 (keys, chunk), which is the partitioning the big side already has: the row data
 is shuffled once, only the summaries move again.
 
-All functions expect the chunk column to be present (``with_chunk``) and the
-ordering column to be unique within an entity.
+All functions expect the chunk column to be present, non-decreasing along the
+ordering within an entity, and the ordering column to be unique within an
+entity.
 """
 
 from __future__ import annotations
@@ -27,9 +30,8 @@ from stayframe.functions.columns import col
 UNB = Window.unboundedPreceding
 CUR = Window.currentRow
 
-# Default chunk widths: 4096 grid positions; one day of raw event time.
+# Default chunk width on integer grids (positions per chunk).
 GRID_CHUNK = 4096
-TIME_CHUNK_MICROS = 86_400 * 1_000_000
 
 
 @dataclass(frozen=True)
