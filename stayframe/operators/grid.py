@@ -39,11 +39,6 @@ def conditional_avgs(item_col: str, value_col: str, mapping: Mapping[str, Sequen
             for name, ids in mapping.items()]
 
 
-def rollup(df: DataFrame, keys: Sequence[str], aggs: Sequence[Column]) -> DataFrame:
-    """groupBy(keys).agg(aggs) - partial aggregation before the shuffle."""
-    return df.groupBy(*keys).agg(*aggs)
-
-
 def complete_grid(binned: DataFrame, keys: Sequence[str], bin_col: str, origin: str,
                   width_hours: int, first_bin: int = 0, start: str = "starttime",
                   end: str = "endtime", chunk: str = "_chunk",

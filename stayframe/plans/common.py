@@ -61,10 +61,6 @@ def masked_grid8(spark: SparkSession, d: str, materialized: bool = True) -> Data
     return mask_outliers(grid8(spark, d, materialized=materialized), OUTLIER_RULES)
 
 
-def g8_cols(extra=()) -> list[str]:
-    return ["user_id", "hr", "starttime", "endtime", *FEATURES, "is_infection", *extra]
-
-
 def r6(c: str, name: str | None = None):
     """Round a double to 6 places for engine-independent comparison."""
     return F.round(F.col(c), 6).alias(name or c)

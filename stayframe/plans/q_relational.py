@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stayframe.functions.columns import binarize, bin_index, year_of
-from stayframe.operators.clean import add_scores, drop_null_rows, fill_constant, mask_outliers
+from stayframe.operators.clean import add_scores, drop_null_rows, fill_constant, mask_outliers, null_indicators
 from stayframe.operators.grid import hourly_mean, interval_aggregate
 from stayframe.operators.joins import (membership_flag, not_in, null_safe_join, outer_merge_pivot,
                                        time_band_join)
@@ -107,7 +107,7 @@ def p_age(spark, d):
 
 def p_null_handling(spark, d):
     g = drop_null_rows(grid8(spark, d, materialized=False), ["click"])
-    g = g.select("*", *[F.col(f).isNull().cast("int").alias(f"{f}_isnull") for f in ("view", "purchase")])
+    g = null_indicators(g, ["view", "purchase"])
     g = fill_constant(g, 0.0, ["view", "purchase", "signup"])
     return g.select("user_id", "hr", r6("click"), "view_isnull", "purchase_isnull",
                     r6("view"), r6("purchase"), r6("signup"))

@@ -16,15 +16,6 @@ def table(spark: SparkSession, sf_dir: str, name: str, cols: Sequence[str] | Non
     return df.select(*cols) if cols else df
 
 
-def read_with_names(spark: SparkSession, path: str, names: Sequence[str], fmt: str = "parquet",
-                    **options) -> DataFrame:
-    """Read and rename columns by position, refusing a width mismatch."""
-    df = spark.read.format(fmt).options(**options).load(path)
-    if len(df.columns) != len(names):
-        raise ValueError(f"{path}: {len(df.columns)} columns, {len(names)} names given")
-    return df.toDF(*names)
-
-
 def jdbc_table(spark: SparkSession, url: str, table_name: str, partition_column: str, lower: int, upper: int,
                num_partitions: int, properties: dict | None = None, columns: Sequence[str] | None = None) -> DataFrame:
     """Full-table database read split into ``num_partitions`` range queries on

@@ -328,3 +328,19 @@ def test_density_chunks_split_hot_entity(spark):
     z = imp.interpolate(with_chunk(df.withColumn("v", F.when(F.col("v") % 5 == 0, None).otherwise(F.col("v"))),
                                    s, 1 << 62, time_position(df, "ts")), s, ["v"], method="time")
     assert _rows(y.select("u", "ts", "v"), "u", "ts") == _rows(z.select("u", "ts", "v"), "u", "ts")
+
+
+def test_keep_first_nan_and_fill_aliases(spark):
+    from stayframe.operators.clean import nan_to_null
+    from stayframe.operators.profile import keep_first
+    from stayframe.session import cluster_conf
+    df = spark.createDataFrame([(1, "b", 2.0), (1, "a", 5.0), (2, "c", float("nan"))], "k long, t string, v double")
+    kf = sorted((r.k, r.t, r.v) for r in keep_first(df.filter("k = 1"), ["k"], ["t"]).collect())
+    assert kf == [(1, "a", 5.0)]
+    nn = nan_to_null(df, ["v"]).filter("k = 2").first()
+    assert nn.v is None
+    g, s = _example(spark, 2)
+    assert [r.x for r in imp.forward_fill(g, s, ["x"]).orderBy("hr").collect()] == [None, 1.0, 1.0, 1.0, 4.0, 4.0]
+    assert [r.x for r in imp.backward_fill(g, s, ["x"]).orderBy("hr").collect()] == [1.0, 1.0, 4.0, 4.0, 4.0, None]
+    conf = cluster_conf(100 * 2 ** 40, 1000, 8)
+    assert int(conf["spark.sql.shuffle.partitions"]) == 409600 and conf["spark.sql.adaptive.enabled"] == "true"
