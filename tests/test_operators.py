@@ -344,3 +344,25 @@ def test_keep_first_nan_and_fill_aliases(spark):
     assert [r.x for r in imp.backward_fill(g, s, ["x"]).orderBy("hr").collect()] == [1.0, 1.0, 4.0, 4.0, 4.0, None]
     conf = cluster_conf(100 * 2 ** 40, 1000, 8)
     assert int(conf["spark.sql.shuffle.partitions"]) == 409600 and conf["spark.sql.adaptive.enabled"] == "true"
+
+
+def test_reference_flow_on_reference_columns(spark):
+    from stayframe.plans.reference_flow import prepare_windows
+    rnd = random.Random(8)
+    rows = []
+    for stay in range(10):
+        onset = rnd.choice([None, 30, 40])
+        for hr in range(50):
+            rows.append((stay, hr, T0 + dt.timedelta(hours=hr),
+                         None if rnd.random() < 0.3 else rnd.uniform(30, 250),   # sbp, some outside 50..200
+                         None if rnd.random() < 0.5 else rnd.uniform(20, 220),   # heart_rate
+                         rnd.uniform(0, 5), int(stay % 2), 40 + stay, int(onset is not None and hr >= onset)))
+    grid = spark.createDataFrame(rows, "stay_id long, hr int, starttime timestamp_ntz, sbp double, heart_rate double, "
+                                       "urine double, icd_event int, age int, is_infection int")
+    w = prepare_windows(grid)
+    per = w.groupBy("stay_id").agg(F.count("*").alias("n"), F.countDistinct("split").alias("k"))
+    assert per.filter("n != 24 or k != 1").count() == 0 and per.count() == 10
+    assert "urine" not in w.columns
+    fit = w.filter("split != 'test'").agg(F.min("sbp"), F.max("sbp"), F.min("age"), F.max("age")).first()
+    assert tuple(fit) == (0.0, 1.0, 0.0, 1.0)
+    assert w.filter("sbp is null or heart_rate is null").count() == 0
