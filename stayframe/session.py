@@ -34,12 +34,16 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder the cluster names in
-    ``spark.checkpoint.dir``; only when it is unset (local tests) fall back
-    to a fresh scratch folder."""
+    ``spark.checkpoint.dir``; only when it is unset on a local master (tests)
+    fall back to a fresh scratch folder. A cluster without the setting is an
+    error: a machine-local folder would not survive a lost executor."""
     d = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if not d:
         d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
+        master = spark.sparkContext.master or ""
+        if not master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
         d = tempfile.mkdtemp(prefix="stayframe-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
     spark.sparkContext.setCheckpointDir(d)
