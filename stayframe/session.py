@@ -37,16 +37,21 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     ``spark.checkpoint.dir``; only when it is unset on a local master (tests)
     fall back to a fresh scratch folder. A cluster without the setting is an
     error: a machine-local folder would not survive a lost executor."""
-    d = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+    try:
+        sc = spark.sparkContext
+    except Exception:          # remote (Connect) sessions: the server owns the folder
+        sc = None
+    d = sc.getConf().get("spark.checkpoint.dir", None) if sc is not None else None
     if not d:
         d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
-        master = spark.sparkContext.master or ""
+        master = (sc.master if sc is not None else "") or ""
         if not master.startswith("local"):
             raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
         d = tempfile.mkdtemp(prefix="stayframe-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
-    spark.sparkContext.setCheckpointDir(d)
+    if sc is not None:
+        sc.setCheckpointDir(d)
     return d
 
 
