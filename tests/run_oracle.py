@@ -10,7 +10,12 @@ from tests.harness import compare, duck  # noqa: E402
 d = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
 only = set(sys.argv[2:])
 import os  # noqa: E402
-spark = build_session("local[8]", 8)
+if os.environ.get("ORACLE_PLAIN"):
+    from pyspark.sql import SparkSession
+    spark = SparkSession.builder.master("local[8]").config("spark.ui.enabled", "false").getOrCreate()
+    spark.sparkContext.setLogLevel("ERROR")
+else:
+    spark = build_session("local[8]", 8)
 if os.environ.get("ORACLE_TZ"):
     spark.conf.set("spark.sql.session.timeZone", os.environ["ORACLE_TZ"])
 con = duck(d)
