@@ -311,7 +311,20 @@ def _sql_window_short() -> str:
             + _sql_out("win", ("step", "is_event")))
 
 
+def w_first_rows(spark: SparkSession, d: str) -> DataFrame:
+    """First 4 bins of every user with at least 4 bins (W13)."""
+    from stayframe.operators.cohort import first_rows
+    return _out(first_rows(grid8(spark, d), G8_SEQ, 4))
+
+
+SQL_FIRST_ROWS = (f"WITH {sql_g8()},\nr AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY hr) AS rn, "
+                  "count(*) OVER (PARTITION BY user_id) AS n FROM g8)\n"
+                  + _sql_out("r").replace(" FROM r", " FROM r WHERE rn <= 4 AND n >= 4"))
+
+
 QUERIES = {
+    "w_first_rows": w_first_rows,
+    "w_recipe_8h_min": _recipe("8h_min"),
     "w_interp_linear": w_interp_linear,
     "w_interp_time": w_interp_time,
     "w_ffill_bfill": w_ffill_bfill,
@@ -330,6 +343,8 @@ QUERIES = {
 _TIME_POS = "epoch_us(ts)"
 
 ORACLE = {
+    "w_first_rows": SQL_FIRST_ROWS,
+    "w_recipe_8h_min": _sql_recipe("8h_min"),
     "w_interp_linear": f"WITH {sql_g8()},\n{sql_impute('g8', 'imp', F4, method='linear')}\n" + _sql_out("imp"),
     "w_interp_time": (
         "WITH x AS (SELECT user_id, ts, " + ", ".join(f"CASE WHEN event_type = '{f}' THEN value END AS {f}" for f in F4)
