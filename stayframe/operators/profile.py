@@ -12,15 +12,12 @@ from stayframe.operators.quantile import exact_quantiles_multi
 
 def null_profile(df: DataFrame, cols: Sequence[str], digits: int = 3) -> DataFrame:
     """Per column: null count and null ratio, plus an ``__all__`` row for all
-    cells together; one aggregation pass."""
-    n = F.count(F.lit(1)).alias("_n")
-    aggs = [F.sum(F.col(c).isNull().cast("long")).alias(c) for c in cols]
-    a = df.agg(n, *aggs)
-    stack = f"stack({len(cols)}, " + ", ".join(f"'{c}', `{c}`, _n" for c in cols) + ") AS (feature, n_null, n_rows)"
-    per = a.selectExpr(stack)
-    tot = a.select(F.lit("__all__").alias("feature"), sum((F.col(c) for c in cols), F.lit(0)).alias("n_null"),
-                   (F.col("_n") * len(cols)).alias("n_rows"))
-    out = per.unionByName(tot)
+    cells together - one aggregation pass, unpivoted with ``stack``."""
+    a = df.agg(F.count(F.lit(1)).alias("_n"), *[F.sum(F.col(c).isNull().cast("long")).alias(c) for c in cols])
+    total = " + ".join(f"`{c}`" for c in cols)
+    stack = (f"stack({len(cols) + 1}, " + ", ".join(f"'{c}', `{c}`, _n" for c in cols)
+             + f", '__all__', {total}, _n * {len(cols)}) AS (feature, n_null, n_rows)")
+    out = a.selectExpr(stack)
     return out.select("feature", F.col("n_null").cast("long").alias("n_null"),
                       F.round(F.col("n_null") / F.col("n_rows"), digits).alias("ratio"))
 

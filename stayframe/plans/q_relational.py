@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stayframe.functions.columns import binarize, bin_index, year_of
-from stayframe.operators.clean import add_scores, drop_null_rows, fill_constant, mask_outliers, null_indicators
+from stayframe.operators.clean import add_scores, drop_null_rows, fill_constant, null_indicators
 from stayframe.operators.grid import hourly_mean, interval_aggregate
 from stayframe.operators.joins import (membership_flag, not_in, null_safe_join, outer_merge_pivot,
                                        time_band_join)
@@ -42,14 +42,16 @@ def s_projected_scan(spark, d):
 # ---- P2/P6 ---------------------------------------------------------------------
 
 def p_outlier_mask(spark, d):
-    g = grid8(spark, d)
-    m = mask_outliers(g, OUTLIER_RULES)
-    raw = g.agg(*[F.sum(F.col(f).isNull().cast("long")).alias(f) for f in F4])
-    msk = m.agg(*[F.sum(F.col(f).isNull().cast("long")).alias(f) for f in F4])
-    stack = "stack(4, " + ", ".join(f"'{f}', `{f}`" for f in F4) + ") AS (feature, n)"
-    a = raw.selectExpr(stack).withColumnRenamed("n", "nulls_raw")
-    b = msk.selectExpr(stack).withColumnRenamed("n", "nulls_masked")
-    return a.join(b, "feature").withColumn("masked", F.col("nulls_masked") - F.col("nulls_raw"))
+    """Null counts per feature before and after the range mask, one pass."""
+    g = grid8(spark, d, materialized=False)
+    aggs = []
+    for f in F4:
+        kept = OUTLIER_RULES[f].keep(F.col(f)) if f in OUTLIER_RULES else F.lit(True)
+        aggs += [F.sum(F.col(f).isNull().cast("long")).alias(f"r_{f}"),
+                 F.sum((F.col(f).isNull() | ~kept).cast("long")).alias(f"m_{f}")]
+    a = g.agg(*aggs)
+    stack = "stack(4, " + ", ".join(f"'{f}', r_{f}, m_{f}" for f in F4) + ") AS (feature, nulls_raw, nulls_masked)"
+    return a.selectExpr(stack).withColumn("masked", F.col("nulls_masked") - F.col("nulls_raw"))
 
 
 def _sql_outlier_mask():
