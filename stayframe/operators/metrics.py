@@ -69,8 +69,7 @@ def pr_curve(df: DataFrame, score: str, label: str) -> DataFrame:
     pts = t.select(F.col(score).cast("double").alias("threshold"),
                    F.when(tp + fp > 0, tp / (tp + fp)).otherwise(0.0).alias("precision"),
                    F.when(F.col("P") > 0, tp / F.col("P")).otherwise(1.0).alias("recall"))
-    end = pts.limit(1).select(F.lit(None).cast("double").alias("threshold"),
-                              F.lit(1.0).alias("precision"), F.lit(0.0).alias("recall"))
+    end = df.sparkSession.createDataFrame([(None, 1.0, 0.0)], "threshold double, precision double, recall double")
     return pts.unionByName(end)
 
 
