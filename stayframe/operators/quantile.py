@@ -47,13 +47,13 @@ def exact_quantiles(df: DataFrame, cols: Sequence[str], q: float = 0.5, buckets:
     are fetched in one bounded job; otherwise ranges are refined until each
     holds at most ``max_exact`` distinct values."""
     dist = _long_values(df, cols).groupBy("f", "v").agg(F.count(F.lit(1)).alias("n"))
-    # fast path: few distinct values in all -> one bounded fetch, no refinement
-    if max_fetch > 0:
-        few = dist.limit(max_fetch + 1).collect()
-        if len(few) <= max_fetch:
-            return _from_rows(few, cols, q)
-    dist = dist.persist(StorageLevel.MEMORY_AND_DISK)
+    dist = dist.persist(StorageLevel.MEMORY_AND_DISK)     # shared by the fetch attempt and the refinement
     try:
+        # fast path: few distinct values in all -> one bounded fetch, no refinement
+        if max_fetch > 0:
+            few = dist.limit(max_fetch + 1).collect()
+            if len(few) <= max_fetch:
+                return _from_rows(few, cols, q)
         tot = {r["f"]: r for r in dist.groupBy("f").agg(
             F.sum("n").alias("n"), F.count(F.lit(1)).alias("d"),
             F.min("v").alias("lo"), F.max("v").alias("hi")).collect()}
