@@ -1,8 +1,9 @@
 """Event detection, onset anchors and fixed-length look-back windows.
 
-All per-entity facts (has an event, onset position, row count) are computed
-with ``seq.entity_aggs`` (partial per chunk, combined per entity), and all
-row-to-row logic (lags, run lengths) with chunked scans. Only after the rows
+All per-entity facts (has an event, onset position, row count) are partial
+aggregates per (entity, chunk) combined per entity (``seq.index_and_aggs``,
+``seq.entity_aggs``), and all row-to-row logic (lags, run lengths) runs in
+chunked scans. Only after the rows
 are cut down to at most N per entity is anything partitioned by the entity
 alone.
 """

@@ -51,19 +51,20 @@ def impute(df: DataFrame, s: Seq, cols: Sequence[str], method: str | None = None
     method: None | 'linear' (row position) | 'time' (``time_col``, default the
     ordering column). fill: None, a constant, or 'median' (exact per-column
     median of ``median_source`` - default ``df`` - unless ``medians`` given)."""
-    if method == "linear":
-        x = row_index(df, s, "_pos")
+    need_prev = method is not None or ffill
+    need_next = method is not None or bfill
+    if method == "linear":       # row positions, computed inside the same scan
+        x = prev_next(df, s, cols, prev=need_prev, nxt=need_next, row_position="_pos")
         pos = F.col("_pos")
     elif method == "time":
         x = df.withColumn("_pos", time_position(df, time_col or s.order))
         pos = F.col("_pos")
+        x = prev_next(x, s, cols, pos, prev=need_prev, nxt=need_next)
     elif method is None:
-        x, pos = df, F.col(s.order)
+        pos = F.col(s.order)
+        x = prev_next(df, s, cols, pos, prev=need_prev, nxt=need_next)
     else:
         raise ValueError(f"unknown interpolation method {method!r}")
-    need_prev = method is not None or ffill
-    need_next = method is not None or bfill
-    x = prev_next(x, s, cols, pos, prev=need_prev, nxt=need_next)
     if fill == "median" and medians is None:
         medians = exact_quantiles(median_source if median_source is not None else df, cols, 0.5)
     out = {}

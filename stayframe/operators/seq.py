@@ -82,38 +82,63 @@ def row_index(df: DataFrame, s: Seq, out: str = "_idx", total: str | None = None
 
 
 def prev_next(df: DataFrame, s: Seq, cols: Sequence[str], position: Column | str | None = None,
-              prev: bool = True, nxt: bool = True) -> DataFrame:
+              prev: bool = True, nxt: bool = True, row_position: str | None = None) -> DataFrame:
     """For each column c add the last non-null at or before the row
     (``c__pp`` position, ``c__pv`` value) and the first non-null at or after it
-    (``c__np``, ``c__nv``), scanning the whole entity, across chunks."""
-    pos = col(position) if position is not None else F.col(s.order)
+    (``c__np``, ``c__nv``), scanning the whole entity, across chunks.
+
+    Positions are ``position`` (default the ordering column), or, when
+    ``row_position`` names an output column, the 0-based row index within the
+    entity, computed in the same pass (chunk row offsets travel in the same
+    summary as the carried values)."""
+    rows = row_position is not None
+    if rows:
+        df = df.withColumn("_lrn", F.row_number().over(_ordered(s)) - 1)
+        pos = F.col("_lrn")
+    else:
+        pos = col(position) if position is not None else F.col(s.order)
     wf = _ordered(s).rowsBetween(UNB, CUR)
     wb = _ordered(s, desc=True).rowsBetween(UNB, CUR)
-    sel, summ_aggs, carry_sel = [F.col("*")], [], []
+    sel, summ_aggs = [F.col("*")], [F.count(F.lit(1)).alias("_n")] if rows else []
     for c in cols:
         st = F.when(F.col(c).isNotNull(), F.struct(pos.alias("p"), F.col(c).alias("v")))
         if prev:
             sel.append(F.last(st, True).over(wf).alias(f"_wp_{c}"))
             summ_aggs.append(F.max(st).alias(f"_sl_{c}"))
-            carry_sel.append(F.last(f"_sl_{c}", True).over(_chunk_window(s)).alias(f"_cp_{c}"))
         if nxt:
             sel.append(F.last(st, True).over(wb).alias(f"_wn_{c}"))
             summ_aggs.append(F.min(st).alias(f"_sf_{c}"))
-            carry_sel.append(F.last(f"_sf_{c}", True).over(_chunk_window(s, desc=True)).alias(f"_cn_{c}"))
     local = df.select(*sel)
     # summaries from the windowed rows: already partitioned by (keys, chunk)
-    carry = local.groupBy(*s.part).agg(*summ_aggs).select(*s.part, *carry_sel)
+    summ = local.groupBy(*s.part).agg(*summ_aggs)
+    off = F.col("_off") if rows else F.lit(0)
+    if rows:
+        summ = summ.withColumn("_off", F.coalesce(F.sum("_n").over(_chunk_window(s)), F.lit(0)))
+
+    def shift(x):           # chunk-local position -> entity position
+        return F.when(x.isNotNull(), F.struct((x["p"] + off).alias("p"), x["v"].alias("v"))) if rows else x
+
+    carry_sel = [*s.part, *(["_off"] if rows else [])]
+    for c in cols:
+        if prev:
+            carry_sel.append(F.last(shift(F.col(f"_sl_{c}")), True).over(_chunk_window(s)).alias(f"_cp_{c}"))
+        if nxt:
+            carry_sel.append(F.last(shift(F.col(f"_sf_{c}")), True).over(_chunk_window(s, desc=True))
+                             .alias(f"_cn_{c}"))
+    carry = summ.select(*carry_sel)
     out = local.join(carry, s.part, "inner")
-    res, drop = [], []
+    res, drop = [], ["_lrn", "_off"] if rows else []
     for c in cols:
         if prev:
-            p = F.coalesce(F.col(f"_wp_{c}"), F.col(f"_cp_{c}"))
+            p = F.coalesce(shift(F.col(f"_wp_{c}")), F.col(f"_cp_{c}"))
             res += [p["p"].alias(f"{c}__pp"), p["v"].alias(f"{c}__pv")]
             drop += [f"_wp_{c}", f"_cp_{c}"]
         if nxt:
-            n = F.coalesce(F.col(f"_wn_{c}"), F.col(f"_cn_{c}"))
+            n = F.coalesce(shift(F.col(f"_wn_{c}")), F.col(f"_cn_{c}"))
             res += [n["p"].alias(f"{c}__np"), n["v"].alias(f"{c}__nv")]
             drop += [f"_wn_{c}", f"_cn_{c}"]
+    if rows:
+        res.append((F.col("_lrn") + F.col("_off")).cast("long").alias(row_position))
     return out.select(F.col("*"), *res).drop(*drop)
 
 
