@@ -55,7 +55,8 @@ def s_experiments(spark: SparkSession, d: str) -> DataFrame:
     path = write_experiments(runs, scratch_path(spark, "experiments"))
     wanted = runs.filter(F.col("var2") == 0).select("name")
     # semi join, not a collected name list: dynamic partition pruning skips the other folders
-    return read_experiments(spark, path, EXP_SCHEMA).join(wanted, "name", "left_semi")
+    back = read_experiments(spark, path, EXP_SCHEMA).join(wanted, "name", "left_semi")
+    return back.withColumn("train_acc", F.round("train_acc", 6))
 
 
 def s_catalog(spark: SparkSession, d: str) -> DataFrame:
@@ -80,6 +81,22 @@ QUERIES = {
     "s_catalog": s_catalog,
 }
 
+SQL_EXPERIMENTS = """WITH st AS (SELECT c.c_custkey AS user_id, c.c_mktsegment AS var1, CAST(n.n_regionkey AS INTEGER) AS var2
+  FROM customer c JOIN nation n ON c.c_nationkey = n.n_nationkey),
+ru AS (SELECT user_id, avg(CAST(value < 100 AS DOUBLE)) AS train_acc FROM events GROUP BY user_id)
+SELECT ru.user_id, st.var1, st.var2, round(ru.train_acc, 6) AS train_acc,
+  'exp-' || substr(sha1('{"user_id":' || ru.user_id || ',"var1":"' || st.var1 || '","var2":' || st.var2 || '}'), 1, 6) AS name
+FROM ru JOIN st ON ru.user_id = st.user_id WHERE st.var2 = 0"""
+
+
+def _sql_catalog():
+    from stayframe.plans.common import sql_g8
+    return (f"WITH {sql_g8()}\nSELECT 'sf_events' AS view, CAST(count(*) AS BIGINT) AS n_rows FROM events "
+            "UNION ALL SELECT 'sf_grid8', count(*) FROM g8 UNION ALL SELECT 'sf_grid8_masked', count(*) FROM g8")
+
+
 ORACLE = {
     "s_param_files": SQL_PARAM_FILES,
+    "s_experiments": SQL_EXPERIMENTS,
+    "s_catalog": _sql_catalog(),
 }

@@ -7,7 +7,7 @@ from __spark_entry__ import entry, oracle_sql, queries
 from tests.harness import compare, duck
 
 SF = "/root/testdata/sf0.001"
-ROWS_ONLY = {"l_sample_shuffle", "m_classifier", "m_sweep", "s_catalog", "s_experiments"}
+ROWS_ONLY = {"l_sample_shuffle", "m_classifier", "m_sweep"}
 
 
 @pytest.fixture(scope="module")
