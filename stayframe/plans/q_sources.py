@@ -54,7 +54,7 @@ def s_experiments(spark: SparkSession, d: str) -> DataFrame:
     runs = runs.withColumn("name", F.concat(F.lit("exp-"), experiment_key(["user_id", "var1", "var2"])))
     path = write_experiments(runs, scratch_path(spark, "experiments"))
     wanted = runs.filter(F.col("var2") == 0).select("name")
-    # semi join, not a collected name list: dynamic partition pruning skips the other folders
+    # a semi join on the record name, not a collected name list
     back = read_experiments(spark, path, EXP_SCHEMA).join(wanted, "name", "left_semi")
     return back.withColumn("train_acc", F.round("train_acc", 6))
 

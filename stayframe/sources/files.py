@@ -45,15 +45,20 @@ def read_param_files(spark: SparkSession, path: str, schema: T.StructType, param
     return df
 
 
-def write_experiments(df: DataFrame, path: str, name_col: str = "name", mode: str = "append") -> str:
-    """Experiment records as JSON, one folder per record name."""
-    df.write.mode(mode).partitionBy(name_col).json(path)
+def write_experiments(df: DataFrame, path: str, mode: str = "append", partition_by: str | None = None) -> str:
+    """Experiment records as JSON lines keyed by their name column. One file
+    per record (the notebook layout) would be a small-files problem with
+    many runs; ``partition_by`` opts into folders per value when runs are few."""
+    w = df.write.mode(mode)
+    if partition_by:
+        w = w.partitionBy(partition_by)
+    w.json(path)
     return path
 
 
 def read_experiments(spark: SparkSession, path: str, schema: T.StructType, names: Sequence[str] | None = None,
                      name_col: str = "name") -> DataFrame:
-    """Read all experiment records (every matching file, not just the first);
-    a name filter prunes folders before any file is opened."""
+    """Read all experiment records (every matching file, not just the first),
+    optionally only the given names."""
     df = spark.read.schema(schema).json(path)
     return df.filter(F.col(name_col).isin(list(names))) if names else df
