@@ -38,7 +38,9 @@ RECIPES = {
 
 def _interp(c: str, p: Column) -> Column:
     pv, pp, nv, np_ = (F.col(f"{c}__pv"), F.col(f"{c}__pp"), F.col(f"{c}__nv"), F.col(f"{c}__np"))
-    between = pv + (nv - pv) * (p - pp).cast("double") / (np_ - pp).cast("double")
+    # try_divide: the ratio is only used where pp < p < np, but must not fail
+    # (ANSI mode) on rows that already hold a value, where np == pp
+    between = pv + F.try_divide((nv - pv) * (p - pp).cast("double"), (np_ - pp).cast("double"))
     return F.coalesce(F.col(c), between, pv)
 
 

@@ -19,7 +19,7 @@ def null_profile(df: DataFrame, cols: Sequence[str], digits: int = 3) -> DataFra
              + f", '__all__', {total}, _n * {len(cols)}) AS (feature, n_null, n_rows)")
     out = a.selectExpr(stack)
     return out.select("feature", F.col("n_null").cast("long").alias("n_null"),
-                      F.round(F.col("n_null") / F.col("n_rows"), digits).alias("ratio"))
+                      F.round(F.try_divide(F.col("n_null"), F.col("n_rows")), digits).alias("ratio"))
 
 
 def null_by_entity(df: DataFrame, keys: Sequence[str], cols: Sequence[str],
