@@ -60,17 +60,16 @@ def history_long(df: DataFrame, keys: Sequence[str], array_cols: dict[str, str],
     """Explode list-valued history columns into (keys, settings, type, epoch,
     value) rows; ``array_cols`` maps a type name to its array column. The
     epoch is the array position plus ``offset`` (for histories stored in
-    bounded pieces)."""
-    parts = []
-    for typ, c in array_cols.items():
-        p = df.select(*keys, *settings, *([offset] if offset else []), F.lit(typ).alias("type"),
-                      F.posexplode(c).alias("pos", "value"))
-        ep = F.col("pos") + (F.col(offset) if offset else F.lit(0))
-        parts.append(p.select(*keys, *settings, "type", ep.cast("long").alias("epoch"), "value"))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    bounded pieces). All arrays are zipped and exploded in one pass, so the
+    input is read once whatever the number of types; per-epoch histories
+    have equal lengths (a shorter array would yield null values)."""
+    zipped = F.arrays_zip(*[F.col(c) for c in array_cols.values()])
+    x = df.select(*keys, *settings, *([offset] if offset else []), F.posexplode(zipped).alias("pos", "z"))
+    per_type = F.explode(F.array(*[F.struct(F.lit(t).alias("type"), F.col("z")[c].alias("value"))
+                                   for t, c in array_cols.items()]))
+    x = x.select(*keys, *settings, (F.col("pos") + (F.col(offset) if offset else F.lit(0))).cast("long").alias("epoch"),
+                 per_type.alias("t"))
+    return x.select(*keys, *settings, F.col("t.type").alias("type"), "epoch", F.col("t.value").alias("value"))
 
 
 def compare_settings(df: DataFrame, var1: str, var2: str, metrics: Sequence[str]) -> DataFrame:

@@ -50,3 +50,20 @@ def test_scan_prunes_columns(spark):
     plan = queries()["s_projected_scan"](spark, SF)._jdf.queryExecution().executedPlan().toString()
     assert "PushedFilters: [IsNotNull(value), GreaterThanOrEqual(value,100.0)]" in plan
     assert "ReadSchema: struct<ts:timestamp_ntz,user_id:bigint,value:double>" in plan
+
+
+# shuffle budgets (final adaptive plans at sf0.001, see PLANS.md): a change that
+# reintroduces chained rescans of the inputs fails here
+BUDGETS = {"w_recipe_ifbm": (4, 0), "w_interp_linear": (4, 0), "w_window_sofa": (8, 0), "w_window_qsofa": (6, 0),
+           "w_interp_time": (6, 4), "m_early_stop": (6, 4), "m_history_long": (8, 8)}
+
+
+@pytest.mark.parametrize("name", sorted(BUDGETS))
+def test_shuffle_and_scan_budget(spark, name):
+    import re
+    df = queries()[name](spark, SF)
+    df.write.format("noop").mode("overwrite").save()
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    shuffles = len(re.findall(r"\bExchange (hashpartitioning|rangepartitioning|SinglePartition)", plan))
+    scans = plan.count("FileScan")
+    assert shuffles <= BUDGETS[name][0] and scans <= BUDGETS[name][1], (shuffles, scans)
