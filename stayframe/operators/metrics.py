@@ -103,7 +103,8 @@ def scores_from_confusion(cm: DataFrame) -> DataFrame:
 
 
 def class_report(cm: DataFrame, group_cols: Sequence[str] = ()) -> DataFrame:
-    """Per-class precision, recall, F1, support, plus macro and weighted averages."""
+    """Per-class precision, recall, F1, support, plus macro and weighted
+    averages: one projection of the tn/fp/fn/tp row, unpivoted with ``stack``."""
     tn, fp, fn, tp = (F.col(c).cast("double") for c in ("tn", "fp", "fn", "tp"))
     n = tn + fp + fn + tp
     p1, r1 = _div(tp, tp + fp), _div(tp, tp + fn)
@@ -111,16 +112,10 @@ def class_report(cm: DataFrame, group_cols: Sequence[str] = ()) -> DataFrame:
     f1 = _div(2 * p1 * r1, p1 + r1)
     f0 = _div(2 * p0 * r0, p0 + r0)
     s1, s0 = tp + fn, tn + fp
-    g = [F.col(c) for c in group_cols]
-    rows = [
-        cm.select(*g, F.lit("0").alias("class"), p0.alias("precision"), r0.alias("recall"), f0.alias("f1"), s0.alias("support")),
-        cm.select(*g, F.lit("1").alias("class"), p1.alias("precision"), r1.alias("recall"), f1.alias("f1"), s1.alias("support")),
-        cm.select(*g, F.lit("macro avg").alias("class"), ((p0 + p1) / 2).alias("precision"), ((r0 + r1) / 2).alias("recall"),
-                  ((f0 + f1) / 2).alias("f1"), n.alias("support")),
-        cm.select(*g, F.lit("weighted avg").alias("class"), _div(p0 * s0 + p1 * s1, n).alias("precision"),
-                  _div(r0 * s0 + r1 * s1, n).alias("recall"), _div(f0 * s0 + f1 * s1, n).alias("f1"), n.alias("support")),
-    ]
-    out = rows[0]
-    for r in rows[1:]:
-        out = out.unionByName(r)
-    return out
+    vals = {"p0": p0, "r0": r0, "f0": f0, "s0": s0, "p1": p1, "r1": r1, "f1": f1, "s1": s1,
+            "pm": (p0 + p1) / 2, "rm": (r0 + r1) / 2, "fm": (f0 + f1) / 2, "n": n,
+            "pw": _div(p0 * s0 + p1 * s1, n), "rw": _div(r0 * s0 + r1 * s1, n), "fw": _div(f0 * s0 + f1 * s1, n)}
+    wide = cm.select(*group_cols, *[v.alias(k) for k, v in vals.items()])
+    stack = ("stack(4, '0', p0, r0, f0, s0, '1', p1, r1, f1, s1, 'macro avg', pm, rm, fm, n, "
+             "'weighted avg', pw, rw, fw, n) AS (class, precision, recall, f1, support)")
+    return wide.selectExpr(*[f"`{c}`" for c in group_cols], stack)
