@@ -42,7 +42,7 @@ def conditional_avgs(item_col: str, value_col: str, mapping: Mapping[str, Sequen
 def complete_grid(binned: DataFrame, keys: Sequence[str], bin_col: str, origin: str,
                   width_hours: int, first_bin: int = 0, start: str = "starttime",
                   end: str = "endtime", chunk: str = "_chunk",
-                  chunk_width: int = GRID_CHUNK) -> DataFrame:
+                  chunk_width: int = GRID_CHUNK, bounds: DataFrame | None = None) -> DataFrame:
     """Expand per-(entity, bin) aggregates to every bin first_bin..last of
     each entity (empty bins included, their features null), with bin bounds.
 
@@ -51,10 +51,14 @@ def complete_grid(binned: DataFrame, keys: Sequence[str], bin_col: str, origin:
     not with its event count. Skeleton and aggregates are unioned and
     shuffled once by (keys, chunk) - the partitioning every ordered operator
     downstream uses - and merged in place, instead of joining on
-    (keys, bin) and shuffling again for the first window."""
+    (keys, bin) and shuffling again for the first window. ``bounds`` (keys,
+    origin, _maxb) may be given by the caller; otherwise it is read off
+    ``binned``."""
     feats = [c for c in binned.columns if c not in (*keys, origin, bin_col)]
-    bounds = binned.groupBy(*keys, origin).agg(F.max(bin_col).alias("_maxb"))
-    skel = bounds.select(*keys, origin, F.explode(F.sequence(F.lit(first_bin), F.col("_maxb"))).alias(bin_col))
+    if bounds is None:
+        bounds = binned.groupBy(*keys, origin).agg(F.max(bin_col).alias("_maxb"))
+    bins = F.when(F.col("_maxb") >= first_bin, F.sequence(F.lit(first_bin), F.col("_maxb")))
+    skel = bounds.select(*keys, origin, F.explode(bins).alias(bin_col))
     u = binned.unionByName(skel, allowMissingColumns=True)
     u = u.withColumn(chunk, F.floor(F.col(bin_col) / F.lit(chunk_width)).cast("long"))
     u = u.repartition(*keys, chunk)
@@ -70,13 +74,19 @@ def event_grid(events: DataFrame, keys: Sequence[str], time: str, width_hours: i
                origin: str = "origin", complete: bool = True) -> DataFrame:
     """Per-entity grid of ``width_hours`` bins anchored at the entity's first
     event, with ``aggs`` evaluated per bin. closed='right' bins are (s, e],
-    so the event at the origin itself matches no bin."""
-    e = with_bin(with_origin(events, keys, time, origin), time, origin, width_hours, closed, bin_col)
-    e = e.filter(F.col(bin_col) >= 0)
+    so the event at the origin itself matches no bin.
+
+    One per-entity aggregate (first and last time) gives both the origin
+    joined back to the events and the last bin of the skeleton, so the
+    events are read twice in all: for that aggregate and for the bins."""
+    ent = events.groupBy(*keys).agg(F.min(time).alias(origin), F.max(time).alias("_last"))
+    e = events.join(ent.select(*keys, origin), list(keys), "inner")
+    e = with_bin(e, time, origin, width_hours, closed, bin_col).filter(F.col(bin_col) >= 0)
     b = e.groupBy(*keys, origin, bin_col).agg(*aggs)
     if not complete:
         return b
-    return complete_grid(b, keys, bin_col, origin, width_hours)
+    bounds = ent.select(*keys, origin, bin_index("_last", origin, width_hours, closed).alias("_maxb"))
+    return complete_grid(b, keys, bin_col, origin, width_hours, bounds=bounds)
 
 
 def coarsen(grid: DataFrame, keys: Sequence[str], bin_col: str, factor: int,
