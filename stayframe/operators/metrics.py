@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from stayframe.operators.seq import Seq, prefix_aggs, with_chunk
@@ -18,11 +18,18 @@ from stayframe.operators.seq import Seq, prefix_aggs, with_chunk
 SCORE_CHUNK = 1.0 / 1024
 
 
-def score_table(df: DataFrame, score: str, label: str, groups: Sequence[str] = ()) -> DataFrame:
+def score_table(df: DataFrame, score: str, label: str, groups: Sequence[str] = (),
+                bounded_groups: bool = False) -> DataFrame:
     """(groups, score) -> pos, neg, plus the counts of strictly lower scores
-    (pos_below, neg_below) within the group."""
+    (pos_below, neg_below) within the group. ``bounded_groups`` declares that
+    every group is small (e.g. fixed-size batches): a plain window per group
+    then replaces the chunked prefix scan."""
     t = df.groupBy(*groups, score).agg(F.sum(F.col(label).cast("long")).alias("pos"),
                                        F.sum((1 - F.col(label)).cast("long")).alias("neg"))
+    if bounded_groups and groups:
+        w = Window.partitionBy(*groups).orderBy(score).rowsBetween(Window.unboundedPreceding, -1)
+        return t.select("*", F.coalesce(F.sum("pos").over(w), F.lit(0)).alias("pos_below"),
+                        F.coalesce(F.sum("neg").over(w), F.lit(0)).alias("neg_below"))
     s = Seq(tuple(groups), score, "_schunk")
     t = with_chunk(t, s, SCORE_CHUNK)
     t = prefix_aggs(t, s, [("pos_below", "sum", F.col("pos")), ("neg_below", "sum", F.col("neg"))],
@@ -36,9 +43,10 @@ def _auc_expr() -> Column:
     return F.when((p > 0) & (n > 0), num / (p * n))
 
 
-def roc_auc(df: DataFrame, score: str, label: str, groups: Sequence[str] = ()) -> DataFrame:
+def roc_auc(df: DataFrame, score: str, label: str, groups: Sequence[str] = (),
+            bounded_groups: bool = False) -> DataFrame:
     """Exact ROC-AUC with ties counted half (Mann-Whitney); null for one class."""
-    t = score_table(df, score, label, groups)
+    t = score_table(df, score, label, groups, bounded_groups)
     return t.groupBy(*groups).agg(_auc_expr().alias("auc"), F.sum("pos").alias("n_pos"),
                                   F.sum("neg").alias("n_neg"))
 

@@ -97,7 +97,9 @@ def a_cohort_counts(spark, d):
     aggs = [F.count(F.lit(1)).alias("n_rows"), F.countDistinct("user_id").alias("n_users"),
             F.countDistinct(F.when(F.col("is_event") == 1, F.col("user_id"))).alias("n_pos")]
     per = w.groupBy("split").agg(*aggs)
-    tot = w.agg(*aggs).withColumn("split", F.lit("all"))
+    # splits are disjoint by user: the totals are sums of the (three) split rows
+    tot = per.agg(*[F.sum(c).cast("long").alias(c) for c in ("n_rows", "n_users", "n_pos")]) \
+        .withColumn("split", F.lit("all"))
     out = per.unionByName(tot)
     return out.withColumn("n_windows", F.floor(F.col("n_rows") / 24).cast("long"))
 

@@ -366,3 +366,16 @@ def test_reference_flow_on_reference_columns(spark):
     fit = w.filter("split != 'test'").agg(F.min("sbp"), F.max("sbp"), F.min("age"), F.max("age")).first()
     assert tuple(fit) == (0.0, 1.0, 0.0, 1.0)
     assert w.filter("sbp is null or heart_rate is null").count() == 0
+
+
+def test_grouped_auc_bounded_equals_chunked(spark):
+    rnd = random.Random(6)
+    rows = [(g, round(rnd.random(), 1), int(rnd.random() < 0.5)) for g in range(10) for _ in range(20)]
+    df = spark.createDataFrame(rows, "g long, s double, y int")
+    a = {r.g: r.auc for r in roc_auc(df, "s", "y", ["g"]).collect()}
+    b = {r.g: r.auc for r in roc_auc(df, "s", "y", ["g"], bounded_groups=True).collect()}
+    assert a.keys() == b.keys() and all((a[k] is None and b[k] is None) or abs(a[k] - b[k]) < 1e-12 for k in a)
+    for g in range(10):
+        sub = [(s, y) for gg, s, y in rows if gg == g]
+        if 0 < sum(y for _, y in sub) < len(sub):
+            assert abs(a[g] - _brute_auc(*zip(*sub))) < 1e-12
