@@ -57,7 +57,22 @@ def rows_of(pdf: pd.DataFrame):
     return cols, sorted(tuple(_cell(v) for v in r) for r in pdf.itertuples(index=False, name=None))
 
 
+SPARK_TO_DUCK = {"int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR",
+                 "timestamp_ntz": "TIMESTAMP", "boolean": "BOOLEAN", "float": "FLOAT", "date": "DATE"}
+
+
+def type_diffs(spark_df, con, sql: str):
+    st = {f.name: SPARK_TO_DUCK.get(f.dataType.simpleString(), f.dataType.simpleString())
+          for f in spark_df.schema.fields}
+    rel = con.sql(sql)
+    dt = {c: str(t) for c, t in zip(rel.columns, rel.types)}
+    return [(c, st[c], dt.get(c)) for c in st if st[c] != dt.get(c)]
+
+
 def compare(spark_df, con, sql: str):
+    diffs = type_diffs(spark_df, con, sql)
+    if diffs:
+        return False, f"column types differ (name, spark, duck): {diffs}"
     s_cols, s_rows = rows_of(spark_df.toPandas())
     d_cols, d_rows = rows_of(con.execute(sql).df())
     if s_cols != d_cols:
