@@ -57,11 +57,19 @@ def complete_grid(binned: DataFrame, keys: Sequence[str], bin_col: str, origin:
     feats = [c for c in binned.columns if c not in (*keys, origin, bin_col)]
     if bounds is None:
         bounds = binned.groupBy(*keys, origin).agg(F.max(bin_col).alias("_maxb"))
-    bins = F.when(F.col("_maxb") >= first_bin, F.sequence(F.lit(first_bin), F.col("_maxb")))
-    skel = bounds.select(*keys, origin, F.explode(bins).alias(bin_col))
-    u = binned.unionByName(skel, allowMissingColumns=True)
-    u = u.withColumn(chunk, F.floor(F.col(bin_col) / F.lit(chunk_width)).cast("long"))
-    u = u.repartition(*keys, chunk)
+    # one bin-range row per chunk (at most chunk_width bins each); ranges are
+    # exploded into bins only after the shuffle, where each chunk has its own task
+    w = F.lit(chunk_width)
+    chunks = F.when(F.col("_maxb") >= first_bin,
+                    F.sequence(F.floor(F.lit(first_bin) / w).cast("long"), F.floor(F.col("_maxb") / w).cast("long")))
+    ranges = bounds.select(*keys, origin, "_maxb", F.explode(chunks).alias(chunk))
+    ranges = ranges.select(*keys, origin, chunk,
+                           F.greatest(F.col(chunk) * w, F.lit(first_bin)).cast("int").alias("_lo"),
+                           F.least((F.col(chunk) + 1) * w - 1, F.col("_maxb")).cast("int").alias("_hi"))
+    obs = binned.withColumn(chunk, F.floor(F.col(bin_col) / w).cast("long"))
+    u = obs.unionByName(ranges, allowMissingColumns=True).repartition(*keys, chunk)
+    bins = F.when(F.col("_lo").isNotNull(), F.sequence("_lo", "_hi")).otherwise(F.array(F.col(bin_col)))
+    u = u.withColumn(bin_col, F.explode(bins)).drop("_lo", "_hi")
     # at most one observed row per bin and skeleton rows carry nulls: max() is that row's value
     g = u.groupBy(*keys, chunk, bin_col).agg(F.max(origin).alias(origin), *[F.max(c).alias(c) for c in feats])
     g = g.withColumn(start, bin_start(origin, bin_col, width_hours))

@@ -379,3 +379,16 @@ def test_grouped_auc_bounded_equals_chunked(spark):
         sub = [(s, y) for gg, s, y in rows if gg == g]
         if 0 < sum(y for _, y in sub) < len(sub):
             assert abs(a[g] - _brute_auc(*zip(*sub))) < 1e-12
+
+
+def test_complete_grid_chunked_ranges(spark):
+    from stayframe.operators.grid import complete_grid
+    binned = spark.createDataFrame([(1, T0, 0, 1.0), (1, T0, 7, 7.0), (2, T0, 2, 2.0), (2, T0, 3, None)],
+                                   "u long, origin timestamp_ntz, hr int, x double")
+    g = complete_grid(binned, ["u"], "hr", "origin", 8, chunk_width=3)
+    got = sorted((r.u, r.hr, r.x, r._chunk) for r in g.collect())
+    exp = [(1, h, {0: 1.0, 7: 7.0}.get(h), h // 3) for h in range(8)] + \
+          [(2, h, {2: 2.0}.get(h), h // 3) for h in range(4)]
+    assert got == sorted(exp)
+    r = {(x.u, x.hr): (x.starttime, x.endtime) for x in g.collect()}
+    assert r[(1, 7)] == (T0 + dt.timedelta(hours=56), T0 + dt.timedelta(hours=64))
