@@ -392,3 +392,37 @@ def test_complete_grid_chunked_ranges(spark):
     assert got == sorted(exp)
     r = {(x.u, x.hr): (x.starttime, x.endtime) for x in g.collect()}
     assert r[(1, 7)] == (T0 + dt.timedelta(hours=56), T0 + dt.timedelta(hours=64))
+
+
+def test_interval_closures_band_and_event_hour(spark):
+    from stayframe.operators.cohort import band_flag, event_hour
+    from stayframe.operators.grid import hourly_mean, interval_join
+    from stayframe.operators.joins import membership_flag, time_band_join
+    g = spark.createDataFrame([(1, 0, T0, T0 + dt.timedelta(hours=8)),
+                               (1, 1, T0 + dt.timedelta(hours=8), T0 + dt.timedelta(hours=16))],
+                              "k long, b int, s timestamp_ntz, e timestamp_ntz")
+    ev = spark.createDataFrame([(1, T0), (1, T0 + dt.timedelta(hours=8))], "k long, t timestamp_ntz")
+
+    def pairs(closed):
+        return sorted((r.b, r.t) for r in interval_join(g, ev, ["k"], "s", "e", "t", closed).collect())
+    assert pairs("right") == [(0, T0 + dt.timedelta(hours=8))]
+    assert pairs("left") == [(0, T0), (1, T0 + dt.timedelta(hours=8))]
+    assert pairs("both") == [(0, T0), (0, T0 + dt.timedelta(hours=8)), (1, T0 + dt.timedelta(hours=8))]
+    # a time on a shared border flags both bins; event hour rounds half up
+    t = T0 + dt.timedelta(hours=8)
+    x = g.withColumn("t", F.lit(t).cast("timestamp_ntz")).select("b", band_flag("s", "e", "t").alias("f"),
+                                                                 event_hour("b", 8, "s", "e", "t").alias("h"))
+    assert sorted((r.b, r.f, r.h) for r in x.collect()) == [(0, 1, 8), (1, 1, 8)]
+    half = g.withColumn("t", F.lit(T0 + dt.timedelta(hours=2, minutes=30)).cast("timestamp_ntz"))
+    assert [r.h for r in half.select(event_hour("b", 8, "s", "e", "t").alias("h")).orderBy("b").collect()] == [3, None]
+    # band join is closed on both ends
+    anchors = spark.createDataFrame([(1, T0 + dt.timedelta(hours=24))], "k long, a timestamp_ntz")
+    grid = spark.createDataFrame([(1, h, T0 + dt.timedelta(hours=h)) for h in (0, 24, 48, 49)], "k long, h int, s timestamp_ntz")
+    assert sorted(r.h for r in time_band_join(grid, anchors, ["k"], "s", "a", 24, 24).collect()) == [0, 24, 48]
+    # hourly means drop null keys; membership flag is 0/1
+    raw = spark.createDataFrame([(1, T0 + dt.timedelta(minutes=5), 2.0), (1, T0 + dt.timedelta(minutes=50), 4.0),
+                                 (None, T0, 9.0)], "k long, t timestamp_ntz, v double")
+    assert [(r.k, r.v) for r in hourly_mean(raw, ["k"], "t", ["v"]).collect()] == [(1, 3.0)]
+    users = spark.createDataFrame([(1,), (2,)], "k long")
+    ids = spark.createDataFrame([(2,), (2,), (None,)], "k long")
+    assert sorted((r.k, r.f) for r in membership_flag(users, ids, "k", "k", "f").collect()) == [(1, 0), (2, 1)]
