@@ -34,11 +34,21 @@ def written(df: DataFrame, name: str) -> DataFrame:
     files: later branches neither recompute it nor depend on its lineage."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     release(spark)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def discard(*tables: DataFrame) -> None:
+    """Delete the files of tables from ``written`` that no later step reads."""
+    for df in tables:
+        spark = df.sparkSession
+        folder = df.inputFiles()[0].rpartition("/")[0] if df.inputFiles() else None
+        if folder and folder.rpartition("/")[0].split(":")[-1].lstrip("/") == shared_dir(spark).split(":")[-1].lstrip("/"):
+            path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def release(spark: SparkSession) -> None:
     """Let Spark drop the shuffle files of jobs whose results are written: it
     does so when the driver collects the frames that own them."""
