@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from stayframe.llm import q_bitslice, q_bpe, q_chat, q_phrases, q_pii, q_quality, q_simhash
+from stayframe.llm import q_bitslice, q_bpe, q_chat, q_html, q_phrases, q_pii, q_quality, q_simhash
 
-_MODULES = (q_bitslice, q_bpe, q_chat, q_phrases, q_pii, q_quality, q_simhash)
+_MODULES = (q_bitslice, q_bpe, q_chat, q_html, q_phrases, q_pii, q_quality, q_simhash)
 
 QUERIES = {k: v for m in _MODULES for k, v in m.QUERIES.items()}
 ORACLE = {k: v for m in _MODULES for k, v in m.ORACLE.items()}
