@@ -2,9 +2,20 @@
 
 from __future__ import annotations
 
-from stayframe.llm import q_bitslice, q_bpe, q_chat, q_html, q_phrases, q_pii, q_quality, q_simhash
+from stayframe.llm import (
+    q_bitslice,
+    q_bpe,
+    q_chat,
+    q_html,
+    q_mixing,
+    q_phrases,
+    q_pii,
+    q_quality,
+    q_simhash,
+    q_toxicity,
+)
 
-_MODULES = (q_bitslice, q_bpe, q_chat, q_html, q_phrases, q_pii, q_quality, q_simhash)
+_MODULES = (q_pii, q_toxicity, q_chat, q_html, q_phrases, q_simhash, q_mixing, q_quality, q_bitslice, q_bpe)
 
 QUERIES = {k: v for m in _MODULES for k, v in m.QUERIES.items()}
 ORACLE = {k: v for m in _MODULES for k, v in m.ORACLE.items()}
