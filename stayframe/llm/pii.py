@@ -37,7 +37,7 @@ BASE = ("email", "ip", "card", "phone")
 MORE = ("handle", "iban", "local_phone", "secret", "ssn")
 EMAIL_LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 EMAIL_DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
-IP_CHAIN = re.compile(r"[0-9]+(?:\.[0-9]+)+")
+IP_CHAIN = re.compile(r"[0-9]++(?:\.[0-9]++)*+")
 CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 # ---------------------------------------------------------------------------

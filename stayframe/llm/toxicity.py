@@ -59,6 +59,10 @@ def _logistic(x: np.ndarray, y: np.ndarray, rounds: int = ROUNDS) -> np.ndarray:
     """Weights, the constant last, by Adam steps on the whole sample."""
     n = len(x)
     w = np.zeros(x.shape[1] + 1)
+    if not 0 < y.sum() < n:                      # one label only: its share as a constant
+        share = (y.sum() + 0.5) / (n + 1)
+        w[-1] = np.log(share / (1 - share))
+        return w
     mean, square = np.zeros_like(w), np.zeros_like(w)
     for t in range(1, rounds + 1):
         p = _probability(x, w)
