@@ -281,8 +281,7 @@ def deduplicate(docs: DataFrame, key: str = "doc_id", text: str = "text", hot: i
     # all but the first occurrence of a segment repeat every window of it
     later = written(pieces.select("key", "id", "tie", "at", "n").join(
         distinct.select("key", "id", "tie", "at"), ["key", "id", "tie", "at"], "left_anti").select(
-        "id", "tie", "at", F.when(F.col("n") == 64, F.lit(-1).cast("long"))
-        .otherwise(F.call_function("shiftleft", F.lit(1).cast("long"), F.col("n")) - 1).alias("mask")), "later")
+        "id", "tie", "at", F.call_function("shiftrightunsigned", F.lit(-1).cast("long"), 64 - F.col("n")).alias("mask")), "later")
     discard(pieces)
     shards = distinct.repartition("key").sortWithinPartitions("key")
     located_first = written(shards.mapInArrow(_stream, "id long, tie long, at int, mask long"), "located")
