@@ -18,8 +18,10 @@ def trained(spark: SparkSession, sf_dir: str) -> toxicity.Chain:
     docs = table(spark, sf_dir, "documents", "doc_id", "text")
     sets, y = toxicity.gather(docs, labels, "toxic", ["low_quality"])
     toxic, low = y[:, 0], y[:, 1]
-    clean = np.unique(np.concatenate([*(s for s, t in zip(sets, toxic, strict=True) if not t), np.zeros(0, np.uint32)]))
-    marked = np.array([0 if not t else int((~np.isin(s, clean)).sum()) for s, t in zip(sets, toxic, strict=True)])
+    every = np.concatenate([*sets, np.zeros(0, np.uint32)])
+    row = np.repeat(np.arange(len(sets)), [len(t) for t in sets])
+    only_toxic = ~np.isin(every, every[toxic[row] == 0])
+    marked = np.bincount(row, only_toxic, len(sets))
     middle = np.median(marked[toxic == 1]) if toxic.any() else 0
     severe = ((toxic == 1) & (marked >= middle)).astype(int)
     return toxicity.fit(sets, np.stack([low, toxic, severe], 1), ["low_quality", "toxic", "severe"], main=1)

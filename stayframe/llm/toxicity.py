@@ -32,7 +32,7 @@ SAMPLE = 6000            # labelled documents fitted on
 FEATURES = 1024          # words and beginnings kept, by their chi-square
 BEGINNINGS = (4, 5, 6)   # lengths of word beginnings
 FOLDS = 3
-ROUNDS = 120
+ROUNDS = 60
 RATE = 0.1
 RIDGE = 1e-4
 PRECISION = 0.99         # out-of-fold, of a category's flags
@@ -122,7 +122,9 @@ def fit(term_sets: list[np.ndarray], labels: np.ndarray, categories: list[str],
     column[chosen] = np.arange(len(chosen))
     x = np.zeros((n, len(chosen) + len(categories)), np.float32)
     use = column[code] >= 0
-    x[row[use], column[code[use]]] = 1
+    # a term weighs as much as it tells, so that strong terms are learned first
+    scale = np.sqrt(chi[chosen] / max(chi[chosen].max(initial=0), 1e-9)).astype(np.float32)
+    x[row[use], column[code[use]]] = scale[column[code[use]]]
     m, fold = len(chosen), np.arange(n) % FOLDS
     weights, thresholds = [], []
     for j in range(len(categories)):
@@ -134,7 +136,9 @@ def fit(term_sets: list[np.ndarray], labels: np.ndarray, categories: list[str],
             if held.any() and not held.all():
                 out[held] = _probability(x[held, :width], _logistic(x[~held, :width], y[~held]))
         x[:, width] = out                                       # later models see out-of-fold values only
-        weights.append(_logistic(x[:, :width], y))
+        w = _logistic(x[:, :width], y)
+        w[:m] *= scale                                          # texts to score have plain ones
+        weights.append(w)
         thresholds.append(_threshold(out, y))
     return Chain(list(categories), {int(known[c]): i for i, c in enumerate(chosen)}, weights, thresholds)
 
