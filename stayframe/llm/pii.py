@@ -4,8 +4,8 @@ Four base kinds (email, ip, card, phone) are found by their fixed formats and
 always stay. Beyond them, high-recall generators propose overlapping spans of
 further kinds; boosted trees score each span from its format and its context,
 and a threshold per kind, calibrated on held-out labelled spans, selects the
-redactions. Of overlapping selected spans the best scored stays; spans that
-touch a base span are dropped, since that text is redacted already.
+redactions. Of overlapping selected spans the best scored stays; spans inside
+a base span are dropped, since that text is redacted already.
 
 The trees are fitted on the driver on ``TRAIN_TEXTS`` generated, labelled texts
 (a fixed bound): no table here labels personal data.
@@ -19,6 +19,7 @@ asked for; an empty table gives an empty result."""
 
 from __future__ import annotations
 
+import bisect
 import math
 import random
 import re
@@ -48,7 +49,7 @@ SEED = 7
 _TOKEN = re.compile(r"[A-Za-z0-9][A-Za-z0-9_+/=-]{15,}")
 _DIGITS = re.compile(r"[0-9](?:[ ().-]{0,2}[0-9])+")
 _IBAN = re.compile(r"[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])")
-_HANDLE = re.compile(r"[A-Za-z0-9._-]{1,64} ?[\[(]at[\])] ?[A-Za-z0-9-]{1,63}(?: ?(?:\.|[\[(]dot[\])]) ?[A-Za-z0-9-]{1,63}){1,4}")
+_HANDLE = re.compile(r"[A-Za-z0-9._-]{1,64} ?[\[(]at[\])] ?[A-Za-z0-9-]{1,63}(?:\.[A-Za-z0-9-]{1,63}| ?[\[(]dot[\])] ?[A-Za-z0-9-]{1,63}){1,4}")
 CUES = {
     "phone": ("phone", "tel", "call", "fax", "mobile", "dial", "reach"),
     "ssn": ("ssn", "social", "security no", "tax id"),
@@ -113,8 +114,11 @@ def candidates(t: str) -> list[tuple[str, int, int]]:
                 out.append(("ssn", m.start(), m.end()))
     for m in _TOKEN.finditer(t):
         s = m.group()
-        if any(c.isdigit() for c in s):
+        if any(c.isdigit() for c in s) or s.isupper():
             out.append(("secret", m.start(), m.end()))
+            at = s.rstrip("=").rfind("=") + 1          # name=value: the value alone as well
+            if at and len(s) - at >= 16:
+                out.append(("secret", m.start() + at, m.end()))
     for m in _IBAN.finditer(t):
         out.append(("iban", m.start(), m.end()))
     if "at]" in t or "at)" in t:
@@ -217,7 +221,7 @@ class Model:
         for b, more in zip(base, picked, strict=True):
             spans = [(*s, 1.0) for s in b]
             if more:
-                # best first among overlapping; clear of the base spans
+                # best first among overlapping; none inside a base span
                 taken = _free(b, more)
                 spans += sorted(taken, key=lambda s: (order[s[0]], s[1]))
             out.append(spans)
@@ -225,20 +229,16 @@ class Model:
 
 
 def _free(base: list[tuple[str, int, int]], more: list[tuple[str, int, int, float]]) -> list:
-    """The spans of ``more`` that touch no base span and no better span."""
-    import bisect
-    starts, ends = [], []           # of taken spans, disjoint and sorted
-
-    def add(s: int, e: int) -> bool:
-        i = bisect.bisect_left(ends, s + 1)
-        if i < len(starts) and starts[i] < e:
-            return False
-        starts.insert(i, s), ends.insert(i, e)
-        return True
-
-    for s, e in merged([(s, e) for _, s, e in base]):
-        starts.append(s), ends.append(e)
-    return [x for x in sorted(more, key=lambda x: (-x[3], x[1], -x[2], x[0])) if add(x[1], x[2])]
+    """The spans of ``more`` that lie in no base span and touch no better span."""
+    cover = merged([(s, e) for _, s, e in base])
+    starts, ends, out = [], [], []           # of taken spans, disjoint and sorted
+    for x in sorted(more, key=lambda x: (-x[3], x[1], -x[2], x[0])):
+        i = bisect.bisect_right(cover, (x[1], 1 << 62)) - 1
+        j = bisect.bisect_left(ends, x[1] + 1)
+        if (i < 0 or cover[i][1] < x[2]) and not (j < len(starts) and starts[j] < x[2]):
+            starts.insert(j, x[1]), ends.insert(j, x[2])
+            out.append(x)
+    return out
 
 
 def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
