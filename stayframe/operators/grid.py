@@ -15,15 +15,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stayframe.functions.columns import bin_index, bin_start
-from stayframe.operators.seq import GRID_CHUNK
-
-
-def with_origin(df: DataFrame, keys: Sequence[str], time: str, out: str = "origin") -> DataFrame:
-    """Attach each entity's first time. The per-entity table is joined back;
-    adaptive execution broadcasts it when its measured size is small and
-    otherwise runs a sort-merge join with skewed partitions split."""
-    o = df.groupBy(*keys).agg(F.min(time).alias(out))
-    return df.join(o, list(keys), "inner")
+from stayframe.operators.seq import GRID_CHUNK, salted_join
+from stayframe.session import materialize
 
 
 def with_bin(df: DataFrame, time: str, origin: str, width_hours: float,
@@ -77,6 +70,11 @@ def complete_grid(binned: DataFrame, keys: Sequence[str], bin_col: str, origin:
     return g.select(*keys, origin, bin_col, *feats, start, end, chunk)
 
 
+def entity_bounds(events: DataFrame, keys: Sequence[str], time: str, origin: str = "origin") -> DataFrame:
+    """(keys, first time, last time) of every entity, written once."""
+    return materialize(events.groupBy(*keys).agg(F.min(time).alias(origin), F.max(time).alias("_last")), "bounds")
+
+
 def event_grid(events: DataFrame, keys: Sequence[str], time: str, width_hours: int,
                aggs: Sequence[Column], closed: str = "left", bin_col: str = "hr",
                origin: str = "origin", complete: bool = True) -> DataFrame:
@@ -84,11 +82,13 @@ def event_grid(events: DataFrame, keys: Sequence[str], time: str, width_hours: i
     event, with ``aggs`` evaluated per bin. closed='right' bins are (s, e],
     so the event at the origin itself matches no bin.
 
-    One per-entity aggregate (first and last time) gives both the origin
-    joined back to the events and the last bin of the skeleton, so the
-    events are read twice in all: for that aggregate and for the bins."""
-    ent = events.groupBy(*keys).agg(F.min(time).alias(origin), F.max(time).alias("_last"))
-    e = events.join(ent.select(*keys, origin), list(keys), "inner")
+    One per-entity table (first and last time), written once, gives both the
+    origin joined back to the events and the last bin of the skeleton, so the
+    events are read twice in all: for that table and for the bins. The join
+    back is salted: a hot entity's events stay spread over tasks until they
+    are aggregated per bin."""
+    ent = entity_bounds(events, keys, time, origin)
+    e = salted_join(events, ent.select(*keys, origin), keys, time)
     e = with_bin(e, time, origin, width_hours, closed, bin_col).filter(F.col(bin_col) >= 0)
     b = e.groupBy(*keys, origin, bin_col).agg(*aggs)
     if not complete:

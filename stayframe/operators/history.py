@@ -21,35 +21,38 @@ def early_stop(df: DataFrame, s: Seq, loss: str, patience: int = 20) -> DataFram
     The last reset at or before epoch e is the latest epoch attaining the
     running minimum, so one chunked prefix pass carries (minimum, latest
     epoch) and (minimum, first epoch); a final partial aggregate per
-    experiment picks the stop. Returns n_epochs, stop_epoch (null: never
+    experiment picks the stop. An epoch without a loss (null) neither resets
+    the counter nor becomes the best one; before the first loss nothing stops. Returns n_epochs, stop_epoch (null: never
     stopped), best_epoch, best_loss."""
     w = Window.partitionBy(*s.part).orderBy(s.order)
     upto = w.rowsBetween(Window.unboundedPreceding, 0)
     lv = F.col(loss)
+
+    def at(epoch, value=lv, name="e"):          # (loss, epoch); null without a loss
+        return F.when(value.isNotNull(), F.struct(value.alias("l"), epoch.alias(name)))
+
     x = df.withColumn("_lrn", F.row_number().over(w) - 1)
-    x = x.withColumn("_rl", F.min(F.struct(lv.alias("l"), (-F.col("_lrn")).alias("e"))).over(upto))
-    x = x.withColumn("_rf", F.min(F.struct(lv.alias("l"), F.col("_lrn").alias("e"))).over(upto))
+    x = x.withColumn("_rl", F.min(at(-F.col("_lrn"))).over(upto))
+    x = x.withColumn("_rf", F.min(at(F.col("_lrn"))).over(upto))
     summ = x.groupBy(*s.part).agg(F.count(F.lit(1)).alias("_n"),
-                                  F.min(F.struct(lv.alias("l"), (-F.col("_lrn")).alias("e"))).alias("_cl"),
-                                  F.min(F.struct(lv.alias("l"), F.col("_lrn").alias("e"))).alias("_cf"))
+                                  F.min(at(-F.col("_lrn"))).alias("_cl"),
+                                  F.min(at(F.col("_lrn"))).alias("_cf"))
     prev = Window.partitionBy(*s.keys).orderBy(s.chunk).rowsBetween(Window.unboundedPreceding, -1)
     summ = summ.withColumn("_off", F.coalesce(F.sum("_n").over(prev), F.lit(0)))
     summ = summ.select(*s.part, "_off",
-                       F.struct(F.col("_cl.l").alias("l"), (F.col("_cl.e") - F.col("_off")).alias("e")).alias("_gl"),
-                       F.struct(F.col("_cf.l").alias("l"), (F.col("_cf.e") + F.col("_off")).alias("e")).alias("_gf"))
+                       at(F.col("_cl.e") - F.col("_off"), F.col("_cl.l")).alias("_gl"),
+                       at(F.col("_cf.e") + F.col("_off"), F.col("_cf.l")).alias("_gf"))
     carry = summ.select(*s.part, "_off", F.min("_gl").over(prev).alias("_kl"), F.min("_gf").over(prev).alias("_kf"))
     y = x.join(carry, s.part, "inner")
     ep = F.col("_lrn") + F.col("_off")
-    run_last = F.struct(F.col("_rl.l").alias("l"), (F.col("_rl.e") - F.col("_off")).alias("e"))
-    run_first = F.struct(F.col("_rf.l").alias("l"), (F.col("_rf.e") + F.col("_off")).alias("e"))
-    run_last = F.when(F.col("_kl").isNull(), run_last).otherwise(F.least(run_last, F.col("_kl")))
-    run_first = F.when(F.col("_kf").isNull(), run_first).otherwise(F.least(run_first, F.col("_kf")))
+    run_last = F.least(at(F.col("_rl.e") - F.col("_off"), F.col("_rl.l")), F.col("_kl"))
+    run_first = F.least(at(F.col("_rf.e") + F.col("_off"), F.col("_rf.l")), F.col("_kf"))
     y = y.select(*s.keys, ep.alias("_ep"), lv.alias("_loss"), run_first.alias("_best"),
                  (ep + run_last["e"]).alias("_gap"))
     g = y.groupBy(*s.keys).agg(
         F.count(F.lit(1)).alias("n_epochs"),
         F.min(F.when(F.col("_gap") >= patience, F.struct(F.col("_ep").alias("e"), F.col("_best").alias("b")))).alias("_stop"),
-        F.min(F.struct(F.col("_loss").alias("l"), F.col("_ep").alias("e"))).alias("_all"))
+        F.min(at(F.col("_ep"), F.col("_loss"))).alias("_all"))
     best = F.coalesce(F.col("_stop.b"), F.col("_all"))
     return g.select(*s.keys, "n_epochs", F.col("_stop.e").alias("stop_epoch"), best["e"].alias("best_epoch"),
                     best["l"].alias("best_loss"))

@@ -10,16 +10,20 @@ from pyspark.sql import functions as F
 
 def not_in(left: DataFrame, right: DataFrame, lkey: str, rkey: str) -> DataFrame:
     """SQL ``lkey NOT IN (SELECT rkey FROM right)`` with its null semantics:
-    any null in the list gives no rows, a null left key never qualifies.
+    any null in the list gives no rows, a null left key never qualifies, and
+    an empty list keeps every row, null keys too.
 
     Spark plans NOT IN as a null-aware anti join that broadcasts the list;
-    here the list is de-duplicated, its null check is a tiny aggregate, and
-    the anti join itself is an ordinary (shuffled or adaptive-broadcast) join,
+    here one aggregate counts the list and its nulls, the list is de-duplicated,
+    and the anti join itself is an ordinary (shuffled or adaptive-broadcast) join,
     so the list may be as large as the data."""
-    r = right.select(F.col(rkey).alias("_nk")).distinct()
-    has_null = r.filter(F.col("_nk").isNull()).limit(1).count() > 0
-    if has_null:
+    r = right.select(F.col(rkey).alias("_nk"))
+    listed = r.agg(F.count(F.lit(1)).alias("n"), F.count("_nk").alias("k")).first()
+    if not listed["n"]:
+        return left
+    if listed["n"] > listed["k"]:
         return left.filter(F.lit(False))
+    r = r.distinct()
     return left.filter(F.col(lkey).isNotNull()).join(r, F.col(lkey) == F.col("_nk"), "left_anti")
 
 
@@ -42,12 +46,25 @@ def time_band_join(grid: DataFrame, anchors: DataFrame, keys: Sequence[str], sta
 
 
 def outer_merge_pivot(long: DataFrame, keys: Sequence[str], param: str, value: str,
-                      params: Sequence[str], agg=F.first) -> DataFrame:
+                      params: Sequence[str]) -> DataFrame:
     """N-way full outer merge of per-parameter tables that share ``keys``,
     done as one union of long rows and one pivot with an explicit value list
     (no chain of N full outer joins; the result does not depend on the order
-    of the inputs). Requires (keys, param) unique in ``long``."""
-    return long.groupBy(*keys).pivot(param, list(params)).agg(agg(value))
+    of the inputs). (keys, param) must be unique in ``long``: a repeated cell
+    fails the job instead of losing a row; ``outer_merge`` multiplies such rows."""
+    cell = long.groupBy(*keys, param).agg(F.first(value).alias("_v"), F.count(F.lit(1)).alias("_n"))
+    once = F.when(F.col("_n") == 1, F.col("_v")).otherwise(
+        F.raise_error(F.lit("outer_merge_pivot: repeated (keys, param); use outer_merge")))
+    return cell.withColumn("_v", once).groupBy(*keys).pivot(param, list(params)).agg(F.first("_v"))
+
+
+def outer_merge(tables: Sequence[DataFrame], keys: Sequence[str]) -> DataFrame:
+    """N-way full outer merge by chained null-safe joins: null keys match null
+    keys, and repeated keys give every combination of their rows."""
+    out = tables[0]
+    for t in tables[1:]:
+        out = null_safe_join(out, t, keys, "full")
+    return out
 
 
 def null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "full") -> DataFrame:

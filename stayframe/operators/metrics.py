@@ -2,8 +2,8 @@
 
 Scores are first reduced to one row per distinct score (positives,
 negatives) with partial aggregation; cumulative counts over the score order
-use the chunked prefix scan (``seq.prefix_aggs``) with chunks of the score
-range, so no step puts all rows, or all distinct scores, in one task.
+use the chunked prefix scan (``seq.prefix_aggs``) over range partitions of the
+scores, so no step puts all rows, or all distinct scores, in one task.
 """
 
 from __future__ import annotations
@@ -13,10 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from stayframe.operators.seq import Seq, prefix_aggs, with_chunk
-
-SCORE_CHUNK = 1.0 / 1024
-
+from stayframe.operators.seq import Seq, prefix_aggs, range_chunks
 
 def score_table(df: DataFrame, score: str, label: str, groups: Sequence[str] = (),
                 bounded_groups: bool = False) -> DataFrame:
@@ -31,7 +28,7 @@ def score_table(df: DataFrame, score: str, label: str, groups: Sequence[str] = (
         return t.select("*", F.coalesce(F.sum("pos").over(w), F.lit(0)).alias("pos_below"),
                         F.coalesce(F.sum("neg").over(w), F.lit(0)).alias("neg_below"))
     s = Seq(tuple(groups), score, "_schunk")
-    t = with_chunk(t, s, SCORE_CHUNK)
+    t = range_chunks(t, [*groups, score], s.chunk)
     t = prefix_aggs(t, s, [("pos_below", "sum", F.col("pos")), ("neg_below", "sum", F.col("neg"))],
                     inclusive=False)
     return t.fillna(0, ["pos_below", "neg_below"]).drop("_schunk")

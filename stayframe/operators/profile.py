@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stayframe.operators.quantile import exact_quantiles_multi
+from stayframe.operators.quantile import group_quantiles
 
 
 def null_profile(df: DataFrame, cols: Sequence[str], digits: int = 3) -> DataFrame:
@@ -40,17 +40,16 @@ def never_observed(df: DataFrame, keys: Sequence[str], cols: Sequence[str]) -> D
     return a.selectExpr(stack)
 
 
-def describe(df: DataFrame, group: str, value: str, groups: Sequence[str]) -> DataFrame:
-    """count, mean, sample std, min, exact quartiles, max of ``value`` per group."""
-    spark: SparkSession = df.sparkSession
+def describe(df: DataFrame, group: str, value: str) -> DataFrame:
+    """count, mean, sample std, min, exact quartiles, max of ``value`` for every
+    group the data holds."""
     base = df.groupBy(group).agg(F.count(value).alias("count"), F.avg(value).alias("mean"),
                                  F.stddev_samp(value).alias("std"), F.min(value).alias("min"),
                                  F.max(value).alias("max"))
-    wide = df.select(*[F.when(F.col(group) == g, F.col(value)).alias(f"_q_{g}") for g in groups])
-    qs = exact_quantiles_multi(wide, [f"_q_{g}" for g in groups], (0.25, 0.5, 0.75))
-    rows = [(g, qs[0.25][f"_q_{g}"], qs[0.5][f"_q_{g}"], qs[0.75][f"_q_{g}"]) for g in groups]
-    qdf = spark.createDataFrame(rows, f"{group} string, q25 double, q50 double, q75 double")
-    return base.join(qdf, group, "left")
+    pick = lambda q: F.max(F.when(F.col("q") == q, F.col("quantile")))
+    qdf = group_quantiles(df, group, value, (0.25, 0.5, 0.75)).groupBy(F.col(group).alias("_dg")).agg(
+        pick(0.25).alias("q25"), pick(0.5).alias("q50"), pick(0.75).alias("q75"))
+    return base.join(qdf, F.col(group).eqNullSafe(F.col("_dg")), "left").drop("_dg")
 
 
 def duplicate_groups(df: DataFrame, keys: Sequence[str], tiebreak: Sequence[str], label: str,

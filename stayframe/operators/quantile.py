@@ -2,166 +2,65 @@
 
 ``F.median`` / ``percentile`` keep a value->count map per group and merge the
 whole map in one final task; over a large continuous column that map is the
-column. Here values are first reduced to (column, value, count) with partial
-aggregation, then each wanted order statistic is located by repeated
-histogram refinement: every round aggregates the candidate range into at most
-``buckets`` value buckets (a bounded result), keeps the bucket holding the
-wanted rank and narrows the range to that bucket's smallest and largest value.
-Once a range holds at most ``max_exact`` distinct values those few rows are
-fetched and the statistic read off exactly. Interpolation between the two
-neighbouring order statistics matches pandas / Spark ``median``.
+column. Here values are reduced to (group, value, count) with partial
+aggregation and cut into range partitions of about equal size. Partition
+totals, one row per partition and group, give the rows before each partition
+and so the one partition that holds a wanted rank; only there a running count
+finds the value. One plan for every size, all quantiles of all groups in one
+pass. Interpolation between the two neighbouring order statistics matches
+pandas / Spark ``median``.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
-from pyspark import StorageLevel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-
-def _long_values(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    pairs = F.explode(F.array(*[F.struct(F.lit(c).alias("f"), F.col(c).cast("double").alias("v"))
-                                for c in cols]))
-    return df.select(pairs.alias("s")).select("s.f", "s.v").filter(F.col("v").isNotNull() & ~F.isnan("v"))
-
-
-def exact_quantiles_multi(df: DataFrame, cols: Sequence[str], qs: Sequence[float],
-                          max_fetch: int = 250_000, **kw) -> dict[float, dict[str, float | None]]:
-    """Several quantiles at once: one bounded fetch when the distinct values
-    are few, otherwise one refinement search per quantile."""
-    dist = _long_values(df, cols).groupBy("f", "v").agg(F.count(F.lit(1)).alias("n"))
-    few = dist.limit(max_fetch + 1).collect()
-    if len(few) <= max_fetch:
-        return {q: _from_rows(few, cols, q) for q in qs}
-    return {q: exact_quantiles(df, cols, q, max_fetch=0, **kw) for q in qs}
-
-
-def exact_quantiles(df: DataFrame, cols: Sequence[str], q: float = 0.5, buckets: int = 1024,
-                    max_exact: int = 20_000, max_fetch: int = 250_000) -> dict[str, float | None]:
-    """Exact q-quantile of every column (nulls ignored); None for an all-null column.
-
-    When all columns together have at most ``max_fetch`` distinct values they
-    are fetched in one bounded job; otherwise ranges are refined until each
-    holds at most ``max_exact`` distinct values."""
-    dist = _long_values(df, cols).groupBy("f", "v").agg(F.count(F.lit(1)).alias("n"))
-    dist = dist.persist(StorageLevel.MEMORY_AND_DISK)     # shared by the fetch attempt and the refinement
-    try:
-        # fast path: few distinct values in all -> one bounded fetch, no refinement
-        if max_fetch > 0:
-            few = dist.limit(max_fetch + 1).collect()
-            if len(few) <= max_fetch:
-                return _from_rows(few, cols, q)
-        tot = {r["f"]: r for r in dist.groupBy("f").agg(
-            F.sum("n").alias("n"), F.count(F.lit(1)).alias("d"),
-            F.min("v").alias("lo"), F.max("v").alias("hi")).collect()}
-        # searches: (column, wanted 0-based rank) -> state [lo, hi, rank within range, distinct]
-        searches = {}
-        for c in cols:
-            if c not in tot:
-                continue
-            r = q * (tot[c]["n"] - 1)
-            for k in {math.floor(r), math.ceil(r)}:
-                searches[(c, k)] = [tot[c]["lo"], tot[c]["hi"], k, tot[c]["d"]]
-        found: dict[tuple[str, int], float] = {}
-        while searches:
-            small = {key: st for key, st in searches.items() if st[3] <= max_exact or st[0] == st[1]}
-            found.update(_pick_exact(dist, small))
-            for key in small:
-                del searches[key]
-            if not searches:
-                break
-            _refine(dist, searches, buckets)
-        out: dict[str, float | None] = {}
-        for c in cols:
-            if c not in tot:
-                out[c] = None
-                continue
-            r = q * (tot[c]["n"] - 1)
-            lo_v, hi_v = found[(c, math.floor(r))], found[(c, math.ceil(r))]
-            out[c] = lo_v + (hi_v - lo_v) * (r - math.floor(r))
-        return out
-    finally:
-        dist.unpersist()
-
-
-def _from_rows(rows, cols: Sequence[str], q: float) -> dict[str, float | None]:
-    out: dict[str, float | None] = {}
-    for c in cols:
-        vals = sorted((r["v"], r["n"]) for r in rows if r["f"] == c)
-        total = sum(n for _, n in vals)
-        if not total:
-            out[c] = None
-            continue
-        r = q * (total - 1)
-        lo_k, hi_k = math.floor(r), math.ceil(r)
-        acc, lo_v, hi_v = 0, None, None
-        for v, n in vals:
-            if lo_v is None and acc + n > lo_k:
-                lo_v = v
-            if acc + n > hi_k:
-                hi_v = v
-                break
-            acc += n
-        out[c] = lo_v + (hi_v - lo_v) * (r - lo_k)
-    return out
-
-
-def _pick_exact(dist: DataFrame, small: dict) -> dict:
-    """Resolve every search whose range is small, with one fetch of all their rows."""
-    out, need = {}, {}
-    for key, (lo, hi, k, _) in small.items():
-        if lo == hi:
-            out[key] = float(lo)
-        else:
-            need[key] = (lo, hi, k)
-    if not need:
-        return out
-    cond = None
-    for (c, _), (lo, hi, _) in need.items():
-        m = (F.col("f") == c) & F.col("v").between(lo, hi)
-        cond = m if cond is None else cond | m
-    rows = dist.filter(cond).select("f", "v", "n").collect()
-    for key, (lo, hi, k) in need.items():
-        vals = sorted((r["v"], r["n"]) for r in rows if r["f"] == key[0] and lo <= r["v"] <= hi)
-        acc = 0
-        for v, n in vals:
-            acc += n
-            if acc > k:
-                out[key] = float(v)
-                break
-        else:
-            raise RuntimeError("rank outside range")
-    return out
-
-
-def _refine(dist: DataFrame, searches: dict, buckets: int) -> None:
-    """One bucketing round for all open searches (one Spark job)."""
-    keys = list(searches.keys())
-    inside = [(F.col("f") == c) & F.col("v").between(searches[(c, k)][0], searches[(c, k)][1])
-              for c, k in keys]
-    # one value may belong to several searches (two ranks of one column): explode ids
-    ids = F.array(*[F.when(m, F.lit(i)) for i, m in enumerate(inside)])
-    x = dist.select("v", "n", F.explode(ids).alias("sid")).filter(F.col("sid").isNotNull())
-    bexpr = None
-    for i, key in enumerate(keys):
-        lo, hi = searches[key][0], searches[key][1]
-        b = F.least(F.floor((F.col("v") - F.lit(lo)) / F.lit(hi - lo) * buckets), F.lit(buckets - 1))
-        bexpr = F.when(F.col("sid") == i, b) if bexpr is None else bexpr.when(F.col("sid") == i, b)
-    stats = (x.withColumn("b", bexpr.cast("int")).groupBy("sid", "b")
-             .agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("d"),
-                  F.min("v").alias("lo"), F.max("v").alias("hi")).collect())
-    per: dict[int, list] = {}
-    for r in stats:
-        per.setdefault(r["sid"], []).append(r)
-    for i, key in enumerate(keys):
-        rows = sorted(per[i], key=lambda r: r["b"])
-        k = searches[key][2]
-        acc = 0
-        for r in rows:
-            if acc + r["n"] > k:
-                searches[key] = [r["lo"], r["hi"], k - acc, r["d"]]
-                break
-            acc += r["n"]
+from stayframe.operators.seq import range_chunks
+
+UNB = Window.unboundedPreceding
+
+
+def group_quantiles(long: DataFrame, group: str, value: str, qs: Sequence[float]) -> DataFrame:
+    """(group, q, quantile) for every group with a value and every q of ``qs``;
+    nulls and NaN are ignored, infinities are ordinary values, a null group is
+    a group."""
+    v = long.select(F.col(group).alias("_g"), F.col(value).cast("double").alias("_v"))
+    v = v.filter(F.col("_v").isNotNull() & ~F.isnan("_v"))
+    dist = range_chunks(v.groupBy("_g", "_v").agg(F.count(F.lit(1)).alias("_n")), ["_g", "_v"], "_part")
+    parts = dist.groupBy("_g", "_part").agg(F.sum("_n").alias("_size"))
+    by_group = Window.partitionBy("_g")
+    parts = parts.select("_g", "_part", "_size", F.sum("_size").over(by_group).alias("_total"), F.coalesce(
+        F.sum("_size").over(by_group.orderBy("_part").rowsBetween(UNB, -1)), F.lit(0)).alias("_before"))
+    wanted = F.explode(F.array(*[F.lit(float(q)) for q in qs])).alias("q")
+    place = F.col("q") * (F.col("_total") - 1)
+    ranks = F.explode(F.array_distinct(F.array(F.floor(F.col("_place")), F.ceil(F.col("_place"))))).alias("_rank")
+    want = parts.select("*", wanted).withColumn("_place", place).select("*", ranks).filter(
+        (F.col("_rank") >= F.col("_before")) & (F.col("_rank") < F.col("_before") + F.col("_size")))
+    run = F.sum("_n").over(Window.partitionBy("_g", "_part").orderBy("_v").rowsBetween(UNB, 0))
+    holding = want.select("_g", "_part").distinct()
+    same = lambda a, b: a["_g"].eqNullSafe(b["_g"]) & (a["_part"] == b["_part"])
+    rows = dist.join(holding, same(dist, holding), "left_semi").withColumn("_run", run)
+    found = rows.alias("r").join(want.alias("w"), (F.col("r._g").eqNullSafe(F.col("w._g"))) & (F.col("r._part") == F.col("w._part")) & (
+        F.col("w._rank") < F.col("w._before") + F.col("r._run")) & (
+        F.col("w._rank") >= F.col("w._before") + F.col("r._run") - F.col("r._n")))
+    low, high = F.min("r._v"), F.max("r._v")
+    frac = F.first("w._place") - F.floor(F.first("w._place"))
+    return found.groupBy(F.col("w._g").alias(group), F.col("w.q").alias("q")).agg(
+        F.when((low == high) | (frac == 0), low).otherwise(low + (high - low) * frac).alias("quantile"))
+
+
+def exact_quantiles_multi(df: DataFrame, cols: Sequence[str], qs: Sequence[float]) -> dict[float, dict[str, float | None]]:
+    """Several exact quantiles of every column in one pass (nulls ignored); None
+    for an all-null column. What is fetched is one number per column and q."""
+    pairs = F.explode(F.array(*[F.struct(F.lit(c).alias("f"), F.col(c).cast("double").alias("v")) for c in cols]))
+    long = df.select(pairs.alias("s")).select("s.f", "s.v")
+    got = {(r["f"], r["q"]): r["quantile"] for r in group_quantiles(long, "f", "v", qs).collect()}
+    return {q: {c: got.get((c, float(q))) for c in cols} for q in qs}
+
+
+def exact_quantiles(df: DataFrame, cols: Sequence[str], q: float = 0.5) -> dict[str, float | None]:
+    """Exact q-quantile of every column (nulls ignored); None for an all-null column."""
+    return exact_quantiles_multi(df, cols, [q])[q]

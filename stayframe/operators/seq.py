@@ -26,6 +26,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from stayframe.functions.columns import col
+from stayframe.session import materialize
 
 UNB = Window.unboundedPreceding
 CUR = Window.currentRow
@@ -243,15 +244,32 @@ def prefix_aggs(df: DataFrame, s: Seq, specs: Sequence[tuple[str, str, Column]],
     return out.select(F.col("*"), *res).drop(*drop)
 
 
-def global_index(df: DataFrame, order: str, width: int, out: str = "_gidx",
-                 position: Column | str | None = None, total: str | None = None) -> DataFrame:
-    """0-based rank of each row in the total order of ``order`` (unique),
-    without a single-partition window over the rows: rows are chunked by
-    range of the position (floor(position / width)); only the per-chunk
-    counts are ordered globally."""
-    s = Seq((), order, "_gchunk")
-    x = with_chunk(df, s, width, position)
-    return row_index(x, s, out, total).drop("_gchunk")
+def range_chunks(df: DataFrame, order: Sequence[str], chunk: str) -> DataFrame:
+    """Add ``chunk``, the number of the range partition of each row in the
+    order of the columns ``order``: partitions of about equal row counts,
+    whatever the columns' types and value spread. The rows are written first,
+    so that finding the range borders does not run the upstream twice, and
+    written again with their chunk, which so is fixed for every reader."""
+    x = materialize(df, "ranked")
+    return materialize(x.repartitionByRange(*order).withColumn(chunk, F.spark_partition_id().cast("long")), "ranges")
+
+
+def global_index(df: DataFrame, order: str, out: str = "_gidx", total: str | None = None) -> DataFrame:
+    """0-based rank of each row in the total order of ``order`` (unique, any
+    orderable type), without a single-partition window over the rows: rows are
+    cut into range partitions; only the per-partition counts are ordered
+    globally."""
+    return row_index(range_chunks(df, [order], "_gchunk"), Seq((), order, "_gchunk"), out, total).drop("_gchunk")
+
+
+def salted_join(rows: DataFrame, facts: DataFrame, keys: Sequence[str], spread: str, salts: int = 16) -> DataFrame:
+    """Inner join of rows to one-row-per-key ``facts`` that does not put all
+    rows of a hot key into one task: rows are dealt over ``salts`` copies of
+    their key by a hash of the column ``spread``, facts are repeated once per
+    salt."""
+    x = rows.withColumn("_salt", F.pmod(F.xxhash64(spread), F.lit(salts)).cast("int"))
+    f = facts.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    return x.join(f, [*keys, "_salt"], "inner").drop("_salt")
 
 
 def balanced_chunks(df: DataFrame, s: Seq, position: Column | str, target: int = 1 << 16,
@@ -288,6 +306,7 @@ def density_chunks(df: DataFrame, s: Seq, position: Column | str, target: int =
                                 F.count(F.lit(1)).alias("_dn"))
     st = st.withColumn("_dw", F.greatest((F.col("_dhi") - F.col("_dlo") + 1.0) * F.lit(float(target)) / F.col("_dn"),
                                          F.lit(1.0)))
-    x = x.join(st.select(*s.keys, "_dlo", "_dw"), list(s.keys), "inner")
-    return (x.withColumn(s.chunk, F.floor((F.col("_dpos") - F.col("_dlo")) / F.col("_dw")).cast("long"))
-            .drop("_dpos", "_dlo", "_dw"))
+    x = salted_join(x, st.select(*s.keys, "_dlo", "_dw"), s.keys, "_dpos")
+    x = x.withColumn(s.chunk, F.floor((F.col("_dpos") - F.col("_dlo")) / F.col("_dw")).cast("long"))
+    # a task of its own for each chunk: the join above has no say in where the windows run
+    return x.drop("_dpos", "_dlo", "_dw").repartition(*s.part)

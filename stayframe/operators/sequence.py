@@ -14,12 +14,12 @@ def window_sequences(df: DataFrame, keys: Sequence[str], step: str, features: Se
                      length: int, target: int) -> DataFrame:
     """One row per window (``keys``; at most a window's rows per group):
     X = features of the first ``length`` steps (array of arrays, in step
-    order), y = ``label`` at 1-based step ``target``."""
+    order), y = ``label`` at 1-based step ``target``; null for a shorter window."""
     st = F.struct(F.col(step).alias("s"), F.array(*[F.col(f).cast("double") for f in features]).alias("x"),
                   F.col(label).alias("y"))
     g = df.groupBy(*keys).agg(F.array_sort(F.collect_list(st)).alias("_seq"))
     return g.select(*keys, F.transform(F.slice("_seq", 1, length), lambda e: e["x"]).alias("X"),
-                    F.element_at("_seq", target)["y"].alias("y"), F.size("_seq").alias("n_steps"))
+                    F.try_element_at("_seq", F.lit(target))["y"].alias("y"), F.size("_seq").alias("n_steps"))
 
 
 def sliding_sequences(df: DataFrame, s: Seq, features: Sequence[str], label: str, k: int = 4,

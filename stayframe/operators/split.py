@@ -9,17 +9,13 @@ from pyspark.sql import functions as F
 
 from stayframe.operators.seq import global_index
 
-RANK_CHUNK = 1 << 16
-
-
-def entity_ranks(df: DataFrame, key: str, order: str | None = None, width: int = RANK_CHUNK,
-                 position=None, total: str | None = None) -> DataFrame:
+def entity_ranks(df: DataFrame, key: str, order: str | None = None, total: str | None = None) -> DataFrame:
     """One row per entity with its 0-based rank in the order of ``order``
-    (default the key itself), via the chunked global index; ``total`` names
+    (default the key itself; any orderable type), via the global index; ``total`` names
     an optional column holding the number of entities."""
     order = order or key
     ents = df.select(key, *([order] if order != key else [])).distinct()
-    return global_index(ents, order, width, "_rank", position, total)
+    return global_index(ents, order, "_rank", total)
 
 
 def ordered_split(df: DataFrame, key: str, first: float = 0.8, second: float = 0.8,
@@ -38,8 +34,25 @@ def ordered_split(df: DataFrame, key: str, first: float = 0.8, second: float = 0
 
 
 def hash_order(cols: Sequence[str], seed: int) -> F.Column:
-    """Seeded, deterministic pseudo-random order key."""
-    return F.xxhash64(*[F.col(c) for c in cols], F.lit(seed))
+    """Seeded, deterministic pseudo-random order key, the same in any engine:
+    the md5 text of ``seed:value:...``."""
+    return F.md5(F.concat_ws(":", F.lit(str(seed)), *[F.col(c).cast("string") for c in cols]))
+
+
+def shuffled_ranks(df: DataFrame, key: str, seed: int = 7, total: str | None = None) -> DataFrame:
+    """One row per entity with its 0-based place in a seeded random order."""
+    ents = df.select(key).distinct().withColumn("_h", F.concat(hash_order([key], seed), F.lit(":"), F.col(key).cast("string")))
+    return global_index(ents, "_h", "_rank", total).drop("_h")
+
+
+def shuffled_split(df: DataFrame, key: str, seed: int = 7, first: float = 0.8, second: float = 0.8,
+                   out: str = "split") -> DataFrame:
+    """Entity-aligned train / valid / test split in a seeded random order."""
+    ents = shuffled_ranks(df, key, seed, total="_n")
+    t = F.floor(F.col("_n") * first)
+    lab = ents.select(key, F.when(F.col("_rank") < F.floor(t * second), "train").when(F.col("_rank") < t, "valid")
+                      .otherwise("test").alias(out))
+    return df.join(lab, key, "inner")
 
 
 def sample_entities(df: DataFrame, key: str, k: int, seed: int = 7) -> DataFrame:

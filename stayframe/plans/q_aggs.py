@@ -184,7 +184,7 @@ def _sql_median():
 # ---- A17 --------------------------------------------------------------------------------------------
 
 def a_describe(spark, d):
-    r = describe(events(spark, d), "event_type", "value", TYPES)
+    r = describe(events(spark, d), "event_type", "value")
     return r.select("event_type", "count", *[r6(c) for c in ("mean", "std", "min", "q25", "q50", "q75", "max")])
 
 

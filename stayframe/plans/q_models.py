@@ -372,7 +372,7 @@ SQL_CLASS_REPORT = (f"WITH {SQL_CM}\n"
 
 def m_batch_auc(spark, d):
     p = predictions(spark, d)
-    p = global_index(p, "doc_id", 1 << 16, "_rk").withColumn("batch", F.floor(F.col("_rk") / BATCH).cast("long"))
+    p = global_index(p, "doc_id", "_rk").withColumn("batch", F.floor(F.col("_rk") / BATCH).cast("long"))
     per = roc_auc(p, "score", "y", ["batch"], bounded_groups=True)   # batches hold BATCH rows
     return per.agg(F.count(F.lit(1)).alias("n_batches"), F.count("auc").alias("n_scored"),
                    F.round(F.avg("auc"), 6).alias("auc_mean_skip"),

@@ -7,9 +7,10 @@ from pyspark.sql import functions as F
 
 from stayframe.functions.columns import binarize, bin_index, year_of
 from stayframe.operators.clean import add_scores, drop_null_rows, fill_constant, null_indicators
-from stayframe.operators.grid import hourly_mean, interval_aggregate
+from stayframe.operators.grid import entity_bounds, hourly_mean, interval_aggregate
 from stayframe.operators.joins import (membership_flag, not_in, null_safe_join, outer_merge_pivot,
                                        time_band_join)
+from stayframe.operators.seq import salted_join
 from stayframe.plans.common import (EVENT_MIN_VALUE, EVENT_TYPE, FEATURES, OUTLIER_RULES,
                                     SCORE_PARTS, URGENT, events, grid8, r6, sql_g8, sql_rule)
 from stayframe.plans.q_windows import _sql_event_table, event_table, infection_events
@@ -124,8 +125,8 @@ def _right_closed_aggs(spark, d, types=None):
     ev = events(spark, d)
     if types:
         ev = ev.filter(F.col("event_type").isin(list(types)))   # the ON-clause item filter
-    o = events(spark, d).groupBy("user_id").agg(F.min("ts").alias("origin"))
-    e = ev.join(o, "user_id").withColumn("hr", bin_index("ts", "origin", 8, "right"))
+    o = entity_bounds(events(spark, d), ["user_id"], "ts").drop("_last")
+    e = salted_join(ev, o, ["user_id"], "ts").withColumn("hr", bin_index("ts", "origin", 8, "right"))
     a = e.groupBy("user_id", "hr").agg(F.count(F.lit(1)).alias("n_events"), F.avg("value").alias("avg_value"))
     j = g.join(a, ["user_id", "hr"], "left").fillna(0, ["n_events"])
     return j.select("user_id", "hr", "n_events", r6("avg_value"))

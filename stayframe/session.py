@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings every job relies on: UTC wall clock, adaptive execution (runtime
 # broadcast conversion under a size threshold, skew-join splitting, partition
@@ -16,6 +16,7 @@ BASE_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
@@ -28,47 +29,33 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
         b = b.config(k, v)
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    ensure_checkpoint_dir(spark)
     return spark
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder the cluster names in
-    ``spark.checkpoint.dir``; only when it is unset on a local master (tests)
-    fall back to a fresh scratch folder. A cluster without the setting is an
-    error: a machine-local folder would not survive a lost executor."""
-    try:
-        sc = spark.sparkContext
-    except Exception:          # remote (Connect) sessions: the server owns the folder
-        sc = None
-    d = sc.getConf().get("spark.checkpoint.dir", None) if sc is not None else None
+    """The shared folder for written intermediates: the one the cluster names
+    in ``spark.checkpoint.dir``, else a folder in the SQL warehouse, which
+    driver and executors share as well (tests set their own)."""
+    d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
-        d = spark.conf.get("spark.checkpoint.dir", None)
-    if not d:
-        master = (sc.master if sc is not None else "") or ""
-        if not master.startswith("local"):
-            raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
-        d = tempfile.mkdtemp(prefix="stayframe-ckpt-")
+        d = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_scratch"
         spark.conf.set("spark.checkpoint.dir", d)
-    if sc is not None:
-        sc.setCheckpointDir(d)
     return d
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A sub-folder of the shared checkpoint folder for written intermediates."""
-    import uuid
-    base = ensure_checkpoint_dir(spark).rstrip("/")
-    return f"{base}/{name}-{uuid.uuid4().hex[:12]}"
+    """A sub-folder of the shared folder for written intermediates."""
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def materialize(df):
-    """Write ``df`` once to the shared checkpoint folder and continue from the
+def materialize(df: DataFrame, name: str = "table") -> DataFrame:
+    """Write ``df`` once as Parquet in the shared folder and continue from the
     files: branches that consume it (an ordered scan and its carry summary,
-    a fit and its application) no longer recompute the upstream, and the
-    lineage is cut so a lost executor only re-reads the checkpoint."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    a fit and its application) no longer recompute the upstream, read only the
+    columns they need, and a lost executor only re-reads the files."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def cluster_conf(input_bytes: int, executors: int, cores_per_executor: int,

@@ -1,5 +1,6 @@
 import os
 import sys
+import tempfile
 
 import pytest
 
@@ -9,6 +10,6 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 @pytest.fixture(scope="session")
 def spark():
     from stayframe.session import build_session
-    s = build_session("local[4]", 4)
+    s = build_session("local[4]", 4, extra={"spark.checkpoint.dir": tempfile.mkdtemp(prefix="stayframe-tests-")})
     yield s
     s.stop()

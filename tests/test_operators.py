@@ -140,11 +140,11 @@ def test_not_in_null_semantics(spark):
     assert not_in(left, right_null, "k", "k").count() == 0
 
 
-def test_exact_quantiles_refinement(spark):
+def test_exact_quantiles(spark):
     rnd = np.random.default_rng(5)
     vals = np.concatenate([rnd.normal(size=501), rnd.integers(0, 5, size=300).astype(float)])
     df = spark.createDataFrame([(float(v), float(v) * 2 if i % 3 else None) for i, v in enumerate(vals)], "a double, b double")
-    got = exact_quantiles(df, ["a", "b"], 0.5, buckets=4, max_exact=3)
+    got = exact_quantiles(df, ["a", "b"], 0.5)
     pdf = df.toPandas()
     assert math.isclose(got["a"], float(pdf.a.median()), rel_tol=0, abs_tol=1e-12)
     assert math.isclose(got["b"], float(pdf.b.median()), rel_tol=0, abs_tol=1e-12)
@@ -154,6 +154,55 @@ def test_exact_quantiles_refinement(spark):
     assert exact_quantiles(empty, ["a"])["a"] is None
 
 
+def test_exact_quantiles_of_infinite_extreme_and_many_values(spark):
+    inf = float("inf")
+    odd = spark.createDataFrame([(v,) for v in (inf, inf, 1.0, -1.7e308, 1.7e308, float("nan"), None)], "a double")
+    assert exact_quantiles(odd, ["a"], 0.5)["a"] == 1.7e308 and exact_quantiles(odd, ["a"], 1.0)["a"] == inf
+    many = spark.range(300_001).select((F.col("id") * 7 % 300_001).cast("double").alias("a"))
+    assert exact_quantiles(many, ["a"], 0.5)["a"] == 150_000.0
+
+
+def test_not_in_empty_list_keeps_every_row(spark):
+    left = spark.createDataFrame([(1,), (None,)], "k long")
+    assert not_in(left, left.limit(0), "k", "k").count() == 2
+
+
+def test_early_stop_ignores_null_losses(spark):
+    from stayframe.operators.history import early_stop
+    rows = [(e, None if e in (0, 2) else v) for e, v in enumerate([0.0, 3.0, 0.0, 2.0, 2.5, 2.6, 2.7])]
+    for width in (1, 3, 100):
+        s = seq(("k",), "e")
+        df = with_chunk(spark.createDataFrame([(1, *r) for r in rows], "k int, e int, loss double"), s, width)
+        r = early_stop(df, s, "loss", 3).first()
+        assert (r.stop_epoch, r.best_epoch, r.best_loss) == (6, 3, 2.0)
+
+
+def test_short_windows_have_no_label(spark):
+    from stayframe.operators.sequence import window_sequences
+    df = spark.createDataFrame([(1, 0, 1.0, 1), (1, 1, 2.0, 0), (2, 0, 1.0, 1)], "k int, hr int, x double, y int")
+    assert {r.k: r.y for r in window_sequences(df, ["k"], "hr", ["x"], "y", 1, 2).collect()} == {1: 0, 2: None}
+
+
+def test_outer_merges_of_repeated_and_null_keys(spark):
+    from stayframe.operators.joins import outer_merge, outer_merge_pivot
+    long = spark.createDataFrame([(1, "a", 1.0), (1, "a", 2.0), (1, "b", 3.0)], "k int, p string, v double")
+    with pytest.raises(Exception, match="repeated"):
+        outer_merge_pivot(long, ["k"], "p", "v", ["a", "b"]).collect()
+    a = spark.createDataFrame([(1, 1.0), (1, 2.0), (None, 5.0)], "k int, a double")
+    b = spark.createDataFrame([(1, 3.0), (None, 6.0), (2, 7.0)], "k int, b double")
+    got = sorted(outer_merge([a, b], ["k"]).collect(), key=str)
+    assert sorted(map(tuple, got), key=str) == sorted([(1, 1.0, 3.0), (1, 2.0, 3.0), (None, 5.0, 6.0), (2, None, 7.0)], key=str)
+
+
+def test_ranks_of_string_and_sparse_ids(spark):
+    from stayframe.operators.split import entity_ranks
+    names = spark.createDataFrame([(x,) for x in ("b", "a", "ä", "c")], "k string")
+    assert {r.k: r._rank for r in entity_ranks(names, "k").collect()} == {"a": 0, "b": 1, "c": 2, "ä": 3}
+    wide = spark.range(5000).select(F.xxhash64("id").alias("k"))
+    ks = sorted(r.k for r in wide.collect())
+    assert {r.k: r._rank for r in entity_ranks(wide, "k").collect()} == {k: i for i, k in enumerate(ks)}
+
+
 def _brute_auc(s, y):
     pos = [a for a, b in zip(s, y) if b == 1]
     neg = [a for a, b in zip(s, y) if b == 0]
