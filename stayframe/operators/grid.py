@@ -2,20 +2,21 @@
 
 Fixed-width grids never use a range join: an event's bin is arithmetic on its
 time, events are aggregated per (entity, bin) with map-side partial
-aggregation, and the aggregate is equi-joined onto the grid skeleton. Only
-irregular grids need a range join, and that one is bucketed by time so no
-entity's intervals are paired with all of its events.
+aggregation, and the aggregate is equi-joined onto the grid skeleton. On
+irregular grids counts and sums are differences of running totals at the
+interval borders (``interval_totals``); ``interval_join`` is for callers that
+need the pairs themselves.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from stayframe.functions.columns import bin_index, bin_start
-from stayframe.operators.seq import GRID_CHUNK, salted_join
+from stayframe.operators.seq import GRID_CHUNK, Seq, prefix_aggs, salted_join
 from stayframe.session import materialize
 
 
@@ -158,3 +159,34 @@ def interval_aggregate(grid: DataFrame, events: DataFrame, grid_keys: Sequence[s
                           join_keys, start, end, time, closed, bucket)
     agg = pairs.groupBy(*grid_keys).agg(*aggs)
     return grid.join(agg, list(grid_keys), "left")
+
+
+def totals_at(borders: DataFrame, events: DataFrame, keys: Sequence[str], border: str, time: str,
+              sums: Mapping[str, str], n: str = "n_at") -> DataFrame:
+    """For each border time the number of events of its entity (``keys``) at or
+    before it (column ``n``) and the running sum of each event column in
+    ``sums`` (output name -> column). Events and borders are merged into one
+    time order per entity and scanned in chunks of a calendar month with
+    carried totals: no event is ever paired with a border, so the cost is
+    linear and a hot entity is spread over its months."""
+    e = events.select(*keys, F.col(time).alias("_t"), F.lit(0).alias("_k"), F.lit(1).alias("_c"),
+                      *[F.col(c).alias(f"_s_{o}") for o, c in sums.items()])
+    b = borders.withColumn("_t", F.col(border)).withColumn("_k", F.lit(1))
+    u = e.unionByName(b, allowMissingColumns=True).filter(F.col("_t").isNotNull())
+    s = Seq(tuple(keys), "_o", "_month")
+    u = u.withColumn("_o", F.struct("_t", "_k")).withColumn("_month", (F.year("_t") * 12 + F.month("_t")).cast("long"))
+    t = prefix_aggs(u, s, [(n, "count", F.col("_c")), *[(o, "sum", F.col(f"_s_{o}")) for o in sums]])
+    return t.filter(F.col("_k") == 1).drop("_t", "_k", "_c", "_o", "_month", *[f"_s_{o}" for o in sums])
+
+
+def interval_totals(borders: DataFrame, events: DataFrame, keys: Sequence[str], grid_keys: Sequence[str], step: str,
+                    border: str, time: str, value: str, n: str, avg: str) -> DataFrame:
+    """Count and mean of ``value`` of an entity's events in each interval
+    (border, next border] of an irregular grid. ``borders`` has one row per
+    (grid_keys, step); the last border of a grid only closes its last interval."""
+    at = totals_at(borders, events.filter(F.col(value).isNotNull()), keys, border, time, {"_sum": value}, "_n")
+    nxt = Window.partitionBy(*grid_keys).orderBy(step)
+    at = at.withColumn("_dn", F.lead("_n").over(nxt) - F.col("_n")).withColumn(
+        "_ds", F.lead("_sum").over(nxt) - F.coalesce(F.col("_sum"), F.lit(0.0)))
+    return at.filter(F.col("_dn").isNotNull()).select(
+        *grid_keys, step, F.col("_dn").alias(n), F.when(F.col("_dn") > 0, F.col("_ds") / F.col("_dn")).alias(avg))

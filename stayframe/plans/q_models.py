@@ -47,14 +47,20 @@ def _sql_windows_cte():
 # ---- L4/L5 --------------------------------------------------------------------------
 
 def l_sample_shuffle(spark, d):
-    return sample_entities(grid8(spark, d), "user_id", 50, seed=7).select("user_id", "hr")
+    return sample_entities(grid8(spark, d, materialized=False).select("user_id", "hr"), "user_id", 50, seed=7)
+
+
+SQL_SAMPLE = (f"WITH {sql_g8()}\nSELECT user_id, hr FROM g8 WHERE user_id IN (SELECT user_id FROM "
+              "(SELECT DISTINCT user_id FROM events) ORDER BY md5('7:' || user_id), user_id LIMIT 50)")
 
 
 # ---- L6 -------------------------------------------------------------------------------
 
 def l_split(spark, d):
-    w = ordered_split(sofa_windows(spark, d), "user_id")
-    return w.select("user_id", "hr", "split")
+    # the cut needs neither features nor their fills
+    g = grid8(spark, d).select("user_id", "hr", "is_infection", G8_SEQ.chunk)
+    w = materialize(onset_windows(g, G8_SEQ, 24, "is_infection").select("user_id", "hr"))
+    return ordered_split(w, "user_id").select("user_id", "hr", "split")
 
 
 # ---- L7 ---------------------------------------------------------------------------------
@@ -425,6 +431,7 @@ QUERIES = {
 }
 
 ORACLE = {
+    "l_sample_shuffle": SQL_SAMPLE,
     "l_split": _sql_windows_cte() + ",\n" + _sql_split("wo") + "\nSELECT user_id, hr, split FROM sp",
     "l_union": _sql_union(),
     "m_minmax": _sql_scale("minmax"),

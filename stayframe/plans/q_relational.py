@@ -7,13 +7,14 @@ from pyspark.sql import functions as F
 
 from stayframe.functions.columns import binarize, bin_index, year_of
 from stayframe.operators.clean import add_scores, drop_null_rows, fill_constant, null_indicators
-from stayframe.operators.grid import entity_bounds, hourly_mean, interval_aggregate
+from stayframe.operators.grid import entity_bounds, hourly_mean, interval_totals
 from stayframe.operators.joins import (membership_flag, not_in, null_safe_join, outer_merge_pivot,
                                        time_band_join)
 from stayframe.operators.seq import salted_join
 from stayframe.plans.common import (EVENT_MIN_VALUE, EVENT_TYPE, FEATURES, OUTLIER_RULES,
                                     SCORE_PARTS, URGENT, events, grid8, r6, sql_g8, sql_rule)
 from stayframe.plans.q_windows import _sql_event_table, event_table, infection_events
+from stayframe.session import materialize
 from stayframe.sources.tables import table
 
 F4 = list(FEATURES)
@@ -149,41 +150,45 @@ def _sql_interval(types=None):
 
 # ---- J3/J4/J5: irregular (monthly) grid, two-key and one-key range joins ------------------------
 
-MONTHS = 3
-
-
-def _order_months(spark, d):
+def _order_borders(spark, d):
+    """Borders of each order's monthly bins (s, e], from the order date to the
+    bin holding the order's last shipment (one bin at least)."""
     o = table(spark, d, "orders", ["o_orderkey", "o_custkey", "o_orderdate"])
-    g = o.select("o_custkey", "o_orderkey", "o_orderdate",
-                 F.explode(F.sequence(F.lit(0), F.lit(MONTHS - 1))).alias("k"))
-    g = g.withColumn("bin_start", F.col("o_orderdate") + F.make_ym_interval(F.lit(0), F.col("k")))
-    g = g.withColumn("bin_end", F.col("o_orderdate") + F.make_ym_interval(F.lit(0), F.col("k") + 1))
-    return g.drop("o_orderdate")
+    last = table(spark, d, "lineitem", ["l_orderkey", "l_shipdate"]).groupBy("l_orderkey").agg(
+        F.max("l_shipdate").alias("last"))
+    o = o.join(last, o.o_orderkey == last.l_orderkey, "left")
+    months = (F.year("last") - F.year("o_orderdate")) * 12 + F.month("last") - F.month("o_orderdate")
+    k = F.explode(F.sequence(F.lit(0), F.greatest(F.coalesce(months, F.lit(0)), F.lit(0)) + 1))
+    g = o.select("o_custkey", "o_orderkey", "o_orderdate", "last", k.alias("k"))
+    after = lambda n: F.col("o_orderdate") + F.make_ym_interval(F.lit(0), n)
+    g = g.filter((F.col("k") <= 1) | (after(F.col("k") - 1) < F.col("last")))
+    return g.select("o_custkey", "o_orderkey", "k", after(F.col("k")).alias("border"))
 
 
 def j_interval_composite(spark, d):
     """Line items (mapped to their order's customer through the distinct id
-    map) joined to per-order monthly bins (s, e]: on (customer, order) and on
-    customer alone. The customer-only matches contain the two-key ones, so one
-    bucketed range join on the customer feeds both: the two-key aggregates
-    are conditional on the line item's order being the bin's order."""
-    grid = _order_months(spark, d)
+    map) aggregated per monthly bin (s, e] of each order: those of the order
+    itself, and those of the whole customer. Both are differences of running
+    totals at the bin borders; no line item meets a bin."""
+    borders = materialize(_order_borders(spark, d), "borders")
     li = table(spark, d, "lineitem", ["l_orderkey", "l_shipdate", "l_quantity"])
     idmap = table(spark, d, "orders", ["o_orderkey", "o_custkey"]).distinct()
-    ev = li.join(idmap, li.l_orderkey == idmap.o_orderkey, "left").select(
-        "o_custkey", "l_orderkey", "l_shipdate", "l_quantity")
+    ev = materialize(li.join(idmap, li.l_orderkey == idmap.o_orderkey, "left").select(
+        "o_custkey", "o_orderkey", "l_shipdate", "l_quantity"), "items")
+    args = (["o_custkey", "o_orderkey"], "k", "border", "l_shipdate", "l_quantity")
+    two = interval_totals(borders, ev, ["o_custkey", "o_orderkey"], *args, "n_two", "qty_two")
+    one = interval_totals(borders, ev, ["o_custkey"], *args, "n_one", "qty_one")
     keys = ["o_custkey", "o_orderkey", "k"]
-    same = F.col("l_orderkey") == F.col("o_orderkey")
-    aggs = [F.count(F.when(same, 1)).alias("n_two"), F.avg(F.when(same, F.col("l_quantity"))).alias("qty_two"),
-            F.count(F.lit(1)).alias("n_one"), F.avg("l_quantity").alias("qty_one")]
-    r = interval_aggregate(grid, ev, keys, ["o_custkey"], "bin_start", "bin_end", "l_shipdate", aggs,
-                           closed="right", bucket="month").fillna(0, ["n_two", "n_one"])
-    return r.select(*keys, "n_two", r6("qty_two"), "n_one", r6("qty_one"))
+    return two.join(one, keys).select(*keys, "n_two", r6("qty_two"), "n_one", r6("qty_one"))
 
 
-SQL_J_COMPOSITE = f"""WITH g AS (SELECT o_custkey, o_orderkey, CAST(k AS INTEGER) AS k,
+SQL_J_COMPOSITE = """WITH b AS (SELECT o.o_custkey, o.o_orderkey, o.o_orderdate, l.last,
+  unnest(range(0, greatest(coalesce(datediff('month', o.o_orderdate, l.last), 0), 0) + 1)) AS k
+  FROM orders o LEFT JOIN (SELECT l_orderkey, max(l_shipdate) AS last FROM lineitem GROUP BY 1) l
+  ON o.o_orderkey = l.l_orderkey),
+g AS (SELECT o_custkey, o_orderkey, CAST(k AS INTEGER) AS k,
   o_orderdate + to_months(CAST(k AS INTEGER)) AS bin_start, o_orderdate + to_months(CAST(k AS INTEGER) + 1) AS bin_end
-  FROM orders, range(0, {MONTHS}) t(k)),
+  FROM b WHERE k = 0 OR o_orderdate + to_months(CAST(k AS INTEGER)) < last),
 ev AS (SELECT m.o_custkey, l.l_orderkey AS o_orderkey, l.l_shipdate, l.l_quantity
   FROM lineitem l LEFT JOIN (SELECT DISTINCT o_orderkey, o_custkey FROM orders) m ON l.l_orderkey = m.o_orderkey),
 two AS (SELECT g.o_custkey, g.o_orderkey, g.k, count(ev.l_quantity) AS n_two, avg(ev.l_quantity) AS qty_two

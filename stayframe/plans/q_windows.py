@@ -7,9 +7,9 @@ from pyspark.sql import functions as F
 
 from stayframe.operators import impute as imp
 from stayframe.operators.clean import add_scores
-from stayframe.operators.cohort import band_flag, event_hour, onset_windows, persistence
+from stayframe.operators.cohort import band_flag, event_hour, lag_sum, onset_windows, persistence
 from stayframe.operators.joins import not_in
-from stayframe.operators.seq import density_chunks, prev_next, prev_row, row_index, seq, trailing_frame
+from stayframe.operators.seq import density_chunks, prev_next, row_index, seq
 from stayframe.functions.columns import time_position
 from stayframe.plans.common import (EVENT_MIN_VALUE, EVENT_TYPE, FEATURES, G8_SEQ, SCORE_PARTS,
                                     URGENT, events, grid8, masked_grid8, r6, sql_g8, sql_impute,
@@ -92,17 +92,10 @@ def _sql_recipe(name: str) -> str:
 
 def w_trailing_fill(spark: SparkSession, d: str) -> DataFrame:
     g = row_index(grid8(spark, d), G8_SEQ, "_idx")
-
-    def build(w):
-        fr = w.rowsBetween(-3, 0)
-        out = {}
-        for f in F4:
-            out[f"{f}_avg4"] = F.round(F.coalesce(F.col(f), F.avg(f).over(fr)), 6)
-            out[f"{f}_min4"] = F.round(F.coalesce(F.col(f), F.min(f).over(fr)), 6)
-        return out
-
-    y = trailing_frame(g, ["user_id"], "_idx", 4, build)
-    return y.select("user_id", "hr", *[f"{f}_{k}" for f in F4 for k in ("avg4", "min4")])
+    for how in ("avg", "min"):
+        g = g.withColumns({f"{f}_{how}4": F.col(f) for f in F4})
+        g = imp.trailing_fill(g, G8_SEQ, [f"{f}_{how}4" for f in F4], 4, how, idx="_idx")
+    return g.select("user_id", "hr", *[r6(f"{f}_{k}") for f in F4 for k in ("avg4", "min4")])
 
 
 def _sql_trailing() -> str:
@@ -129,12 +122,9 @@ def _sql_scored() -> str:
 
 
 def w_two_row(spark: SparkSession, d: str) -> DataFrame:
-    g = prev_row(scored_grid(spark, d), G8_SEQ, ["is_flag", "score"], suffix="__lag")
-    cum = F.col("is_flag") + F.col("is_flag__lag")
-    lag = F.col("score") + F.col("score__lag")
-    return g.select("user_id", "hr", "score", cum.alias("cum_flag"),
-                    F.coalesce((cum >= 2).cast("int"), F.lit(0)).alias("two_row"), lag.alias("lag_score"),
-                    F.coalesce((lag >= 4).cast("int"), F.lit(0)).alias("lag_event"))
+    g = lag_sum(scored_grid(spark, d), G8_SEQ, "is_flag", "cum_flag", 2, "two_row")
+    g = lag_sum(g, G8_SEQ, "score", "lag_score", 4, "lag_event")
+    return g.select("user_id", "hr", "score", "cum_flag", "two_row", "lag_score", "lag_event")
 
 
 def _sql_two_row() -> str:
