@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 import gc
-import tempfile
 import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from stayframe.session import ensure_checkpoint_dir
+
 # fixed values: the white space that separates words, as Java and Python patterns
 SPACE = "[\\x20\\x09-\\x0D]+"
 
@@ -20,13 +21,8 @@ def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFra
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder named by ``spark.checkpoint.dir``, which driver and executors
-    share. Only where the setting is missing (tests) a scratch folder is made."""
-    d = spark.conf.get("spark.checkpoint.dir", None)
-    if not d:
-        d = tempfile.mkdtemp(prefix="llm-shared-")
-        spark.conf.set("spark.checkpoint.dir", d)
-    return d.rstrip("/")
+    """The folder that driver and executors share: ``spark.checkpoint.dir``."""
+    return ensure_checkpoint_dir(spark).rstrip("/")
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
