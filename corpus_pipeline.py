@@ -31,8 +31,7 @@ COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that break a quality rule go."""
-    judged = quality.judge(docs.select(*COLUMNS))
-    return judged.where(F.col("quality")["kept"]).select(*COLUMNS)
+    return quality.passing(docs.select(*COLUMNS))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

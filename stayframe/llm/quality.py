@@ -35,6 +35,8 @@ STOP_WORDS = {
            "es", "al", "lo", "como", "se"],
 }
 # ---------------------------------------------------------------------------
+MEASURES = ("n_words", "word_chars", "n_stop_words", "n_repeat_words", "n_lines", "n_dup_lines", "n_shout_lines",
+            "n_bar_lines", "n_symbols")
 
 
 @dataclass(frozen=True)
@@ -132,10 +134,23 @@ def broken(m: Column, rules=RULES) -> Column:
     return F.filter(F.array(*[F.when(fails(r), F.lit(r.name)) for r in rules]), lambda x: x.isNotNull())
 
 
+def verdict(text: Column, rules=RULES) -> Column:
+    """Struct of all measures, ``base_failed``, ``broken`` (names of broken rules)
+    and ``kept``. The measures are bound once inside the one expression, so it
+    stays cheap wherever the optimizer moves it, a filter included."""
+    def of(m: Column) -> Column:
+        failed, names = base_failed(m), broken(m, rules)
+        return F.struct(*[m[c].alias(c) for c in MEASURES], failed.alias("base_failed"), names.alias("broken"),
+                        (~failed & (F.size(names) == 0)).alias("kept"))
+    return let(measure(text), of)
+
+
 def judge(docs: DataFrame, text: str = "text", out: str = "quality", rules=RULES) -> DataFrame:
-    """``docs`` with a struct column ``out``: all measures, ``base_failed``,
-    ``broken`` (names of broken rules) and ``kept``."""
-    m = docs.withColumn(out, measure(F.col(text)))
-    c = F.col(out)
-    return m.withColumn(out, c.withField("base_failed", base_failed(c)).withField("broken", broken(c, rules))) \
-            .withColumn(out, c.withField("kept", ~c["base_failed"] & (F.size(c["broken"]) == 0)))
+    """``docs`` with a struct column ``out``, the verdict on each text; a column
+    of that name is replaced."""
+    return docs.withColumn(out, verdict(F.col(text), rules))
+
+
+def passing(docs: DataFrame, text: str = "text", rules=RULES) -> DataFrame:
+    """The rows of ``docs`` whose text breaks no rule."""
+    return docs.where(verdict(F.col(text), rules)["kept"])
