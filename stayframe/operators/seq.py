@@ -306,7 +306,9 @@ def density_chunks(df: DataFrame, s: Seq, position: Column | str, target: int =
                                 F.count(F.lit(1)).alias("_dn"))
     st = st.withColumn("_dw", F.greatest((F.col("_dhi") - F.col("_dlo") + 1.0) * F.lit(float(target)) / F.col("_dn"),
                                          F.lit(1.0)))
-    x = salted_join(x, st.select(*s.keys, "_dlo", "_dw"), s.keys, "_dpos")
+    # written once: every consumer of the chunked rows joins the same small table
+    st = materialize(st.select(*s.keys, "_dlo", "_dw"), "density")
+    x = salted_join(x, st, s.keys, "_dpos")
     x = x.withColumn(s.chunk, F.floor((F.col("_dpos") - F.col("_dlo")) / F.col("_dw")).cast("long"))
     # a task of its own for each chunk: the join above has no say in where the windows run
     return x.drop("_dpos", "_dlo", "_dw").repartition(*s.part)
