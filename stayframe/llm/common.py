@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import gc
+import time
 import uuid
 from collections.abc import Callable
 
@@ -47,9 +48,12 @@ def discard(*tables: DataFrame) -> None:
 
 def release(spark: SparkSession) -> None:
     """Let Spark drop the shuffle files of jobs whose results are written: it
-    does so when the driver collects the frames that own them."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+    does so when the driver collects the frames that own them. The scheduler
+    lets go of a finished job a moment later, hence the second round."""
+    for pause in (0.5, 0.2):
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
+        time.sleep(pause)
 
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:

@@ -18,7 +18,7 @@ document and an earlier start) is removed.
    of a segment consist of repeated windows. The distinct segments are sorted by
    key; a shard is a bounded number of whole groups. A shard's windows that
    occur at least twice are its confirmed passages. They are compiled into one
-   Aho-Corasick automaton over word numbers, and all segments of the shard run
+   Aho-Corasick automaton over words, and all segments of the shard run
    through it, which locates every occurrence and tells whether it is the first.
 4. The located windows of a document are gathered and its covered words removed.
 
@@ -175,32 +175,42 @@ def segments(texts: DataFrame) -> DataFrame:
 def located(shard: list[tuple[int, int, int, int, bytes]]) -> Iterator[tuple[int, int, int, int]]:
     """The repeated windows of a shard's distinct segments (id, tie, at,
     occurrences, words), each at its first occurrence: (id, tie, at, mask), bit j
-    of the mask for a window j words on whose sequence starts earlier elsewhere."""
-    number: dict[bytes, int] = {}
-    first: dict[tuple, tuple[int, int, int]] = {}
-    confirmed: dict[tuple, None] = {}
+    of the mask for a window j words on whose sequence starts earlier elsewhere.
+
+    Each word of the shard is one character of its own, so a segment is a short
+    string, a window a slice of it, and the automaton runs over characters."""
+    char: dict[bytes, str] = {}
+    first: dict[str, tuple[int, int, int]] = {}
+    confirmed: set[str] = set()
     rows = []
     for i, t, at, times, words in shard:
-        ids = tuple([number.setdefault(w, len(number)) for w in words.split(b" ")])
-        rows.append((i, t, at, ids))
-        for j in range(len(ids) - WINDOW + 1):
-            w, here = ids[j:j + WINDOW], (i, t, at + j)
+        ws = words.split(b" ")
+        for w in ws:
+            if w not in char:
+                n = len(char)
+                char[w] = chr(n if n < 0xD800 else n + 0x800)       # not the surrogates
+        line = "".join([char[w] for w in ws])
+        rows.append((i, t, at, line))
+        for j in range(len(ws) - WINDOW + 1):
+            w, here = line[j:j + WINDOW], (i, t, at + j)
             seen = first.setdefault(w, here)
-            if here < seen:
-                first[w] = here
-            if times > 1 or seen != here:
-                confirmed[w] = None
+            if seen is not here:
+                confirmed.add(w)
+                if here < seen:
+                    first[w] = here
+            elif times > 1:
+                confirmed.add(w)
     if not confirmed:
         return
-    automaton = ahocorasick.Automaton(ahocorasick.STORE_ANY, ahocorasick.KEY_SEQUENCE)
+    automaton = ahocorasick.Automaton(ahocorasick.STORE_ANY, ahocorasick.KEY_STRING)
     for w in confirmed:
         automaton.add_word(w, first[w])
     automaton.make_automaton()
-    for i, t, at, ids in rows:
+    for i, t, at, line in rows:
         mask = 0
-        for end, earliest in automaton.iter(ids):
+        for end, (fi, ft, fat) in automaton.iter(line):
             j = end - WINDOW + 1
-            if earliest != (i, t, at + j):
+            if fat != at + j or fi != i or ft != t:
                 mask |= 1 << j
         if mask:
             yield i, t, at, mask - (1 << 64) if mask >> 63 else mask
@@ -263,18 +273,22 @@ def deduplicate(docs: DataFrame, key: str = "doc_id", text: str = "text", hot: i
     is the rest of the words joined by one space, null where nothing was removed
     (the text stays as it is) or everything was."""
     own = F.struct("id", "tie")
-    sketches = written(sketch(docs, key, text), "sketches")
+    whole = written(sketch(docs, key, text), "sketches")
+    sketches = written(whole.drop("runs"), "digests")
     # the first of the documents with equal words stands for all of them
-    firsts = written(sketches.groupBy("sha").agg(F.min(own).alias("rep"), F.first("runs").alias("runs")), "firsts")
+    firsts = written(whole.groupBy("sha").agg(F.min(own).alias("rep"), F.first("runs").alias("runs")), "firsts")
+    discard(whole)
+    reps = written(firsts.select("sha", "rep"), "reps")
     runs = firsts.select("rep", F.explode("runs").alias("r")).select("rep", "r.*")
     times = F.sum(F.when(F.col("near"), 2).otherwise(1))
     recurring = written(runs.groupBy("key").agg(times.alias("times")).where("times > 1")
                         .select("key", (F.col("times") > hot).alias("hot")), "recurring")
     chosen = written(runs.join(recurring, "key").groupBy("rep").agg(
         F.collect_list(F.struct("key", "at", "n", "hot")).alias("runs")).select("rep.*", "runs"), "chosen")
+    discard(firsts, recurring)
     texts = _identified(docs, key, text)
     pieces = written(segments(texts.join(chosen, ["id", "tie"])), "segments")
-    discard(recurring, chosen)
+    discard(chosen)
     distinct = written(pieces.groupBy("key", "words", "n").agg(
         F.min(F.struct("id", "tie", "at")).alias("first"), F.count("*").alias("times"))
         .select("key", "first.*", "times", "words", "n"), "distinct")
@@ -291,7 +305,7 @@ def deduplicate(docs: DataFrame, key: str = "doc_id", text: str = "text", hot: i
     rest = written(kept_words(texts.join(found, ["id", "tie"])).dropDuplicates(["id", "tie"]), "kept")
     discard(later, located_first)
     copy = (own != F.col("rep")) & (F.col("n_words") >= WINDOW)
-    every = sketches.drop("runs").join(firsts.select("sha", "rep"), "sha").join(rest, ["id", "tie"], "left")
+    every = sketches.join(reps, "sha").join(rest, ["id", "tie"], "left")
     return every.select(
         F.when(F.col("id") != LAST, F.col("id")).alias(key), "n_words",
         F.when(copy, F.col("n_words")).otherwise(F.coalesce("n_removed", F.lit(0))).alias("n_removed"),
