@@ -168,7 +168,7 @@ def _flat_windows(spark, d):
     w = _split_windows(spark, d)
     sq = window_sequences(w, ["user_id", "split"], "step", F4, "is_infection", SEQ_LEN, SEQ_TARGET)
     flat = F.flatten("X")
-    cols = [flat[i].alias(f"x{i}") for i in range(SEQ_LEN * len(F4))]
+    cols = [F.get(flat, F.lit(i)).alias(f"x{i}") for i in range(SEQ_LEN * len(F4))]
     return sq.select("user_id", "split", F.col("y").cast("double").alias("y"), *cols)
 
 
@@ -180,13 +180,44 @@ def m_classifier(spark, d):
     return pred.select("user_id", "y", "score")
 
 
+def m_classifier_facts(spark, d):
+    """What is certain about the classifier's output: the test users, their
+    labels, and that every score is a probability."""
+    p = m_classifier(spark, d)
+    return p.select("user_id", "y", F.col("score").between(0.0, 1.0).alias("in_range"))
+
+
+def _sql_classifier_facts():
+    return (f"{_sql_windows_cte()},\n{_sql_split('wo')}\nSELECT user_id, CAST(is_infection AS DOUBLE) AS y, "
+            f"TRUE AS in_range FROM sp WHERE split = 'test' AND step = {SEQ_TARGET - 1}")
+
+
+REGS, ITERS = (0.0, 0.01, 0.1), (5, 10, 20)     # fixed: the sweep's grid
+
+
 def m_sweep(spark, d):
-    fw = _flat_windows(spark, d).filter(F.col("split") != "test")
+    fw = materialize(_flat_windows(spark, d))
     feats = [c for c in fw.columns if c.startswith("x")]
-    _, res = sweep(fw, feats, "y", regs=[0.0, 0.01, 0.1], iters=[5, 10, 20], pos_weight=POS_WEIGHT, parallelism=3)
+    part = lambda name: fw.filter(F.col("split") == name)
+    _, res = sweep(part("train"), part("valid"), feats, "y", regs=REGS, iters=ITERS, pos_weight=POS_WEIGHT)
     return spark.createDataFrame(res, "reg_param double, max_iter int, auc double")
 
 
+def m_sweep_facts(spark, d):
+    """The sweep's settings, each measured once with an area in [0, 1], beside
+    the number of windows it was measured on."""
+    n = materialize(_flat_windows(spark, d)).filter(F.col("split") == "valid").agg(F.count(F.lit(1)).alias("n_valid"))
+    s = m_sweep(spark, d).select("reg_param", "max_iter", F.col("auc").between(0.0, 1.0).alias("in_range"))
+    return s.withColumn("_k", F.lit(1)).join(n.withColumn("_k", F.lit(1)), "_k").drop("_k")
+
+
+def _sql_sweep_facts():
+    return (f"{_sql_windows_cte()},\n{_sql_split('wo')},\nn AS (SELECT count(DISTINCT user_id) AS n_valid FROM sp "
+            "WHERE split = 'valid')\nSELECT CAST(reg_param AS DOUBLE) AS reg_param, CAST(max_iter AS INTEGER) AS max_iter, "
+            f"TRUE AS in_range, n_valid FROM (VALUES {', '.join(f'({r})' for r in REGS)}) r(reg_param), "
+            f"(VALUES {', '.join(f'({i})' for i in ITERS)}) m(max_iter), n")
+
+
 # ---- M6, M17, M18: training histories ---------------------------------------------------------------
 
 def _epochs(spark, d):
@@ -407,6 +438,8 @@ SQL_LOG_LOSS = (f"WITH {SQL_PRED},\ns AS (SELECT y, 1.0 / (1.0 + exp(-score)) AS
 
 
 QUERIES = {
+    "m_classifier_facts": m_classifier_facts,
+    "m_sweep_facts": m_sweep_facts,
     "l_sample_shuffle": l_sample_shuffle,
     "l_split": l_split,
     "l_union": l_union,
@@ -431,6 +464,8 @@ QUERIES = {
 }
 
 ORACLE = {
+    "m_classifier_facts": _sql_classifier_facts(),
+    "m_sweep_facts": _sql_sweep_facts(),
     "l_sample_shuffle": SQL_SAMPLE,
     "l_split": _sql_windows_cte() + ",\n" + _sql_split("wo") + "\nSELECT user_id, hr, split FROM sp",
     "l_union": _sql_union(),
