@@ -15,7 +15,8 @@ if os.environ.get("ORACLE_PLAIN"):
     spark = SparkSession.builder.master("local[8]").config("spark.ui.enabled", "false").getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
 else:
-    spark = build_session("local[8]", 8)
+    import tempfile  # noqa: E402
+    spark = build_session("local[8]", 8, extra={"spark.checkpoint.dir": tempfile.mkdtemp(prefix="stayframe-oracle-")})
 if os.environ.get("ORACLE_TZ"):
     spark.conf.set("spark.sql.session.timeZone", os.environ["ORACLE_TZ"])
 con = duck(d)
