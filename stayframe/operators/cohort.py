@@ -106,10 +106,10 @@ def onset_windows(df: DataFrame, s: Seq, n: int, flag: str, symptomatic: Column
 
 def first_rows(df: DataFrame, s: Seq, n: int, require_n: bool = True) -> DataFrame:
     """First n rows of each entity; entities with fewer rows dropped if ``require_n``."""
-    x = row_index(df, s, "_fidx")
+    x = row_index(df, s, "_fidx", total="_fn")      # both read off one per-chunk summary
     if require_n:
-        x = entity_aggs(x, s, [("_fn", "count", F.lit(1))]).filter(F.col("_fn") >= n).drop("_fn")
-    return x.filter(F.col("_fidx") < n).drop("_fidx")
+        x = x.filter(F.col("_fn") >= n)
+    return x.filter(F.col("_fidx") < n).drop("_fidx", "_fn")
 
 
 def band_flag(start: str, end: str, t: str) -> Column:
