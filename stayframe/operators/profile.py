@@ -40,9 +40,11 @@ def never_observed(df: DataFrame, keys: Sequence[str], cols: Sequence[str]) -> D
     return a.selectExpr(stack)
 
 
-def describe(df: DataFrame, group: str, value: str) -> DataFrame:
+def describe(df: DataFrame, group: str, value: str, groups: Sequence[str] | None = None) -> DataFrame:
     """count, mean, sample std, min, exact quartiles, max of ``value`` for every
-    group the data holds."""
+    group the data holds, or for the named ``groups`` only."""
+    if groups is not None:
+        df = df.filter(F.col(group).isin(list(groups)))
     base = df.groupBy(group).agg(F.count(value).alias("count"), F.avg(value).alias("mean"),
                                  F.stddev_samp(value).alias("std"), F.min(value).alias("min"),
                                  F.max(value).alias("max"))
