@@ -17,7 +17,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stayframe.llm.common import SPACE, let, words
+from stayframe.llm.common import let, words
 
 # ---- fixed values ---------------------------------------------------------
 SYMBOLS = "#*$%&|<>"
