@@ -11,7 +11,7 @@ from stayframe.operators.profile import (describe, duplicate_groups, never_obser
 from stayframe.operators.quantile import exact_quantiles
 from stayframe.operators.split import entity_ranks, ordered_page, ordered_split
 from stayframe.plans.common import FEATURES, events, grid8, masked_grid8, r6, sql_g8, sql_masked
-from stayframe.plans.q_relational import TYPES, _sql_scores
+from stayframe.plans.q_relational import _sql_scores
 from stayframe.plans.q_windows import MED_FILL, _sql_medians, _sql_window_sofa, scored_grid
 from stayframe.sources.tables import table
 
