@@ -47,3 +47,30 @@ def test_hot_entity_is_split_and_results_unchanged(spark):
     e2 = {r.user_id: tuple(r)[1:] for r in early_stop(one.withColumn("loss", F.col("click")).fillna(0.0, ["loss"]),
                                                      s, "loss", 20).collect()}
     assert e1 == e2
+
+
+def _rows_per_task(df):
+    counts = [r["n"] for r in df.groupBy(F.spark_partition_id().alias("p")).agg(F.count(F.lit(1)).alias("n")).collect()]
+    return max(counts), sum(counts) / 8
+
+
+def test_no_task_holds_a_hot_entity(spark):
+    """With broadcasts off, rows of a hot entity are spread over the tasks of
+    salted joins and of chunked windows."""
+    from stayframe.operators.seq import salted_join
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.shuffle.partitions": "8",
+            "spark.sql.adaptive.coalescePartitions.enabled": "false", "spark.sql.adaptive.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        ev = _hot_events(spark)
+        facts = ev.groupBy("user_id").agg(F.min("ts").alias("origin"))
+        most, mean = _rows_per_task(salted_join(ev, facts, ["user_id"], "ts"))
+        assert most <= 2 * mean
+        s = seq("user_id", "ts")
+        most, mean = _rows_per_task(density_chunks(ev, s, time_position(ev, "ts"), target=64))
+        assert most <= 2 * mean
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
