@@ -26,13 +26,15 @@ def shared_dir(spark: SparkSession) -> str:
     return ensure_checkpoint_dir(spark).rstrip("/")
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
+def written(df: DataFrame, name: str, free: bool = False) -> DataFrame:
     """Write ``df`` once as Parquet in the shared folder and go on from the
-    files: later branches neither recompute it nor depend on its lineage."""
+    files: later branches neither recompute it nor depend on its lineage.
+    ``free`` has finished shuffles released, where disk is what runs out."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
     df.write.option("compression", "zstd").parquet(path)
-    release(spark)
+    if free:
+        release(spark)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -33,6 +33,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import partial
 
 import ahocorasick
 import numpy as np
@@ -41,7 +42,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stayframe.llm.common import discard, written
+from stayframe.llm import common
+from stayframe.llm.common import discard
 
 # ---- fixed values ---------------------------------------------------------
 WINDOW = 20
@@ -53,6 +55,8 @@ SHARD_WINDOWS = 20_000   # windows gathered before an automaton is compiled
 CHUNK = 1 << 20          # bytes of text hashed at a time
 LAST = (1 << 63) - 1
 
+written = partial(common.written, free=True)      # the tables here are large beside the input
+
 _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
 _RNG = np.random.default_rng(20)
