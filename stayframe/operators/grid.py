@@ -2,21 +2,23 @@
 
 Fixed-width grids never use a range join: an event's bin is arithmetic on its
 time, events are aggregated per (entity, bin) with map-side partial
-aggregation, and the aggregate is equi-joined onto the grid skeleton. On
-irregular grids counts and sums are differences of running totals at the
-interval borders (``interval_totals``); ``interval_join`` is for callers that
-need the pairs themselves.
+aggregation, and the aggregate is equi-joined onto the grid skeleton; monthly
+bins are arithmetic as well (``month_bin``). On overlapping or irregular
+intervals events are summed per elementary interval and added up along a
+summary tree (``interval_totals``); ``interval_join`` is for callers that need
+the pairs themselves.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from stayframe.functions.columns import bin_index, bin_start
-from stayframe.operators.seq import GRID_CHUNK, Seq, prefix_aggs, salted_join
+from stayframe.functions.columns import bin_index, bin_start, time_position
+from stayframe.operators.seq import GRID_CHUNK, Seq, depth_chunks, prefix_aggs, salted_join
 from stayframe.session import materialize
 
 
@@ -72,8 +74,9 @@ def complete_grid(binned: DataFrame, keys: Sequence[str], bin_col: str, origin:
 
 
 def entity_bounds(events: DataFrame, keys: Sequence[str], time: str, origin: str = "origin") -> DataFrame:
-    """(keys, first time, last time) of every entity, written once."""
-    return materialize(events.groupBy(*keys).agg(F.min(time).alias(origin), F.max(time).alias("_last")), "bounds")
+    """(keys, first time, last time, _n rows) of every entity, written once."""
+    return materialize(events.groupBy(*keys).agg(F.min(time).alias(origin), F.max(time).alias("_last"),
+                                                 F.count(F.lit(1)).alias("_n")), "bounds")
 
 
 def event_grid(events: DataFrame, keys: Sequence[str], time: str, width_hours: int,
@@ -86,10 +89,10 @@ def event_grid(events: DataFrame, keys: Sequence[str], time: str, width_hours: i
     One per-entity table (first and last time), written once, gives both the
     origin joined back to the events and the last bin of the skeleton, so the
     events are read twice in all: for that table and for the bins. The join
-    back is salted: a hot entity's events stay spread over tasks until they
-    are aggregated per bin."""
+    back deals the rows of a hot entity over tasks until they are aggregated per
+    bin."""
     ent = entity_bounds(events, keys, time, origin)
-    e = salted_join(events, ent.select(*keys, origin), keys, time)
+    e = salted_join(events, ent.select(*keys, origin, "_n"), keys, time)
     e = with_bin(e, time, origin, width_hours, closed, bin_col).filter(F.col(bin_col) >= 0)
     b = e.groupBy(*keys, origin, bin_col).agg(*aggs)
     if not complete:
@@ -161,32 +164,84 @@ def interval_aggregate(grid: DataFrame, events: DataFrame, grid_keys: Sequence[s
     return grid.join(agg, list(grid_keys), "left")
 
 
-def totals_at(borders: DataFrame, events: DataFrame, keys: Sequence[str], border: str, time: str,
-              sums: Mapping[str, str], n: str = "n_at") -> DataFrame:
-    """For each border time the number of events of its entity (``keys``) at or
-    before it (column ``n``) and the running sum of each event column in
-    ``sums`` (output name -> column). Events and borders are merged into one
-    time order per entity and scanned in chunks of a calendar month with
-    carried totals: no event is ever paired with a border, so the cost is
-    linear and a hot entity is spread over its months."""
-    e = events.select(*keys, F.col(time).alias("_t"), F.lit(0).alias("_k"), F.lit(1).alias("_c"),
-                      *[F.col(c).alias(f"_s_{o}") for o, c in sums.items()])
-    b = borders.withColumn("_t", F.col(border)).withColumn("_k", F.lit(1))
-    u = e.unionByName(b, allowMissingColumns=True).filter(F.col("_t").isNotNull())
-    s = Seq(tuple(keys), "_o", "_month")
-    u = u.withColumn("_o", F.struct("_t", "_k")).withColumn("_month", (F.year("_t") * 12 + F.month("_t")).cast("long"))
-    t = prefix_aggs(u, s, [(n, "count", F.col("_c")), *[(o, "sum", F.col(f"_s_{o}")) for o in sums]])
-    return t.filter(F.col("_k") == 1).drop("_t", "_k", "_c", "_o", "_month", *[f"_s_{o}" for o in sums])
+def month_bin(time: str, origin: str) -> Column:
+    """Index of the monthly bin (origin + k months, origin + k+1 months] that
+    holds ``time``: the month difference, less one unless the time lies after
+    that border. -1 and below lie at or before the origin."""
+    m = (F.year(time) - F.year(origin)) * 12 + F.month(time) - F.month(origin)
+    return F.when(F.col(time) > F.col(origin) + F.make_ym_interval(F.lit(0), m), m).otherwise(m - 1)
+
+
+def _dyadic(lo: Column, hi: Column) -> Column:
+    """The nodes (l, b) of a binary summary tree that make up lo .. hi-1, node
+    (l, b) being the 2^l positions from b * 2^l. At each level a range that
+    starts at an odd node takes it, and so one that ends after an even node."""
+    def level(k: Column) -> Column:
+        size = F.call_function("shiftleft", F.lit(1).cast("long"), k)
+        a, b = F.floor((lo + size - 1) / size), F.floor(hi / size)
+        node = lambda here, x: F.when((a < b) & here, F.struct(k.alias("l"), x.cast("long").alias("b")))
+        return F.array(node(a % 2 == 1, a), node(b % 2 == 1, b - 1))
+    depth = F.ceil(F.log2((hi - lo).cast("double"))).cast("int") + 1
+    return F.filter(F.flatten(F.transform(F.sequence(F.lit(0), depth), level)), lambda x: x.isNotNull())
+
+
+SHORT = 16        # events of a range that are listed one by one
+
+
+def interval_borders(intervals: DataFrame, start: str, end: str, step: str = "_step", border: str = "_border") -> DataFrame:
+    """Free-standing intervals as two borders each, for ``interval_totals``."""
+    side = F.explode(F.array(F.struct(F.lit(0).alias(step), F.col(start).alias(border)),
+                             F.struct(F.lit(1).alias(step), F.col(end).alias(border)))).alias("_b")
+    return intervals.select(*[c for c in intervals.columns if c not in (start, end)], side).select("*", "_b.*").drop("_b")
 
 
 def interval_totals(borders: DataFrame, events: DataFrame, keys: Sequence[str], grid_keys: Sequence[str], step: str,
-                    border: str, time: str, value: str, n: str, avg: str) -> DataFrame:
-    """Count and mean of ``value`` of an entity's events in each interval
-    (border, next border] of an irregular grid. ``borders`` has one row per
-    (grid_keys, step); the last border of a grid only closes its last interval."""
-    at = totals_at(borders, events.filter(F.col(value).isNotNull()), keys, border, time, {"_sum": value}, "_n")
-    nxt = Window.partitionBy(*grid_keys).orderBy(step)
-    at = at.withColumn("_dn", F.lead("_n").over(nxt) - F.col("_n")).withColumn(
-        "_ds", F.lead("_sum").over(nxt) - F.coalesce(F.col("_sum"), F.lit(0.0)))
-    return at.filter(F.col("_dn").isNotNull()).select(
-        *grid_keys, step, F.col("_dn").alias(n), F.when(F.col("_dn") > 0, F.col("_ds") / F.col("_dn")).alias(avg))
+                    border: str, time: str, value: str, n: str, avg: str, target: int = 1 << 16) -> DataFrame:
+    """Count and mean of ``value`` of an entity's events in each interval of
+    its grids, whatever grids overlap. ``borders`` has one row per (grid_keys,
+    step); interval ``step`` is (border, border of step + 1], and a step without
+    a successor only closes an interval. ``keys`` are the entity's columns in
+    both tables.
+
+    Events (one row per entity and time) and borders are put in one order and
+    scanned in chunks of equal depth, which numbers the entity's event times and
+    tells for every border how many lie up to it; so an interval is a range of
+    event numbers, and most bins are seen to be empty at once. Event sums are
+    added up along a binary summary tree, and an interval takes the few nodes
+    that make up its range (its events, if they are few). Nothing is subtracted, so a huge, infinite or NaN
+    value changes only the intervals that hold it. No event meets an interval it
+    does not lie in, and neither a hot entity nor a burst makes a large task.
+    Intervals without events or of no length have count 0 and no mean; a null
+    border makes no interval."""
+    grid = list(dict.fromkeys([*keys, *grid_keys]))
+    ev = events.filter(F.col(value).isNotNull() & F.col(time).isNotNull()).groupBy(*keys, F.col(time).alias("_t")).agg(
+        F.count(F.lit(1)).alias("_n"), F.sum(F.col(value).cast("double")).alias("_s")).withColumn("_k", F.lit(0))
+    b = borders.filter(F.col(border).isNotNull()).select(*grid, F.col(step).alias("_step"), F.col(border).alias("_t"),
+                                                         F.lit(1).alias("_k"))
+    u = ev.unionByName(b, allowMissingColumns=True)
+    # at one time events come first, so that an interval holds its end and not its start; the order of borders does not matter
+    whole = isinstance(u.schema["_t"].dataType, T.DatetimeType)
+    order = time_position(u, "_t") * 2 + F.col("_k") if whole else F.struct("_t", "_k")
+    s = Seq(tuple(keys), "_o")
+    u = depth_chunks(materialize(u.withColumn("_o", order).drop("_t"), "merged"), s, target)
+    u = prefix_aggs(u, s, [("_r", "count", F.when(F.col("_k") == 0, 1))], inclusive=False)
+    u = materialize(u.drop("_o", s.chunk), "ranked")
+    none = F.lit(None).cast("long")
+    ends = F.explode(F.array(F.struct(F.col("_step"), F.col("_r").alias("lo"), none.alias("hi")),
+                             F.struct((F.col("_step") - 1).alias("_step"), none.alias("lo"), F.col("_r").alias("hi")))).alias("_e")
+    spans = u.filter(F.col("_k") == 1).select(*grid, ends).groupBy(*grid, F.col("_e._step").alias(step)).agg(
+        F.max("_e.lo").alias("_lo"), F.max("_e.hi").alias("_hi"))
+    spans = materialize(spans.filter("_lo IS NOT NULL AND _hi IS NOT NULL"), "spans")
+    longest = spans.agg(F.max(F.col("_hi") - F.col("_lo"))).first()[0] or 0
+    short = spans.filter(f"_lo < _hi AND _hi - _lo <= {SHORT}").select(*grid, step, F.lit(0).alias("_l"), F.explode(
+        F.sequence(F.col("_lo"), F.col("_hi") - 1)).alias("_b"))
+    nodes = spans.filter(f"_hi - _lo > {SHORT}").select(*grid, step, F.explode(_dyadic(F.col("_lo"), F.col("_hi"))).alias("_x"))
+    nodes = short.unionByName(nodes.select(*grid, step, F.col("_x.l").alias("_l"), F.col("_x.b").alias("_b")))
+    tree = u.filter(F.col("_k") == 0).select(*keys, F.lit(0).alias("_l"), F.col("_r").alias("_b"), "_n", "_s")
+    if longest > SHORT:
+        above = F.explode(F.sequence(F.lit(1), F.lit(longest.bit_length() - 1)))
+        tree = tree.unionByName(tree.withColumn("_l", above).groupBy(*keys, "_l", F.expr("shiftright(_b, _l)").alias("_b")).agg(
+            F.sum("_n").alias("_n"), F.sum("_s").alias("_s")))
+    found = nodes.join(tree, [*keys, "_l", "_b"]).groupBy(*grid, step).agg(F.sum("_n").alias(n), (F.sum("_s") / F.sum("_n")).alias(avg))
+    empty = spans.filter("_lo >= _hi").select(*grid, step, F.lit(0).cast("long").alias(n), F.lit(None).cast("double").alias(avg))
+    return found.unionByName(empty)

@@ -4,10 +4,9 @@ Operators over an entity's ordered rows (fills, interpolation, row numbers,
 lags, run lengths, per-entity facts) never use a window partitioned by the
 entity alone: one entity may hold a third of all rows. Rows are partitioned by
 (entity keys, chunk) instead, where the chunk is a range of the ordering
-position: fixed width on grids (``with_chunk``: at most ``width`` rows), sized
-from the entity's density (``density_chunks``) or its running row count
-(``balanced_chunks``) on raw event time, so a hot entity is spread over many
-window partitions. State that crosses a chunk border is carried by a per-chunk summary
+position: fixed width on grids (``with_chunk``: at most ``width`` rows), equal
+depth on raw event time (``depth_chunks``: at most ``target`` rows), so a hot
+entity or a burst is spread over many window partitions. State that crosses a chunk border is carried by a per-chunk summary
 (one row per (entity, chunk)), scanned in chunk order and joined back on
 (keys, chunk), which is the partitioning the big side already has: the row data
 is shuffled once, only the summaries move again.
@@ -262,53 +261,43 @@ def global_index(df: DataFrame, order: str, out: str = "_gidx", total: str | Non
     return row_index(range_chunks(df, [order], "_gchunk"), Seq((), order, "_gchunk"), out, total).drop("_gchunk")
 
 
-def salted_join(rows: DataFrame, facts: DataFrame, keys: Sequence[str], spread: str, salts: int = 16) -> DataFrame:
+def salted_join(rows: DataFrame, facts: DataFrame, keys: Sequence[str], spread: str, count: str = "_n",
+                share: int = 1000) -> DataFrame:
     """Inner join of rows to one-row-per-key ``facts`` that does not put all
-    rows of a hot key into one task: rows are dealt over ``salts`` copies of
-    their key by a hash of the column ``spread``, facts are repeated once per
-    salt."""
-    x = rows.withColumn("_salt", F.pmod(F.xxhash64(spread), F.lit(salts)).cast("int"))
-    f = facts.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    rows of a hot key into one task. ``facts`` carries each key's row count in
+    column ``count``: a key with more than 1/``share`` of all rows is hot, so
+    there are fewer than ``share`` of them, and only these are broadcast, with
+    the number of copies that brings each copy under that size. Rows of a hot
+    key are dealt over its copies by a hash of the column ``spread``; all other
+    keys stay single."""
+    total = facts.agg(F.sum(count)).first()[0] or 0
+    size = max(1.0, total / share)
+    hot = facts.filter(F.col(count) > size).select(*keys, F.ceil(F.col(count) / size).cast("int").alias("_salts"))
+    f = facts.withColumn("_salts", F.when(F.col(count) > size, F.ceil(F.col(count) / size)).otherwise(1).cast("int"))
+    f = f.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.col("_salts") - 1))).drop(count, "_salts")
+    x = rows.join(F.broadcast(hot), list(keys), "left").withColumn(
+        "_salt", F.pmod(F.xxhash64(spread), F.coalesce("_salts", F.lit(1))).cast("int")).drop("_salts")
     return x.join(f, [*keys, "_salt"], "inner").drop("_salt")
 
 
-def balanced_chunks(df: DataFrame, s: Seq, position: Column | str, target: int = 1 << 16,
-                    fine_width: int = 60_000_000) -> DataFrame:
-    """Add ``s.chunk`` so that chunks hold about ``target`` rows each, for
-    orderings whose density is unknown (raw event times): a hot entity is cut
-    into many chunks instead of one range holding all its rows.
-
-    Rows are counted per fine bucket (position div ``fine_width``, partial
-    aggregation); a chunked prefix scan over the bucket table gives the rows
-    before each bucket; the bucket's chunk is that count div ``target``. A
-    chunk holds at most ``target`` rows plus one fine bucket's rows."""
-    pos = col(position)
-    x = df.withColumn("_fb", F.floor(pos / F.lit(fine_width)).cast("long"))
-    cnt = x.groupBy(*s.keys, "_fb").agg(F.count(F.lit(1)).alias("_c"))
-    sb = Seq(s.keys, "_fb", "_fbc")
-    cnt = with_chunk(cnt, sb, 4096)
-    cnt = prefix_aggs(cnt, sb, [("_before", "sum", F.col("_c"))], inclusive=False)
-    cnt = cnt.select(*s.keys, "_fb", F.floor(F.coalesce(F.col("_before"), F.lit(0)) / F.lit(target))
-                     .cast("long").alias(s.chunk))
-    return x.join(cnt, [*s.keys, "_fb"], "inner").drop("_fb")
-
-
-def density_chunks(df: DataFrame, s: Seq, position: Column | str, target: int = 1 << 16) -> DataFrame:
-    """Add ``s.chunk`` with a per-entity width sized to the entity's density:
-    width = span * target / rows, so each chunk holds about ``target`` rows
-    when the entity's rows are spread evenly, and a hot entity is cut into
-    proportionally many chunks. One per-entity aggregate (partial, a row per
-    entity) is joined back; use ``balanced_chunks`` when a strict row bound
-    per chunk is needed for very bursty orderings."""
-    pos = col(position)
-    x = df.withColumn("_dpos", pos.cast("double"))
-    st = x.groupBy(*s.keys).agg(F.min("_dpos").alias("_dlo"), F.max("_dpos").alias("_dhi"),
-                                F.count(F.lit(1)).alias("_dn"))
-    st = st.withColumn("_dw", F.greatest((F.col("_dhi") - F.col("_dlo") + 1.0) * F.lit(float(target)) / F.col("_dn"),
-                                         F.lit(1.0)))
-    # written once: every consumer of the chunked rows joins the same small table
-    st = materialize(st.select(*s.keys, "_dlo", "_dw"), "density")
-    x = salted_join(x, st, s.keys, "_dpos")
-    x = x.withColumn(s.chunk, F.floor((F.col("_dpos") - F.col("_dlo")) / F.col("_dw")).cast("long"))
-    # a task of its own for each chunk: the join above has no say in where the windows run
-    return x.drop("_dpos", "_dlo", "_dw").repartition(*s.part)
+def depth_chunks(df: DataFrame, s: Seq, target: int = 1 << 16) -> DataFrame:
+    """Add ``s.chunk`` for orderings whose density is unknown (raw event
+    times): no chunk holds more than ``target`` rows, however hot an entity and
+    however dense a burst inside it.
+
+    Rows are counted per entity first. An entity of at most ``target`` rows is
+    one chunk. The rows of the others are range-partitioned and sorted by (keys,
+    order), written once, and cut every ``target`` rows of that order: chunks of
+    equal depth, as many and in as many partitions as the rows need; the scans
+    carry an entity's state on. ``df`` is read once for the counts and again by
+    each scan, so let it be a table or written rows."""
+    large = materialize(df.groupBy(*s.keys).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > target).select(
+        *[F.col(k).alias(f"_large_{k}") for k in s.keys]), "large")
+    if large.isEmpty():
+        return df.withColumn(s.chunk, F.lit(0).cast("long"))
+    on = [F.col(k).eqNullSafe(F.col(f"_large_{k}")) for k in s.keys]
+    by = [*s.keys, s.order]
+    x = df.join(large, on, "left_semi").repartitionByRange(*by).sortWithinPartitions(*by)
+    # partition number and place in it, in one growing number
+    x = materialize(x.withColumn(s.chunk, F.expr(f"monotonically_increasing_id() div {int(target)}")), "chunks")
+    return df.join(large, on, "left_anti").withColumn(s.chunk, F.lit(0).cast("long")).unionByName(x)

@@ -13,7 +13,7 @@ from stayframe.operators.metrics import (average_precision, class_report, confus
                                          scores_from_confusion)
 from stayframe.operators.model import fit_predict, sweep
 from stayframe.operators.scale import minmax_by_entity, minmax_scale, zscore_scale
-from stayframe.operators.seq import density_chunks, global_index, row_index, seq
+from stayframe.operators.seq import depth_chunks, global_index, row_index, seq
 from stayframe.operators.sequence import sliding_sequences, window_sequences
 from stayframe.operators.split import ordered_split, sample_entities
 from stayframe.plans.common import FEATURES, G8_SEQ, events, grid8, masked_grid8, r6, sql_g8
@@ -224,7 +224,7 @@ def _epochs(spark, d):
     """experiment = user, epoch = rank by ts, loss = value."""
     ev = events(spark, d, ("user_id", "ts", "value"))
     s = seq("user_id", "ts")
-    x = density_chunks(ev, s, time_position(ev, "ts"))
+    x = depth_chunks(ev, s)
     return row_index(x, s, "epoch").drop("_chunk")
 
 
@@ -232,7 +232,7 @@ def m_early_stop(spark, d):
     """experiment = user, epochs = the user's events in time order, loss = value."""
     ev = events(spark, d, ("user_id", "ts", "value"))
     s = seq("user_id", "ts")
-    x = density_chunks(ev, s, time_position(ev, "ts"))
+    x = depth_chunks(ev, s)
     return early_stop(x, s, "value", patience=PATIENCE).withColumn("best_loss", F.round("best_loss", 6))
 
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from stayframe.functions.columns import binarize, bin_index, year_of
 from stayframe.operators.clean import add_scores, drop_null_rows, fill_constant, null_indicators
-from stayframe.operators.grid import entity_bounds, hourly_mean, interval_totals
+from stayframe.operators.grid import entity_bounds, hourly_mean, interval_totals, month_bin
 from stayframe.operators.joins import (membership_flag, not_in, null_safe_join, outer_merge_pivot,
                                        time_band_join)
 from stayframe.operators.seq import salted_join
@@ -152,34 +152,32 @@ def _sql_interval(types=None):
 
 def _order_borders(spark, d):
     """Borders of each order's monthly bins (s, e], from the order date to the
-    bin holding the order's last shipment (one bin at least)."""
+    end of the bin holding the order's last shipment (one bin at least)."""
     o = table(spark, d, "orders", ["o_orderkey", "o_custkey", "o_orderdate"])
     last = table(spark, d, "lineitem", ["l_orderkey", "l_shipdate"]).groupBy("l_orderkey").agg(
         F.max("l_shipdate").alias("last"))
     o = o.join(last, o.o_orderkey == last.l_orderkey, "left")
-    months = (F.year("last") - F.year("o_orderdate")) * 12 + F.month("last") - F.month("o_orderdate")
-    k = F.explode(F.sequence(F.lit(0), F.greatest(F.coalesce(months, F.lit(0)), F.lit(0)) + 1))
-    g = o.select("o_custkey", "o_orderkey", "o_orderdate", "last", k.alias("k"))
-    after = lambda n: F.col("o_orderdate") + F.make_ym_interval(F.lit(0), n)
-    g = g.filter((F.col("k") <= 1) | (after(F.col("k") - 1) < F.col("last")))
-    return g.select("o_custkey", "o_orderkey", "k", after(F.col("k")).alias("border"))
+    last_bin = F.greatest(F.coalesce(month_bin("last", "o_orderdate"), F.lit(0)), F.lit(0))
+    g = o.select("o_custkey", "o_orderkey", "o_orderdate", F.explode(F.sequence(F.lit(0), last_bin + 1)).alias("k"))
+    return g.select("o_custkey", "o_orderkey", "k", (F.col("o_orderdate") + F.make_ym_interval(F.lit(0), F.col("k"))).alias("border"))
 
 
 def j_interval_composite(spark, d):
     """Line items (mapped to their order's customer through the distinct id
     map) aggregated per monthly bin (s, e] of each order: those of the order
-    itself, and those of the whole customer. Both are differences of running
-    totals at the bin borders; no line item meets a bin."""
-    borders = materialize(_order_borders(spark, d), "borders")
+    itself, whose bin is arithmetic on its months, and those of the whole
+    customer, which lie in bins of several orders (``interval_totals``)."""
     li = table(spark, d, "lineitem", ["l_orderkey", "l_shipdate", "l_quantity"])
-    idmap = table(spark, d, "orders", ["o_orderkey", "o_custkey"]).distinct()
+    idmap = table(spark, d, "orders", ["o_orderkey", "o_custkey", "o_orderdate"]).distinct()
     ev = materialize(li.join(idmap, li.l_orderkey == idmap.o_orderkey, "left").select(
-        "o_custkey", "o_orderkey", "l_shipdate", "l_quantity"), "items")
-    args = (["o_custkey", "o_orderkey"], "k", "border", "l_shipdate", "l_quantity")
-    two = interval_totals(borders, ev, ["o_custkey", "o_orderkey"], *args, "n_two", "qty_two")
-    one = interval_totals(borders, ev, ["o_custkey"], *args, "n_one", "qty_one")
+        "o_custkey", F.col("l_orderkey").alias("o_orderkey"), "o_orderdate", "l_shipdate", "l_quantity"), "items")
     keys = ["o_custkey", "o_orderkey", "k"]
-    return two.join(one, keys).select(*keys, "n_two", r6("qty_two"), "n_one", r6("qty_one"))
+    two = ev.withColumn("k", month_bin("l_shipdate", "o_orderdate")).groupBy(*keys).agg(
+        F.count("l_quantity").alias("n_two"), F.avg("l_quantity").alias("qty_two"))
+    one = interval_totals(_order_borders(spark, d), ev, ["o_custkey"], keys[:2], "k", "border", "l_shipdate", "l_quantity",
+                          "n_one", "qty_one")
+    return one.join(two, keys, "left").select(*keys, F.coalesce("n_two", F.lit(0)).alias("n_two"), r6("qty_two"),
+                                              "n_one", r6("qty_one"))
 
 
 SQL_J_COMPOSITE = """WITH b AS (SELECT o.o_custkey, o.o_orderkey, o.o_orderdate, l.last,

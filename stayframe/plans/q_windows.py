@@ -9,7 +9,7 @@ from stayframe.operators import impute as imp
 from stayframe.operators.clean import add_scores
 from stayframe.operators.cohort import band_flag, event_hour, lag_sum, onset_windows, persistence
 from stayframe.operators.joins import not_in
-from stayframe.operators.seq import density_chunks, prev_next, row_index, seq
+from stayframe.operators.seq import depth_chunks, prev_next, row_index, seq
 from stayframe.functions.columns import time_position
 from stayframe.plans.common import (EVENT_MIN_VALUE, EVENT_TYPE, FEATURES, G8_SEQ, SCORE_PARTS,
                                     URGENT, events, grid8, masked_grid8, r6, sql_g8, sql_impute,
@@ -47,7 +47,7 @@ def _event_rows(spark: SparkSession, d: str) -> DataFrame:
     ev = events(spark, d)
     x = ev.select("user_id", "ts", *[F.when(F.col("event_type") == f, F.col("value")).alias(f) for f in F4])
     s = seq("user_id", "ts")
-    return density_chunks(x, s, time_position(x, "ts")), s
+    return depth_chunks(x, s), s
 
 
 def w_interp_time(spark: SparkSession, d: str) -> DataFrame:

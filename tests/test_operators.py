@@ -320,25 +320,84 @@ def test_persistence_random_vs_sequential(spark, width):
     assert got == expect
 
 
-def test_balanced_chunks_bound_hot_entity(spark):
-    from stayframe.operators.seq import balanced_chunks
+@pytest.mark.parametrize("step", [dt.timedelta(microseconds=1000), dt.timedelta(microseconds=1)])
+def test_depth_chunks_cut_a_burst_by_row_count(spark, step):
+    from stayframe.operators.seq import depth_chunks
     from stayframe.functions.columns import time_position
-    # entity 1 is hot: 3000 events in 3 seconds; entity 2 has 10 spread over hours
-    rows = [(1, T0 + dt.timedelta(microseconds=i * 1000), float(i)) for i in range(3000)]
+    # entity 1 is hot: 3000 events within seconds or milliseconds; entity 2 has 10 spread over hours
+    rows = [(1, T0 + i * step, float(i) if i % 7 else None) for i in range(3000)]
     rows += [(2, T0 + dt.timedelta(hours=i), float(i)) for i in range(10)]
     df = spark.createDataFrame(rows, "u long, ts timestamp_ntz, v double")
     s = seq("u", "ts")
-    x = balanced_chunks(df, s, time_position(df, "ts"), target=500, fine_width=100_000)   # 0.1 s buckets
+    x = depth_chunks(df, s, target=500)
     sizes = {(r.u, r._chunk): r.n for r in x.groupBy("u", "_chunk").agg(F.count("*").alias("n")).collect()}
-    assert max(sizes.values()) <= 500 + 100 and len([k for k in sizes if k[0] == 1]) >= 6
-    # ordered results equal the unchunked ones
-    y = imp.interpolate(x.withColumn("v", F.when(F.col("v") % 7 == 0, None).otherwise(F.col("v"))), s, ["v"],
-                        method="time")
-    z = imp.interpolate(with_chunk(df.withColumn("v", F.when(F.col("v") % 7 == 0, None).otherwise(F.col("v"))),
-                                   s, 1 << 62, time_position(df, "ts")), s, ["v"], method="time")
+    assert max(sizes.values()) <= 500 and len([k for k in sizes if k[0] == 1]) >= 6
+    # the chunk grows along the order, and ordered results equal the unchunked ones
+    back = x.selectExpr("u", "_chunk", "lag(_chunk) OVER (PARTITION BY u ORDER BY ts) AS p").where("p > _chunk")
+    assert back.isEmpty()
+    y = imp.interpolate(x, s, ["v"], method="time")
+    z = imp.interpolate(with_chunk(df, s, 1 << 62, time_position(df, "ts")), s, ["v"], method="time")
     assert _rows(y.select("u", "ts", "v"), "u", "ts") == _rows(z.select("u", "ts", "v"), "u", "ts")
 
 
+def _interval_rows(spark, events, intervals, target):
+    from stayframe.operators.grid import interval_borders, interval_totals
+    ev = spark.createDataFrame(events, "u long, t timestamp_ntz, v double")
+    iv = spark.createDataFrame(intervals, "u long, id long, s timestamp_ntz, e timestamp_ntz")
+    out = interval_totals(interval_borders(iv, "s", "e"), ev, ["u"], ["id"], "_step", "_border", "t", "v", "n", "m", target)
+    return {r.id: (r.n, r.m) for r in out.collect()}
+
+
+def test_interval_totals_of_extreme_values(spark):
+    import math
+    at = lambda h: T0 + dt.timedelta(hours=h)
+    events = [(1, at(1), 1e17), (1, at(2), 3.0), (1, at(3), 5.0), (1, at(4), math.nan), (1, at(5), 7.0), (1, at(6), math.inf),
+              (1, at(7), -2.0), (1, at(7), 4.0), (1, None, 9.0), (1, at(8), None), (2, at(2), 11.0)]
+    ivs = [(1, 0, at(0), at(1)), (1, 1, at(1), at(2)), (1, 2, at(2), at(3)), (1, 3, at(3), at(4)), (1, 4, at(4), at(5)),
+           (1, 5, at(5), at(6)), (1, 6, at(6), at(8)), (1, 7, at(1), at(3)), (2, 8, at(0), at(9)), (1, 9, at(20), at(30)),
+           (1, 10, at(3), at(3)), (1, 11, at(5), at(2)), (1, 12, None, at(9)), (3, 13, at(0), at(9)), (1, 14, at(6), None)]
+    got = _interval_rows(spark, events, ivs, 4)
+    none = (0, None)
+    assert len(got) == 13 and math.isnan(got.pop(3)[1]) and got == {
+        0: (1, 1e17), 1: (1, 3.0), 2: (1, 5.0), 4: (1, 7.0), 5: (1, math.inf), 6: (2, 1.0), 7: (2, 4.0), 8: (1, 11.0),
+        9: none, 10: none, 11: none, 13: none}
+
+
+@pytest.mark.parametrize("target, short", [(1, 16), (7, 0), (1 << 16, 3)])
+def test_interval_totals_against_all_pairs(spark, monkeypatch, target, short):
+    monkeypatch.setattr("stayframe.operators.grid.SHORT", short)
+    rnd = random.Random(target)
+    at = lambda: T0 + dt.timedelta(minutes=rnd.randint(0, 300))
+    events = [(rnd.randint(0, 3), at(), float(rnd.randint(0, 99))) for _ in range(200)]
+    ivs = [(rnd.randint(0, 4), i, *sorted((at(), at()))) for i in range(150)]
+    want = {}
+    for u, i, s, e in ivs:
+        v = [x for w, t, x in events if w == u and s < t <= e]
+        want[i] = (len(v), sum(v) / len(v) if v else None)
+    got = _interval_rows(spark, events, ivs, target)
+    assert got.keys() == want.keys()
+    assert all(got[i][0] == want[i][0] and (got[i][1] == want[i][1] or abs(got[i][1] - want[i][1]) < 1e-9) for i in want)
+
+
+def test_interval_totals_of_chained_grids_and_other_times(spark):
+    from stayframe.operators.grid import interval_totals
+    ev = spark.createDataFrame([(1, "b", 1.0), (1, "d", 2.0), (1, "dd", 4.0)], "u long, t string, v double")
+    b = spark.createDataFrame([(1, 7, 0, "a"), (1, 7, 1, "c"), (1, 7, 2, "d"), (1, 7, 3, "e"), (1, 8, 5, "a"), (1, 8, 6, "z"),
+                               (1, 8, 8, "zz"), (1, 9, 0, None), (1, 9, 1, "z")], "u long, g long, k int, x string")
+    out = interval_totals(b, ev, ["u"], ["g"], "k", "x", "t", "v", "n", "m")
+    assert sorted(map(tuple, out.collect())) == [(1, 7, 0, 1, 1.0), (1, 7, 1, 1, 2.0), (1, 7, 2, 1, 4.0), (1, 8, 5, 3, 7 / 3)]
+
+
+def test_month_bin(spark):
+    from stayframe.operators.grid import month_bin
+    day = lambda *d: dt.datetime(*d)
+    rows = [(day(2024, 1, 31), day(2024, 1, 31), -1), (day(2024, 1, 31), day(2024, 2, 1), 0), (day(2024, 1, 31), day(2024, 2, 29), 0),
+            (day(2024, 1, 31), day(2024, 3, 1), 1), (day(2024, 1, 31), day(2024, 3, 31), 1), (day(2024, 1, 31), day(2024, 4, 30), 2),
+            (day(2024, 1, 15), day(2024, 1, 10), -1), (day(2024, 1, 15), day(2023, 12, 15), -2), (day(2024, 5, 1), day(2025, 5, 1), 11)]
+    df = spark.createDataFrame(rows, "o timestamp_ntz, t timestamp_ntz, k int")
+    assert df.where(month_bin("t", "o") != F.col("k")).isEmpty() and df.where(month_bin("t", "o").isNull()).isEmpty()
+
+
 def test_lag_sum_first_rows_trailing_fill(spark):
     from stayframe.operators.cohort import first_rows, lag_sum
     rows = [(1, h, v) for h, v in [(0, 1.0), (1, None), (2, 3.0), (3, 5.0), (4, None)]] + [(2, 0, 2.0)]
@@ -362,23 +421,6 @@ def test_describe_quartiles(spark):
     assert r["b"].q50 == 5.0 and "c" not in r
 
 
-def test_density_chunks_split_hot_entity(spark):
-    from stayframe.operators.seq import density_chunks
-    from stayframe.functions.columns import time_position
-    rows = [(1, T0 + dt.timedelta(milliseconds=i), float(i)) for i in range(4000)]
-    rows += [(2, T0 + dt.timedelta(hours=i), float(i)) for i in range(10)]
-    df = spark.createDataFrame(rows, "u long, ts timestamp_ntz, v double")
-    s = seq("u", "ts")
-    x = density_chunks(df, s, time_position(df, "ts"), target=500)
-    sizes = {(r.u, r._chunk): r.n for r in x.groupBy("u", "_chunk").agg(F.count("*").alias("n")).collect()}
-    assert max(sizes.values()) <= 501 and len([k for k in sizes if k[0] == 1]) >= 8
-    y = imp.interpolate(x.withColumn("v", F.when(F.col("v") % 5 == 0, None).otherwise(F.col("v"))), s, ["v"],
-                        method="time")
-    z = imp.interpolate(with_chunk(df.withColumn("v", F.when(F.col("v") % 5 == 0, None).otherwise(F.col("v"))),
-                                   s, 1 << 62, time_position(df, "ts")), s, ["v"], method="time")
-    assert _rows(y.select("u", "ts", "v"), "u", "ts") == _rows(z.select("u", "ts", "v"), "u", "ts")
-
-
 def test_keep_first_nan_and_fill_aliases(spark):
     from stayframe.operators.clean import nan_to_null
     from stayframe.operators.profile import keep_first

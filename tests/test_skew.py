@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from stayframe.functions.columns import time_position
 from stayframe.operators import impute as imp
 from stayframe.operators.history import early_stop
-from stayframe.operators.seq import density_chunks, seq, with_chunk
+from stayframe.operators.seq import depth_chunks, seq, with_chunk
 from stayframe.sources.tables import table
 
 SF = "/root/testdata/sf0.01"
@@ -27,14 +27,14 @@ def test_hot_entity_is_split_and_results_unchanged(spark):
     x = ev.select("user_id", "ts", *[F.when(F.col("event_type") == t, F.col("value")).alias(t)
                                      for t in ("click", "view")])
     s = seq("user_id", "ts")
-    chunked = density_chunks(x, s, time_position(x, "ts"), target=TARGET)
+    chunked = depth_chunks(x, s, target=TARGET)
     sizes = chunked.groupBy("user_id", "_chunk").count()
     hot_rows = x.filter("user_id = 0").count()
     total = x.count()
     assert hot_rows > total / 4                                   # the hot key really is hot
     largest = sizes.agg(F.max("count")).first()[0]
     hot_chunks = sizes.filter("user_id = 0").count()
-    assert largest <= 2 * TARGET < hot_rows and hot_chunks >= hot_rows // (2 * TARGET)
+    assert largest <= TARGET < hot_rows and hot_chunks >= hot_rows // TARGET
     a = imp.impute(chunked, s, ["click", "view"], method="time", ffill=True, bfill=True)
     one = with_chunk(x, s, 1 << 62, time_position(x, "ts"))      # every entity in one partition
     b = imp.impute(one, s, ["click", "view"], method="time", ffill=True, bfill=True)
@@ -65,12 +65,57 @@ def test_no_task_holds_a_hot_entity(spark):
         for k, v in conf.items():
             spark.conf.set(k, v)
         ev = _hot_events(spark)
-        facts = ev.groupBy("user_id").agg(F.min("ts").alias("origin"))
+        facts = ev.groupBy("user_id").agg(F.min("ts").alias("origin"), F.count(F.lit(1)).alias("_n"))
         most, mean = _rows_per_task(salted_join(ev, facts, ["user_id"], "ts"))
         assert most <= 2 * mean
         s = seq("user_id", "ts")
-        most, mean = _rows_per_task(density_chunks(ev, s, time_position(ev, "ts"), target=64))
+        most, mean = _rows_per_task(depth_chunks(ev, s, target=64).repartition(*s.part))
         assert most <= 2 * mean
     finally:
         for k, v in before.items():
             spark.conf.set(k, v)
+
+
+def test_a_burst_is_spread_over_tasks(spark):
+    """A third of all rows are one user's within one minute: rows per task of
+    the chunked scans, and results as without chunks."""
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.shuffle.partitions": "8",
+            "spark.sql.adaptive.coalescePartitions.enabled": "false", "spark.sql.adaptive.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        ev = table(spark, SF, "events", ["event_id", "user_id", "ts", "value"])
+        burst = F.pmod(F.xxhash64("event_id"), F.lit(3)) == 0
+        start = F.lit("2024-01-05 10:00:00").cast("timestamp_ntz")
+        ev = ev.select(F.when(burst, F.lit(0).cast("long")).otherwise(F.col("user_id")).alias("user_id"), F.when(
+            burst, start + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), (F.col("event_id") * 3 / 1e3 % 60).cast("decimal(8,6)")))
+            .otherwise(F.col("ts")).alias("ts"), F.when(F.col("event_id") % 4 > 0, F.col("value")).alias("value"))
+        ev = ev.groupBy("user_id", "ts").agg(F.max("value").alias("value"))      # unique times
+        s = seq("user_id", "ts")
+        x = depth_chunks(ev, s, target=64)
+        most, mean = _rows_per_task(x.repartition(*s.part))
+        assert x.filter("user_id = 0").count() > x.count() / 4 and most <= 2 * mean
+        a = imp.interpolate(x, s, ["value"], method="time").select("user_id", "ts", "value")
+        b = imp.interpolate(with_chunk(ev, s, 1 << 62, time_position(ev, "ts")), s, ["value"], method="time").select(
+            "user_id", "ts", "value")
+        ra, rb = (sorted(map(tuple, y.collect())) for y in (a, b))
+        assert len(ra) == len(rb) and all(p[:2] == q[:2] and (p[2] == q[2] or abs(p[2] - q[2]) < 1e-9) for p, q in zip(ra, rb))
+        stops = [{r.user_id: tuple(r) for r in early_stop(y.fillna(0.0, ["value"]), s, "value", 20).collect()}
+                 for y in (x, with_chunk(ev, s, 1 << 62, time_position(ev, "ts")))]
+        assert stops[0] == stops[1]
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
+def test_cold_keys_have_no_copies(spark):
+    """Salts follow row counts: facts of cold keys are not repeated."""
+    from stayframe.operators.seq import salted_join
+    rows = spark.range(4000).select(F.when(F.col("id") < 1500, F.lit(-1)).otherwise(F.col("id")).alias("k"), F.col("id").alias("v"))
+    facts = rows.groupBy("k").agg(F.min("v").alias("lo"), F.count(F.lit(1)).alias("_n"))
+    out = salted_join(rows, facts, ["k"], "v", share=10)
+    assert out.columns == ["k", "v", "lo"] and out.count() == 4000 and out.where("lo <> IF(k = -1, 0, k)").isEmpty()
+    plan = salted_join(rows, facts, ["k"], "v", share=10)._jdf.queryExecution().optimizedPlan().toString()
+    assert "_salts" in plan
+    assert salted_join(rows.limit(0), facts.limit(0), ["k"], "v").count() == 0
