@@ -4,22 +4,25 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from stayframe.functions.columns import binarize, logistic_loss, time_position
+from stayframe.functions.columns import binarize, logistic_loss
 from stayframe.operators import impute as imp
 from stayframe.operators.cohort import onset_windows
-from stayframe.operators.history import compare_settings, early_stop, history_long
+from stayframe.operators.history import compare_settings, early_stop, experiment_key, history_long
 from stayframe.operators.metrics import (average_precision, class_report, confusion, pr_curve, roc_auc,
                                          scores_from_confusion)
-from stayframe.operators.model import fit_predict, sweep
+from stayframe.operators.model import (MODELS, fit, predict, root_split, save, score_runs, train_epochs,
+                                       weighted_gradient, with_class_weight)
 from stayframe.operators.scale import minmax_by_entity, minmax_scale, zscore_scale
-from stayframe.operators.seq import depth_chunks, global_index, row_index, seq
+from stayframe.operators.seq import depth_chunks, global_index, row_index, seq, with_chunk
 from stayframe.operators.sequence import sliding_sequences, window_sequences
 from stayframe.operators.split import ordered_split, sample_entities
 from stayframe.plans.common import FEATURES, G8_SEQ, events, grid8, masked_grid8, r6, sql_g8
 from stayframe.plans.q_aggs import _sql_split
 from stayframe.plans.q_windows import (_sql_event_table, _sql_window_sofa, event_table, nonevent_users)
 from stayframe.session import materialize, scratch_path
+from stayframe.sources.files import read_experiments, write_experiments
 from stayframe.sources.tables import table
 
 F4 = list(FEATURES)
@@ -162,60 +165,187 @@ def _sql_sliding():
             + ", ".join(f"x{j}_{f}" for j in range(2) for f in F4) + ", y FROM z WHERE rn >= 4")
 
 
-# ---- M4/M5: models (rows-only checks) -------------------------------------------------------------
+# ---- M4: classifiers ------------------------------------------------------------------------------
+
+N_FLAT = SEQ_LEN * len(FEATURES)
+TREE_BINS = 1024          # thresholds a feature: every distinct value of the fixtures
+
 
 def _flat_windows(spark, d):
+    """Min-max scaled windows, fitted on the train and valid part, as one array
+    per user, written once: fits read it many times."""
     w = _split_windows(spark, d)
+    w = minmax_scale(w, F4, fit_on=w.filter(F.col("split") != "test"))
     sq = window_sequences(w, ["user_id", "split"], "step", F4, "is_infection", SEQ_LEN, SEQ_TARGET)
-    flat = F.flatten("X")
-    cols = [F.get(flat, F.lit(i)).alias(f"x{i}") for i in range(SEQ_LEN * len(F4))]
-    return sq.select("user_id", "split", F.col("y").cast("double").alias("y"), *cols)
+    return materialize(sq.select("user_id", "split", F.col("y").cast("double").alias("y"), F.flatten("X").alias("x")), "flat")
 
 
-def m_classifier(spark, d):
-    fw = _flat_windows(spark, d)
-    feats = [c for c in fw.columns if c.startswith("x")]
-    pred = fit_predict(fw.filter(F.col("split") != "test"), fw.filter(F.col("split") == "test"), feats, "y",
-                       pos_weight=POS_WEIGHT, save_to=scratch_path(spark, "model"))
-    return pred.select("user_id", "y", "score")
+def _parts(fw):
+    return fw.filter(F.col("split") != "test"), fw.filter(F.col("split") == "test")
 
 
-def m_classifier_facts(spark, d):
-    """What is certain about the classifier's output: the test users, their
-    labels, and that every score is a probability."""
-    p = m_classifier(spark, d)
-    return p.select("user_id", "y", F.col("score").between(0.0, 1.0).alias("in_range"))
-
-
-def _sql_classifier_facts():
-    return (f"{_sql_windows_cte()},\n{_sql_split('wo')}\nSELECT user_id, CAST(is_infection AS DOUBLE) AS y, "
-            f"TRUE AS in_range FROM sp WHERE split = 'test' AND step = {SEQ_TARGET - 1}")
+def m_classifier(spark, d):
+    """Scores of the test users by both weighted models, each saved as a checkpoint."""
+    train, test = _parts(_flat_windows(spark, d))
+    out = None
+    for name in MODELS:
+        m = fit(train, "x", "y", name, POS_WEIGHT, bins=TREE_BINS)
+        save(m, scratch_path(spark, name))
+        p = predict(m, test, "x").select("user_id", F.lit(name).alias("model"), "y", "score")
+        out = p if out is None else out.unionByName(p)
+    return out
 
 
-REGS, ITERS = (0.0, 0.01, 0.1), (5, 10, 20)     # fixed: the sweep's grid
+def m_classifier_facts(spark, d):
+    """The weighted gradient at the fitted coefficients, feature by feature (-1:
+    the intercept): zero at the optimum only."""
+    train, _ = _parts(_flat_windows(spark, d))
+    m = fit(train, "x", "y", "logistic", POS_WEIGHT)
+    g = weighted_gradient(m, train, "x", "y", POS_WEIGHT)
+    return g.select("feature", (F.abs(F.round("gradient", 4)) + 0.0).alias("gradient"))
+
+
+SQL_CLASSIFIER_FACTS = f"SELECT CAST(unnest(range(-1, {N_FLAT})) AS INTEGER) AS feature, CAST(0.0 AS DOUBLE) AS gradient"
+
+
+def m_tree_facts(spark, d):
+    """The root of the first boosted tree: its gain, which must be the best of
+    all splits, and how far its leaves are from their rows' weighted means."""
+    train, _ = _parts(_flat_windows(spark, d))
+    m = fit(train, "x", "y", "boosted_trees", POS_WEIGHT, bins=TREE_BINS)
+    return root_split(m, train, "x", "y", POS_WEIGHT).select(r6("gain"), r6("leaf_gap"))
+
+
+def _sql_flat() -> str:
+    """Scaled windows in long form: fl (user_id, split, y, i, x)."""
+    fit_cols = ", ".join(f"min({c}) AS {c}_lo, max({c}) AS {c}_hi" for c in F4)
+    long = " UNION ALL ".join(
+        f"SELECT user_id, split, step * {len(F4)} + {j} AS i, ({c} - f.{c}_lo) / CASE WHEN f.{c}_hi - f.{c}_lo = 0 THEN 1.0 "
+        f"ELSE f.{c}_hi - f.{c}_lo END AS x FROM sp, f WHERE step < {SEQ_LEN}" for j, c in enumerate(F4))
+    return (f"{_sql_windows_cte()},\n{_sql_split('wo')},\nf AS (SELECT {fit_cols} FROM sp WHERE split <> 'test'),\n"
+            f"ly AS (SELECT user_id, CAST(is_infection AS DOUBLE) AS y FROM sp WHERE step = {SEQ_TARGET - 1}),\n"
+            f"fl AS (SELECT l.*, ly.y, CASE WHEN ly.y = 1 THEN {POS_WEIGHT} ELSE 1.0 END AS w FROM ({long}) l JOIN ly USING (user_id))")
+
+
+def _sql_tree_facts() -> str:
+    run = "OVER (PARTITION BY i ORDER BY x)"
+    return (f"{_sql_flat()},\nt AS (SELECT i, x, w, w * (2 * y - 1) AS s FROM fl WHERE split <> 'test'),\n"
+            "a AS (SELECT i, sum(w) AS w, sum(s) AS s FROM t GROUP BY i),\n"
+            f"r AS (SELECT DISTINCT i, x, sum(w) {run} AS lw, sum(s) {run} AS ls FROM t)\n"
+            "SELECT round(max(CASE WHEN a.w > lw THEN (ls * ls / lw + (a.s - ls) * (a.s - ls) / (a.w - lw)) / a.w "
+            "- (a.s / a.w) * (a.s / a.w) ELSE 0 END), 6) AS gain, CAST(0.0 AS DOUBLE) AS leaf_gap FROM r JOIN a USING (i)")
+
+
+# ---- M5/M6: a sweep trained by epochs, and its history ----------------------------------------------
+
+RATES, REGS = (2.0, 0.5, 0.1), (0.0, 0.001, 0.01)     # fixed: the sweep's settings
+SWEEP_EPOCHS, SWEEP_PATIENCE = 40, 5
+HISTORY_SCHEMA = "setting int, learning_rate double, reg_param double, epoch int, train_loss double, val_loss double"
+RECORD_SCHEMA = ("name string, setting int, learning_rate double, reg_param double, train_losses array<double>, "
+                 "val_losses array<double>")
+
+
+def _trained(spark, d, epochs=SWEEP_EPOCHS):
+    """The runs of the sweep, its history table, and the rows it was trained on
+    (features without nulls: a missing one is 0, the scaled minimum)."""
+    fw = _flat_windows(spark, d).filter(F.col("split") != "test")
+    rows = materialize(with_class_weight(fw, "y", POS_WEIGHT).select(
+        "user_id", (F.col("split") == "train").alias("train"), "y", "w",
+        F.transform("x", lambda v: F.coalesce(v, F.lit(0.0))).alias("x")), "epochs")
+    runs, history = train_epochs(rows, N_FLAT, RATES, REGS, epochs, SWEEP_PATIENCE)
+    return runs, materialize(spark.createDataFrame(history, HISTORY_SCHEMA), "history"), rows
+
+
+def m_first_epochs(spark, d):
+    """The first epochs of every setting, step by step as SQL computes them."""
+    _, history, _ = _trained(spark, d, epochs=4)
+    return history.select("setting", "epoch", r6("train_loss"), r6("val_loss"))
+
+
+def _sql_first_epochs() -> str:
+    sets = ", ".join(f"({i}, {a}, {b})" for i, (a, b) in enumerate((a, b) for a in RATES for b in REGS))
+    sql = (f"{_sql_flat()},\nst(setting, rate, reg) AS (VALUES {sets}),\n"
+           "x AS (SELECT user_id, split, y, w, i, coalesce(x, 0.0) AS x FROM fl WHERE split <> 'test' "
+           "UNION ALL SELECT DISTINCT user_id, split, y, w, -1, 1.0 FROM fl WHERE split <> 'test'),\n"
+           "tw AS (SELECT split, sum(w) AS w FROM x WHERE i = -1 GROUP BY split),\n"
+           "c0 AS (SELECT setting, i, 0.0::DOUBLE AS c FROM st, (SELECT DISTINCT i FROM x))")
+    out = []
+    for e in range(4):
+        sql += (f",\nz{e} AS (SELECT setting, user_id, split, y, w, sum(c * x) AS z FROM x JOIN c{e} USING (i) GROUP BY ALL),\n"
+                f"c{e + 1} AS (SELECT setting, i, any_value(c) - any_value(rate) * (sum(z.w * (1 / (1 + exp(-z)) - z.y) * x) "
+                "/ (SELECT w FROM tw WHERE split = 'train') + CASE WHEN i >= 0 THEN any_value(reg) * any_value(c) ELSE 0 END) AS c "
+                f"FROM z{e} z JOIN x USING (user_id) JOIN c{e} USING (setting, i) JOIN st USING (setting) "
+                "WHERE z.split = 'train' GROUP BY setting, i)")
+        loss = "sum(CASE WHEN split = '{}' THEN w * (greatest(z, 0) + ln(1 + exp(-abs(z))) - y * z) ELSE 0 END) / (SELECT w FROM tw WHERE split = '{}')"
+        out.append(f"SELECT setting, {e} AS epoch, round({loss.format('train', 'train')}, 6) AS train_loss, "
+                   f"round({loss.format('valid', 'valid')}, 6) AS val_loss FROM z{e} GROUP BY setting")
+    return f"{sql}\n" + " UNION ALL ".join(out)
+
+
+def _records(spark, history):
+    """One record per run with its losses as lists, written and read as
+    experiment files."""
+    h = history.groupBy("setting", "learning_rate", "reg_param").agg(
+        F.array_sort(F.collect_list(F.struct("epoch", "train_loss", "val_loss"))).alias("h"))      # at most SWEEP_EPOCHS each
+    rec = h.select(F.concat(F.lit("exp-"), experiment_key(["learning_rate", "reg_param"])).alias("name"), "setting",
+                   "learning_rate", "reg_param", F.col("h.train_loss").alias("train_losses"), F.col("h.val_loss").alias("val_losses"))
+    return read_experiments(spark, write_experiments(rec, scratch_path(spark, "runs")), T.StructType.fromDDL(RECORD_SCHEMA))
 
 
 def m_sweep(spark, d):
-    fw = materialize(_flat_windows(spark, d))
-    feats = [c for c in fw.columns if c.startswith("x")]
-    part = lambda name: fw.filter(F.col("split") == name)
-    _, res = sweep(part("train"), part("valid"), feats, "y", regs=REGS, iters=ITERS, pos_weight=POS_WEIGHT)
-    return spark.createDataFrame(res, "reg_param double, max_iter int, auc double")
+    """Every setting of the sweep: where the stopping rule replayed over its
+    history ends, whether training ended there, and the area under ROC of the
+    kept coefficients on the valid users."""
+    runs, history, rows = _trained(spark, d)
+    s = seq("setting", "epoch")
+    replay = early_stop(with_chunk(history, s, 1 << 16), s, "val_loss", SWEEP_PATIENCE)
+    online = spark.createDataFrame([(r.setting, r.rate, r.reg, r.stop_epoch, r.best_epoch) for r in runs],
+                                   "setting int, learning_rate double, reg_param double, _stop int, _best int")
+    auc = roc_auc(score_runs(rows.filter(~F.col("train")), runs).select("setting", "score", F.col("y").cast("int").alias("y")),
+                  "score", "y", ["setting"])
+    same = F.col("stop_epoch").eqNullSafe(F.col("_stop")) & (F.col("best_epoch") == F.col("_best"))
+    return online.join(replay, "setting").join(auc, "setting", "left").select(
+        "setting", "learning_rate", "reg_param", "n_epochs", "stop_epoch", "best_epoch", "best_loss", "auc", same.alias("agrees"))
 
 
 def m_sweep_facts(spark, d):
-    """The sweep's settings, each measured once with an area in [0, 1], beside
-    the number of windows it was measured on."""
-    n = materialize(_flat_windows(spark, d)).filter(F.col("split") == "valid").agg(F.count(F.lit(1)).alias("n_valid"))
-    s = m_sweep(spark, d).select("reg_param", "max_iter", F.col("auc").between(0.0, 1.0).alias("in_range"))
-    return s.withColumn("_k", F.lit(1)).join(n.withColumn("_k", F.lit(1)), "_k").drop("_k")
+    """What holds for every setting of a right sweep, beside the number of users
+    it was measured on: training stopped where the replayed rule does, the area
+    lies in [0, 1], and the kept epoch is no worse than the zero model."""
+    _, history, rows = _trained(spark, d)
+    n = rows.filter(~F.col("train")).agg(F.count(F.lit(1)).alias("n_valid"))
+    s = seq("setting", "epoch")
+    stop = early_stop(with_chunk(history, s, 1 << 16), s, "val_loss", SWEEP_PATIENCE)
+    last = history.groupBy("setting", "learning_rate", "reg_param").agg(
+        F.max("epoch").alias("last"), F.max(F.when(F.col("epoch") == 0, F.col("val_loss"))).alias("zero"))
+    j = stop.join(last, "setting").select(
+        "setting", "learning_rate", "reg_param", (F.coalesce("stop_epoch", F.lit(SWEEP_EPOCHS - 1)) == F.col("last")).alias("stopped_there"),
+        (F.col("best_loss") <= F.col("zero")).alias("no_worse"), F.lit(1).alias("_k"))
+    return j.join(n.withColumn("_k", F.lit(1)), "_k").drop("_k")
 
 
 def _sql_sweep_facts():
+    sets = ", ".join(f"({i}, {a}, {b})" for i, (a, b) in enumerate((a, b) for a in RATES for b in REGS))
     return (f"{_sql_windows_cte()},\n{_sql_split('wo')},\nn AS (SELECT count(DISTINCT user_id) AS n_valid FROM sp "
-            "WHERE split = 'valid')\nSELECT CAST(reg_param AS DOUBLE) AS reg_param, CAST(max_iter AS INTEGER) AS max_iter, "
-            f"TRUE AS in_range, n_valid FROM (VALUES {', '.join(f'({r})' for r in REGS)}) r(reg_param), "
-            f"(VALUES {', '.join(f'({i})' for i in ITERS)}) m(max_iter), n")
+            "WHERE split = 'valid')\nSELECT CAST(setting AS INTEGER) AS setting, CAST(a AS DOUBLE) AS learning_rate, "
+            f"CAST(b AS DOUBLE) AS reg_param, TRUE AS stopped_there, TRUE AS no_worse, n_valid FROM (VALUES {sets}) s(setting, a, b), n")
+
+
+def m_sweep_history(spark, d):
+    """The history of the sweep, from experiment records, one row per epoch and
+    kind of loss."""
+    rec = _records(spark, _trained(spark, d)[1])
+    long = history_long(rec, ["name"], {"train": "train_losses", "val": "val_losses"}, settings=["learning_rate", "reg_param"])
+    return long.withColumn("value", F.round("value", 6))
+
+
+def m_sweep_summary(spark, d):
+    """Mean last and best losses per learning rate and ridge."""
+    rec = _records(spark, _trained(spark, d)[1]).select(
+        "learning_rate", "reg_param", F.element_at("train_losses", -1).alias("train_last"),
+        F.element_at("val_losses", -1).alias("val_last"), F.array_min("val_losses").alias("val_best"))
+    out = compare_settings(rec, "learning_rate", "reg_param", ["train_last", "val_last", "val_best"])
+    return out.select("learning_rate", "reg_param", r6("train_last"), r6("val_last"), r6("val_best"), "n_runs")
 
 
 # ---- M6, M17, M18: training histories ---------------------------------------------------------------
@@ -449,7 +579,11 @@ QUERIES = {
     "w_sequences": w_sequences,
     "w_sliding": w_sliding,
     "m_classifier": m_classifier,
+    "m_tree_facts": m_tree_facts,
+    "m_first_epochs": m_first_epochs,
     "m_sweep": m_sweep,
+    "m_sweep_history": m_sweep_history,
+    "m_sweep_summary": m_sweep_summary,
     "m_early_stop": m_early_stop,
     "m_history_long": m_history_long,
     "m_history_summary": m_history_summary,
@@ -464,7 +598,9 @@ QUERIES = {
 }
 
 ORACLE = {
-    "m_classifier_facts": _sql_classifier_facts(),
+    "m_classifier_facts": SQL_CLASSIFIER_FACTS,
+    "m_tree_facts": _sql_tree_facts(),
+    "m_first_epochs": _sql_first_epochs(),
     "m_sweep_facts": _sql_sweep_facts(),
     "l_sample_shuffle": SQL_SAMPLE,
     "l_split": _sql_windows_cte() + ",\n" + _sql_split("wo") + "\nSELECT user_id, hr, split FROM sp",

@@ -10,7 +10,6 @@ from stayframe.operators.clean import add_scores
 from stayframe.operators.cohort import band_flag, event_hour, lag_sum, onset_windows, persistence
 from stayframe.operators.joins import not_in
 from stayframe.operators.seq import depth_chunks, prev_next, row_index, seq
-from stayframe.functions.columns import time_position
 from stayframe.plans.common import (EVENT_MIN_VALUE, EVENT_TYPE, FEATURES, G8_SEQ, SCORE_PARTS,
                                     URGENT, events, grid8, masked_grid8, r6, sql_g8, sql_impute,
                                     sql_masked)

@@ -7,7 +7,7 @@ from __spark_entry__ import _corpus, entry, oracle_sql, queries
 from tests.harness import compare, duck
 
 SF = "/root/testdata/sf0.001"
-ROWS_ONLY = {"m_classifier", "m_sweep"}
+ROWS_ONLY = {"m_classifier", "m_sweep", "m_sweep_history", "m_sweep_summary"}
 CORPUS = set(_corpus()[0])          # tested in tests/llm
 OWN = set(queries()) - CORPUS
 
