@@ -9,6 +9,7 @@ from pyspark.sql import types as T
 from stayframe.operators.history import experiment_key
 from stayframe.plans.common import events, grid8, masked_grid8
 from stayframe.session import scratch_path
+from stayframe.sources.named_csv import write_named_csv
 from stayframe.sources.files import read_experiments, read_param_files, write_experiments, write_param_files
 from stayframe.sources.tables import table
 
@@ -33,6 +34,24 @@ def s_param_files(spark: SparkSession, d: str) -> DataFrame:
                                          F.countDistinct("subject_id").alias("n_subjects"))
 
 
+def s_named_files(spark: SparkSession, d: str) -> DataFrame:
+    """One file per event type, named after it, with byte-order mark and index
+    column; read back by file name, the index checked and dropped."""
+    ev = table(spark, d, "events", ["event_id", "user_id", "ts", "event_type", "value"])
+    out = ev.select("event_type", "event_id", "user_id", F.col("ts").alias("charttime"), F.col("value").alias("valuenum"))
+    path = write_named_csv(out, scratch_path(spark, "named-files"), "event_type", index=True, bom=True, order=("event_id",))
+    schema = T.StructType.fromDDL("idx long, event_id long, user_id long, charttime string, valuenum double")
+    back = read_param_files(spark, path, schema, "parameter", from_="file",
+                            names=["place", "event_id", "subject_id", "charttime", "valuenum"])
+    back = back.withColumn("charttime", F.to_timestamp_ntz("charttime", F.lit(TS_FORMAT)))
+    return back.groupBy("parameter").agg(
+        F.count(F.lit(1)).alias("n"), F.max("place").alias("last_place"), F.max_by("event_id", "place").alias("last_event"),
+        F.round(F.avg("valuenum"), 6).alias("mean_value"), F.max("charttime").alias("last_time"))
+
+
+SQL_NAMED_FILES = ("SELECT event_type AS parameter, count(*) AS n, count(*) - 1 AS last_place, max(event_id) AS last_event, "
+                   "round(avg(value), 6) AS mean_value, max(ts) AS last_time FROM events GROUP BY event_type")
+
 SQL_PARAM_FILES = ("SELECT event_type AS parameter, CAST(count(*) AS BIGINT) AS n, round(avg(value), 6) AS mean_value, "
                    "min(ts) AS first_time, CAST(count(DISTINCT user_id) AS BIGINT) AS n_subjects FROM events GROUP BY event_type")
 
@@ -77,6 +96,7 @@ def s_catalog(spark: SparkSession, d: str) -> DataFrame:
 
 QUERIES = {
     "s_param_files": s_param_files,
+    "s_named_files": s_named_files,
     "s_experiments": s_experiments,
     "s_catalog": s_catalog,
 }
@@ -97,6 +117,7 @@ def _sql_catalog():
 
 ORACLE = {
     "s_param_files": SQL_PARAM_FILES,
+    "s_named_files": SQL_NAMED_FILES,
     "s_experiments": SQL_EXPERIMENTS,
     "s_catalog": _sql_catalog(),
 }

@@ -1,8 +1,8 @@
 """File sources and sinks: per-parameter CSV folders and experiment records.
 
 Writes go to a fresh sub-folder of the shared checkpoint folder
-(``session.scratch_path``); nothing is funnelled through one task to name a
-single file - the parameter lives in the folder name instead.
+(``session.scratch_path``). Parameters live in folder names (``write_param_files``)
+or, for tools that want one file each, in file names (``named_csv``).
 """
 
 from __future__ import annotations
@@ -13,6 +13,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from stayframe.sources.named_csv import decoded
+
 
 def write_param_files(df: DataFrame, path: str, param: str, mode: str = "overwrite") -> str:
     """One CSV folder per parameter value (``<path>/<param>=<value>/part-*.csv``), with header."""
@@ -20,21 +22,23 @@ def write_param_files(df: DataFrame, path: str, param: str, mode: str = "overwri
     return path
 
 
-def read_param_files(spark: SparkSession, path: str, schema: T.StructType, param_out: str = "parameter",
+def read_param_files(spark: SparkSession, path: str, schema: T.StructType | str, param_out: str = "parameter",
                      from_: str = "folder", names: Sequence[str] | None = None,
                      drop: Sequence[str] = ()) -> DataFrame:
     """Read every ``*.csv`` below ``path`` (dot-files and other files are
     skipped by the glob), with an explicit schema (no inference pass), and
     derive the parameter from the folder name (``key=value``) or the file
-    name (``value.csv``). ``names`` renames columns by position after a
-    width check; ``drop`` removes saved index columns."""
-    df = (spark.read.schema(schema).option("header", True).option("pathGlobFilter", "*.csv")
+    name (``value.csv``, or ``value~1.csv`` for a further piece of it, as
+    ``named_csv`` writes them). A byte-order mark is skipped with the header.
+    ``names`` renames columns by position after a width check; ``drop`` removes
+    saved index columns."""
+    df = (spark.read.schema(schema).option("header", True).option("pathGlobFilter", "*.csv").option("escape", '"')
           .option("recursiveFileLookup", "true").csv(path))
     if from_ == "folder":
-        p = F.regexp_extract(F.col("_metadata.file_path"), r"/[^/=]+=([^/]+)/[^/]+$", 1)
+        p = F.url_decode(F.regexp_extract(F.col("_metadata.file_path"), r"/[^/=]+=([^/]+)/[^/]+$", 1))
     else:
-        p = F.regexp_extract(F.col("_metadata.file_name"), r"^(.*)\.csv$", 1)
-    df = df.withColumn(param_out, F.url_decode(p))
+        p = decoded(F.col("_metadata.file_name"))
+    df = df.withColumn(param_out, p)
     if drop:
         df = df.drop(*drop)
     if names:
