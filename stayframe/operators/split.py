@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from stayframe.operators.seq import global_index
+from stayframe.operators.seq import Seq, global_index, range_chunks, row_index
+
 
 def entity_ranks(df: DataFrame, key: str, order: str | None = None, total: str | None = None) -> DataFrame:
     """One row per entity with its 0-based rank in the order of ``order``
@@ -64,5 +65,20 @@ def sample_entities(df: DataFrame, key: str, k: int, seed: int = 7) -> DataFrame
 
 
 def ordered_page(df: DataFrame, order: Sequence[str], offset: int, limit: int) -> DataFrame:
-    """Rows offset..offset+limit under a total order."""
-    return df.orderBy(*order).offset(offset).limit(limit)
+    """Rows offset..offset+limit under a total order, in that order.
+
+    Rank lookup: rows are cut into range partitions, whose row counts tell which
+    of them hold the page (one row reaches the driver). Only these are read again
+    and ranked, each by itself, so no task holds the rows before the page, and a
+    page longer than a partition comes from several tasks."""
+    x = range_chunks(df.withColumn("_o", F.struct(*order)), ["_o"], "_page")
+    before = Window.orderBy("_page").rowsBetween(Window.unboundedPreceding, -1)           # a row per partition
+    sizes = x.groupBy("_page").agg(F.count(F.lit(1)).alias("n")).withColumn("start", F.coalesce(F.sum("n").over(before), F.lit(0)))
+    held = sizes.filter((F.col("start") < offset + limit) & (F.col("start") + F.col("n") > offset)).agg(
+        F.min("_page").alias("lo"), F.max("_page").alias("hi"), F.min("start").alias("start")).first()
+    if held["lo"] is None:
+        return df.limit(0)
+    page = x.filter(F.col("_page").between(held["lo"], held["hi"]))
+    ranked = row_index(page, Seq((), "_o", "_page"), "_rank")
+    first = offset - held["start"]
+    return ranked.filter((F.col("_rank") >= first) & (F.col("_rank") < first + limit)).orderBy(*order).select(*df.columns)

@@ -3,6 +3,7 @@
 import datetime as dt
 import math
 import random
+import re
 
 import numpy as np
 import pytest
@@ -517,3 +518,23 @@ def test_interval_closures_band_and_event_hour(spark):
     users = spark.createDataFrame([(1,), (2,)], "k long")
     ids = spark.createDataFrame([(2,), (2,), (None,)], "k long")
     assert sorted((r.k, r.f) for r in membership_flag(users, ids, "k", "k", "f").collect()) == [(1, 0), (2, 1)]
+
+
+def test_ordered_page_reads_only_its_partitions(spark):
+    from stayframe.operators.split import ordered_page
+    df = spark.range(20000).select((F.col("id") * 7919 % 20011).alias("a"), F.col("id").alias("b"), F.lit("x").alias("_c"))
+    want = sorted((r.a, r.b) for r in df.collect())
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        for offset, limit in [(0, 5), (10000, 50), (4990, 6000), (19990, 50), (20000, 5), (7, 0)]:
+            page = ordered_page(df, ["a", "b"], offset, limit)
+            assert [(r.a, r.b) for r in page.collect()] == want[offset:offset + limit]
+            assert page.columns == df.columns
+        page = ordered_page(df, ["a", "b"], 10000, 50)
+        plan = page._jdf.queryExecution().executedPlan().toString()
+        assert "TakeOrdered" not in plan and "Limit" not in plan
+        # of the four range partitions, one or two are read
+        lo, hi = (int(v) for v in re.search(r"GreaterThanOrEqual\(_page,(\d+)\), LessThanOrEqual\(_page,(\d+)\)", plan.replace("`", "")).groups())
+        assert hi - lo <= 1
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
