@@ -13,12 +13,12 @@ from stayframe.operators import impute as imp
 from stayframe.operators.clean import add_scores
 from stayframe.operators.cohort import lag_sum, onset_windows
 from stayframe.operators.grid import hourly_mean
-from stayframe.operators.joins import not_in, outer_merge, time_band_join
+from stayframe.operators.joins import band_chunk_join, not_in, outer_merge
 from stayframe.operators.profile import keep_first
 from stayframe.operators.split import shuffled_ranks, shuffled_split
 from stayframe.plans.common import (EVENT_MIN_VALUE, EVENT_TYPE, FEATURES, G8_SEQ, SCORE_PARTS, URGENT, events, grid8, r6, sql_g8)
 from stayframe.plans.q_aggs import LI_COLS
-from stayframe.plans.q_windows import _sql_scored, _sql_windows, infection_events, scored_grid
+from stayframe.plans.q_windows import _sql_scored, _sql_windows, scored_grid, stays
 from stayframe.session import materialize, scratch_path
 from stayframe.sources.tables import table
 
@@ -40,8 +40,8 @@ SQL_KEEP_FIRST = (f"SELECT {', '.join(LI_COLS)} FROM (SELECT *, row_number() OVE
 # ---- J14 then A6: first time above the threshold inside the onset band -------------
 
 def j_band_first(spark: SparkSession, d: str) -> DataFrame:
-    inf = infection_events(spark, d)
-    g = time_band_join(scored_grid(spark, d), inf, ["user_id"], "starttime", "infection_time", 48, 24)
+    inf = stays(spark, d).filter(F.col("infection_time").isNotNull()).select("user_id", "infection_time", "origin")
+    g = band_chunk_join(scored_grid(spark, d), inf, G8_SEQ, "starttime", "infection_time", 48, 24, "origin", 8)
     a = g.filter(F.col("score") >= 2).groupBy("user_id").agg(F.min("hr").alias("first_hr"),
                                                              F.min("starttime").alias("first_start"))
     return a.filter(F.col("first_hr") >= 3)

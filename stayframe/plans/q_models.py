@@ -10,6 +10,7 @@ from stayframe.functions.columns import binarize, logistic_loss
 from stayframe.operators import impute as imp
 from stayframe.operators.cohort import onset_windows
 from stayframe.operators.history import compare_settings, early_stop, experiment_key, history_long
+from stayframe.operators.joins import chunk_join
 from stayframe.operators.metrics import (average_precision, class_report, confusion, pr_curve, roc_auc,
                                          scores_from_confusion)
 from stayframe.operators.model import (MODELS, fit, predict, root_split, save, score_runs, train_epochs,
@@ -70,9 +71,9 @@ def l_split(spark, d):
 
 def l_union(spark, d):
     g = grid8(spark, d)   # read by the event and the non-event side
-    et = event_table(spark, d, g, materialized=True)
+    et = event_table(spark, d, g, back=1)      # an onset on a border lies in two bins
     ev = et.filter(F.col("is_infection") == 1).select("user_id", "hr", "infection_time", "infection_hour")
-    non = g.join(nonevent_users(spark, d), "user_id", "left_semi").filter(F.col("hr") == 0)
+    non = chunk_join(g, nonevent_users(spark, d, materialized=True), G8_SEQ, F.lit(0), F.lit(0)).filter(F.col("hr") == 0)
     non = non.select("user_id", "hr", F.col("is_infection").alias("flag"))
     return ev.unionByName(non, allowMissingColumns=True)
 

@@ -8,12 +8,12 @@ from pyspark.sql import functions as F
 from stayframe.functions.columns import binarize, bin_index, year_of
 from stayframe.operators.clean import add_scores, drop_null_rows, fill_constant, null_indicators
 from stayframe.operators.grid import entity_bounds, hourly_mean, interval_totals, month_bin
-from stayframe.operators.joins import (membership_flag, not_in, null_safe_join, outer_merge_pivot,
-                                       time_band_join)
+from stayframe.operators.joins import (band_chunk_join, chunk_join, membership_flag, not_in, null_safe_join,
+                                       outer_merge_pivot)
 from stayframe.operators.seq import salted_join
-from stayframe.plans.common import (EVENT_MIN_VALUE, EVENT_TYPE, FEATURES, OUTLIER_RULES,
+from stayframe.plans.common import (EVENT_MIN_VALUE, EVENT_TYPE, FEATURES, G8_SEQ, OUTLIER_RULES,
                                     SCORE_PARTS, URGENT, events, grid8, r6, sql_g8, sql_rule)
-from stayframe.plans.q_windows import _sql_event_table, event_table, infection_events
+from stayframe.plans.q_windows import _sql_event_table, event_table, stays
 from stayframe.session import materialize
 from stayframe.sources.tables import table
 
@@ -225,9 +225,10 @@ def j_first_infection(spark, d):
 # ---- J10/J12/J19 --------------------------------------------------------------------------------
 
 def j_cohort_members(spark, d):
-    g = grid8(spark, d, materialized=False)
-    cohort = infection_events(spark, d).select("user_id")      # unique per user: semi join
-    return g.join(cohort, "user_id", "left_semi").select("user_id", "hr", *[r6(f) for f in F4])
+    """Grid rows of the users with an onset, met chunk by chunk."""
+    cohort = stays(spark, d).filter(F.col("infection_time").isNotNull()).select("user_id", "last_bin")
+    g = chunk_join(grid8(spark, d), cohort, G8_SEQ, F.lit(0), F.col("last_bin"), "left_semi")
+    return g.select("user_id", "hr", *[r6(f) for f in F4])
 
 
 # ---- J13/J20 -------------------------------------------------------------------------------------
@@ -250,12 +251,15 @@ def j_not_in_null(spark, d):
 # ---- J14/A5/F5 -----------------------------------------------------------------------------------
 
 def j_time_band(spark, d):
-    ev = events(spark, d).filter(F.col("event_type") == EVENT_TYPE)
-    inf = (ev.groupBy("user_id").agg(F.max((F.col("value") >= EVENT_MIN_VALUE).cast("int")).alias("flag"),
-                                     F.min(F.when(F.col("value") >= EVENT_MIN_VALUE, F.col("ts"))).alias("t"))
-           .filter(F.col("flag") == 1))
-    g = grid8(spark, d, materialized=False).select("user_id", "hr", "starttime")
-    return time_band_join(g, inf, ["user_id"], "starttime", "t", 48, 24).select("user_id", "hr", "starttime", "t")
+    """Grid rows within 48 hours before and 24 hours after the user's first
+    flagged event, by the chunks that band can touch."""
+    flagged = (F.col("event_type") == EVENT_TYPE) & (F.col("value") >= EVENT_MIN_VALUE)
+    inf = events(spark, d).groupBy("user_id").agg(
+        F.max(F.when(F.col("event_type") == EVENT_TYPE, flagged.cast("int"))).alias("flag"),
+        F.min(F.when(flagged, F.col("ts"))).alias("t"), F.min("ts").alias("origin")).filter(F.col("flag") == 1)
+    inf = materialize(inf.drop("flag"), "anchors")
+    g = grid8(spark, d).select("user_id", "hr", "starttime", G8_SEQ.chunk)
+    return band_chunk_join(g, inf, G8_SEQ, "starttime", "t", 48, 24, "origin", 8).select("user_id", "hr", "starttime", "t")
 
 
 # ---- J16/J17/J18: N-way outer merge as union + pivot -----------------------------------------------
@@ -267,10 +271,11 @@ def j_outer_merge(spark, d):
     ev = events(spark, d)
     hm = hourly_mean(ev, ["user_id", "event_type"], "ts", ["value"])
     wide = outer_merge_pivot(hm.filter(F.col("event_type") != EVENT_TYPE), ["user_id", "hour"], "event_type",
-                             "value", [t for t in TYPES if t != EVENT_TYPE])
+                             "value")
     lab = hm.filter(F.col("event_type") == EVENT_TYPE).select("user_id", "hour", F.col("value").alias(EVENT_TYPE))
     merged = null_safe_join(wide, lab, ["user_id", "hour"], "full").withColumn("year", year_of("hour"))
-    return merged.select("user_id", "hour", "year", *[r6(t) for t in TYPES])
+    found = [c for c in wide.columns if c not in ("user_id", "hour")]
+    return merged.select("user_id", "hour", "year", *[r6(t) for t in [*found, EVENT_TYPE]])
 
 
 def _sql_outer_merge():

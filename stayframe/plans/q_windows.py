@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from stayframe.operators import impute as imp
 from stayframe.operators.clean import add_scores
 from stayframe.operators.cohort import band_flag, event_hour, lag_sum, onset_windows, persistence
-from stayframe.operators.joins import not_in
+from stayframe.functions.columns import bin_index, bin_start
+from stayframe.operators.joins import chunk_join, not_in
 from stayframe.operators.seq import depth_chunks, prev_next, row_index, seq
 from stayframe.plans.common import (EVENT_MIN_VALUE, EVENT_TYPE, FEATURES, G8_SEQ, SCORE_PARTS,
                                     URGENT, events, grid8, masked_grid8, r6, sql_g8, sql_impute,
@@ -220,20 +221,28 @@ def _sql_window_qsofa() -> str:
 
 # ---- W15, W18, W19: 8h event table and 4-bin windows ----------------------------
 
-def infection_events(spark: SparkSession, d: str, materialized: bool = False) -> DataFrame:
-    """First onset event per user: min ts of error events with value >= 100
-    (one row per user; materialized when several branches read it)."""
-    ev = events(spark, d)
-    r = (ev.filter((F.col("event_type") == EVENT_TYPE) & (F.col("value") >= EVENT_MIN_VALUE))
-         .groupBy("user_id").agg(F.min("ts").alias("infection_time")))
-    return materialize(r) if materialized else r
+def stays(spark: SparkSession, d: str) -> DataFrame:
+    """One row per user, from one aggregate over the events, written once: the
+    grid's origin and last bin, the onset time (null without), its bin and hour."""
+    onset = (F.col("event_type") == EVENT_TYPE) & (F.col("value") >= EVENT_MIN_VALUE)
+    f = events(spark, d).groupBy("user_id").agg(F.min("ts").alias("origin"), F.max("ts").alias("_last"),
+                                                F.min(F.when(onset, F.col("ts"))).alias("infection_time"))
+    f = f.withColumns({"last_bin": bin_index("_last", "origin", 8), "onset_bin": bin_index("infection_time", "origin", 8)})
+    f = f.withColumns({"_s": bin_start("origin", "onset_bin", 8), "_e": bin_start("origin", F.col("onset_bin") + 1, 8)})
+    f = f.withColumn("onset_hour", event_hour("onset_bin", 8, "_s", "_e", "infection_time"))
+    return materialize(f.drop("_last", "_s", "_e"), "stays")
 
 
-def event_table(spark: SparkSession, d: str, grid: DataFrame | None = None, materialized: bool = False) -> DataFrame:
+def event_table(spark: SparkSession, d: str, grid: DataFrame | None = None, facts: DataFrame | None = None,
+                back: int | None = None) -> DataFrame:
     """G8 rows of users with an onset, with is_infection (1 when the onset
-    time lies in [start, end], else null) and infection_hour."""
+    time lies in [start, end], else null) and infection_hour. With ``back``,
+    only chunks that hold the ``back`` bins up to the onset bin are read."""
     g = (grid if grid is not None else grid8(spark, d)).drop("is_infection")
-    j = g.join(infection_events(spark, d, materialized), "user_id", "inner")
+    f = (facts if facts is not None else stays(spark, d)).filter(F.col("infection_time").isNotNull())
+    lo, hi = (F.lit(0), F.col("last_bin")) if back is None else (F.greatest(F.col("onset_bin") - back, F.lit(0)), F.col("onset_bin"))
+    f = f.select("user_id", "infection_time", lo.alias("_lo"), hi.alias("_hi"))
+    j = chunk_join(g, f, G8_SEQ, F.col("_lo"), F.col("_hi")).drop("_lo", "_hi")
     return j.select(F.col("*"), band_flag("starttime", "endtime", "infection_time").alias("is_infection"),
                     event_hour("hr", 8, "starttime", "endtime", "infection_time").alias("infection_hour"))
 
@@ -264,18 +273,16 @@ def nonevent_users(spark: SparkSession, d: str, materialized: bool = False) -> D
 def w_window_short(spark: SparkSession, d: str) -> DataFrame:
     """8h cohorts: onset users whose onset hour is >= 32 keep the 4 bins up
     to the onset bin (no length check); non-event users having bin 4 keep
-    their first 4 bins."""
-    g = grid8(spark, d)
-    et = event_table(spark, d, g, materialized=True)
-    s = G8_SEQ
-    # users whose flagged bin has an onset hour >= 32
-    ih = et.groupBy("user_id").agg(F.max("infection_hour").alias("_ih"))
-    et = et.join(ih.filter(F.col("_ih") >= 32).select("user_id"), "user_id", "left_semi")
+    their first 4 bins. Both cohorts are known from the stays, and meet only
+    the chunks of the grid that hold those bins."""
+    g, s, f = grid8(spark, d), G8_SEQ, stays(spark, d)
+    et = event_table(spark, d, g, f.filter(F.col("onset_hour") >= 32), back=4)
     ev = onset_windows(et, s, 4, "is_infection", symptomatic=F.lit(1), min_rows=0, event_min_rows=0)
     ev = ev.select("user_id", "hr", "step", "is_event", *F4)
-    non = g.join(nonevent_users(spark, d, materialized=True), "user_id", "left_semi")
-    has4 = non.filter(F.col("hr") == 4).select("user_id")
-    non = non.join(has4, "user_id", "left_semi").withColumn("is_infection", F.lit(0))
+    # bin 4 exists where the last bin is no earlier
+    cohort = nonevent_users(spark, d).join(f.filter(F.col("last_bin") >= 4).select("user_id"), "user_id")
+    cohort = materialize(cohort, "cohort")
+    non = chunk_join(g, cohort, s, F.lit(0), F.lit(4)).withColumn("is_infection", F.lit(0))
     nw = onset_windows(non, s, 4, "is_infection").select("user_id", "hr", "step", "is_event", *F4)
     return _out(ev.unionByName(nw), extra=("step", "is_event"))
 

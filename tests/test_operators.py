@@ -538,3 +538,32 @@ def test_ordered_page_reads_only_its_partitions(spark):
         assert hi - lo <= 1
     finally:
         spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
+def test_outer_merge_pivot_takes_parameters_from_the_data(spark):
+    from stayframe.operators.joins import outer_merge_pivot
+    long = spark.createDataFrame([(1, "b", 1.0), (1, "a", 2.0), (2, "new", 3.0)], "k long, p string, v double")
+    out = outer_merge_pivot(long, ["k"], "p", "v")
+    assert out.columns == ["k", "a", "b", "new"]
+    assert sorted(map(tuple, out.collect())) == [(1, 2.0, 1.0, None), (2, None, None, 3.0)]
+    assert outer_merge_pivot(long, ["k"], "p", "v", ["a"]).columns == ["k", "a"]
+
+
+def test_band_chunk_join_equals_the_plain_one(spark):
+    from stayframe.operators.joins import band_chunk_join, time_band_join
+    rnd = random.Random(5)
+    s = seq("k", "hr")
+    grid = spark.createDataFrame([(k, h, T0 + dt.timedelta(hours=8 * h + k)) for k in range(6) for h in range(40)],
+                                 "k long, hr int, st timestamp_ntz")
+    anchors = spark.createDataFrame([(k, T0 + dt.timedelta(minutes=rnd.randint(-6000, 25000)), T0 + dt.timedelta(hours=k))
+                                     for k in range(7)], "k long, t timestamp_ntz, o timestamp_ntz")
+    rows = lambda df: sorted((r.k, r.hr) for r in df.collect())
+    want = rows(time_band_join(grid, anchors, ["k"], "st", "t", 48, 24))
+    import stayframe.operators.joins as J
+    for width in (1, 7, 4096):
+        joined = J.chunk_join
+        J.chunk_join = lambda r, f, q, lo, hi, how="inner", w=width: joined(r, f, q, lo, hi, how, w)
+        try:
+            assert rows(band_chunk_join(with_chunk(grid, s, width), anchors, s, "st", "t", 48, 24, "o", 8)) == want and want
+        finally:
+            J.chunk_join = joined

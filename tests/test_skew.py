@@ -119,3 +119,40 @@ def test_cold_keys_have_no_copies(spark):
     plan = salted_join(rows, facts, ["k"], "v", share=10)._jdf.queryExecution().optimizedPlan().toString()
     assert "_salts" in plan
     assert salted_join(rows.limit(0), facts.limit(0), ["k"], "v").count() == 0
+
+
+def test_cohort_joins_meet_on_chunks(spark):
+    """A hot user's grid rows are spread over tasks when they meet a cohort, and
+    chunks that the cohort cannot touch match nothing."""
+    from stayframe.operators.joins import chunk_join
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.shuffle.partitions": "8",
+            "spark.sql.adaptive.coalescePartitions.enabled": "false", "spark.sql.adaptive.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        s = seq("u", "hr")
+        g = spark.range(12000).select(F.when(F.col("id") < 4000, F.lit(0)).otherwise(F.col("id") % 800 + 1).alias("u"),
+                                      F.when(F.col("id") < 4000, F.col("id")).otherwise(F.floor(F.col("id") / 800)).alias("hr"))
+        g = with_chunk(g, s, 32)
+        facts = g.groupBy("u").agg(F.max("hr").alias("last"))
+        j = chunk_join(g, facts, s, F.lit(0), F.col("last"), width=32)
+        most, mean = _rows_per_task(j)
+        assert j.count() == 12000 and most <= 2 * mean
+        plan = chunk_join(g, facts.withColumn("one", F.lit(1)), s, F.lit(0), F.col("last"), width=32)._jdf.queryExecution().executedPlan().toString()
+        assert "hashpartitioning(u#" in plan and "_chunk#" in plan.split("hashpartitioning(")[1]
+        near = chunk_join(g, facts.filter("u = 0"), s, F.lit(100), F.lit(130), width=32)
+        assert sorted(r.hr for r in near.collect()) == list(range(96, 160))
+        assert chunk_join(g, facts, s, F.lit(5), F.lit(3), width=32).count() == 0
+        assert chunk_join(g, facts.filter("u = 0"), s, F.lit(-50), F.lit(-3), width=32).count() == 0
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
+def test_cohort_queries_have_no_exchange_on_the_user_alone(spark):
+    import re
+    from __spark_entry__ import queries
+    for name in ("j_time_band", "l_union", "j_cohort_members", "p_band_flag"):
+        plan = queries()[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
+        assert not re.search(r"hashpartitioning\(user_id#\d+L, \d", plan), name
