@@ -1,8 +1,10 @@
 """Column expressions shared by the operators.
 
-Times may arrive as TIMESTAMP_NTZ (the fixtures) or TIMESTAMP; elapsed time
-is always measured with ``timestamp_diff`` so it does not depend on the
-session time zone.
+Times may arrive as TIMESTAMP_NTZ (the fixtures) or TIMESTAMP. Between two
+TIMESTAMP_NTZ values elapsed time is the difference of the local times
+themselves, whatever zone the session is in; between two TIMESTAMP values it is
+the difference of the instants. (``timestamp_diff`` reads local times in the
+session's zone, so a time in the gap of a clock change would be shifted.)
 """
 
 from __future__ import annotations
@@ -26,7 +28,16 @@ def col(c) -> Column:
 
 def micros_between(start, end) -> Column:
     """Elapsed microseconds from ``start`` to ``end`` (EXTRACT(epoch ...)*1e6)."""
-    return F.timestamp_diff("MICROSECOND", col(start), col(end))
+    a, b = col(start), col(end)
+    local = (F.typeof(a) == "timestamp_ntz") & (F.typeof(b) == "timestamp_ntz")       # known when the plan is made
+    return F.when(local, _local_micros(b) - _local_micros(a)).otherwise(
+        F.unix_micros(b.cast("timestamp")) - F.unix_micros(a.cast("timestamp")))
+
+
+def _local_micros(t: Column) -> Column:
+    """Microseconds since 1970-01-01 00:00 of a local time, from its fields."""
+    seconds = F.unix_date(t.cast("date")).cast("long") * 86_400 + F.hour(t) * 3600 + F.minute(t) * 60
+    return seconds * 1_000_000 + (F.extract(F.lit("SECOND"), t) * 1_000_000).cast("long")
 
 
 def hours_between(start, end) -> Column:
@@ -39,8 +50,7 @@ def time_position(df: DataFrame, name: str) -> Column:
     microseconds for timestamps and dates, the value itself otherwise."""
     dt = df.schema[name].dataType
     if isinstance(dt, T.TimestampNTZType):
-        epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
-        return F.timestamp_diff("MICROSECOND", epoch, F.col(name))
+        return _local_micros(F.col(name))
     if isinstance(dt, T.TimestampType):
         return F.unix_micros(F.col(name))
     if isinstance(dt, T.DateType):
@@ -105,5 +115,6 @@ def year_of(c) -> Column:
 
 
 def hour_floor(c) -> Column:
-    """Truncate a timestamp (or timestamp text) to the hour."""
-    return F.date_trunc("hour", col(c))
+    """Truncate a timestamp to the hour of its own clock; the type stays."""
+    t = col(c)
+    return t - F.make_dt_interval(F.lit(0), F.lit(0), F.minute(t), F.extract(F.lit("SECOND"), t).cast("decimal(18,6)"))

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from stayframe.functions.columns import hours_between
-from stayframe.operators.seq import Seq, entity_aggs, index_and_aggs, prev_row, row_index
+from stayframe.operators.seq import Seq, index_and_aggs, prev_row, row_index
 
 
 def lag_sum(df: DataFrame, s: Seq, c: str, out: str, at_least: float | None = None,

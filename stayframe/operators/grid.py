@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from stayframe.functions.columns import bin_index, bin_start, time_position
+from stayframe.functions.columns import bin_index, bin_start, hour_floor, time_position
 from stayframe.operators.seq import GRID_CHUNK, Seq, depth_chunks, prefix_aggs, salted_join
 from stayframe.session import materialize
 
@@ -118,8 +118,7 @@ def hourly_mean(df: DataFrame, keys: Sequence[str], time: str, values: Sequence[
     pandas group-by does."""
     if drop_null_keys:
         df = df.dropna(subset=list(keys))
-    h = F.date_trunc("hour", F.col(time)).cast(df.schema[time].dataType)
-    return df.groupBy(*keys, h.alias(hour_col)).agg(*[F.avg(v).alias(v) for v in values])
+    return df.groupBy(*keys, hour_floor(time).alias(hour_col)).agg(*[F.avg(v).alias(v) for v in values])
 
 
 def interval_join(grid: DataFrame, events: DataFrame, keys: Sequence[str], start: str, end: str,

@@ -17,9 +17,9 @@ from dataclasses import dataclass, field
 import numpy as np
 import pyarrow as pa
 from pyspark.ml import PipelineModel
-from pyspark.ml.classification import GBTClassifier, LogisticRegression
+from pyspark.ml.classification import GBTClassifier, LogisticRegression, LogisticRegressionModel
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 MODELS = ("logistic", "boosted_trees")
@@ -51,8 +51,17 @@ def fit(train: DataFrame, features: str, label: str, model: str = "logistic", po
     return est.fit(_vectors(with_class_weight(train, label, pos_weight, "_w"), features))
 
 
+def _sigmoid(coef: Column, intercept: Column, x: str) -> Column:
+    """Probability of label 1 of the array column ``x``; a missing feature counts as 0."""
+    z = F.aggregate(F.zip_with(x, coef, lambda a, b: F.coalesce(a, F.lit(0.0)) * b), intercept, lambda s, v: s + v)
+    return 1 / (1 + F.exp(-z))
+
+
 def predict(model, df: DataFrame, features: str, out: str = "score") -> DataFrame:
     """``df`` with the probability of label 1."""
+    if isinstance(model, LogisticRegressionModel):      # a column expression; the model object carries its training table
+        coef = F.array(*[F.lit(float(c)) for c in model.coefficients])
+        return df.withColumn(out, _sigmoid(coef, F.lit(float(model.intercept)), features))
     pred = model.transform(_vectors(df, features))
     return pred.withColumn(out, vector_to_array("probability")[1]).drop("_x", "rawPrediction", "probability", "prediction")
 
@@ -187,5 +196,5 @@ def score_runs(rows: DataFrame, runs: Sequence[Run]) -> DataFrame:
     per = [F.struct(F.lit(r.setting).alias("setting"), F.lit(float(r.best[-1])).alias("b"),
                     F.array(*[F.lit(float(v)) for v in r.best[:-1]]).alias("c")) for r in runs]
     x = rows.withColumn("_run", F.explode(F.array(*per)))
-    z = F.aggregate(F.zip_with("x", "_run.c", lambda a, b: a * b), F.col("_run.b"), lambda s, v: s + v)
-    return x.withColumn("setting", F.col("_run.setting")).withColumn("score", 1 / (1 + F.exp(-z))).drop("_run")
+    return x.withColumn("setting", F.col("_run.setting")).withColumn(
+        "score", _sigmoid(F.col("_run.c"), F.col("_run.b"), "x")).drop("_run")

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stayframe.operators.quantile import group_quantiles
+from stayframe.session import materialize_observed
 
 
 def null_profile(df: DataFrame, cols: Sequence[str], digits: int = 3) -> DataFrame:
@@ -22,6 +23,17 @@ def null_profile(df: DataFrame, cols: Sequence[str], digits: int = 3) -> DataFra
                       F.round(F.try_divide(F.col("n_null"), F.col("n_rows")), digits).alias("ratio"))
 
 
+def null_profile_write(df: DataFrame, cols: Sequence[str], digits: int = 3) -> tuple[DataFrame, DataFrame]:
+    """``df`` written, and its ``null_profile``, counted while it was written
+    (a row per column, made on the driver)."""
+    metrics = {f"n_{i}": F.count(F.when(F.col(c).isNull(), 1)) for i, c in enumerate(cols)}
+    rows, seen = materialize_observed(df, "profiled", {"rows": F.count(F.lit(1)), **metrics})
+    n, nulls = seen.get("rows", 0), [seen.get(f"n_{i}", 0) for i in range(len(cols))]
+    table = [(c, k, n) for c, k in zip(cols, nulls, strict=True)] + [("__all__", sum(nulls), n * len(cols))]
+    out = df.sparkSession.createDataFrame(table, "feature string, n_null long, n_rows long")
+    return rows, out.select("feature", "n_null", F.round(F.try_divide(F.col("n_null"), F.col("n_rows")), digits).alias("ratio"))
+
+
 def null_by_entity(df: DataFrame, keys: Sequence[str], cols: Sequence[str],
                    min_rows: int | None = None) -> DataFrame:
     """Per entity: rows, mean number of null features per row, ratio to the

@@ -1,17 +1,20 @@
 """Feature scaling with the scikit-learn edge rules.
 
 The global fits are one aggregation returning a single row (bounded), read on
-the driver and applied as literals. Per-entity fits aggregate per entity and
-join back.
+the driver and applied as literals. ``minmax_write`` and ``zscore_write`` fit
+while the rows are written, for rows that several later steps read anyway.
+Per-entity fits aggregate per entity and join back.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from stayframe.session import materialize_observed
+
 
 def minmax_fit(df: DataFrame, cols: Sequence[str]) -> dict[str, tuple[float | None, float | None]]:
     r = df.agg(*[F.min(c).alias(f"{c}__min") for c in cols], *[F.max(c).alias(f"{c}__max") for c in cols]).first()
@@ -33,6 +36,25 @@ def minmax_scale(df: DataFrame, cols: Sequence[str], fit_on: DataFrame | None =
     return minmax_apply(df, minmax_fit(fit_on if fit_on is not None else df, cols))
 
 
+def _where(c: str, fit_on: Column | None) -> Column:
+    return F.col(c) if fit_on is None else F.when(fit_on, F.col(c))
+
+
+def minmax_write(df: DataFrame, cols: Sequence[str], fit_on: Column | None = None) -> DataFrame:
+    """``minmax_scale`` of rows that are written on the way: minima and maxima
+    (over the rows with ``fit_on``) are taken while they pass into the files."""
+    rows, seen = materialize_observed(df, "scaled", {
+        f"{k}_{i}": f(_where(c, fit_on)) for i, c in enumerate(cols) for k, f in (("lo", F.min), ("hi", F.max))})
+    return minmax_apply(rows, {c: (seen.get(f"lo_{i}"), seen.get(f"hi_{i}")) for i, c in enumerate(cols)})
+
+
+def zscore_write(df: DataFrame, cols: Sequence[str], fit_on: Column | None = None) -> DataFrame:
+    """``zscore_scale`` of rows that are written on the way."""
+    rows, seen = materialize_observed(df, "scaled", {
+        f"{k}_{i}": f(_where(c, fit_on)) for i, c in enumerate(cols) for k, f in (("mu", F.avg), ("sd", F.stddev_pop))})
+    return zscore_apply(rows, {c: (seen.get(f"mu_{i}"), seen.get(f"sd_{i}")) for i, c in enumerate(cols)})
+
+
 def minmax_by_entity(df: DataFrame, keys: Sequence[str], cols: Sequence[str]) -> DataFrame:
     """Min-max scale within each entity (per-entity min/max joined back)."""
     st = df.groupBy(*keys).agg(*[F.min(c).alias(f"{c}__min") for c in cols],
@@ -55,7 +77,10 @@ def zscore_fit(df: DataFrame, cols: Sequence[str]) -> dict[str, tuple[float | No
 
 def zscore_scale(df: DataFrame, cols: Sequence[str], fit_on: DataFrame | None = None) -> DataFrame:
     """(x - mean) / population std, nulls ignored; std 0 divides by 1."""
-    fit = zscore_fit(fit_on if fit_on is not None else df, cols)
+    return zscore_apply(df, zscore_fit(fit_on if fit_on is not None else df, cols))
+
+
+def zscore_apply(df: DataFrame, fit: dict) -> DataFrame:
     out = []
     for c in df.columns:
         if c in fit:

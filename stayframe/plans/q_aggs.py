@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from stayframe.operators.grid import coarsen, conditional_avgs, event_grid, hourly_mean
 from stayframe.operators.profile import (describe, duplicate_groups, never_observed, null_by_entity,
-                                         null_profile)
+                                         null_profile_write)
 from stayframe.operators.quantile import exact_quantiles
 from stayframe.operators.split import entity_ranks, ordered_page, ordered_split
 from stayframe.plans.common import FEATURES, events, grid8, masked_grid8, r6, sql_g8, sql_masked
@@ -134,7 +134,8 @@ SELECT split, CAST(n_rows AS BIGINT) AS n_rows, CAST(n_users AS BIGINT) AS n_use
 # ---- A12-A15 ------------------------------------------------------------------------------------
 
 def a_null_profile(spark, d):
-    return null_profile(grid8(spark, d, materialized=False), F4)
+    """Nulls of the grid, counted while it is written for the scans that follow."""
+    return null_profile_write(grid8(spark, d, materialized=False), F4)[1]
 
 
 def _sql_null_profile():

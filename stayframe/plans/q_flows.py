@@ -3,8 +3,6 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -19,7 +17,8 @@ from stayframe.operators.split import shuffled_ranks, shuffled_split
 from stayframe.plans.common import (EVENT_MIN_VALUE, EVENT_TYPE, FEATURES, G8_SEQ, SCORE_PARTS, URGENT, events, grid8, r6, sql_g8)
 from stayframe.plans.q_aggs import LI_COLS
 from stayframe.plans.q_windows import _sql_scored, _sql_windows, scored_grid, stays
-from stayframe.session import materialize, scratch_path
+from stayframe.session import materialize
+from stayframe.sources.saved import SavedTables, merge_saved
 from stayframe.sources.tables import table
 
 F4 = list(FEATURES)
@@ -133,16 +132,44 @@ SQL_SHUFFLED_SPLIT = (f"WITH p AS ({SQL_PLACES}), n AS (SELECT floor(count(*) *
                       "ELSE 'test' END AS split FROM p, n")
 
 
-# ---- S8: CREATE TABLE AS a saved table, read back ----------------------------------------------------
+# ---- S8: CREATE TABLE AS saved tables, read back --------------------------------------------------
 
 def s_saved_table(spark: SparkSession, d: str) -> DataFrame:
-    """Daily means saved as a table in the shared folder and read by name."""
-    name = f"sf_daily_{uuid.uuid4().hex[:8]}"
+    """Daily means saved as a table in the shared folder and read by name; the
+    table is dropped when the result is written."""
     ev = events(spark, d)
     daily = ev.groupBy("user_id", F.to_date("ts").alias("day")).agg(F.avg("value").alias("value"), F.count(F.lit(1)).alias("n"))
-    daily.write.option("path", scratch_path(spark, name)).saveAsTable(name)
-    return spark.table(name).select("user_id", "day", r6("value"), "n")
+    with SavedTables(spark) as saved:
+        saved.save(daily, "daily")
+        return materialize(spark.table(saved.names[0]).select("user_id", "day", r6("value"), "n"), "saved")
+
+
+BUCKETS = 8
+MERGED = ("click", "view", "purchase")      # fixed: the parameters merged
+
+
+def hourly_tables(spark: SparkSession, d: str, saved: SavedTables) -> tuple[DataFrame, list[DataFrame]]:
+    """Hourly means of three parameters and all their keys, each a table bucketed
+    by (user, hour)."""
+    keys = ["user_id", "hour"]
+    ev = events(spark, d).filter(F.col("event_type").isin(*MERGED))
+    hm = materialize(hourly_mean(ev, ["user_id", "event_type"], "ts", ["value"]), "hourly")
+    parts = [saved.save(hm.filter(F.col("event_type") == t).select(*keys, F.col("value").alias(t)), t, keys, BUCKETS) for t in MERGED]
+    return saved.save(hm.select(*keys).distinct(), "spine", keys, BUCKETS), parts
+
+
+def s_bucketed_merge(spark: SparkSession, d: str) -> DataFrame:
+    """The three parameters merged from their bucketed tables; no join has an
+    exchange."""
+    with SavedTables(spark) as saved:
+        spine, parts = hourly_tables(spark, d, saved)
+        return materialize(merge_saved(spine, parts, ["user_id", "hour"]).select("user_id", "hour", *[r6(t) for t in MERGED]), "merged")
+
 
+SQL_BUCKETED = ("WITH " + ", ".join(f"t_{t} AS (SELECT user_id, date_trunc('hour', ts) AS hour, avg(value) AS {t} FROM events "
+                                    f"WHERE event_type = '{t}' GROUP BY 1, 2)" for t in MERGED)
+                + "\nSELECT user_id, hour, " + ", ".join(f"round({t}, 6) AS {t}" for t in MERGED) + f" FROM t_{MERGED[0]}"
+                + "".join(f" FULL OUTER JOIN t_{t} USING (user_id, hour)" for t in MERGED[1:]))
 
 SQL_SAVED = "SELECT user_id, CAST(ts AS DATE) AS day, round(avg(value), 6) AS value, count(*) AS n FROM events GROUP BY 1, 2"
 
@@ -178,6 +205,7 @@ QUERIES = {
     "l_shuffle": l_shuffle,
     "l_shuffled_split": l_shuffled_split,
     "s_saved_table": s_saved_table,
+    "s_bucketed_merge": s_bucketed_merge,
     "w_window_4h": w_window_4h,
 }
 
@@ -192,5 +220,6 @@ ORACLE = {
     "l_shuffle": SQL_PLACES,
     "l_shuffled_split": SQL_SHUFFLED_SPLIT,
     "s_saved_table": SQL_SAVED,
+    "s_bucketed_merge": SQL_BUCKETED,
     "w_window_4h": _sql_window_4h(),
 }

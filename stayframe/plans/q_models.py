@@ -15,7 +15,7 @@ from stayframe.operators.metrics import (average_precision, class_report, confus
                                          scores_from_confusion)
 from stayframe.operators.model import (MODELS, fit, predict, root_split, save, score_runs, train_epochs,
                                        weighted_gradient, with_class_weight)
-from stayframe.operators.scale import minmax_by_entity, minmax_scale, zscore_scale
+from stayframe.operators.scale import minmax_by_entity, minmax_write, zscore_write
 from stayframe.operators.seq import depth_chunks, global_index, row_index, seq, with_chunk
 from stayframe.operators.sequence import sliding_sequences, window_sequences
 from stayframe.operators.split import ordered_split, sample_entities
@@ -99,7 +99,7 @@ def _split_windows(spark, d):
 
 def m_minmax(spark, d):
     w = _split_windows(spark, d)
-    s = minmax_scale(w, SCALE_COLS, fit_on=w.filter(F.col("split") != "test"))
+    s = minmax_write(w, SCALE_COLS, F.col("split") != "test")
     return s.select("user_id", "hr", "split", *[r6(c) for c in SCALE_COLS])
 
 
@@ -111,7 +111,7 @@ def m_minmax_by_stay(spark, d):
 
 def m_zscore(spark, d):
     w = _split_windows(spark, d)
-    s = zscore_scale(w, SCALE_COLS, fit_on=w.filter(F.col("split") != "test"))
+    s = zscore_write(w, SCALE_COLS, F.col("split") != "test")
     return s.select("user_id", "hr", "split", *[r6(c) for c in SCALE_COLS])
 
 
@@ -176,7 +176,7 @@ def _flat_windows(spark, d):
     """Min-max scaled windows, fitted on the train and valid part, as one array
     per user, written once: fits read it many times."""
     w = _split_windows(spark, d)
-    w = minmax_scale(w, F4, fit_on=w.filter(F.col("split") != "test"))
+    w = minmax_write(w, F4, F.col("split") != "test")
     sq = window_sequences(w, ["user_id", "split"], "step", F4, "is_infection", SEQ_LEN, SEQ_TARGET)
     return materialize(sq.select("user_id", "split", F.col("y").cast("double").alias("y"), F.flatten("X").alias("x")), "flat")
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
 # Settings every job relies on: UTC wall clock, adaptive execution (runtime
 # broadcast conversion under a size threshold, skew-join splitting, partition
@@ -58,6 +58,16 @@ def materialize(df: DataFrame, name: str = "table") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def materialize_observed(df: DataFrame, name: str, metrics: dict[str, Column]) -> tuple[DataFrame, dict]:
+    """``materialize`` that also aggregates ``metrics`` over the rows while they
+    pass into the files, so that a fit or a profile needs no pass of its own.
+    The aggregates sit right above the write, where each task counts once even
+    if it is run again."""
+    seen = Observation()
+    out = materialize(df.observe(seen, *[v.alias(k) for k, v in metrics.items()]), name)
+    return out, seen.get
+
+
 def cluster_conf(input_bytes: int, executors: int, cores_per_executor: int,
                  target_partition_bytes: int = 256 << 20) -> dict[str, str]:
     """Settings for a large cluster run, sized from the input volume.
