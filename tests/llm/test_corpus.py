@@ -174,36 +174,6 @@ def test_raking_meets_the_marginals_within_what_is_held():
     assert full[0] == 10                                # a goal beyond what is held takes all of it
 
 
-def test_mixing_rows(spark):
-    rows = [(1, None), (None, "a b"), (None, "a b"), (4, ""), (5, "x " * 5000)]
-    got = q_mixing.mixed(docs(spark, rows)).collect()
-    assert len(got) == 5 and all(0 <= r.probability <= 1 for r in got)
-    assert len({r.sampled for r in got if r.tokens == 2}) == 1
-    assert q_mixing.mixed(docs(spark, [])).count() == 0
-
-
-def test_mixing_query_against_brute_force(spark):
-    got = Q.QUERIES["op7_source_mixing"](spark, SF).collect()
-    text = {r.doc_id: r for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
-    assert len(got) == len(text)
-    cells = collections.defaultdict(int)
-    for r in got:
-        d = text[r.doc_id]
-        n = len(re.findall(r"[^\x20\x09-\x0D]+", d.text or ""))
-        form = "table" if re.search(r"\|[^|\n]*\|", d.text or "") else next(
-            k for k, lim in (("brief", 100), ("note", 400), ("essay", 1500), ("long", 1 << 60)) if n < lim)
-        assert (r.tokens, r.label_source, r.label_lang, r.label_topic) == (
-            n, d.source if d.source == "src0" else "*", d.lang if d.lang in ("en", "de", "fr", "es") else "*", form)
-        u = int(hashlib.md5(f"1:{r.doc_id}".encode()).hexdigest()[:13], 16) / 16 ** 13
-        assert r.sampled == (u < r.probability)
-        cells[r.label_source, r.label_lang, r.label_topic] += n
-    probability = {(r.label_source, r.label_lang, r.label_topic): r.probability for r in got}
-    kept = sum(cells[c] * p for c, p in probability.items())
-    for k, goal in (("en", 0.55), ("de", 0.15), ("fr", 0.15)):
-        share = sum(cells[c] * p for c, p in probability.items() if c[1] == k) / kept
-        assert abs(share - goal) < 0.05
-
-
 # ---- bit-sliced search -----------------------------------------------------
 
 def test_block_top_k_against_products():
