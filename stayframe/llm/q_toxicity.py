@@ -2,34 +2,28 @@
 
 from __future__ import annotations
 
-import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stayframe.llm import toxicity
 from stayframe.llm.common import table
 
+CATEGORIES = ["low_quality", "toxic", "toxic_prose"]
 
-def trained(spark: SparkSession, sf_dir: str) -> toxicity.Chain:
-    """low_quality, toxic and severe from the ``labels`` table. severe: a toxic
-    document with at least the median number of terms that the sample's toxic
-    documents have and its others lack."""
-    labels = table(spark, sf_dir, "labels", "doc_id", "quality", "toxic").withColumn("low_quality", 1 - F.col("quality"))
-    docs = table(spark, sf_dir, "documents", "doc_id", "text")
-    sets, y = toxicity.gather(docs, labels, "toxic", ["low_quality"])
-    toxic, low = y[:, 0], y[:, 1]
-    every = np.concatenate([*sets, np.zeros(0, np.uint32)])
-    row = np.repeat(np.arange(len(sets)), [len(t) for t in sets])
-    only_toxic = ~np.isin(every, every[toxic[row] == 0])
-    marked = np.bincount(row, only_toxic, len(sets))
-    middle = np.median(marked[toxic == 1]) if toxic.any() else 0
-    severe = ((toxic == 1) & (marked >= middle)).astype(int)
-    return toxicity.fit(sets, np.stack([low, toxic, severe], 1), ["low_quality", "toxic", "severe"], main=1)
+
+def trained(docs: DataFrame, labels: DataFrame) -> toxicity.Chain:
+    """The chain over what the ``labels`` table says: bad writing, toxicity, and
+    toxicity in writing that is otherwise good, which a quality filter lets by."""
+    q, t = F.col("quality").cast("int"), F.col("toxic").cast("int")
+    labelled = labels.select("doc_id", t.alias("toxic"), (1 - q).alias("low_quality"), (q * t).alias("toxic_prose"))
+    sets, forms, y, weigh = toxicity.gather(docs, labelled, "toxic", ["low_quality", "toxic_prose"])
+    return toxicity.fit(sets, forms, y[:, [1, 0, 2]], CATEGORIES, weigh)
 
 
 def op2_toxicity_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with its category probabilities and flags."""
-    return toxicity.score(table(spark, sf_dir, "documents", "doc_id", "text"), trained(spark, sf_dir))
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    return toxicity.score(docs, trained(docs, table(spark, sf_dir, "labels", "doc_id", "quality", "toxic")))
 
 
 QUERIES = {"op2_toxicity_chain": op2_toxicity_chain}

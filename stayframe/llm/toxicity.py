@@ -1,26 +1,32 @@
 """Toxicity categories by a classifier chain.
 
 Categories are predicted one after another. The model of each category is a
-linear (logistic) model over the text's words and word beginnings and over the
-probabilities of all earlier categories. In training those probabilities are
-out-of-fold: the sample is cut into ``FOLDS`` parts and a document's earlier
-probability comes from a model that never saw it, so a later model learns how
-far an earlier one can be trusted. In use the chain runs in order.
+linear (logistic) model over terms of its own (words and word beginnings, chosen
+by their chi-square with that category), over the text's form (``FORM``) and over
+the probabilities of all earlier categories. In training those probabilities are
+out-of-fold: the sample is cut into ``FOLDS`` parts, and a document's earlier
+probability comes from a model whose terms, scales and weights were all taken
+from the other parts, so a later model learns how far an earlier one can be
+trusted, and thresholds are set on predictions that are honest. In use the chain
+runs in order.
 
 The models are fitted on the driver on at most ``SAMPLE`` labelled documents,
-half of them positive in the category asked for, taken in the order of a hash
-of their ids (a documented bound); the sample reaches the tasks as a broadcast
-of at most that many ids. Every document is then scored whole.
+half of them positive in the main category, taken in the order of a hash of
+their ids (a documented bound that holds however often an id repeats); the
+sample's ids reach the tasks as a broadcast of at most that many. Sample rows
+count by how many labelled documents of their kind they stand for when thresholds
+are set. Every document is then scored whole.
 
 Defined results: a null or wordless text has the probability of the models'
-constants; unlabelled documents are scored alike; equal rows score alike; with
-no positive or no negative label a category has the constant probability of its
-share; an empty table gives an empty result."""
+constants; unlabelled documents are scored alike; equal rows score alike; an id
+with several labels is positive if one is; with no positive or no negative label
+a category has the constant probability of its share; kept columns with the name
+of an output column give way to it; an empty table gives an empty result."""
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
@@ -28,16 +34,31 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from stayframe.llm.common import written
+
 SAMPLE = 6000            # labelled documents fitted on
-FEATURES = 1024          # words and beginnings kept, by their chi-square
+FEATURES = 1024          # words and beginnings of a category, by their chi-square
 BEGINNINGS = (4, 5, 6)   # lengths of word beginnings
 FOLDS = 3
-ROUNDS = 60
+ROUNDS = 80
+TRUST = 4.0              # scale of earlier probabilities, so that they are learned as fast as terms
 RATE = 0.1
 RIDGE = 1e-4
-PRECISION = 0.99         # out-of-fold, of a category's flags
+PRECISION = 0.99         # out-of-fold, of a category's flags; where nothing reaches it, the best balance
 FLOOR = 0.3              # least threshold
 EDGE = "\"'`.,;:!?()[]{}<>*#%&$|-_…«»“”„’‘¡¿/\\+=~^@"
+# form of a text: words, share of symbols, capitals, digits, repeated words and lines, letters a word
+FORM = ("words", "symbols", "capitals", "digits", "repeats", "lines", "width")
+_SYMBOLS, _CAPITALS, _DIGITS = b"#*$%&|<>!{}=_~^@", bytes(range(65, 91)), bytes(range(48, 58))
+
+
+def form(text: str) -> list[float]:
+    """The numbers of ``FORM``."""
+    raw = text.encode()
+    words, lines, n = raw.split(), [x for x in raw.split(b"\n") if x.strip()], max(1, len(raw))
+    share = lambda chars: (len(raw) - len(raw.translate(None, chars))) / n
+    return [float(np.log1p(len(words))), share(_SYMBOLS), share(_CAPITALS), share(_DIGITS), 1 - len(set(words)) / max(1, len(words)),
+            1 - len(set(lines)) / max(1, len(lines)), n / max(1, len(words)) / 10]
 
 
 def terms(text: str) -> set[int]:
@@ -78,115 +99,180 @@ def _probability(x: np.ndarray, w: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(x @ w[:-1].astype(np.float32) + w[-1], -30, 30)))
 
 
+@dataclass
+class Link:
+    """The model of one category."""
+    terms: np.ndarray                # hashes
+    weights: np.ndarray              # of the terms, the form, earlier categories, and the constant
+    threshold: float
+    precision: float                 # out of fold, at the threshold
+    recall: float
+    base: float                      # share of positives
+
+
 @dataclass
 class Chain:
     categories: list[str]
-    terms: dict[int, int]            # hash -> column
-    weights: list[np.ndarray]        # one model per category
-    threshold: list[float]
+    links: list[Link]
+    centre: np.ndarray = field(default_factory=lambda: np.zeros(len(FORM)))
+    spread: np.ndarray = field(default_factory=lambda: np.ones(len(FORM)))
+
+    def __post_init__(self):
+        """One table of all links' terms: hash -> row of weights."""
+        known = sorted({int(h) for link in self.links for h in link.terms})
+        self.column = {h: i for i, h in enumerate(known)}
+        self.table = np.zeros((len(known), len(self.links)), np.float32)
+        for j, link in enumerate(self.links):
+            for h, w in zip(link.terms.tolist(), link.weights, strict=False):
+                self.table[self.column[h], j] = w
 
     def score(self, texts: list[str], cache: dict[str, tuple[int, ...]]) -> np.ndarray:
         """[texts, categories] probabilities. ``cache`` remembers words."""
-        n, m = len(texts), len(self.terms)
-        x = np.zeros((n, m + len(self.categories)), np.float32)
+        z = np.zeros((len(texts), len(self.links)))
         for i, t in enumerate(texts):
+            rows: set[int] = set()
             for w in set(t.lower().split()):
                 found = cache.get(w)
                 if found is None:
                     if len(cache) > 500_000:
                         cache.clear()
-                    found = tuple(self.terms[h] for h in _term(w.strip(EDGE)) if h in self.terms)
+                    found = tuple(self.column[h] for h in _term(w.strip(EDGE)) if h in self.column)
                     if len(w) <= 64:
                         cache[w] = found
-                if found:
-                    x[i, list(found)] = 1
-        for j, w in enumerate(self.weights):
-            x[:, m + j] = _probability(x[:, :m + j], w)
-        return x[:, m:].astype(float)
+                rows.update(found)
+            if rows:
+                z[i] = self.table[list(rows)].sum(axis=0)
+        shape = (np.array([form(t) for t in texts]).reshape(-1, len(FORM)) - self.centre) / self.spread
+        p = np.zeros_like(z)
+        for j, link in enumerate(self.links):
+            rest = link.weights[len(link.terms):]
+            p[:, j] = 1 / (1 + np.exp(-np.clip(z[:, j] + np.hstack([shape, p[:, :j]]) @ rest[:-1] + rest[-1], -30, 30)))
+        return p
 
 
-def fit(term_sets: list[np.ndarray], labels: np.ndarray, categories: list[str], main: int) -> Chain:
-    """A chain over the categories in their order. labels [documents, categories]
-    of 0 and 1; terms are chosen by the category ``main``."""
+class _Terms:
+    """The sample's term sets as one numbered list."""
+
+    def __init__(self, sets: list[np.ndarray]):
+        self.n = len(sets)
+        self.known, self.code = np.unique(np.concatenate([*sets, np.zeros(0, np.uint32)]), return_inverse=True)
+        self.row = np.repeat(np.arange(self.n), [len(t) for t in sets])
+
+    def chosen(self, y: np.ndarray, use: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(terms, scales) by chi-square with ``y`` over the rows ``use`` alone. A
+        term weighs as much as it tells, so that strong terms are learned first."""
+        here = use[self.row]
+        code, label = self.code[here], y[self.row[here]]
+        with_term = np.bincount(code, minlength=len(self.known)).astype(float)
+        positive = np.bincount(code, label, len(self.known))
+        share = y[use].mean() if use.any() else 0.0
+        chi = (positive - share * with_term) ** 2 / np.maximum(with_term * share * (1 - share), 1e-9)
+        chi = np.where(with_term >= 3, chi, 0)
+        best = np.lexsort((self.known, -chi))[:FEATURES]
+        best = best[chi[best] > 0]
+        return best, np.sqrt(chi[best] / max(chi[best].max(initial=0), 1e-9)).astype(np.float32)
+
+    def matrix(self, terms: np.ndarray, scale: np.ndarray) -> np.ndarray:
+        column = np.full(len(self.known), -1)
+        column[terms] = np.arange(len(terms))
+        x = np.zeros((self.n, len(terms)), np.float32)
+        use = column[self.code] >= 0
+        x[self.row[use], column[self.code[use]]] = scale[column[self.code[use]]]
+        return x
+
+
+def fit(term_sets: list[np.ndarray], forms: np.ndarray, labels: np.ndarray, categories: list[str],
+        stand_for: np.ndarray | None = None) -> Chain:
+    """A chain over the categories in their order. forms [documents, FORM];
+    labels [documents, categories] of 0 and 1; ``stand_for`` how many documents
+    each one counts for."""
     n = len(term_sets)
-    y = labels[:, main].astype(bool)
-    every = np.concatenate([*term_sets, np.zeros(0, np.uint32)])
-    known, code = np.unique(every, return_inverse=True)
-    row = np.repeat(np.arange(n), [len(t) for t in term_sets])
-    with_term = np.bincount(code, minlength=len(known)).astype(float)
-    positive = np.bincount(code, y[row].astype(float), len(known))
-    share = y.mean() if n else 0.0
-    chi = (positive - share * with_term) ** 2 / np.maximum(with_term * share * (1 - share), 1e-9)
-    chosen = np.lexsort((known, -np.where(with_term >= 3, chi, 0)))[:FEATURES]
-    column = np.full(len(known), -1)
-    column[chosen] = np.arange(len(chosen))
-    x = np.zeros((n, len(chosen) + len(categories)), np.float32)
-    use = column[code] >= 0
-    # a term weighs as much as it tells, so that strong terms are learned first
-    scale = np.sqrt(chi[chosen] / max(chi[chosen].max(initial=0), 1e-9)).astype(np.float32)
-    x[row[use], column[code[use]]] = scale[column[code[use]]]
-    m, fold = len(chosen), np.arange(n) % FOLDS
-    weights, thresholds = [], []
+    known, fold = _Terms(term_sets), np.arange(n) % FOLDS
+    weigh = np.ones(n) if stand_for is None else stand_for
+    centre = forms.mean(axis=0) if n else np.zeros(len(FORM))
+    spread = forms.std(axis=0) + 1e-6 if n else np.ones(len(FORM))
+    shape = ((forms - centre) / spread).astype(np.float32).reshape(n, len(FORM))
+    earlier = np.zeros((n, 0), np.float32)                          # out-of-fold probabilities
+    links = []
     for j in range(len(categories)):
         y = labels[:, j].astype(float)
-        width = m + j
+
         out = np.zeros(n)
         for f in range(FOLDS):
             held = fold == f
             if held.any() and not held.all():
-                out[held] = _probability(x[held, :width], _logistic(x[~held, :width], y[~held]))
-        x[:, width] = out                                       # later models see out-of-fold values only
-        w = _logistic(x[:, :width], y)
-        w[:m] *= scale                                          # texts to score have plain ones
-        weights.append(w)
-        thresholds.append(_threshold(out, y))
-    return Chain(list(categories), {int(known[c]): i for i, c in enumerate(chosen)}, weights, thresholds)
+                terms, scale = known.chosen(y, ~held)
+                x = np.hstack([known.matrix(terms, scale), shape, TRUST * earlier])
+                out[held] = _probability(x[held], _logistic(x[~held], y[~held]))
+        terms, scale = known.chosen(y, np.ones(n, bool))
+        w = _logistic(np.hstack([known.matrix(terms, scale), shape, TRUST * earlier]), y)
+        w[:len(terms)] *= scale                                     # texts to score have plain terms
+        w[len(terms) + len(FORM):-1] *= TRUST
+        links.append(Link(known.known[terms], w, *_threshold(out, y, weigh), float(np.average(y, weights=weigh)) if n else 0.0))
+        earlier = np.hstack([earlier, out[:, None].astype(np.float32)])
+    return Chain(list(categories), links, centre, spread)
 
 
-def _threshold(p: np.ndarray, y: np.ndarray) -> float:
-    """The lowest score with enough precision out of fold, at least FLOOR."""
+def _threshold(p: np.ndarray, y: np.ndarray, weigh: np.ndarray) -> tuple[float, float, float]:
+    """(threshold, precision, recall) out of fold: the lowest score with enough
+    precision, at least FLOOR; else the one with the best balance of both."""
+    if not len(p) or not y.any():
+        return 0.5, 0.0, 0.0
     order = np.argsort(-p, kind="stable")
-    share = np.cumsum(y[order]) / np.arange(1, len(p) + 1)
-    good = np.nonzero(share >= PRECISION)[0]
-    return max(FLOOR, float(p[order][good[-1]])) if len(good) else 0.5
+    hit, flagged = np.cumsum((y * weigh)[order]), np.cumsum(weigh[order])
+    precision, recall = hit / flagged, hit / hit[-1]
+    good = np.nonzero((precision >= PRECISION) & (p[order] >= FLOOR))[0]
+    at = good[-1] if len(good) else int(np.argmax(2 * precision * recall / np.maximum(precision + recall, 1e-9)))
+    return float(p[order][at]), float(precision[at]), float(recall[at])
 
 
 def gather(docs: DataFrame, labelled: DataFrame, main: str, others: list[str], key: str = "doc_id", text: str = "text",
-           sample: int = SAMPLE) -> tuple[list[np.ndarray], np.ndarray]:
-    """Term sets and labels of the bounded sample. ``labelled`` has one column of
-    0 and 1 per category beside the key."""
+           sample: int = SAMPLE) -> tuple[list[np.ndarray], np.ndarray, np.ndarray, np.ndarray]:
+    """Term sets, forms, labels (main first) and weights of the bounded sample.
+    ``labelled`` has one column of 0 and 1 per category beside the key."""
     names = [main, *others]
-    ids = labelled.where(F.col(key).isNotNull() & F.col(main).isNotNull()).select(
-        F.col(key), *[F.coalesce(F.col(c).cast("int"), F.lit(0)).alias(c) for c in names])
-    halves = [ids.where(F.col(main) == v).orderBy(F.md5(F.col(key).cast("string")), key).limit(sample // 2) for v in (0, 1)]
-    rows = docs.select(key, text).join(F.broadcast(halves[0].unionByName(halves[1])), key)
+    ids = labelled.where(F.col(key).isNotNull() & F.col(main).isNotNull()).groupBy(F.col(key).alias("id")).agg(
+        *[F.max(F.coalesce(F.col(c).cast("int"), F.lit(0))).alias(c) for c in names])
+    ids = written(ids.withColumn("h", F.md5(F.col("id").cast("string"))), "labelled")
+    whole = {r[main]: r["n"] for r in ids.groupBy(main).agg(F.count(F.lit(1)).alias("n")).collect()}      # two rows
+    halves = [ids.where(F.col(main) == v).orderBy("h", "id").limit(sample // 2) for v in (0, 1)]
+    rows = docs.select(F.col(key).alias("id"), F.col(text).cast("string").alias("text")).join(
+        F.broadcast(halves[0].unionByName(halves[1])), "id").select("id", "h", *names, "text")
     kinds = dict(rows.dtypes)
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            found = [np.array(sorted(terms(t.as_py() or "")), np.uint32).tobytes() for t in b.column(1)]
-            yield pa.record_batch([b.column(0), pa.array(found, pa.binary()), *b.columns[2:]], names=[key, "terms", *names])
-    got = rows.mapInArrow(each, f"`{key}` {kinds[key]}, terms binary, " + ", ".join(f"`{c}` int" for c in names))
-    sampled = sorted(got.collect(), key=lambda r: (r[key], bytes(r["terms"])))
-    return ([np.frombuffer(r["terms"], np.uint32) for r in sampled],
-            np.array([[r[c] for c in names] for r in sampled], np.int64).reshape(-1, len(names)))
+            texts = [t or "" for t in b.column(len(names) + 2).to_pylist()]
+            found = [np.array(sorted(terms(t)), np.uint32).tobytes() for t in texts]
+            yield pa.RecordBatch.from_arrays(
+                [*b.columns[:-1], pa.array(found, pa.binary()), pa.array([form(t) for t in texts], pa.list_(pa.float64()))],
+                names=["id", "h", *names, "terms", "form"])
+    schema = f"id {kinds['id']}, h string, " + ", ".join(f"`{c}` int" for c in names) + ", terms binary, form array<double>"
+    got = written(rows.mapInArrow(each, schema), "sample")
+    order = ["h", "id", F.xxhash64("terms"), F.xxhash64("form")]
+    sampled = [r for v in (0, 1) for r in got.where(F.col(main) == v).orderBy(*order).limit(sample // 2).collect()]
+    sampled.sort(key=lambda r: (r["h"], str(r["id"]), bytes(r["terms"])))
+    taken = {v: sum(r[main] == v for r in sampled) for v in (0, 1)}
+    return ([np.frombuffer(r["terms"], np.uint32) for r in sampled], np.array([r["form"] for r in sampled]).reshape(-1, len(FORM)),
+            np.array([[r[c] for c in names] for r in sampled], np.int64).reshape(-1, len(names)),
+            np.array([whole[r[main]] / taken[r[main]] for r in sampled]))
 
 
 def score(docs: DataFrame, chain: Chain, keep: tuple[str, ...] = ("doc_id",), text: str = "text") -> DataFrame:
     """The columns ``keep`` of every row, and for each category its probability
     ``p_<category>`` and whether it reaches the threshold, ``<category>``."""
-    rows = docs.select(*keep, text)
-    schema = ", ".join(f"`{c}` {rows.schema[c].dataType.simpleString()}" for c in keep)
     names = [n for c in chain.categories for n in (f"p_{c}", c)]
+    kept = [c for c in keep if c not in names]
+    rows = docs.select(*[F.col(f"`{c}`") for c in kept], F.col(text).cast("string").alias("_text"))
+    schema = "".join(f"`{c}` {rows.schema[c].dataType.simpleString()}, " for c in kept)
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cache: dict[str, tuple[int, ...]] = {}
         for whole in batches:
             for at in range(0, whole.num_rows, 256):
                 b = whole.slice(at, 256)
-                p = chain.score([t or "" for t in b.column(len(keep)).to_pylist()], cache)
-                out = [a for j, limit in enumerate(chain.threshold)
-                       for a in (pa.array(np.round(p[:, j], 6)), pa.array(p[:, j] >= limit))]
-                yield pa.record_batch([*b.columns[:len(keep)], *out], names=[*keep, *names])
-    return rows.mapInArrow(each, schema + "".join(
-        f", `p_{c}` double, `{c}` boolean" for c in chain.categories))
+                p = chain.score([t or "" for t in b.column(len(kept)).to_pylist()], cache)
+                out = [a for j, link in enumerate(chain.links)
+                       for a in (pa.array(np.round(p[:, j], 6)), pa.array(p[:, j] >= link.threshold))]
+                yield pa.RecordBatch.from_arrays([*b.columns[:len(kept)], *out], names=[*kept, *names])
+    return rows.mapInArrow(each, schema + ", ".join(f"`p_{c}` double, `{c}` boolean" for c in chain.categories))

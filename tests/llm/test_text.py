@@ -1,4 +1,4 @@
-"""Quality rules, chat formatting, BPE, personal data, pages and toxicity."""
+"""Quality rules, chat formatting, BPE, personal data and pages."""
 
 import hashlib
 import random
@@ -10,7 +10,7 @@ import pytest
 import tokenizers
 from pyspark.sql import functions as F
 
-from stayframe.llm import bpe, chat, crf, html_text, pii, quality, toxicity
+from stayframe.llm import bpe, chat, crf, html_text, pii, quality
 from stayframe.llm import queries as Q
 from tests.harness import compare, duck
 
@@ -282,36 +282,3 @@ def test_given_pages(spark, field):
                                 "page_id long, url string, html string, text string")
     assert sorted(len(r.text) for r in html_text.extract(odd, field).collect())[:2] == [0, 0]
     assert html_text.extract(odd.limit(0), field).count() == 0
-
-
-# ---- toxicity --------------------------------------------------------------
-
-def test_chain_finds_held_out_toxic_documents():
-    rng = random.Random(8)
-    word = lambda: "".join(rng.choice("aeionrst") for _ in range(rng.randint(2, 8)))
-    common = [word() for _ in range(400)]
-
-    def doc(toxic):
-        ws = rng.choices(common, k=rng.randint(20, 200))
-        for _ in range(rng.randint(2, 6) if toxic else 0):
-            ws[rng.randrange(len(ws))] = "grox" + word()          # a known stem with new endings
-        return " ".join(ws)
-    y = [i % 2 for i in range(800)]
-    xs = [doc(v) for v in y]
-    sets = [np.array(sorted(toxicity.terms(t)), np.uint32) for t in xs[:600]]
-    labels = np.array([[rng.random() < .5, v] for v in y[:600]], int)
-    c = toxicity.fit(sets, labels, ["other", "toxic"], main=1)
-    p = c.score(xs[600:], {})
-    assert ((p[:, 1] >= c.threshold[1]) == np.array(y[600:], bool)).mean() >= 0.98
-
-
-def test_toxicity_rows_and_one_sided_labels(spark):
-    d = docs(spark, [(1, None), (2, ""), (3, "a b"), (3, "a b"), (None, "c")])
-    lab = spark.createDataFrame([(1, 0), (2, 0), (None, 1)], "doc_id long, toxic int")
-    sets, y = toxicity.gather(d, lab, "toxic", [])
-    chain = toxicity.fit(sets, y, ["toxic"], 0)
-    got = toxicity.score(d, chain).collect()
-    assert len(got) == 5 and len({r.p_toxic for r in got}) == 1 and not any(r.toxic for r in got)
-    assert toxicity.score(d.limit(0), chain).count() == 0
-    none = toxicity.fit([], np.zeros((0, 1), int), ["toxic"], 0)
-    assert toxicity.score(d, none).count() == 5
