@@ -8,23 +8,31 @@ time, until the root holds no mergeable pair: a word of n symbols costs
 O(n log n), however long it is.
 
 The vocabulary file is a parameter; the driver reads it and broadcasts its text
-(fixed size, a few MB), and each task builds its tables from that. Words repeat,
-so a task keeps a bounded table of finished words.
+(fixed size, a few MB). A worker process builds its tables from that once, under
+the text's digest, and keeps them for its later tasks. Words repeat, so beside
+them it keeps a bounded table of finished words: a word's ids as bytes, and these
+ids decoded.
 
 Defined results: a null or empty text has no ids and decodes to the empty
 string; texts are encoded whole; special tokens written in a text become their
-ids, as the file's library does; other columns are not read."""
+ids, as the file's library does; other columns are not read, and kept columns with the name
+of an output column give way to it."""
 
 from __future__ import annotations
 
+import hashlib
 import json
 import re
+import struct
+import sys
+import types
 import unicodedata
 from collections.abc import Iterator
 
 import pyarrow as pa
 import tokenizers
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 NONE = 1 << 62
 WORDS_KEPT = 400_000        # finished words a task remembers before it starts afresh
@@ -92,7 +100,7 @@ class Tokenizer:
         self.far = re.compile(f"[^\\x00-{chr(LATIN_END - 1)}]")
         self.bytes = _byte_symbols()
         self.file_text, self.rules = file_text, None
-        self.done: dict[str, tuple[int, ...]] = {}
+        self.done: dict[str, tuple[bytes, str]] = {}
 
     def cut_words(self, text: str) -> list[str]:
         """The normalized words of a text. In the Latin blocks composition does
@@ -134,33 +142,50 @@ class Tokenizer:
                 tree.put(h, rank(h, i))
         return [i for i in ids if i >= 0]
 
-    def word(self, w: str) -> tuple[int, ...]:
-        """Ids of one word."""
+    def word(self, w: str) -> tuple[bytes, str]:
+        """Ids of one word, as bytes, and what they decode to."""
         symbols = [self.bytes[b] for b in w.encode()]
         symbols[-1] += self.suffix
-        out = tuple(self.merge([self.vocab[s] for s in symbols]))
+        ids = self.merge([self.vocab[s] for s in symbols])
+        out = struct.pack(f"<{len(ids)}I", *ids), self.decode(ids)
         if len(w) <= 64:
             if len(self.done) >= WORDS_KEPT:
                 self.done.clear()
             self.done[w] = out
         return out
 
-    def encode(self, text: str) -> list[int]:
-        ids: list[int] = []
+    def encode_bytes(self, text: str) -> tuple[bytes, str]:
+        """Ids of a text as little-endian 32-bit numbers, and their decoding."""
+        found: list[tuple[bytes, str]] = []
+        get, word = self.done.get, self.word
         for k, part in enumerate(self.cut.split(text) if "<|" in text else (text,)):
             if k % 2:
-                ids.append(self.special[part])
+                i = self.special[part]
+                found.append((struct.pack("<I", i), self.decode([i])))
             else:
-                get, word = self.done.get, self.word
-                for w in self.cut_words(part):
-                    ids += get(w) or word(w)
-        return ids
+                found += [get(w) or word(w) for w in self.cut_words(part)]
+        return b"".join([f[0] for f in found]), " ".join([f[1] for f in found])
+
+    def encode(self, text: str) -> list[int]:
+        raw = self.encode_bytes(text)[0]
+        return list(struct.unpack(f"<{len(raw) // 4}I", raw))
 
     def decode(self, ids) -> str:
         """The tokens joined by one space: the file names no decoder."""
         return " ".join(map(self.tokens.__getitem__, ids))
 
 
+def of_worker(file_text: str) -> Tokenizer:
+    """The process's tokenizer of a file, built when first asked for. Functions
+    travel by value, so what is kept hangs on a module of the process itself."""
+    kept = sys.modules.setdefault("stayframe_worker_tokenizers", types.ModuleType("stayframe_worker_tokenizers"))
+    name = "t" + hashlib.sha256(file_text.encode()).hexdigest()
+    if not hasattr(kept, name):
+        vars(kept).clear()                   # one file at a time
+        setattr(kept, name, Tokenizer(file_text))
+    return getattr(kept, name)
+
+
 def read_vocabulary(path: str) -> str:
     """The text of a vocabulary file, read on the driver."""
     with open(path, encoding="utf-8") as f:
@@ -171,14 +196,14 @@ def round_trip(docs: DataFrame, vocabulary: str, key: str = "doc_id", text: str
                keep: tuple[str, ...] = ()) -> DataFrame:
     """(key, *keep, n_tokens, ids, decoded) of every whole text; ``ids`` is binary,
     little-endian unsigned 32-bit numbers."""
-    rows = docs.select(key, *keep, text)
+    names = [key, *(c for c in keep if c not in (key, "n_tokens", "ids", "decoded"))]
+    rows = docs.select(*[F.col(f"`{c}`") for c in names], F.col(text).alias("_text"))
     shared = docs.sparkSession.sparkContext.broadcast(vocabulary)
-    names = [key, *keep]
     schema = ", ".join(f"`{c}` {rows.schema[c].dataType.simpleString()}" for c in names) \
         + ", n_tokens long, ids binary, decoded string"
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tok = Tokenizer(shared.value)
+        tok = of_worker(shared.value)
 
         def out(b: pa.RecordBatch, first: int, ids: list[bytes], decoded: list[str]) -> pa.RecordBatch:
             kept = [b.column(i).slice(first, len(ids)) for i in range(len(names))]
@@ -188,10 +213,9 @@ def round_trip(docs: DataFrame, vocabulary: str, key: str = "doc_id", text: str
         for b in batches:
             first, size, ids, decoded = 0, 0, [], []
             for i, t in enumerate(b.column(len(names))):
-                found = tok.encode(t.as_py() or "")
-                packed = pa.array(found, pa.uint32()).buffers()[1]
-                ids.append(packed.to_pybytes()[:4 * len(found)] if found else b"")
-                decoded.append(tok.decode(found))
+                raw, back = tok.encode_bytes(t.as_py() or "")
+                ids.append(raw)
+                decoded.append(back)
                 size += len(decoded[-1])
                 if size > OUT_BYTES:
                     yield out(b, first, ids, decoded)

@@ -10,8 +10,8 @@ as one sequence, main text or not, and Viterbi finds the best labelling.
 The field is fitted on the driver on ``TRAIN_PAGES`` generated, labelled pages
 (a fixed bound) in many layouts, since no table here labels blocks.
 
-Defined results: a null or empty page has no text; scripts, styles and the head
-are never blocks; character references are decoded; white space inside a block,
+Defined results: a null or empty page has no text; scripts, styles, the head and
+elements that are not shown (``hidden``, ``display:none``) are never blocks; character references are decoded; white space inside a block,
 line breaks included, becomes one space; blocks are joined in page order by a
 line feed, none is shortened; broken and cut-off markup is read as far as it
 goes; an empty table gives an empty result."""
@@ -26,6 +26,7 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from stayframe.llm import crf
 
@@ -59,28 +60,33 @@ SEED = 11
 
 _TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*+)>"""
                     r"""|<(/?)([a-zA-Z][^\s/>]*)([^>]*)(?:>|\Z)|</\Z""", re.S)
-_ATTR = re.compile(r"""(class|id|role|aria-label|itemprop|hidden)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""", re.I)
+_ATTR = re.compile(r"""([^\s=/"'>]+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""")
+_NAMED = frozenset(("class", "id", "role", "aria-label", "itemprop"))
+_NOT_SHOWN = re.compile(r"(?:^|[;\s\"'])(?:display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse))", re.I)
 _TAGS = frozenset("nav header footer aside form article main section ul ol table figure blockquote button dialog a "
                   "fieldset details pre label figcaption address".split())
 
 
-def _marks(tag: str, attrs: str) -> list[str]:
-    """Features an element gives to the blocks inside it."""
-    out = ["in:" + tag] if tag in _TAGS else []
+def _marks(tag: str, attrs: str) -> tuple[list[str], bool]:
+    """Features an element gives to the blocks inside it, and whether they are
+    shown at all (not under ``hidden``, ``display:none`` or ``visibility:hidden``)."""
+    out, shown = ["in:" + tag] if tag in _TAGS else [], True
     if attrs:
         for name, value in _ATTR.findall(attrs):
-            if name.lower() == "hidden":
-                out.append("hidden")
-            for t in re.split(r"[^a-z]+", re.sub(r"([a-z])([A-Z])", r"\1 \2", value).lower()):
-                if t in _CUE_OF:
-                    out.append("cue:" + _CUE_OF[t])
-    return out
+            name = name.lower()
+            if name == "hidden" or name == "style" and _NOT_SHOWN.search(value):
+                shown = False
+            elif name in _NAMED:
+                for t in re.split(r"[^a-z]+", re.sub(r"([a-z])([A-Z])", r"\1 \2", value).lower()):
+                    if t in _CUE_OF:
+                        out.append("cue:" + _CUE_OF[t])
+    return out, shown
 
 
 def leaf_blocks(page: str) -> list[tuple[str, list[str]]]:
     """(text, features) of every leaf block with text, in page order."""
     blocks: list[tuple[str, list[str]]] = []
-    stack: list[tuple[str, list[str]]] = []
+    stack: list[tuple[str, list[str], bool]] = []
     active: Counter[str] = Counter()
     depth: Counter[str] = Counter()
     unseen = 0
@@ -93,16 +99,16 @@ def leaf_blocks(page: str) -> list[tuple[str, list[str]]]:
             raw = "".join(parts)
             text = " ".join(raw.split())
             if text:
-                own = next((t for t, _ in reversed(stack) if t in BLOCK), "body")
+                own = next((e[0] for e in reversed(stack) if e[0] in BLOCK), "body")
                 blocks.append((text, ["own:" + own, *active, *_text_features(text, linked / max(1, len(raw)))]))
             parts.clear()
         linked = 0
 
     def pop() -> None:
         nonlocal unseen
-        tag, marks = stack.pop()
+        tag, marks, skipped = stack.pop()
         depth[tag] -= 1
-        unseen -= tag in UNSEEN
+        unseen -= skipped
         for m in marks:
             active[m] -= 1
             if not active[m]:
@@ -111,7 +117,7 @@ def leaf_blocks(page: str) -> list[tuple[str, list[str]]]:
     def close(tag: str, limit: set[str] | frozenset[str] = frozenset()) -> None:
         """Close the nearest open ``tag`` unless one of ``limit`` is nearer."""
         if depth[tag]:
-            for t, _ in reversed(stack):
+            for t, *_ in reversed(stack):
                 if t == tag:
                     while stack[-1][0] != tag:
                         pop()
@@ -159,10 +165,11 @@ def leaf_blocks(page: str) -> list[tuple[str, list[str]]]:
                 close("head")
         attrs = m[3] or m[6] or ""
         if tag not in VOID and not attrs.endswith("/"):
-            marks = _marks(tag, attrs)
-            stack.append((tag, marks))
+            marks, shown = _marks(tag, attrs)
+            skipped = tag in UNSEEN or not shown
+            stack.append((tag, marks, skipped))
             depth[tag] += 1
-            unseen += tag in UNSEEN
+            unseen += skipped
             active.update(marks)
     flush()
     return blocks
@@ -316,7 +323,8 @@ def main_text(page: str | None, model: crf.Chain) -> str:
 def extract(pages: DataFrame, model: crf.Chain, keep: tuple[str, ...] = ("page_id", "url"), source: str = "html",
             out: str = "text") -> DataFrame:
     """The columns ``keep`` of every row and its main text."""
-    rows = pages.select(*keep, source)
+    keep = tuple(c for c in keep if c != out)
+    rows = pages.select(*[F.col(f"`{c}`") for c in keep], F.col(source).alias("_html"))
     schema = ", ".join(f"`{c}` {rows.schema[c].dataType.simpleString()}" for c in keep)
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -53,7 +53,8 @@ RUN = 64                 # most windows in a run
 HOT = 4096               # runs of a key beyond which its windows are dealt singly
 SHARD_WINDOWS = 20_000   # windows gathered before an automaton is compiled
 CHUNK = 1 << 20          # bytes of text hashed at a time
-LAST = (1 << 63) - 1
+LAST = (1 << 63) - 1     # id that rows without one are ordered by
+NO_ID = 1 << 62          # ties from here on belong to them
 
 written = partial(common.written, free=True)      # the tables here are large beside the input
 
@@ -143,8 +144,11 @@ def sketch(docs: DataFrame, key: str, text: str) -> DataFrame:
 
 
 def _identified(docs: DataFrame, key: str, text: str) -> DataFrame:
-    return docs.select(F.coalesce(F.col(key).cast("long"), F.lit(LAST)).alias("id"),
-                       F.xxhash64(text).alias("tie"), F.col(text).alias("text"))
+    """(id, tie, text): the tie tells texts of one id apart, and rows without an
+    id from those that really have the last one."""
+    own, tie = F.col(key).cast("long"), F.shiftrightunsigned(F.xxhash64(text), 2)
+    return docs.select(F.coalesce(own, F.lit(LAST)).alias("id"), F.when(own.isNull(), tie + NO_ID).otherwise(tie).alias("tie"),
+                       F.col(text).alias("text"))
 
 
 def segments(texts: DataFrame) -> DataFrame:
@@ -311,7 +315,7 @@ def deduplicate(docs: DataFrame, key: str = "doc_id", text: str = "text", hot: i
     copy = (own != F.col("rep")) & (F.col("n_words") >= WINDOW)
     every = sketches.join(reps, "sha").join(rest, ["id", "tie"], "left")
     return every.select(
-        F.when(F.col("id") != LAST, F.col("id")).alias(key), "n_words",
+        F.when(F.col("tie") < NO_ID, F.col("id")).alias(key), "n_words",
         F.when(copy, F.col("n_words")).otherwise(F.coalesce("n_removed", F.lit(0))).alias("n_removed"),
         F.when(copy, F.unhex(F.sha2(F.lit(""), 256))).otherwise(F.coalesce("kept_sha", "sha")).alias("kept_sha"),
         F.when(~copy, F.col("kept")).alias("kept"))

@@ -15,7 +15,8 @@ characters for each of its positions, so very long texts cost linear time.
 
 Defined results: a null or empty text has no spans; offsets count code points,
 end exclusive; equal rows give equal rows; other columns are not read unless
-asked for; an empty table gives an empty result."""
+asked for, and kept columns named ``spans`` or ``redacted`` give way; an empty
+table gives an empty result."""
 
 from __future__ import annotations
 
@@ -30,6 +31,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from stayframe.llm import boost
 
@@ -49,6 +51,8 @@ SEED = 7
 _TOKEN = re.compile(r"[A-Za-z0-9][A-Za-z0-9_+/=-]{15,}")
 _DIGITS = re.compile(r"[0-9](?:[ ().-]{0,2}[0-9])+")
 _IBAN = re.compile(r"[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])")
+_CUED = re.compile(r"(?i:\b(?:password|passwd|passphrase|pwd|pass|pin|secret|token|key|credential)s?)[\"'`]?\s{0,3}(?:is\b|[:=])\s{0,3}[\"'`]?"
+                   r"([^\s\"'`]{6,64})")
 _HANDLE = re.compile(r"[A-Za-z0-9._-]{1,64} ?[\[(]at[\])] ?[A-Za-z0-9-]{1,63}(?:\.[A-Za-z0-9-]{1,63}| ?[\[(]dot[\])] ?[A-Za-z0-9-]{1,63}){1,4}")
 CUES = {
     "phone": ("phone", "tel", "call", "fax", "mobile", "dial", "reach"),
@@ -119,12 +123,16 @@ def candidates(t: str) -> list[tuple[str, int, int]]:
             at = s.rstrip("=").rfind("=") + 1          # name=value: the value alone as well
             if at and len(s) - at >= 16:
                 out.append(("secret", m.start() + at, m.end()))
+    for m in _CUED.finditer(t):                        # what follows a cue, however short
+        s = m[1].rstrip(".,;:!?)]}>")
+        if len(s) >= 6:
+            out.append(("secret", m.start(1), m.start(1) + len(s)))
     for m in _IBAN.finditer(t):
         out.append(("iban", m.start(), m.end()))
     if "at]" in t or "at)" in t:
         for m in _HANDLE.finditer(t):
             out.append(("handle", m.start(), m.end()))
-    return out
+    return list(dict.fromkeys(out))
 
 
 def _iban_ok(s: str) -> bool:
@@ -153,6 +161,8 @@ def features(t: str, kind: str, start: int, end: int) -> list[float]:
         float(first.isalnum() or first in "_@/"), float(last in "\"'`"), float(re.search(r"[=:]\s*[\"'`]?$", before) is not None),
         *(float(any(c in before for c in cues)) for cues in CUES.values()),
         float(any(c in after for c in ("%", "€", "$", " kg", " km", " items", " pages"))),
+        (n - digits - upper - lower) / n, sum(map(bool, (digits, upper, lower, n - digits - upper - lower))),
+        float(re.search(r"(?:pass\w*|pwd|pin|secret|token|key|credential)s?[\"'`]?\s*(?:is|[:=])\s*[\"'`]?$", before) is not None),
     ]
 
 
@@ -169,7 +179,14 @@ def _labelled(rng: random.Random) -> tuple[str, list[tuple[str, int, int]]]:
         s = f"{land}{check:02d}{body}"
         return s if rng.random() < .5 else " ".join(s[i:i + 4] for i in range(0, len(s), 4))
 
+    def short() -> str:
+        """A password that people choose: letters, digits and signs."""
+        s = [*words(1)[:6], *dig(rng.randint(1, 4)), *rng.choice(("", "!", "&", "_", "$x", "-9", "#Q"))]
+        s = [c.upper() if rng.random() < .3 else c for c in s] + [rng.choice("ABCDEFGH23456789")] * max(0, 6 - len(s))
+        return "".join(s if rng.random() < .6 else rng.sample(s, len(s)))
+
     sep = rng.choice("-. ")
+    cue_word = rng.choice(("password", "pwd", "passwd", "pass", "Password", "secret", "token", "pin", "key"))
     good = [
         ("local_phone", rng.choice(("phone ", "call ", "tel. ", "fax: ", "mobile ", "")), rng.choice((
             f"({dig(3)}) {dig(3)}-{dig(4)}", f"{dig(3)}{sep}{dig(3)}{sep}{dig(4)}", f"0{dig(3)} {dig(3)} {dig(4)}"))),
@@ -178,6 +195,7 @@ def _labelled(rng: random.Random) -> tuple[str, list[tuple[str, int, int]]]:
         ("secret", rng.choice(("api_key = \"", "token = \"", "secret: ", "password=", "Bearer ", "access key ")),
          rng.choice((hexa(rng.choice((32, 40, 64))), mixed(rng.randint(20, 48)), "sk-" + mixed(rng.randint(20, 40)),
                      "AKIA" + mixed(16).upper(), "ghp_" + mixed(36)))),
+        ("secret", cue_word + rng.choice((": ", " = ", "=", " is ", ": \"", "='")), short()),
         ("handle", rng.choice(("contact ", "write to ", "mail ", "")),
          f"{words(1)} [at] {words(1)} [dot] {rng.choice(('com', 'org', 'net'))}"),
     ]
@@ -188,6 +206,8 @@ def _labelled(rng: random.Random) -> tuple[str, list[tuple[str, int, int]]]:
         ("version ", f"{dig(1)}.{dig(2)}.{dig(4)}"), ("page ", f"{dig(3)}-{dig(4)}"), ("", "/".join(words(4).split()) + "/" + dig(3)),
         ("serial ", mixed(18)), ("", "-".join(words(5).split()) + "-" + dig(1)), ("sha ", hexa(64)), ("", dig(rng.randint(7, 15))),
         ("", " ".join(dig(rng.randint(1, 4)) for _ in range(rng.randint(3, 6)))), ("item ", f"{dig(4)}-{dig(5)}"),
+        (cue_word + rng.choice((": ", " is ", " = ")), words(1) + rng.choice("aeiou") * 5), (words(1) + ": ", short()),
+        (cue_word + " is ", rng.choice(("required", "missing.", "(optional)", "not-set", "never-shown", "changed"))),
     ]
     text, spans = words(rng.randint(2, 8)) + " ", []
     for _ in range(rng.randint(1, 4)):
@@ -296,7 +316,8 @@ def redacted(t: str, spans: list[tuple[str, int, int, float]]) -> str:
 def find(docs: DataFrame, model: Model, keep: tuple[str, ...] = ("doc_id",), text: str = "text") -> DataFrame:
     """The columns ``keep`` of every row with ``spans``, an array of (kind, start,
     end, score, base), and ``redacted``, the text without them (null stays null)."""
-    rows = docs.select(*keep, text)
+    keep = tuple(c for c in keep if c not in ("spans", "redacted"))
+    rows = docs.select(*[F.col(f"`{c}`") for c in keep], F.col(text).alias("_text"))
     schema = ", ".join(f"`{c}` {rows.schema[c].dataType.simpleString()}" for c in keep)
     span = pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64()), ("score", pa.float64()),
                       ("base", pa.bool_())])
