@@ -15,22 +15,25 @@ from pyspark.sql import functions as F
 
 from stayframe.operators.seq import Seq, prefix_aggs, range_chunks
 
+
 def score_table(df: DataFrame, score: str, label: str, groups: Sequence[str] = (),
                 bounded_groups: bool = False) -> DataFrame:
     """(groups, score) -> pos, neg, plus the counts of strictly lower scores
-    (pos_below, neg_below) within the group. ``bounded_groups`` declares that
+    (pos_below, neg_below) and of all (P, N) within the group. ``bounded_groups`` declares that
     every group is small (e.g. fixed-size batches): a plain window per group
     then replaces the chunked prefix scan."""
     t = df.groupBy(*groups, score).agg(F.sum(F.col(label).cast("long")).alias("pos"),
                                        F.sum((1 - F.col(label)).cast("long")).alias("neg"))
     if bounded_groups and groups:
         w = Window.partitionBy(*groups).orderBy(score).rowsBetween(Window.unboundedPreceding, -1)
+        every = Window.partitionBy(*groups)
         return t.select("*", F.coalesce(F.sum("pos").over(w), F.lit(0)).alias("pos_below"),
-                        F.coalesce(F.sum("neg").over(w), F.lit(0)).alias("neg_below"))
+                        F.coalesce(F.sum("neg").over(w), F.lit(0)).alias("neg_below"),
+                        F.sum("pos").over(every).alias("P"), F.sum("neg").over(every).alias("N"))
     s = Seq(tuple(groups), score, "_schunk")
     t = range_chunks(t, [*groups, score], s.chunk)
     t = prefix_aggs(t, s, [("pos_below", "sum", F.col("pos")), ("neg_below", "sum", F.col("neg"))],
-                    inclusive=False)
+                    inclusive=False, totals={"pos_below": "P", "neg_below": "N"})
     return t.fillna(0, ["pos_below", "neg_below"]).drop("_schunk")
 
 
@@ -48,17 +51,9 @@ def roc_auc(df: DataFrame, score: str, label: str, groups: Sequence[str] = (),
                                   F.sum("neg").alias("n_neg"))
 
 
-def _with_totals(t: DataFrame, groups: Sequence[str]) -> DataFrame:
-    if groups:
-        tot = t.groupBy(*groups).agg(F.sum("pos").alias("P"), F.sum("neg").alias("N"))
-        return t.join(tot, list(groups))
-    tot = t.agg(F.sum("pos").alias("P"), F.sum("neg").alias("N")).first()
-    return t.withColumn("P", F.lit(tot["P"])).withColumn("N", F.lit(tot["N"]))
-
-
 def average_precision(df: DataFrame, score: str, label: str) -> DataFrame:
     """Step-wise AP = sum over distinct thresholds of (R_n - R_{n-1}) * P_n."""
-    t = _with_totals(score_table(df, score, label), [])
+    t = score_table(df, score, label)
     tp = F.col("P") - F.col("pos_below")
     fp = F.col("N") - F.col("neg_below")
     return t.agg(F.when(F.first("P") > 0, F.sum(F.col("pos") * tp / (tp + fp)) / F.first("P"))
@@ -68,7 +63,7 @@ def average_precision(df: DataFrame, score: str, label: str) -> DataFrame:
 def pr_curve(df: DataFrame, score: str, label: str) -> DataFrame:
     """Precision and recall at every distinct threshold, plus the (recall 0,
     precision 1) end point with a null threshold."""
-    t = _with_totals(score_table(df, score, label), [])
+    t = score_table(df, score, label)
     tp = F.col("P") - F.col("pos_below")
     fp = F.col("N") - F.col("neg_below")
     pts = t.select(F.col(score).cast("double").alias("threshold"),

@@ -18,7 +18,7 @@ entity.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
@@ -218,9 +218,11 @@ _RUN_COMBINE = {"min": F.least, "max": F.greatest}
 
 
 def prefix_aggs(df: DataFrame, s: Seq, specs: Sequence[tuple[str, str, Column]],
-                inclusive: bool = True) -> DataFrame:
+                inclusive: bool = True, totals: Mapping[str, str] | None = None) -> DataFrame:
     """Running aggregates along each entity (kind min/max/sum/count), over the
     rows up to and including (``inclusive``) or strictly before the row.
+    ``totals`` (spec name -> column) adds an entity's whole aggregates, which the
+    per-chunk summary holds anyway.
 
     Within a chunk a running window; across chunks the totals of the earlier
     chunks (one row per chunk) are combined in chunk order and joined back."""
@@ -228,7 +230,9 @@ def prefix_aggs(df: DataFrame, s: Seq, specs: Sequence[tuple[str, str, Column]],
     local = df.select(F.col("*"), *[_RUN[k](e).over(frame).alias(f"_rl_{n}") for n, k, e in specs])
     summ = local.groupBy(*s.part).agg(*[_RUN[k](e).alias(f"_rt_{n}") for n, k, e in specs])
     cw = _chunk_window(s)
-    carry = summ.select(*s.part, *[(_COMBINE[k](f"_rt_{n}")).over(cw).alias(f"_rc_{n}") for n, k, _ in specs])
+    kind = {n: k for n, k, _ in specs}
+    whole = [_COMBINE[kind[n]](f"_rt_{n}").over(Window.partitionBy(*s.keys)).alias(out) for n, out in (totals or {}).items()]
+    carry = summ.select(*s.part, *[(_COMBINE[k](f"_rt_{n}")).over(cw).alias(f"_rc_{n}") for n, k, _ in specs], *whole)
     out = local.join(carry, s.part, "inner")
     res = []
     for n, k, _ in specs:

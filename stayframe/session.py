@@ -44,8 +44,25 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A sub-folder of the shared folder for written intermediates."""
-    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
+    """A sub-folder of the shared folder for written intermediates, remembered
+    until ``drop_scratch``."""
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
+    _WRITTEN.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
+
+
+_WRITTEN: dict[str, list[str]] = {}      # folders of this application that may be dropped
+
+
+def drop_scratch(spark: SparkSession) -> int:
+    """Delete the intermediates this application has written so far, once the
+    results built on them are consumed (frames are lazy, so no operator can know
+    when). Returns the number of folders."""
+    paths = _WRITTEN.pop(spark.sparkContext.applicationId, [])
+    for p in paths:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(p)
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+    return len(paths)
 
 
 def materialize(df: DataFrame, name: str = "table") -> DataFrame:

@@ -109,3 +109,28 @@ def test_elapsed_time_of_local_times_in_any_zone(spark, zone):
         assert ts.select(hours_between("a", "b").alias("h")).first().h == 1.0
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
+
+
+def test_intermediates_are_dropped_on_request(spark, tmp_path):
+    import os
+    from stayframe.session import drop_scratch, materialize
+    drop_scratch(spark)
+    out = materialize(spark.range(5), "gone")
+    path = out.inputFiles()[0].removeprefix("file://").rpartition("/")[0]
+    assert os.path.isdir(path) and drop_scratch(spark) == 1 and not os.path.exists(path) and drop_scratch(spark) == 0
+
+
+def test_totals_travel_with_the_running_counts(spark):
+    from stayframe.operators import metrics
+    from stayframe.operators.seq import prefix_aggs, seq, with_chunk
+    df = spark.createDataFrame([(k, i, i % 3) for k in range(3) for i in range(10 * k + 1)], "k long, i long, v long")
+    s = seq("k", "i")
+    out = prefix_aggs(with_chunk(df, s, 4), s, [("before", "sum", F.col("v")), ("n", "count", F.lit(1))], inclusive=False,
+                      totals={"before": "total", "n": "rows"})
+    for k in range(3):
+        vs = [i % 3 for i in range(10 * k + 1)]
+        got = sorted((r.i, r.before or 0, r.total, r.rows) for r in out.where(f"k = {k}").collect())
+        assert got == [(i, sum(vs[:i]), sum(vs), len(vs)) for i in range(len(vs))]
+    p = spark.createDataFrame([(0.1, 0), (0.4, 1), (0.4, 0), (0.8, 1)], "s double, y int")
+    assert metrics.average_precision(p, "s", "y").first()[0] == pytest.approx(0.5 + 0.5 * 2 / 3)
+    assert metrics.pr_curve(p.limit(0), "s", "y").count() == 1
