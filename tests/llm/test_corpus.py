@@ -239,3 +239,16 @@ def test_entry_imports_without_this_subpackage(tmp_path):
     shutil.copy(f"{repo}/__spark_entry__.py", tmp_path)
     code = "import __spark_entry__ as e; q = e.queries(); assert q and not any(k.startswith('op') for k in q) and 'pipeline' not in q"
     subprocess.run([sys.executable, "-c", code], cwd=tmp_path, check=True, env={**os.environ, "PYTHONPATH": str(tmp_path)})
+
+
+def test_a_star_of_many_fingerprints_is_one_class(spark):
+    """One centre and everything within two bits of it: 2,081 fingerprints."""
+    centre = 0x0123456789ABCDEF
+    fps = [centre] + [centre ^ 1 << i for i in range(64)] + [centre ^ 1 << i ^ 1 << j for i in range(64) for j in range(i)]
+    df = spark.createDataFrame([(simhash._signed(v),) for v in fps], "fp long")
+    links = simhash.links(df).cache()
+    v = np.array(fps, np.uint64)
+    near = np.bitwise_count(v[:, None] ^ v[None, :]) <= 2
+    assert links.count() == (near.sum() - len(fps)) // 2
+    found = simhash.components(links)
+    assert found.count() == len(fps) and found.select("root").distinct().count() == 1
