@@ -169,7 +169,7 @@ def _sql_sliding():
 # ---- M4: classifiers ------------------------------------------------------------------------------
 
 N_FLAT = SEQ_LEN * len(FEATURES)
-TREE_BINS = 1024          # thresholds a feature: every distinct value of the fixtures
+TREE_BINS = 1024          # thresholds a feature where the best split is checked: every distinct value of the fixtures
 
 
 def _flat_windows(spark, d):
@@ -190,7 +190,7 @@ def m_classifier(spark, d):
     train, test = _parts(_flat_windows(spark, d))
     out = None
     for name in MODELS:
-        m = fit(train, "x", "y", name, POS_WEIGHT, bins=TREE_BINS)
+        m = fit(train, "x", "y", name, POS_WEIGHT)
         save(m, scratch_path(spark, name))
         p = predict(m, test, "x").select("user_id", F.lit(name).alias("model"), "y", "score")
         out = p if out is None else out.unionByName(p)
