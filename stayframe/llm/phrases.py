@@ -17,9 +17,10 @@ document and an earlier start) is removed.
 3. Equal segments are collapsed before they meet: all but the first occurrence
    of a segment consist of repeated windows. The distinct segments are sorted by
    key; a shard is a bounded number of whole groups. A shard's windows that
-   occur at least twice are its confirmed passages. They are compiled into one
-   Aho-Corasick automaton over words, and all segments of the shard run
-   through it, which locates every occurrence and tells whether it is the first.
+   occur at least twice are its confirmed passages. They are compiled into an
+   Aho-Corasick automaton over words (several of a bounded size, if a key's
+   group is large), and all segments of the shard run through it, which locates
+   every occurrence and tells whether it is the first.
 4. The located windows of a document are gathered and its covered words removed.
 
 Hashes only choose where words meet; windows are compared word by word.
@@ -52,6 +53,7 @@ GRAM = 6                 # words of the grams whose minimum keys a window
 RUN = 64                 # most windows in a run
 HOT = 4096               # runs of a key beyond which its windows are dealt singly
 SHARD_WINDOWS = 20_000   # windows gathered before an automaton is compiled
+PASSAGES = 20_000        # passages of one automaton; a larger shard runs through several
 CHUNK = 1 << 20          # bytes of text hashed at a time
 LAST = (1 << 63) - 1     # id that rows without one are ordered by
 NO_ID = 1 << 62          # ties from here on belong to them
@@ -208,18 +210,19 @@ def located(shard: list[tuple[int, int, int, int, bytes]]) -> Iterator[tuple[int
                     first[w] = here
             elif times > 1:
                 confirmed.add(w)
-    if not confirmed:
-        return
-    automaton = ahocorasick.Automaton(ahocorasick.STORE_ANY, ahocorasick.KEY_STRING)
-    for w in confirmed:
-        automaton.add_word(w, first[w])
-    automaton.make_automaton()
-    for i, t, at, line in rows:
-        mask = 0
-        for end, (fi, ft, fat) in automaton.iter(line):
-            j = end - WINDOW + 1
-            if fat != at + j or fi != i or ft != t:
-                mask |= 1 << j
+    masks = [0] * len(rows)
+    passages = list(confirmed)
+    for s in range(0, len(passages), PASSAGES):
+        automaton = ahocorasick.Automaton(ahocorasick.STORE_ANY, ahocorasick.KEY_STRING)
+        for w in passages[s:s + PASSAGES]:
+            automaton.add_word(w, first[w])
+        automaton.make_automaton()
+        for r, (i, t, at, line) in enumerate(rows):
+            for end, (fi, ft, fat) in automaton.iter(line):
+                j = end - WINDOW + 1
+                if fat != at + j or fi != i or ft != t:
+                    masks[r] |= 1 << j
+    for (i, t, at, _), mask in zip(rows, masks, strict=True):
         if mask:
             yield i, t, at, mask - (1 << 64) if mask >> 63 else mask
 

@@ -123,8 +123,9 @@ def dedup(df, **k):
     return [(r.doc_id, r.n_words, r.n_removed, bytes(r.kept_sha).hex()) for r in phrases.deduplicate(df, **k).collect()]
 
 
-@pytest.mark.parametrize("hot", [phrases.HOT, 2])
-def test_removed_words_against_brute_force(spark, hot):
+@pytest.mark.parametrize("hot, passages", [(phrases.HOT, phrases.PASSAGES), (2, 7)])
+def test_removed_words_against_brute_force(spark, monkeypatch, hot, passages):
+    monkeypatch.setattr(phrases, "PASSAGES", passages)
     rng = random.Random(3)
     vocab = [f"v{i}" for i in range(50)]
     shared = [" ".join(rng.choices(vocab, k=rng.randint(15, 60))) for _ in range(5)]
