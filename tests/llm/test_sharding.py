@@ -124,3 +124,28 @@ def test_query_against_sql_and_its_law(spark):
     assert all(sorted(v) == list(range(len(v))) for v in by.values())
     texts = {r.doc_id: r.text or "" for r in spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").collect()}
     assert all(r.text_crc32 == zlib.crc32(texts[r.doc_id].encode()) and r.size == len(texts[r.doc_id].encode()) + 1 for r in got)
+
+
+def test_positions_go_on_over_partitions(spark):
+    """A key's rows in several range partitions, some of them filled by one key."""
+    x = spark.range(6000).select(F.when(F.col("id") % 10 < 7, F.lit(5)).when(F.col("id") % 10 < 9, F.lit(3)).otherwise(
+        F.col("id")).alias("k"), (F.col("id") * 7919 % 6007).alias("t"))
+    conf = {"spark.sql.adaptive.coalescePartitions.enabled": "false", "spark.sql.shuffle.partitions": "11"}
+    before = {k: spark.conf.get(k) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        got = positions(x.unionByName(spark.sql("SELECT CAST(NULL AS BIGINT) AS k, 1L AS t")), "k", [F.col("t")], [F.col("t")]).collect()
+        parts = numbering._ranged(numbering._tied(x), [F.col("k"), F.col("t")]).groupBy(F.spark_partition_id()).agg(
+            F.min("k").alias("a"), F.max("k").alias("b")).collect()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert sum(r.a == r.b == 5 for r in parts) >= 3          # whole partitions of one key
+    by = collections.defaultdict(list)
+    for r in got:
+        by[r.k].append((r.pos, r.t))
+    assert len(got) == 6000
+    for rows in by.values():
+        rows.sort()
+        assert [p for p, _ in rows] == list(range(len(rows))) and [t for _, t in rows] == sorted(t for _, t in rows)

@@ -86,6 +86,21 @@ def test_one_conversation_holds_most_rows(spark, monkeypatch):
     assert read(trie.prefixes(q_trie.rebuilt(table(spark, rows)))) == brute_nodes(brute_rebuilt(rows))
 
 
+def test_one_conversation_over_many_partitions(spark, monkeypatch):
+    monkeypatch.setattr(trie, "CHUNK", 8)
+    rng = random.Random(6)
+    rows = random_turns(rng, range(40), 6) + [(7, 100 + t, "user", rng.choice("ab")) for t in range(900)]
+    conf = {"spark.sql.adaptive.coalescePartitions.enabled": "false", "spark.sql.shuffle.partitions": "9"}
+    before = {k: spark.conf.get(k) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        assert read(trie.prefixes(q_trie.rebuilt(table(spark, rows)))) == brute_nodes(brute_rebuilt(rows))
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
 def test_odd_rows(spark):
     long = "y" * 200_000
     rows = [(None, 1, "user", "lost"), (7, None, "user", "first"), (7, 2, None, None), (7, 2, None, None), (7, 2, "", "z"),
