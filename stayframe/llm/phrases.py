@@ -182,6 +182,15 @@ def segments(texts: DataFrame) -> DataFrame:
         each, "key long, id long, tie long, at int, n int, words binary")
 
 
+class _Characters(dict):
+    """A character of its own for each word, given when it is first met."""
+
+    def __missing__(self, word: bytes) -> str:
+        n = len(self)
+        c = self[word] = chr(n if n < 0xD800 else n + 0x800)       # not the surrogates
+        return c
+
+
 def located(shard: list[tuple[int, int, int, int, bytes]]) -> Iterator[tuple[int, int, int, int]]:
     """The repeated windows of a shard's distinct segments (id, tie, at,
     occurrences, words), each at its first occurrence: (id, tie, at, mask), bit j
@@ -189,39 +198,39 @@ def located(shard: list[tuple[int, int, int, int, bytes]]) -> Iterator[tuple[int
 
     Each word of the shard is one character of its own, so a segment is a short
     string, a window a slice of it, and the automaton runs over characters."""
-    char: dict[bytes, str] = {}
-    first: dict[str, tuple[int, int, int]] = {}
+    char = _Characters()
+    first: dict[str, int] = {}          # window -> its first place, as row and window in one number
     confirmed: set[str] = set()
-    rows = []
+    rows: list[tuple[int, int, int, str]] = []
     for i, t, at, times, words in shard:
-        ws = words.split(b" ")
-        for w in ws:
-            if w not in char:
-                n = len(char)
-                char[w] = chr(n if n < 0xD800 else n + 0x800)       # not the surrogates
-        line = "".join([char[w] for w in ws])
+        line = "".join(map(char.__getitem__, words.split(b" ")))
+        place = len(rows) << 7
         rows.append((i, t, at, line))
-        for j in range(len(ws) - WINDOW + 1):
-            w, here = line[j:j + WINDOW], (i, t, at + j)
-            seen = first.setdefault(w, here)
-            if seen is not here:
+        for j in range(len(line) - WINDOW + 1):
+            w = line[j:j + WINDOW]
+            seen = first.setdefault(w, place + j)
+            if seen != place + j:
                 confirmed.add(w)
-                if here < seen:
-                    first[w] = here
+                other = rows[seen >> 7]
+                if (i, t, at + j) < (other[0], other[1], other[2] + (seen & 127)):
+                    first[w] = place + j
             elif times > 1:
                 confirmed.add(w)
     masks = [0] * len(rows)
     passages = list(confirmed)
     for s in range(0, len(passages), PASSAGES):
-        automaton = ahocorasick.Automaton(ahocorasick.STORE_ANY, ahocorasick.KEY_STRING)
+        automaton = ahocorasick.Automaton(ahocorasick.STORE_INTS, ahocorasick.KEY_STRING)
         for w in passages[s:s + PASSAGES]:
             automaton.add_word(w, first[w])
         automaton.make_automaton()
-        for r, (i, t, at, line) in enumerate(rows):
-            for end, (fi, ft, fat) in automaton.iter(line):
+        for r, row in enumerate(rows):
+            mask, place = 0, r << 7
+            for end, seen in automaton.iter(row[3]):
                 j = end - WINDOW + 1
-                if fat != at + j or fi != i or ft != t:
-                    masks[r] |= 1 << j
+                if seen != place + j:
+                    mask |= 1 << j
+            if mask:
+                masks[r] |= mask
     for (i, t, at, _), mask in zip(rows, masks, strict=True):
         if mask:
             yield i, t, at, mask - (1 << 64) if mask >> 63 else mask
