@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 NONE = 1 << 62
-WORDS_KEPT = 150_000        # finished words a worker remembers before it starts afresh
+WORDS_KEPT = 400_000        # finished words a worker remembers before it starts afresh
 OUT_BYTES = 8 << 20         # text per output batch
 LATIN_END = 0x250           # texts below this code point are cut here, others by the file's own rules
 
