@@ -113,29 +113,28 @@ def uniform(key: Column, text: Column, seed: int) -> Column:
     return F.conv(F.substring(F.md5(name), 1, 13), 16, 10).cast("double") / F.lit(float(16 ** 13))
 
 
-def _described(docs: DataFrame, values: dict[str, str], lang: str, model: T.Topics, key: str, text: str, keep: tuple[str, ...],
-               seed: int) -> DataFrame:
-    """(row, draw, v_<dimension>.., tokens, v_topic) of every row: one pass over the texts."""
+def _described(docs: DataFrame, values: dict[str, str], lang: str, key: str, text: str, keep: tuple[str, ...], seed: int) -> DataFrame:
+    """(row, draw, h, v_<dimension>.., lang, tokens, at, root) of every row: one pass over the texts."""
     names = [key, *(c for c in keep if c != key)]
     held = text in names                    # the text travels once
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("row"), uniform(F.col(key), F.col(text), seed).alias("draw"),
+                       T.order(F.col(key), F.col(text)).alias("h"),
                        *[F.col(c).cast("string").alias(f"v_{d}") for d, c in values.items()], F.col(lang).cast("string").alias("lang"),
                        *([] if held else [F.col(text).cast("string").alias("text")]))
-    kept = rows.columns[:rows.columns.index("lang")]
+    kept = rows.columns[:rows.columns.index("lang") + 1]
     place = names.index(text) if held else None
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cache: dict[bytes, int] = {}
         for whole in batches:
-            for at in range(0, whole.num_rows, 512):
-                b = whole.slice(at, 512)
-                texts = pc.struct_field(b.column(0), [place]) if held else b.column(len(kept) + 1)
-                n, counts = zip(*(T.counted(t or "", cache) for t in texts.to_pylist()), strict=True)
-                topic = model.assign(np.stack(counts), list(n), b.column(len(kept)).to_pylist())
-                yield pa.RecordBatch.from_arrays([*b.columns[:len(kept)], pa.array(n, pa.int64()), pa.array(topic, pa.string())],
-                                                 names=[*kept, "tokens", "v_topic"])
+            for i in range(0, whole.num_rows, T.BATCH):
+                b = whole.slice(i, T.BATCH)
+                texts = pc.struct_field(b.column(0), [place]) if held else b.column(len(kept))
+                n, at, root = T.described(texts.to_pylist(), cache)
+                yield pa.RecordBatch.from_arrays([*b.columns[:len(kept)], pa.array(n, pa.int64()), pa.array(at, pa.binary()),
+                                                  pa.array(root, pa.binary())], names=[*kept, "tokens", "at", "root"])
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields[:len(kept)])
-    return rows.mapInArrow(each, f"{schema}, tokens long, v_topic string")
+    return rows.mapInArrow(each, f"{schema}, tokens long, at binary, root binary")
 
 
 def mix(docs: DataFrame, targets: Targets, columns: dict[str, str], budget: float, seed: int = 1, key: str = "doc_id",
@@ -143,22 +142,26 @@ def mix(docs: DataFrame, targets: Targets, columns: dict[str, str], budget: floa
     """The columns key and ``keep`` of every row with its label in each dimension
     of ``targets``, ``tokens``, ``probability``, ``sampled`` and the shortfalls of
     its labels. ``columns`` names the column of each dimension but topic, whose
-    labels come from ``model`` (fitted on ``docs`` if none is given)."""
-    model = T.train(docs, key, text, lang) if model is None else model
-    rows = written(_described(docs, {d: columns[d] for d in targets if d in columns}, lang, model, key, text, keep, seed), "described")
+    labels come from ``model`` (fitted on all of ``docs`` if none is given)."""
+    rows = written(_described(docs, {d: columns[d] for d in targets if d in columns}, lang, key, text, keep, seed), "described")
+    if "topic" in targets:
+        model = T.fit(rows) if model is None else model
+        rows = rows.withColumn("v_topic", model.named()("at", "root", "lang", "tokens"))
     names = [f"label_{d}" for d in targets]
+    labels = [f"v_{d}" for d in targets]
+    sums = written(rows.groupBy(*labels).agg(F.sum("tokens").alias("tokens")), "labels")
     order, shares, label = {}, {}, []
     for d, t in targets.items():
         v = F.col(f"v_{d}")
         if isinstance(t, float):
-            top = rows.where(v.isNotNull() & (v != OTHER)).groupBy(v.alias("v")).agg(F.sum("tokens").alias("n")).orderBy(
+            top = sums.where(v.isNotNull() & (v != OTHER)).groupBy(v.alias("v")).agg(F.sum("tokens").alias("n")).orderBy(
                 F.desc("n"), "v").limit(MOST_LABELS).collect()
             order[d] = [*[r["v"] for r in top], OTHER]
         else:
             order[d] = [*t, *([] if OTHER in t else [OTHER])]
         label.append(F.when(v.isin([x for x in order[d] if x != OTHER]), v).otherwise(OTHER).alias(f"label_{d}"))
     rows = rows.select("row", "draw", "tokens", *label)
-    cells = rows.groupBy(*names).agg(F.sum("tokens").alias("tokens")).limit(cells_bound(targets)).collect()      # the limit is the number of possible cells
+    cells = sums.select(*label, "tokens").groupBy(*names).agg(F.sum("tokens").alias("tokens")).limit(cells_bound(targets)).collect()      # the limit is the number of possible cells
     cells.sort(key=lambda c: [c[n] for n in names])
     tokens = np.array([c["tokens"] for c in cells], np.int64)
     member = [np.array([order[d].index(c[n]) for c in cells], np.int64) for d, n in zip(targets, names, strict=True)]

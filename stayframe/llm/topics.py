@@ -2,31 +2,37 @@
 
 A document's words (ASCII lower case, split at ASCII white space) are counted in
 ``BUCKETS`` hash buckets; square-rooted counts times the buckets' rarity in the
-sample make a vector of length one. The mean vector of the document's language
+corpus make a vector of length one. The mean vector of the document's language
 is taken off, so that topics do not tell languages apart, and spherical k-means
-over a bounded sample (``SAMPLE`` documents in the order of a hash of their ids)
-gives the centres. Every document is then assigned from its whole text.
+gives the centres. Rarities, means, first centres and every round are taken over
+all documents: each is one pass over their bucket counts, of which only sums by
+bucket reach the driver. Sums are added as whole numbers (``UNIT`` is one), so
+the order of rows and tasks does not change them.
 
-Defined results: a null or wordless text has the topic ``none``; a language that
-the sample lacks uses the mean of all; equal texts of one language have one
-topic; an empty table gives topic ``none`` only."""
+Defined results: a null or wordless text has the topic ``none``; a language
+outside the ``LANGUAGES`` most frequent ones uses the mean of all; equal texts of
+one language have one topic; an empty table gives topic ``none`` only."""
 
 from __future__ import annotations
 
 import zlib
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-SAMPLE = 4000          # documents the centres are fitted on
+from stayframe.llm.common import discard, written
+
 BUCKETS = 1024
+LANGUAGES = 4000       # languages with a mean of their own
+UNIT = float(1 << 30)
 TOPICS = 6
 ROUNDS = 25
+BATCH = 512            # documents made into one matrix
 NONE = "none"
 _HELD = 150_000        # words whose bucket is remembered
 
@@ -55,58 +61,246 @@ def _unit(x: np.ndarray) -> np.ndarray:
     return x / np.maximum(np.sqrt((x * x).sum(axis=-1, keepdims=True)), 1e-9)
 
 
+class Terms:
+    """Bucket counts of a batch of documents, as the buckets each one has."""
+
+    def __init__(self, at: pa.Array, root: pa.Array, langs: list[str | None]):
+        self.n, self.langs = len(at), langs
+        sizes, buckets = _flat(at, np.uint16)
+        self.row = np.repeat(np.arange(self.n), sizes)
+        self.at, self.root = buckets.astype(np.int64), _flat(root, np.float32)[1].astype(float)
+
+    def dense(self, values: np.ndarray) -> np.ndarray:
+        out = np.zeros((self.n, BUCKETS))
+        out[self.row, self.at] = values
+        return out
+
+    def units(self, rarity: np.ndarray) -> np.ndarray:
+        """Values of the vectors of length one, bucket by bucket."""
+        w = self.root * rarity[self.at]
+        return w / np.maximum(np.sqrt(np.bincount(self.row, w * w, self.n)), 1e-9)[self.row]
+
+
+def _flat(column: pa.Array, kind: type) -> tuple[np.ndarray, np.ndarray]:
+    """How many numbers each value of a binary column holds, and all of them."""
+    whole = column.cast(pa.large_binary())
+    if not len(whole):
+        return np.zeros(0, np.int64), np.zeros(0, kind)
+    ends = np.frombuffer(whole.buffers()[1], np.int64)[whole.offset:whole.offset + len(whole) + 1]
+    data = whole.buffers()[2]
+    held = np.frombuffer(data, np.uint8)[ends[0]:ends[-1]].tobytes() if ends[-1] > ends[0] else b""
+    return np.diff(ends) // np.dtype(kind).itemsize, np.frombuffer(held, kind)
+
+
+def packed(counts: np.ndarray) -> tuple[bytes, bytes]:
+    """Buckets (16 bits each) and their square-rooted counts, for ``Terms``."""
+    at = np.nonzero(counts)[0]
+    return at.astype(np.uint16).tobytes(), counts[at].astype(np.float32).tobytes()
+
+
 @dataclass
 class Topics:
     rarity: np.ndarray                                      # [buckets]
     mean: np.ndarray                                        # of all languages
     means: dict[str, np.ndarray] = field(default_factory=dict)
-    centres: np.ndarray = field(default_factory=lambda: np.zeros((0, BUCKETS), np.float32))
+    centres: np.ndarray = field(default_factory=lambda: np.zeros((0, BUCKETS)))
+
+    def places(self, terms: Terms) -> tuple[np.ndarray, np.ndarray, list[str | None], np.ndarray]:
+        """What makes up a batch's vectors: the documents' own parts (in UNITs),
+        the factor of their language's mean, the languages met and each
+        document's place among them."""
+        own = [v if v in self.means else None for v in terms.langs]
+        met = list(dict.fromkeys(own))
+        number = {v: i for i, v in enumerate(met)}
+        lang = np.array([number[v] for v in own], np.int64)
+        mean = np.stack([self.means.get(v, self.mean) for v in met])
+        u = terms.units(self.rarity)
+        square = np.bincount(terms.row, u * u, terms.n) - 2 * np.bincount(
+            terms.row, u * mean[lang[terms.row], terms.at], terms.n) + (mean * mean).sum(axis=1)[lang]
+        by = 1 / np.maximum(np.sqrt(np.maximum(square, 0)), 1e-9)
+        return terms.dense(np.rint(u * by[terms.row] * UNIT)), by, met, lang
 
-    def vectors(self, counts: np.ndarray, langs: list[str | None]) -> np.ndarray:
-        x = _unit(counts * self.rarity)
-        return _unit(x - np.stack([self.means.get(v, self.mean) for v in langs])) if len(x) else x
+    def likeness(self, terms: Terms) -> np.ndarray:
+        """Cosine of every document with every centre."""
+        x, by, met, lang = self.places(terms)
+        means = np.stack([self.means.get(v, self.mean) for v in met])
+        return x @ (self.centres.T / UNIT) - by[:, None] * (means @ self.centres.T)[lang]
+
+    def nearest(self, terms: Terms, n_words: list[int]) -> list[str]:
+        if not len(self.centres) or not terms.n:
+            return [NONE] * terms.n
+        return [f"topic{b}" if n else NONE for b, n in zip(self.likeness(terms).argmax(axis=1).tolist(), n_words, strict=True)]
 
     def assign(self, counts: np.ndarray, n_words: list[int], langs: list[str | None]) -> list[str]:
-        if not len(self.centres):
-            return [NONE] * len(n_words)
-        best = (self.vectors(counts, langs) @ self.centres.T).argmax(axis=1)
-        return [f"topic{b}" if n else NONE for b, n in zip(best.tolist(), n_words, strict=True)]
-
-
-def fit(counts: np.ndarray, langs: list[str | None], topics: int = TOPICS) -> Topics:
-    """Centres over the sample's bucket counts, largest cluster first."""
-    n = len(counts)
-    if not n:
-        return Topics(np.ones(BUCKETS, np.float32), np.zeros(BUCKETS, np.float32))
-    rarity = np.log((1 + n) / (1 + (counts > 0).sum(axis=0))).astype(np.float32)
-    x = _unit(counts * rarity)
-    model = Topics(rarity, x.mean(axis=0), {v: x[[i for i, w in enumerate(langs) if w == v]].mean(axis=0)
-                                            for v in sorted({w for w in langs if w is not None})})
-    x = model.vectors(counts, langs)
-    centres = x[:1]
-    while len(centres) < min(topics, n):                    # the document least like any centre so far
-        centres = np.concatenate([centres, x[(x @ centres.T).max(axis=1).argmin()][None]])
-    for _ in range(ROUNDS):
-        own = (x @ centres.T).argmax(axis=1)
-        centres = _unit(np.stack([x[own == k].sum(axis=0) if (own == k).any() else c for k, c in enumerate(centres)]))
-    size = np.bincount((x @ centres.T).argmax(axis=1), minlength=len(centres))
-    model.centres = centres[np.argsort(-size, kind="stable")].astype(np.float32)
+        at, root = zip(*map(packed, counts), strict=True) if len(counts) else ((), ())
+        return self.nearest(Terms(pa.array(at, pa.binary()), pa.array(root, pa.binary()), langs), n_words)
+
+    def named(self) -> Callable[[Column, Column, Column, Column], Column]:
+        """Column function: the topic of ``at``, ``root``, ``lang`` and the number of words."""
+        model = self
+
+        def each(at: pa.Array, root: pa.Array, lang: pa.Array, n: pa.Array) -> pa.Array:
+            out: list[str] = []
+            for i in range(0, len(at), BATCH):
+                out += model.nearest(Terms(at[i:i + BATCH], root[i:i + BATCH], lang[i:i + BATCH].to_pylist()),
+                                     n[i:i + BATCH].to_pylist())
+            return pa.array(out, pa.string())
+        each.__annotations__ = {"at": pa.Array, "root": pa.Array, "lang": pa.Array, "n": pa.Array, "return": pa.Array}
+        return F.arrow_udf(each, "string")
+
+
+def _totals(rows: DataFrame, each: Callable[[Terms], Iterator[tuple[str | None, np.ndarray]]]) -> dict[str | None, np.ndarray]:
+    """Sums by name of the arrays (a value per bucket) that ``each`` gives per batch of documents."""
+    def part(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums: dict[str | None, np.ndarray] = {}
+        for whole in batches:
+            for i in range(0, whole.num_rows, BATCH):
+                b = whole.slice(i, BATCH)
+                for name, values in each(Terms(b.column(0), b.column(1), b.column(2).to_pylist())):
+                    if name in sums:
+                        sums[name] += values
+                    else:
+                        sums[name] = values.copy()
+        for name, values in sums.items():
+            k = np.nonzero(values)[0]
+            yield pa.RecordBatch.from_arrays([pa.array([name] * len(k), pa.string()), pa.array(k.astype(np.int32)),
+                                              pa.array(values[k].astype(np.int64))], names=["name", "k", "v"])
+    got = rows.select("at", "root", "lang").mapInArrow(part, "name string, k int, v long").groupBy("name", "k").agg(
+        F.sum("v").alias("v")).toArrow().to_pydict()
+    out: dict[str | None, np.ndarray] = {}
+    for name, k, v in zip(got["name"], got["k"], got["v"], strict=True):
+        out.setdefault(name, np.zeros(BUCKETS + 1, np.int64))[k] = v
+    return out
+
+
+def _with_number(values: np.ndarray, n: int) -> np.ndarray:
+    return np.append(values, float(n))
+
+
+def _first(rows: DataFrame, model: Topics) -> np.ndarray | None:
+    """The vector of the document least like any centre so far (the first in
+    the order of ``h``, where there is none yet)."""
+    def part(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        least, best = None, None
+        for whole in batches:
+            for i in range(0, whole.num_rows, BATCH):
+                b = whole.slice(i, BATCH)
+                like = np.zeros(b.num_rows)
+                if len(model.centres):
+                    like = model.likeness(Terms(b.column(0), b.column(1), b.column(2).to_pylist())).max(axis=1)
+                for j in np.nonzero(like == like.min())[0].tolist():
+                    r = [c[j].as_py() for c in b.columns]
+                    of = (float(like[j]), r[3], r[0], r[1], r[2] or "")
+                    if least is None or of < least:
+                        least, best = of, r
+        if best is not None:
+            yield pa.RecordBatch.from_pylist([{"score": least[0], "at": best[0], "root": best[1], "lang": best[2], "h": best[3]}],
+                                             schema=pa.schema([("score", pa.float64()), ("at", pa.binary()), ("root", pa.binary()),
+                                                               ("lang", pa.string()), ("h", pa.string())]))
+    got = rows.select("at", "root", "lang", "h").mapInArrow(
+        part, "score double, at binary, root binary, lang string, h string").orderBy("score", "h", "at", "root", "lang").limit(1).collect()
+    if not got:
+        return None
+    t = Terms(pa.array([bytes(got[0]["at"])], pa.binary()), pa.array([bytes(got[0]["root"])], pa.binary()), [got[0]["lang"]])
+    x, by, met, _ = model.places(t)
+    return x[0] / UNIT - by[0] * model.means.get(met[0], model.mean)
+
+
+def _frequent(batch: Terms) -> Iterator[tuple[str | None, np.ndarray]]:
+    yield "", _with_number(np.bincount(batch.at, minlength=BUCKETS), batch.n)
+
+
+def fit(rows: DataFrame, topics: int = TOPICS) -> Topics:
+    """Centres over all ``rows`` (at, root, lang, h), largest cluster first."""
+    seen = _totals(rows, _frequent).get("")
+    if seen is None:
+        return Topics(np.ones(BUCKETS), np.zeros(BUCKETS))
+    n = int(seen[-1])
+    rarity = np.log((1 + n) / (1 + seen[:-1]))
+    kept = {r["lang"] for r in rows.where("lang IS NOT NULL").groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(
+        LANGUAGES).collect()}
+
+    def by_language(batch: Terms) -> Iterator[tuple[str | None, np.ndarray]]:
+        x = batch.dense(np.rint(batch.units(rarity) * UNIT))
+        lang = [v if v in kept else None for v in batch.langs]
+        for v in dict.fromkeys(lang):
+            here = np.array([w == v for w in lang])
+            yield v, _with_number(x[here].sum(axis=0), int(here.sum()))
+    sums = _totals(rows, by_language)
+    model = Topics(rarity, sum(sums.values())[:-1] / UNIT / n, {v: s[:-1] / UNIT / s[-1] for v, s in sums.items() if v is not None})
+    while len(model.centres) < min(topics, n):
+        model.centres = np.concatenate([model.centres, _first(rows, model)[None]])
+    names = sorted(model.means)
+    means = np.stack([model.mean, *[model.means[v] for v in names]])
+
+    def by_centre(batch: Terms) -> Iterator[tuple[str | None, np.ndarray]]:
+        x, by, met, lang = model.places(batch)
+        own = (x @ (model.centres.T / UNIT) - by[:, None] * (np.stack([model.means.get(v, model.mean) for v in met])
+                                                            @ model.centres.T)[lang]).argmax(axis=1)
+        mine = (own == np.arange(len(model.centres))[:, None]).astype(float)
+        for c, (s, k) in enumerate(zip(mine @ x, mine.sum(axis=1), strict=True)):
+            yield f"{c}", _with_number(s, k)
+        factor = np.rint(by * UNIT)
+        for (c, v), f in zip(*_by_pair(own, lang, factor), strict=True):
+            # place 0: documents with the mean of all
+            i = 0 if met[v] is None else 1 + numbers[met[v]]
+            a = np.zeros(BUCKETS + 1)
+            a[i % BUCKETS] = f
+            yield f"{c}/{i // BUCKETS}", a
+    numbers = {v: i for i, v in enumerate(names)}
+    before, sizes = None, None
+    for left in range(ROUNDS, -1, -1):
+        got = _totals(rows, by_centre)
+        sizes = np.array([got[f"{c}"][-1] if f"{c}" in got else 0 for c in range(len(model.centres))])
+        if not left or before is not None and np.array_equal(model.centres, before):
+            break                          # no more rounds, or none that would change a centre
+        before = model.centres
+        new = []
+        for c, old in enumerate(before):
+            factors = np.concatenate([got.get(f"{c}/{j}", np.zeros(BUCKETS + 1))[:-1] for j in range(1 + len(names) // BUCKETS)])
+            new.append(_unit((got[f"{c}"][:-1] - factors[:len(means)] @ means) / UNIT) if sizes[c] else old)
+        model.centres = np.stack(new)
+    model.centres = model.centres[np.argsort(-sizes, kind="stable")]
     return model
 
 
-def train(docs: DataFrame, key: str, text: str, lang: str, sample: int = SAMPLE, topics: int = TOPICS) -> Topics:
-    """Topics fitted on ``sample`` rows at most, however often an id repeats."""
-    rows = docs.select(F.col(key).alias("id"), F.col(text).alias("text"), F.col(lang).cast("string").alias("lang"))
-    ids = rows.where(F.col("id").isNotNull()).select("id").distinct().orderBy(F.md5(F.col("id").cast("string")), "id").limit(sample)
-    chosen = rows.join(F.broadcast(ids), "id").select(F.md5(F.col("id").cast("string")).alias("h"), "id", "lang", "text")
+def _by_pair(a: np.ndarray, b: np.ndarray, values: np.ndarray) -> tuple[list[tuple[int, int]], list[float]]:
+    """Sums of ``values`` by pair of numbers."""
+    wide = int(b.max()) + 1
+    pairs, of = np.unique(a * wide + b, return_inverse=True)
+    return [divmod(int(p), wide) for p in pairs], np.bincount(of, values).tolist()
+
+
+def described(batch: list[str | None], cache: dict[bytes, int]) -> tuple[list[int], list[bytes], list[bytes]]:
+    """Number of words, buckets and square-rooted counts of each text."""
+    out: tuple[list[int], list[bytes], list[bytes]] = ([], [], [])
+    for t in batch:
+        n, counts = counted(t or "", cache)
+        for held, x in zip(out, (n, *packed(counts)), strict=True):
+            held.append(x)
+    return out
+
+
+def order(key: Column, text: Column) -> Column:
+    """Text by which documents are ordered: a hash of the id, of the text where there is none."""
+    return F.md5(F.coalesce(key.cast("string"), F.concat(F.lit("text:"), F.coalesce(text, F.lit("")))))
+
+
+def train(docs: DataFrame, key: str, text: str, lang: str, sample: int | None = None, topics: int = TOPICS) -> Topics:
+    """Topics fitted on all of ``docs``; on the first ``sample`` of them, in the
+    order of a hash of their ids, for a caller that asks for so many only."""
+    rows = docs.select(order(F.col(key), F.col(text)).alias("h"), F.col(text).cast("string").alias("text"),
+                       F.col(lang).cast("string").alias("lang"))
+    if sample is not None:
+        rows = rows.orderBy("h", F.xxhash64("text"), "lang").limit(sample)
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cache: dict[bytes, int] = {}
         for b in batches:
-            counts = [counted(t.as_py() or "", cache)[1].tobytes() for t in b.column(3)]
-            yield pa.RecordBatch.from_arrays([*b.columns[:3], pa.array(counts, pa.binary())], names=["h", "id", "lang", "counts"])
-    kind = rows.schema["id"].dataType.simpleString()
-    got = chosen.mapInArrow(each, f"h string, id {kind}, lang string, counts binary").orderBy(
-        "h", "id", F.xxhash64("counts"), "lang").limit(sample).collect()
-    return fit(np.stack([np.frombuffer(r["counts"], np.float32) for r in got]) if got else np.zeros((0, BUCKETS), np.float32),
-               [r["lang"] for r in got], topics)
+            _, at, root = described(b.column(1).to_pylist(), cache)
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), pa.array(at, pa.binary()), pa.array(root, pa.binary())],
+                                             names=["h", "lang", "at", "root"])
+    held = written(rows.mapInArrow(each, "h string, lang string, at binary, root binary"), "terms")
+    model = fit(held, topics)
+    discard(held)
+    return model

@@ -113,3 +113,42 @@ def test_topics_separate_terms_and_ignore_languages(spark):
     hot = docs(spark, [(7, f"w{i}", "en", "s") for i in range(500)])
     assert len(topics.train(hot, "doc_id", "text", "lang", sample=10).centres) <= 10
     assert topics.train(hot.limit(0), "doc_id", "text", "lang").assign(np.zeros((1, topics.BUCKETS)), [3], ["en"]) == ["none"]
+
+
+def test_topics_come_from_every_document(spark):
+    """A theme that only the documents last in the order of their ids' hashes hold has a topic of its own."""
+    rng = np.random.default_rng(2)
+    words = {k: [f"{k}{i}" for i in range(30)] for k in ("law", "sea", "farm")}
+    ids = sorted(range(4300), key=lambda i: hashlib.md5(str(i).encode()).hexdigest())
+    theme = {i: "farm" if at >= 4100 else ("law", "sea")[at % 2] for at, i in enumerate(ids)}
+    rows = [(i, " ".join(rng.choice(words[theme[i]], 12)), ("en", "de")[i % 2], "s") for i in range(4300)]
+    model = topics.train(docs(spark, rows), "doc_id", "text", "lang", topics=3)
+    n, counts = zip(*(topics.counted(r[1], {}) for r in rows), strict=True)
+    seen = collections.Counter(zip((theme[r[0]] for r in rows), model.assign(np.stack(counts), list(n), [r[2] for r in rows]), strict=True))
+    assert set(seen.values()) == {2050, 200} and len(seen) == 3
+
+
+def test_topics_against_plain_k_means(spark):
+    """The passes over parts of the table give what one matrix of all documents gives, in any order of rows."""
+    rng = np.random.default_rng(3)
+    rows = [(i, " ".join(f"w{k}" for k in rng.integers(0, 60, rng.integers(0, 25)) + i % 4 * 20), (None, "en", "de")[i % 3], "s")
+            for i in range(300)]
+    n, counts = zip(*(topics.counted(r[1], {}) for r in rows), strict=True)
+    c, langs = np.stack(counts).astype(float), [r[2] for r in rows]
+
+    def unit(x):
+        return x / np.maximum(np.linalg.norm(x, axis=-1, keepdims=True), 1e-9)
+    u = unit(c * np.log((1 + len(c)) / (1 + (c > 0).sum(axis=0))))
+    x = unit(u - np.stack([u.mean(axis=0) if v is None else u[[w == v for w in langs]].mean(axis=0) for v in langs]))
+    centres = x[[min(range(300), key=lambda i: hashlib.md5(str(i).encode()).hexdigest())]]
+    while len(centres) < 4:
+        centres = np.concatenate([centres, x[(x @ centres.T).max(axis=1).argmin()][None]])
+    for _ in range(topics.ROUNDS):
+        own = (x @ centres.T).argmax(axis=1)
+        centres = unit(np.stack([x[own == k].sum(axis=0) for k in range(4)]))
+    want = (x @ centres.T).argmax(axis=1)
+    models = [topics.train(docs(spark, r).repartition(p), "doc_id", "text", "lang", topics=4) for r, p in ((rows, 2), (rows[::-1], 5))]
+    assert np.array_equal(models[0].centres, models[1].centres)
+    got = models[0].assign(np.stack(counts), list(n), langs)
+    pairs = {(int(w), g) for w, g, k in zip(want, got, n, strict=True) if k}
+    assert len(pairs) == 4 == len({g for _, g in pairs}) and {g for g, k in zip(got, n, strict=True) if not k} == {"none"}
