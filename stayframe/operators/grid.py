@@ -22,6 +22,9 @@ from stayframe.operators.seq import GRID_CHUNK, Seq, depth_chunks, prefix_aggs,
 from stayframe.session import materialize
 
 
+BINS = 1 << 19    # bins of a grid that one task holds
+
+
 def with_bin(df: DataFrame, time: str, origin: str, width_hours: float,
              closed: str = "left", out: str = "hr") -> DataFrame:
     """Bin index of each event on its entity's grid (see ``bin_index``)."""
@@ -49,9 +52,15 @@ def complete_grid(binned: DataFrame, keys: Sequence[str], bin_col: str, origin:
     downstream uses - and merged in place, instead of joining on
     (keys, bin) and shuffling again for the first window. ``bounds`` (keys,
     origin, _maxb) may be given by the caller; otherwise it is read off
-    ``binned``."""
+    ``binned``. Given bounds also tell how many bins there will be, and so over
+    how many tasks the chunks are dealt (``BINS`` each): a chunk's range is one
+    small row until then, so the shuffle's bytes say nothing of a task's size."""
     feats = [c for c in binned.columns if c not in (*keys, origin, bin_col)]
-    if bounds is None:
+    tasks: tuple[int, ...] = ()
+    if bounds is not None:
+        bins = bounds.agg(F.sum(F.greatest(F.col("_maxb") - first_bin + 1, F.lit(0)).cast("long"))).first()[0] or 0
+        tasks = (max(bounds.sparkSession.sparkContext.defaultParallelism, -(-bins // BINS)),)
+    else:
         bounds = binned.groupBy(*keys, origin).agg(F.max(bin_col).alias("_maxb"))
     # one bin-range row per chunk (at most chunk_width bins each); ranges are
     # exploded into bins only after the shuffle, where each chunk has its own task
@@ -63,7 +72,7 @@ def complete_grid(binned: DataFrame, keys: Sequence[str], bin_col: str, origin:
                            F.greatest(F.col(chunk) * w, F.lit(first_bin)).cast("int").alias("_lo"),
                            F.least((F.col(chunk) + 1) * w - 1, F.col("_maxb")).cast("int").alias("_hi"))
     obs = binned.withColumn(chunk, F.floor(F.col(bin_col) / w).cast("long"))
-    u = obs.unionByName(ranges, allowMissingColumns=True).repartition(*keys, chunk)
+    u = obs.unionByName(ranges, allowMissingColumns=True).repartition(*tasks, *keys, chunk)
     bins = F.when(F.col("_lo").isNotNull(), F.sequence("_lo", "_hi")).otherwise(F.array(F.col(bin_col)))
     u = u.withColumn(bin_col, F.explode(bins)).drop("_lo", "_hi")
     # at most one observed row per bin and skeleton rows carry nulls: max() is that row's value
@@ -102,12 +111,16 @@ def event_grid(events: DataFrame, keys: Sequence[str], time: str, width_hours: i
 
 
 def coarsen(grid: DataFrame, keys: Sequence[str], bin_col: str, factor: int,
-            aggs: Sequence[Column], out: str | None = None) -> DataFrame:
+            aggs: Sequence[Column], out: str | None = None, chunk: str | None = None,
+            chunk_width: int = GRID_CHUNK) -> DataFrame:
     """Roll a grid up by an integer factor: bin = floor(bin / factor)
-    (hr 0..199 gives the same result as the rounding cast (hr/8-0.45)::int)."""
+    (hr 0..199 gives the same result as the rounding cast (hr/8-0.45)::int).
+    With the grid's ``chunk`` column, whose chunks hold whole coarse bins where
+    the factor divides their width, the grid is rolled up in the tasks that made it."""
     out = out or bin_col
     g = grid.withColumn("_cb", F.floor(F.col(bin_col) / F.lit(factor)).cast("int"))
-    res = g.groupBy(*keys, "_cb").agg(*aggs)
+    within = [chunk] if chunk and chunk_width % factor == 0 else []
+    res = g.groupBy(*keys, *within, "_cb").agg(*aggs).drop(*within)
     return res.withColumnRenamed("_cb", out)
 
 

@@ -567,3 +567,23 @@ def test_band_chunk_join_equals_the_plain_one(spark):
             assert rows(band_chunk_join(with_chunk(grid, s, width), anchors, s, "st", "t", 48, 24, "o", 8)) == want and want
         finally:
             J.chunk_join = joined
+
+
+def test_grid_is_dealt_by_its_bins(spark, monkeypatch):
+    """Few events over a long time make many bins: their tasks are as many as
+    the bins need, and a roll-up takes place where the bins are made."""
+    from stayframe.operators import grid as G
+    monkeypatch.setattr(G, "BINS", 500)
+    rows = [(u, dt.datetime(2020, 1, 1) + dt.timedelta(hours=h), float(h)) for u in (1, 2, None) for h in (0, 5, 9001)]
+    ev = spark.createDataFrame(rows, "u long, ts timestamp, v double")
+    g = G.event_grid(ev, ["u"], "ts", 1, [F.sum("v").alias("v")])
+    tasks = g.groupBy(F.spark_partition_id()).count()
+    assert g.rdd.getNumPartitions() >= 2 * 9002 // 500 and tasks.agg(F.sum("count")).first()[0] >= 2 * 9002
+    aggs = [F.sum("v").alias("v"), F.count(F.lit(1)).alias("n")]
+    for factor in (4, 3):
+        near = G.coarsen(g, ["u"], "hr", factor, aggs, out="bin", chunk="_chunk")
+        far = G.coarsen(g, ["u"], "hr", factor, aggs, out="bin")
+        assert near.columns == far.columns and near.exceptAll(far).count() == far.exceptAll(near).count() == 0
+        assert near.filter("u = 1").count() == -(-9002 // factor)
+    plans = [G.coarsen(g, ["u"], "hr", 4, aggs, chunk=c)._jdf.queryExecution().executedPlan().toString() for c in ("_chunk", None)]
+    assert plans[0].count("hashpartitioning(u") + 1 == plans[1].count("hashpartitioning(u")
