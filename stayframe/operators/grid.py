@@ -4,16 +4,18 @@ Fixed-width grids never use a range join: an event's bin is arithmetic on its
 time, events are aggregated per (entity, bin) with map-side partial
 aggregation, and the aggregate is equi-joined onto the grid skeleton; monthly
 bins are arithmetic as well (``month_bin``). On overlapping or irregular
-intervals events are summed per elementary interval and added up along a
-summary tree (``interval_totals``); ``interval_join`` is for callers that need
+intervals an entity's events meet its intervals in one task, or, where they are
+many, are added up along a summary tree (``interval_totals``); ``interval_join`` is for callers that need
 the pairs themselves.
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
+from functools import reduce
+from operator import and_
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -198,6 +200,7 @@ def _dyadic(lo: Column, hi: Column) -> Column:
 
 
 SHORT = 16        # events of a range that are listed one by one
+ORDINARY = 4096   # events and borders of an entity that one task may meet pair by pair
 
 
 def interval_borders(intervals: DataFrame, start: str, end: str, step: str = "_step", border: str = "_border") -> DataFrame:
@@ -208,23 +211,76 @@ def interval_borders(intervals: DataFrame, start: str, end: str, step: str = "_s
 
 
 def interval_totals(borders: DataFrame, events: DataFrame, keys: Sequence[str], grid_keys: Sequence[str], step: str,
-                    border: str, time: str, value: str, n: str, avg: str, target: int = 1 << 16) -> DataFrame:
+                    border: str, time: str, value: str, n: str, avg: str, target: int = 1 << 16,
+                    expand: Callable[[DataFrame], DataFrame] = lambda x: x,
+                    also: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
     """Count and mean of ``value`` of an entity's events in each interval of
     its grids, whatever grids overlap. ``borders`` has one row per (grid_keys,
-    step); interval ``step`` is (border, border of step + 1], and a step without
-    a successor only closes an interval. ``keys`` are the entity's columns in
-    both tables.
+    step), or ``expand`` makes these rows of it where they are needed; interval
+    ``step`` is (border, border of step + 1], and a step without a successor only
+    closes an interval. ``keys`` are the entity's columns in both tables. The rows
+    (grid_keys, step, more columns) that ``also`` makes of the events are joined
+    to the intervals.
+
+    Entities are dealt over tasks once, before their borders are made, and an
+    entity's events meet its intervals there, so that no border or interval is
+    shuffled or written. Entities of more than ``ORDINARY`` events and borders
+    (or ``target``, if that is less) go through ``_scanned_totals``. Nothing is
+    subtracted, so a huge, infinite or NaN value changes only the intervals that
+    hold it. Intervals without events or of no length have count 0 and no mean; a
+    null border makes no interval."""
+    grid = list(dict.fromkeys([*keys, *grid_keys]))
+    count = F.count(F.lit(1)).alias("_rows")
+    sizes = events.groupBy(*keys).agg(count).unionByName(expand(borders).groupBy(*keys).agg(count))
+    sizes = materialize(sizes.groupBy(*keys).agg(F.sum("_rows").alias("_rows")), "sizes")
+    known = reduce(and_, [F.col(k).isNotNull() for k in keys])
+    ordinary = known & (F.col("_rows") <= min(ORDINARY, target))
+    rows, hot = sizes.agg(F.sum(F.when(ordinary, F.col("_rows"))), F.count(F.when(known & ~ordinary, 1))).first()
+    if hot or sizes.filter(~known).head(1):
+        many = sizes.filter(known & ~ordinary).select(*keys)
+        parts = [[t.filter(known).join(many, list(keys), "left_anti"), t.join(many, list(keys), "left_semi").unionByName(t.filter(~known))]
+                 for t in (borders, events)]
+    else:
+        parts = [[borders, None], [events, None]]
+    (some, others), (some_events, other_events) = parts
+    tasks = max(events.sparkSession.sparkContext.defaultParallelism, -(-2 * (rows or 0) // BINS))
+    dealt = some_events.repartition(tasks, *keys)
+    e = dealt.filter(F.col(value).isNotNull() & F.col(time).isNotNull()).groupBy(*keys, F.col(time).alias("_t")).agg(
+        F.count(F.lit(1)).alias("_n"), F.sum(F.col(value).cast("double")).alias("_s"))
+    w = Window.partitionBy(*grid).orderBy(step)
+    spans = expand(some.repartition(tasks, *keys)).filter(F.col(border).isNotNull()).groupBy(*grid, step).agg(F.max(border).alias("_lo"))
+    spans = spans.withColumn("_hi", F.when(F.lead(step).over(w) == F.col(step) + 1, F.lead("_lo").over(w))).filter("_hi IS NOT NULL")
+    met = [F.col(f"_g.{k}") == F.col(f"_e.{k}") for k in keys]
+    inside = (F.col("_e._t") > F.col("_g._lo")) & (F.col("_e._t") <= F.col("_g._hi"))
+    found = spans.alias("_g").join(e.alias("_e"), reduce(and_, [*met, inside]), "left").select(
+        *[F.col(f"_g.{c}").alias(c) for c in (*grid, step)], "_n", "_s", F.lit(1).alias("_in"))
+    more: list[str] = []
+    if also is not None:
+        beside = also(dealt)
+        more = [c for c in beside.columns if c not in (*grid, step)]
+        found = found.unionByName(beside, allowMissingColumns=True)
+    out = found.groupBy(*grid, step).agg(F.coalesce(F.sum("_n"), F.lit(0)).alias(n), (F.sum("_s") / F.sum("_n")).alias(avg),
+                                         *[F.max(c).alias(c) for c in more], F.max("_in").alias("_in"))
+    out = out.filter("_in = 1").drop("_in")
+    if others is None:
+        return out
+    rest = _scanned_totals(expand(others), other_events, keys, grid_keys, step, border, time, value, n, avg, target)
+    if also is not None:
+        rest = rest.join(also(other_events), [*grid, step], "left")
+    return out.unionByName(rest)
+
+
+def _scanned_totals(borders: DataFrame, events: DataFrame, keys: Sequence[str], grid_keys: Sequence[str], step: str,
+                    border: str, time: str, value: str, n: str, avg: str, target: int) -> DataFrame:
+    """``interval_totals`` of entities too large for one task.
 
     Events (one row per entity and time) and borders are put in one order and
     scanned in chunks of equal depth, which numbers the entity's event times and
     tells for every border how many lie up to it; so an interval is a range of
     event numbers, and most bins are seen to be empty at once. Event sums are
     added up along a binary summary tree, and an interval takes the few nodes
-    that make up its range (its events, if they are few). Nothing is subtracted, so a huge, infinite or NaN
-    value changes only the intervals that hold it. No event meets an interval it
-    does not lie in, and neither a hot entity nor a burst makes a large task.
-    Intervals without events or of no length have count 0 and no mean; a null
-    border makes no interval."""
+    that make up its range (its events, if they are few). No event meets an interval it
+    does not lie in, and neither a hot entity nor a burst makes a large task."""
     grid = list(dict.fromkeys([*keys, *grid_keys]))
     ev = events.filter(F.col(value).isNotNull() & F.col(time).isNotNull()).groupBy(*keys, F.col(time).alias("_t")).agg(
         F.count(F.lit(1)).alias("_n"), F.sum(F.col(value).cast("double")).alias("_s")).withColumn("_k", F.lit(0))

@@ -150,15 +150,20 @@ def _sql_interval(types=None):
 
 # ---- J3/J4/J5: irregular (monthly) grid, two-key and one-key range joins ------------------------
 
-def _order_borders(spark, d):
-    """Borders of each order's monthly bins (s, e], from the order date to the
-    end of the bin holding the order's last shipment (one bin at least)."""
+def _orders(spark, d):
+    """Orders with the index of their last monthly bin (s, e], which holds the
+    last shipment (one bin at least)."""
     o = table(spark, d, "orders", ["o_orderkey", "o_custkey", "o_orderdate"])
     last = table(spark, d, "lineitem", ["l_orderkey", "l_shipdate"]).groupBy("l_orderkey").agg(
         F.max("l_shipdate").alias("last"))
     o = o.join(last, o.o_orderkey == last.l_orderkey, "left")
     last_bin = F.greatest(F.coalesce(month_bin("last", "o_orderdate"), F.lit(0)), F.lit(0))
-    g = o.select("o_custkey", "o_orderkey", "o_orderdate", F.explode(F.sequence(F.lit(0), last_bin + 1)).alias("k"))
+    return materialize(o.select("o_custkey", "o_orderkey", "o_orderdate", last_bin.alias("last_bin")), "orders")
+
+
+def _order_borders(orders):
+    """Borders of each order's monthly bins."""
+    g = orders.select("o_custkey", "o_orderkey", "o_orderdate", F.explode(F.sequence(F.lit(0), F.col("last_bin") + 1)).alias("k"))
     return g.select("o_custkey", "o_orderkey", "k", (F.col("o_orderdate") + F.make_ym_interval(F.lit(0), F.col("k"))).alias("border"))
 
 
@@ -172,12 +177,13 @@ def j_interval_composite(spark, d):
     ev = materialize(li.join(idmap, li.l_orderkey == idmap.o_orderkey, "left").select(
         "o_custkey", F.col("l_orderkey").alias("o_orderkey"), "o_orderdate", "l_shipdate", "l_quantity"), "items")
     keys = ["o_custkey", "o_orderkey", "k"]
-    two = ev.withColumn("k", month_bin("l_shipdate", "o_orderdate")).groupBy(*keys).agg(
-        F.count("l_quantity").alias("n_two"), F.avg("l_quantity").alias("qty_two"))
-    one = interval_totals(_order_borders(spark, d), ev, ["o_custkey"], keys[:2], "k", "border", "l_shipdate", "l_quantity",
-                          "n_one", "qty_one")
-    return one.join(two, keys, "left").select(*keys, F.coalesce("n_two", F.lit(0)).alias("n_two"), r6("qty_two"),
-                                              "n_one", r6("qty_one"))
+
+    def two(items):
+        return items.withColumn("k", month_bin("l_shipdate", "o_orderdate")).groupBy(*keys).agg(
+            F.count("l_quantity").alias("n_two"), F.avg("l_quantity").alias("qty_two"))
+    both = interval_totals(_orders(spark, d), ev, ["o_custkey"], keys[:2], "k", "border", "l_shipdate", "l_quantity",
+                           "n_one", "qty_one", expand=_order_borders, also=two)
+    return both.select(*keys, F.coalesce("n_two", F.lit(0)).alias("n_two"), r6("qty_two"), "n_one", r6("qty_one"))
 
 
 SQL_J_COMPOSITE = """WITH b AS (SELECT o.o_custkey, o.o_orderkey, o.o_orderdate, l.last,

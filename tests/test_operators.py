@@ -587,3 +587,37 @@ def test_grid_is_dealt_by_its_bins(spark, monkeypatch):
         assert near.filter("u = 1").count() == -(-9002 // factor)
     plans = [G.coarsen(g, ["u"], "hr", 4, aggs, chunk=c)._jdf.queryExecution().executedPlan().toString() for c in ("_chunk", None)]
     assert plans[0].count("hashpartitioning(u") + 1 == plans[1].count("hashpartitioning(u")
+
+
+def test_interval_totals_shuffle_no_intervals(spark):
+    """Borders are made where an entity's events are: only rows before them are
+    dealt, once; large and null entities take the other way to the same totals."""
+    from stayframe.operators import grid as G
+    rows = [(u, T0 + dt.timedelta(hours=5 * i), float(i % 7)) for u in (1, 2, None) for i in range(60 if u == 1 else 6)]
+    ev = spark.createDataFrame(rows, "u long, t timestamp_ntz, v double")
+    made = spark.createDataFrame([(u, 10 * (u or 5) + i, T0 + dt.timedelta(hours=7 * i)) for u in (1, 2, 3) for i in range(3)],
+                                 "u long, g long, t0 timestamp_ntz")
+
+    def expand(x):
+        x = x.withColumn("k", F.explode(F.sequence(F.lit(0), F.lit(40))))
+        return x.select("u", "g", "k", (F.col("t0") + F.make_dt_interval(hours=F.col("k"))).alias("x"))
+
+    def beside(x):
+        return x.groupBy("u", (10 * F.col("u")).alias("g"), F.lit(3).alias("k")).agg(F.max("v").alias("most"))
+
+    def totals(target):
+        return G.interval_totals(made, ev, ["u"], ["g"], "k", "x", "t", "v", "n", "m", target, expand=expand, also=beside)
+    whole = [t for t in rows if t[0] is not None]
+    want = {}
+    for u in (1, 2, 3):
+        for i in range(3):
+            for k in range(40):
+                lo = T0 + dt.timedelta(hours=7 * i + k)
+                got = [v for w, t, v in whole if w == u and lo < t <= lo + dt.timedelta(hours=1)]
+                most = max((v for w, _, v in whole if w == u), default=None) if i == 0 and k == 3 else None
+                want[u, 10 * u + i, k] = (len(got), sum(got) / len(got) if got else None, most)
+    for target in (1 << 16, 150):
+        assert {(r.u, r.g, r.k): (r.n, r.m, r.most) for r in totals(target).collect()} == want
+    known = ev.filter("u IS NOT NULL")
+    plan = G.interval_totals(made, known, ["u"], ["g"], "k", "x", "t", "v", "n", "m", expand=expand)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 2 and plan.index("Generate explode") < plan.rindex("Exchange hashpartitioning")
