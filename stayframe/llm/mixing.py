@@ -125,14 +125,11 @@ def _described(docs: DataFrame, values: dict[str, str], lang: str, key: str, tex
     place = names.index(text) if held else None
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cache: dict[bytes, int] = {}
         for whole in batches:
             for i in range(0, whole.num_rows, T.BATCH):
                 b = whole.slice(i, T.BATCH)
                 texts = pc.struct_field(b.column(0), [place]) if held else b.column(len(kept))
-                n, at, root = T.described(texts.to_pylist(), cache)
-                yield pa.RecordBatch.from_arrays([*b.columns[:len(kept)], pa.array(n, pa.int64()), pa.array(at, pa.binary()),
-                                                  pa.array(root, pa.binary())], names=[*kept, "tokens", "at", "root"])
+                yield pa.RecordBatch.from_arrays([*b.columns[:len(kept)], *T.described(texts)], names=[*kept, "tokens", "at", "root"])
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields[:len(kept)])
     return rows.mapInArrow(each, f"{schema}, tokens long, at binary, root binary")
 

@@ -3,8 +3,10 @@
 import collections
 import hashlib
 import re
+import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from stayframe.llm import mixing, q_mixing, topics
@@ -152,3 +154,36 @@ def test_topics_against_plain_k_means(spark):
     got = models[0].assign(np.stack(counts), list(n), langs)
     pairs = {(int(w), g) for w, g, k in zip(want, got, n, strict=True) if k}
     assert len(pairs) == 4 == len({g for _, g in pairs}) and {g for g, k in zip(got, n, strict=True) if not k} == {"none"}
+
+
+def test_words_are_hashed_as_one_by_one(spark):
+    """Texts laid end to end give each document its own words, short and long, whatever stands at its ends."""
+    texts = [None, "", " ", "a", "A a é\u0085b\x1cc\x0bd\r\n", "x" * 63 + " " + "y" * 64 + "\t" + "z" * 5000, " lead", "trail ", " wide sp",
+             "w " * 300, " ".join(f"W{i}" for i in range(70_000)), "last"]
+    for col in (pa.array(texts), pa.array(["cut", *texts])[1:], pa.chunked_array([texts]).combine_chunks()):
+        for t, n, at, root in zip(texts, *(x.to_pylist() for x in topics.described(col)), strict=True):
+            plain = collections.Counter(zlib.crc32(w) % topics.BUCKETS for w in (t or "").encode().lower().split())
+            assert n == sum(plain.values()) and np.frombuffer(at, np.uint16).tolist() == sorted(plain)
+            assert np.array_equal(np.frombuffer(root, np.float32), np.sqrt([np.float32(plain[k]) for k in sorted(plain)]))
+
+
+def test_rounds_read_several_documents_a_row(spark, monkeypatch):
+    """The passes of the rounds read short packed rows, counts above 255 included, and lose none."""
+    read, totals = [], topics._totals
+
+    def seen(rows, each):
+        read.append((rows.count(), rows.columns))
+        return totals(rows, each)
+    monkeypatch.setattr(topics, "_totals", seen)
+    rows = [(i, f"w{i % 7} " * (300 if i % 50 == 3 else 3) + f"x{i % 3} y{i % 5}", ("en", "de", None)[i % 3], "s") for i in range(700)]
+    model = topics.train(docs(spark, rows).coalesce(1), "doc_id", "text", "lang", topics=3)
+    assert len(read) > 4 and {n for n, _ in read[2:]} == {-(-700 // topics.GROUP)} and all("bits" in c for _, c in read[2:])
+    held = spark.createDataFrame([(*topics.packed(topics.counted(r[1])[1]), r[2], "h") for r in rows], "at binary, root binary, lang string, h string")
+    packed = topics._vectors(held.coalesce(1), model).toArrow().combine_chunks().to_batches()[0]
+    got = np.concatenate([v.own.copy() for v, *_ in topics._read(packed, model.rarity)])
+    number, means = model.numbered()
+    want = topics.Terms(*(pa.array(x, pa.binary()) for x in zip(*(topics.packed(topics.counted(r[1])[1]) for r in rows), strict=True)), [r[2] for r in rows])
+    by = model.factors(want, np.array([number.get(r[2], 0) for r in rows]), means)
+    dense = np.zeros(got.shape)
+    dense[want.row, want.at] = np.rint(want.units(model.rarity) * by[want.row] * topics.UNIT)
+    assert np.array_equal(got, dense)
