@@ -10,8 +10,8 @@ O(n log n), however long it is.
 The vocabulary file is a parameter; the driver reads it and broadcasts its text
 (fixed size, a few MB). A worker process builds its tables from that once, under
 the text's digest, and keeps them for its later tasks. Words repeat, so beside
-them it keeps a bounded table of finished words: a word's ids as bytes, and these
-ids decoded.
+them it keeps a bounded table of finished words: a word's ids as bytes, and
+nothing more, since idle workers hold their tables while other stages run.
 
 Defined results: a null or empty text has no ids and decodes to the empty
 string; texts are encoded whole; special tokens written in a text become their
@@ -35,7 +35,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 NONE = 1 << 62
-WORDS_KEPT = 400_000        # finished words a worker remembers before it starts afresh
+WORDS_KEPT = 300_000        # finished words a worker remembers before it starts afresh
+PIECE = 1 << 16             # ids decoded at once
 OUT_BYTES = 8 << 20         # text per output batch
 LATIN_END = 0x250           # texts below this code point are cut here, others by the file's own rules
 
@@ -100,7 +101,7 @@ class Tokenizer:
         self.far = re.compile(f"[^\\x00-{chr(LATIN_END - 1)}]")
         self.bytes = _byte_symbols()
         self.file_text, self.rules = file_text, None
-        self.done: dict[str, tuple[bytes, str]] = {}
+        self.done: dict[str, bytes] = {}
 
     def cut_words(self, text: str) -> list[str]:
         """The normalized words of a text. In the Latin blocks composition does
@@ -142,12 +143,12 @@ class Tokenizer:
                 tree.put(h, rank(h, i))
         return [i for i in ids if i >= 0]
 
-    def word(self, w: str) -> tuple[bytes, str]:
-        """Ids of one word, as bytes, and what they decode to."""
+    def word(self, w: str) -> bytes:
+        """Ids of one word, as bytes."""
         symbols = [self.bytes[b] for b in w.encode()]
         symbols[-1] += self.suffix
         ids = self.merge([self.vocab[s] for s in symbols])
-        out = struct.pack(f"<{len(ids)}I", *ids), self.decode(ids)
+        out = struct.pack(f"<{len(ids)}I", *ids)
         if len(w) <= 64:
             if len(self.done) >= WORDS_KEPT:
                 self.done.clear()
@@ -156,15 +157,16 @@ class Tokenizer:
 
     def encode_bytes(self, text: str) -> tuple[bytes, str]:
         """Ids of a text as little-endian 32-bit numbers, and their decoding."""
-        found: list[tuple[bytes, str]] = []
+        found: list[bytes] = []
         get, word = self.done.get, self.word
         for k, part in enumerate(self.cut.split(text) if "<|" in text else (text,)):
             if k % 2:
-                i = self.special[part]
-                found.append((struct.pack("<I", i), self.decode([i])))
+                found.append(struct.pack("<I", self.special[part]))
             else:
                 found += [get(w) or word(w) for w in self.cut_words(part)]
-        return b"".join([f[0] for f in found]), " ".join([f[1] for f in found])
+        raw = b"".join(found)
+        parts = (raw[i:i + 4 * PIECE] for i in range(0, len(raw), 4 * PIECE))
+        return raw, " ".join([self.decode(struct.unpack(f"<{len(p) // 4}I", p)) for p in parts])
 
     def encode(self, text: str) -> list[int]:
         raw = self.encode_bytes(text)[0]

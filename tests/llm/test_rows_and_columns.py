@@ -157,3 +157,14 @@ def test_pipeline_rows_follow_from_its_stages(spark):
     got = corpus_pipeline.run(spark, SF)
     assert rows(got) == rows(expected) and got.count() > 10
     assert not [c for c in got.columns if re.search("text", c)] and got.where(F.col("ids").isNull()).count() == 0
+
+
+def test_word_table_holds_ids_only(monkeypatch):
+    """What a worker remembers of a word is its ids; their decoding is made of the text's ids."""
+    tok = bpe.Tokenizer(bpe.read_vocabulary(public_tokenizers.path("word_bpe_49k.json")))
+    text = "Déjà-vu isn't <|endoftext|> 42 déjà vu naïve " + "x" * 70
+    raw, back = tok.encode_bytes(text)
+    assert tok.done and {type(v) for v in tok.done.values()} == {bytes} and tok.encode_bytes(text) == (raw, back)
+    assert back == tok.decode(tok.encode(text)) and tok.encode_bytes("") == (b"", "")
+    monkeypatch.setattr(bpe, "PIECE", 3)
+    assert tok.encode_bytes(text) == (raw, back)
